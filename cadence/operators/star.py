@@ -20,6 +20,7 @@ leaves only unused dimension rows, which the replay rebuilds.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import keys
 from cadence.operators.clean import RejectedPlaysError
-from cadence.session import checkpoint_root
+from cadence.session import delete_path, materialise
 from cadence.sources.warehouse import Warehouse
 
 CELL_KEYS = ["song_natural_key", "artist_natural_key", "year", "month", "hour_of_day", "day_of_week"]
@@ -39,7 +40,6 @@ FACT_GRAIN = ["date_id", "song_id", "artist_id"]
 class LoadResult:
     batch_id: str
     rejected_plays: int
-    cells: DataFrame
 
 
 def _order_key(plays: DataFrame):
@@ -94,12 +94,12 @@ def insert_if_absent(candidates: DataFrame, existing: DataFrame, natural_key: li
 
 
 def fact_delta(cells: DataFrame) -> DataFrame:
-    """The batch's cells with hashed ids, ready to store (partitioned by year, month)."""
+    """The batch's cells with hashed ids, ready to store."""
     with_ids = cells.select(
         keys.date_id().alias("date_id"),
         keys.song_id().alias("song_id"),
         keys.artist_id().alias("artist_id"),
-        "play_count", "total_duration", "year", "month")
+        "play_count", "total_duration")
     return with_ids.withColumn("song_stream_id", keys.stream_id())
 
 
@@ -107,9 +107,16 @@ def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str,
               fail_on_reject: bool = True) -> LoadResult:
     """Load one batch of cleaned plays into the star schema."""
     warehouse.create_tables()
-    checkpoint_root(warehouse.spark)
     # Cells are read five times below; cut the lineage once, on shared storage.
-    cells_all = play_cells(plays).checkpoint(eager=True)
+    cells_all, cells_path = materialise(play_cells(plays), f"cells-{batch_id}")
+    try:
+        return _load_cells(warehouse, plays, batch_id, cells_all, fail_on_reject)
+    finally:
+        delete_path(warehouse.spark, cells_path)
+
+
+def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells_all: DataFrame,
+                fail_on_reject: bool) -> LoadResult:
     has_keys = F.col("song_natural_key").isNotNull() & F.col("artist_natural_key").isNotNull()
     rejected = cells_all.where(~has_keys).agg(F.sum("play_count").alias("n")).first()["n"] or 0
     if rejected:
@@ -119,16 +126,23 @@ def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str,
         warehouse.write_rejects(batch_id, missing)
     cells = cells_all.where(has_keys)
 
-    for table, candidates, nk in (
-        ("dim_date", date_candidates(cells), DATE_KEYS),
-        ("dim_song", song_candidates(cells), ["song_natural_key"]),
-        ("dim_artist", artist_candidates(cells), ["artist_natural_key"]),
-    ):
+    def write_dim(table: str, candidates: DataFrame, nk: list[str]) -> None:
         existing = warehouse.read(table, exclude_batch=batch_id)
         warehouse.write_batch(table, batch_id, insert_if_absent(candidates, existing, nk))
 
+    # The three dimensions are independent: submit them as concurrent jobs so
+    # small ones do not leave the cluster idle while the largest runs.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = [pool.submit(write_dim, *args) for args in (
+            ("dim_date", date_candidates(cells), DATE_KEYS),
+            ("dim_song", song_candidates(cells), ["song_natural_key"]),
+            ("dim_artist", artist_candidates(cells), ["artist_natural_key"]),
+        )]
+        for f in futures:
+            f.result()
+    # Fact last: a crash before this point leaves only unused dimension rows.
     warehouse.write_batch("fact_song_stream", batch_id, fact_delta(cells))
-    return LoadResult(batch_id=batch_id, rejected_plays=int(rejected), cells=cells)
+    return LoadResult(batch_id=batch_id, rejected_plays=int(rejected))
 
 
 # -- readers -----------------------------------------------------------------
@@ -152,22 +166,25 @@ def resolve_keys(plays: DataFrame, dim_artist: DataFrame, dim_song: DataFrame,
                  dim_date: DataFrame, strict: bool = True) -> DataFrame:
     """Attach surrogate ids to plays by natural-key lookup.
 
-    Plays are first reduced to distinct natural-key cells, so the joins
-    shuffle cells, not plays.  With ``strict`` a cell whose key is missing
-    from a dimension aborts, as the lookup in the original load did.
+    Plays are first reduced to natural-key cells, so the joins shuffle
+    cells, not plays.  With ``strict`` a cell whose key is missing from a
+    dimension aborts, as the lookup in the original load did; the lookups
+    are left joins, written once to the shared checkpoint folder, so the
+    check and the caller read the same result instead of recomputing it.
     """
     cells = plays.withColumn("day_of_week", F.lower("day_of_week")).groupBy(*CELL_KEYS).agg(
         F.count(F.lit(1)).alias("play_count"), F.sum("song_duration_ms").alias("total_duration"))
-    lookups = [
-        (dim_artist.select("artist_natural_key", "artist_id"), ["artist_natural_key"]),
-        (dim_song.select("song_natural_key", "song_id"), ["song_natural_key"]),
-        (dim_date.select(*DATE_KEYS, "date_id"), DATE_KEYS),
-    ]
-    if strict:
-        for dim, nk in lookups:
-            if not cells.join(dim, nk, "left_anti").isEmpty():
-                raise KeyError(f"natural key {nk} not found in dimension")
-    out = cells
-    for dim, nk in lookups:
-        out = out.join(dim, nk, "inner")
+    out = (cells
+           .join(dim_artist.select("artist_natural_key", "artist_id"), ["artist_natural_key"], "left")
+           .join(dim_song.select("song_natural_key", "song_id"), ["song_natural_key"], "left")
+           .join(dim_date.select(*DATE_KEYS, "date_id"), DATE_KEYS, "left"))
+    if not strict:
+        return out.where(F.col("artist_id").isNotNull() & F.col("song_id").isNotNull()
+                         & F.col("date_id").isNotNull())
+    out, _ = materialise(out, "resolved")
+    missing = out.where(F.col("artist_id").isNull() | F.col("song_id").isNull()
+                        | F.col("date_id").isNull())
+    if not missing.isEmpty():
+        raise KeyError("natural key not found in a dimension: "
+                       f"{missing.select(*CELL_KEYS[:2]).first()}")
     return out

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.measures import minutes_2dp, round_minutes
 from cadence.operators.star import dim_table, fact_song_stream
+from cadence.session import materialise
 from cadence.sources.warehouse import Warehouse
 
 
@@ -129,12 +130,12 @@ def build_models(warehouse: Warehouse, materialise_streams: bool = True) -> Mode
     """Run the model graph: staging views, then every mart as a table (K6).
 
     ``stg_streams`` feeds all three marts and is the one expensive view (it
-    re-aggregates every fact delta); it is checkpointed once so the marts
-    do not each redo that shuffle.
+    re-aggregates every fact delta); it is written once to the shared
+    checkpoint folder so the marts do not each redo that shuffle.
     """
     models = staging_models(warehouse)
     if materialise_streams:
-        models.stg_streams = models.stg_streams.checkpoint(eager=True)
+        models.stg_streams, _ = materialise(models.stg_streams, "stg_streams")
     register_views(models)
     for name in MART_NAMES:
         warehouse.write_model(name, models.mart(name))

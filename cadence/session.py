@@ -71,3 +71,37 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_parallelism(df, *keys: str, min_partitions: int | None = None):
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    Large inputs are split by the file source already (one task per
+    ~128 MB), so this is a no-op at scale; it only matters when a table is
+    one small file with a single row group, where every narrow step after
+    the scan would otherwise run in one task.  Counting partitions plans
+    the scan (file listing) but runs no job.  Hash-partitioning on ``keys``
+    (the table's own key) avoids the local sort a round-robin repartition
+    needs to stay deterministic on retry.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+def materialise(df, label: str):
+    """Write ``df`` to a fresh folder under the shared checkpoint root and
+    read it back: cuts the lineage (a lost executor re-reads files instead
+    of recomputing upstream shuffles) in one job, stored as columnar
+    parquet rather than serialized rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def delete_path(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

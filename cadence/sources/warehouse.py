@@ -22,13 +22,11 @@ from pyspark.sql import types as T
 from cadence.schemas import STAR_TABLES
 
 BATCH_COL = "batch_id"
-# Marker partition written by create_tables(); holds no rows.
-CREATED_BATCH = "_created"
 
-# Extra partition columns some star tables carry inside each batch folder.
-TABLE_PARTITIONS = {
-    "fact_song_stream": [("year", T.IntegerType()), ("month", T.IntegerType())],
-}
+# Extra partition columns a star table may carry inside each batch folder.
+# None by default: a batch folder already groups one load's rows, and
+# sub-folders per calendar month would multiply files per task.
+TABLE_PARTITIONS: dict[str, list] = {}
 
 
 class Warehouse:
@@ -68,13 +66,15 @@ class Warehouse:
         return T.StructType(fields)
 
     def create_tables(self) -> None:
-        """Create each star table as an empty typed table if it is absent."""
-        for table, schema in STAR_TABLES.items():
-            if self.exists(self.table_path(table)):
-                continue
-            extra = [T.StructField(n, t) for n, t in TABLE_PARTITIONS.get(table, [])]
-            empty = self.spark.createDataFrame([], T.StructType(list(schema.fields) + extra))
-            self._write(empty, table, CREATED_BATCH)
+        """Create each star table's folder if absent (metadata only, no job).
+
+        The schema is fixed in code, so an empty folder already reads as an
+        empty, fully typed table.
+        """
+        for table in STAR_TABLES:
+            p, fs = self._fs_path(self.table_path(table))
+            if not fs.exists(p):
+                fs.mkdirs(p)
 
     def read(self, table: str, exclude_batch: str | None = None) -> DataFrame:
         """All stored batches of a star table (including ``batch_id``)."""

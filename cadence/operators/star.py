@@ -104,9 +104,19 @@ def fact_delta(cells: DataFrame) -> DataFrame:
 
 
 def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str,
-              fail_on_reject: bool = True) -> LoadResult:
-    """Load one batch of cleaned plays into the star schema."""
+              fail_on_reject: bool = True, dedupe_plays: bool = False) -> LoadResult:
+    """Load one batch of cleaned plays into the star schema.
+
+    ``dedupe_plays`` (off by default, like the original load) counts a play
+    seen twice in the batch -- same song at the same instant, e.g. from
+    overlapping fetch windows -- once.
+    """
+    if dedupe_plays:
+        plays = plays.dropDuplicates(["song_natural_key", "played_at"])
     warehouse.create_tables()
+    if batch_id in set(folded_batches(warehouse, warehouse.latest_snapshot())):
+        raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the fact snapshot; "
+                                    "replaying it would count its plays twice")
     # Cells are read five times below; cut the lineage once, on shared storage.
     cells_all, cells_path = materialise(play_cells(plays), f"cells-{batch_id}")
     try:
@@ -152,16 +162,65 @@ def dim_table(warehouse: Warehouse, table: str) -> DataFrame:
     return warehouse.read(table).select(*[f.name for f in STAR_TABLES[table].fields])
 
 
-def fact_song_stream(warehouse: Warehouse) -> DataFrame:
-    """The accumulated fact: every batch's delta summed on the grain."""
-    deltas = warehouse.read("fact_song_stream")
-    cells = deltas.groupBy(*FACT_GRAIN).agg(
+FACT_COLUMNS = ["song_stream_id", *FACT_GRAIN, "play_count", "total_duration"]
+
+
+def _sum_cells(rows: DataFrame) -> DataFrame:
+    cells = rows.groupBy(*FACT_GRAIN).agg(
         F.sum("play_count").alias("play_count"),
         F.sum("total_duration").alias("total_duration"))
     return cells.select(keys.stream_id().alias("song_stream_id"), *FACT_GRAIN,
                         "play_count", "total_duration")
 
 
+def folded_batches(warehouse: Warehouse, version: int | None) -> list[str]:
+    """Batch ids folded into a snapshot (one small row per batch)."""
+    if version is None:
+        return []
+    path = f"{warehouse.snapshot_path(version)}/batches"
+    return [r.batch_id for r in warehouse.spark.read.parquet(path).collect()]
+
+
+def fact_song_stream(warehouse: Warehouse) -> DataFrame:
+    """The accumulated fact: snapshot (if any) plus every later batch's delta,
+    summed on the grain.  Right after a compaction it is the snapshot alone,
+    already at the grain, so reading it needs no shuffle."""
+    version = warehouse.latest_snapshot()
+    folded = set(folded_batches(warehouse, version))
+    pending = [b for b in warehouse.list_batches("fact_song_stream") if b not in folded]
+    if version is None:
+        return _sum_cells(warehouse.read("fact_song_stream"))
+    snapshot = warehouse.spark.read.parquet(f"{warehouse.snapshot_path(version)}/data")
+    if not pending:
+        return snapshot.select(*FACT_COLUMNS)
+    deltas = warehouse.read("fact_song_stream").where(F.col("batch_id").isin(pending))
+    return _sum_cells(snapshot.select(*FACT_GRAIN, "play_count", "total_duration")
+                      .unionByName(deltas.select(*FACT_GRAIN, "play_count", "total_duration")))
+
+
+class BatchAlreadyCompacted(RuntimeError):
+    """A replayed batch is already folded into the fact snapshot."""
+
+
+def compact_fact(warehouse: Warehouse) -> int:
+    """Fold every loaded batch into a new snapshot version; return its number.
+
+    A new version folder is written each time (a path being read is never
+    overwritten) and its batch list is written last, which commits it.
+    Loads keep writing delta folders; readers add the ones not folded yet.
+    """
+    version = warehouse.latest_snapshot()
+    folded = set(folded_batches(warehouse, version))
+    batches = sorted(folded | set(warehouse.list_batches("fact_song_stream")))
+    new_version = (version or 0) + 1
+    path = warehouse.snapshot_path(new_version)
+    fact_song_stream(warehouse).write.mode("overwrite").parquet(f"{path}/data")
+    spark = warehouse.spark
+    spark.createDataFrame([(b,) for b in batches], "batch_id string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/batches")
+    return new_version
+
+
 def resolve_keys(plays: DataFrame, dim_artist: DataFrame, dim_song: DataFrame,
                  dim_date: DataFrame, strict: bool = True) -> DataFrame:
     """Attach surrogate ids to plays by natural-key lookup.

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from cadence.operators.checks import run_checks
 from cadence.operators.clean import clean_plays, to_processed
-from cadence.operators.star import dim_table, fact_song_stream, load_star, resolve_keys
+from cadence.operators.star import (compact_fact, dim_table, fact_song_stream, load_star,
+                                   resolve_keys)
 from cadence.plans.models import Models, staging_models
 from cadence.session import ensure_conf, materialise, scratch_path
 from cadence.sources import csv_files, raw_json
@@ -210,6 +211,14 @@ def q_fact_batch_replay(spark, sf_dir):
                                               replay_second=True))
 
 
+def q_fact_compacted(spark, sf_dir):
+    """Two batches folded into a fact snapshot: equals one batch of everything."""
+    ensure_conf(spark)
+    wh = _two_batch_warehouse(spark, cleaned_feed(spark, sf_dir), "wh-compact")
+    compact_fact(wh)
+    return _fact_natural(wh)
+
+
 def _stg_streams_natural(models: Models, wh: Warehouse) -> DataFrame:
     s = models.stg_streams
     return _doubles(s
@@ -327,6 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_song_stream": q_fact_song_stream,
         "fact_two_batches": q_fact_two_batches,
         "fact_batch_replay": q_fact_batch_replay,
+        "fact_compacted": q_fact_compacted,
         "stg_streams": q_stg_streams,
         "stg_songs": q_stg_songs,
         "stg_artists": q_stg_artists,

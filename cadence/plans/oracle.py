@@ -203,6 +203,7 @@ LIMIT 50""",
         "fact_song_stream": star + CELLS_OUT,
         "fact_two_batches": star + CELLS_OUT,
         "fact_batch_replay": star + CELLS_OUT,
+        "fact_compacted": star + CELLS_OUT,
         "stg_streams": star + """
 SELECT song_natural_key, artist_natural_key, year, month, hour_of_day, day_of_week,
        play_count, total_duration, hundredths / 100.0 AS total_duration_minutes FROM streams""",

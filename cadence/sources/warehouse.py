@@ -58,6 +58,29 @@ class Warehouse:
         p, fs = self._fs_path(path)
         return bool(fs.exists(p))
 
+    def list_dirs(self, path: str, prefix: str) -> list[str]:
+        """Names after ``prefix`` of the sub-folders of ``path`` (metadata only)."""
+        p, fs = self._fs_path(path)
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+    def list_batches(self, table: str) -> list[str]:
+        return self.list_dirs(self.table_path(table), f"{BATCH_COL}=")
+
+    # -- fact snapshots --------------------------------------------------
+    def snapshot_path(self, version: int) -> str:
+        return f"{self.root}/star/fact_snapshot/v={version:08d}"
+
+    def latest_snapshot(self) -> int | None:
+        """Newest snapshot version whose batch list was committed (written last)."""
+        versions = [int(v) for v in self.list_dirs(f"{self.root}/star/fact_snapshot", "v=")]
+        for v in sorted(versions, reverse=True):
+            if self.exists(f"{self.snapshot_path(v)}/batches/_SUCCESS"):
+                return v
+        return None
+
     # -- star tables -----------------------------------------------------
     def stored_schema(self, table: str) -> T.StructType:
         fields = list(STAR_TABLES[table].fields)

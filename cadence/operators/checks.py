@@ -78,14 +78,36 @@ def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown test {check.test!r}")
 
 
+def _labelled(c: Check, failures) -> DataFrame:
+    return F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
+                    F.lit(c.column_name).alias("column_name"), F.lit(c.test).alias("test"),
+                    failures.cast("bigint").alias("failures"))
+
+
 def run_checks(tables: dict[str, DataFrame], checks=ALL_CHECKS) -> DataFrame:
-    """One row per check with its failure count."""
-    rows = [failing_rows(c, tables).agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
-        F.lit(c.column_name).alias("column_name"), F.lit(c.test).alias("test"),
-        F.col("failures")) for c in checks if c.model in tables
-        and (c.parent is None or c.parent in tables)]
-    return reduce(DataFrame.unionByName, rows)
+    """One row per check with its failure count (W4), in one Spark job.
+
+    All not-null tests on a model share a single scan (one conditional
+    count per test); unique and relationship tests each need their own
+    shuffle.
+    """
+    runnable = [c for c in checks
+                if c.model in tables and (c.parent is None or c.parent in tables)]
+    parts: list[DataFrame] = []
+    by_model: dict[str, list[Check]] = {}
+    for c in runnable:
+        if c.test == "not_null":
+            by_model.setdefault(c.model, []).append(c)
+        else:
+            counted = failing_rows(c, tables).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(counted.select(_labelled(c, F.col("n")).alias("r")))
+    for model, group in by_model.items():
+        counts = tables[model].agg(*[
+            F.count_if(reduce(lambda a, b: a | b, [F.col(x).isNull() for x in c.columns]))
+            .alias(f"n{i}") for i, c in enumerate(group)])
+        parts.append(counts.select(F.explode(F.array(*[
+            _labelled(c, F.col(f"n{i}")) for i, c in enumerate(group)])).alias("r")))
+    return reduce(DataFrame.unionByName, parts).select("r.*")
 
 
 class ChecksFailed(RuntimeError):

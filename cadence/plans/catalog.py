@@ -315,7 +315,7 @@ def q_incremental_marts(spark, sf_dir):
         raw_json.write_raw_pages(raw_json.to_raw_pages(plays.where(cond)), f"{landing}/slice={i}")
     wh = Warehouse(spark, scratch_path(spark, "wh-stream"))
     run_incremental(spark, landing, wh, checkpoint=scratch_path(spark, "stream-ckpt"),
-                    max_files_per_trigger=2)
+                    max_files_per_trigger=16)
     return _doubles(staging_models(wh).mart("mart_top_artists"))
 
 

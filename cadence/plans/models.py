@@ -55,13 +55,19 @@ def _per(streams: DataFrame, *grain: str) -> DataFrame:
         F.sum("total_duration_minutes").alias("_minutes"))
 
 
-def mart_top_artists(streams: DataFrame, artists: DataFrame) -> DataFrame:
+def _distinct_songs(approx: bool):
+    # Exact by default; approx_count_distinct (HyperLogLog++, ~1% error)
+    # is an opt-in for very large song catalogues.
+    return F.approx_count_distinct("song_id") if approx else F.count_distinct("song_id")
+
+
+def mart_top_artists(streams: DataFrame, artists: DataFrame, approx_distinct: bool = False) -> DataFrame:
     per_pair = _per(streams, "artist_id", "song_id")
     joined = per_pair.join(artists.select("artist_id", "artist_name"), "artist_id")
     return (joined.groupBy("artist_name")
             .agg(F.sum("_plays").alias("total_plays"),
                  round_minutes(F.sum("_minutes")).alias("total_minutes_listened"),
-                 F.count_distinct("song_id").alias("unique_songs"))
+                 _distinct_songs(approx_distinct).alias("unique_songs"))
             .orderBy(F.desc("total_plays"), F.asc("artist_name")))
 
 
@@ -78,13 +84,14 @@ def mart_top_songs(streams: DataFrame, songs: DataFrame, artists: DataFrame) ->
             .orderBy(F.desc("total_plays"), "song_title", "artist_name", "track_duration_minutes"))
 
 
-def mart_listening_patterns(streams: DataFrame, dates: DataFrame) -> DataFrame:
+def mart_listening_patterns(streams: DataFrame, dates: DataFrame,
+                            approx_distinct: bool = False) -> DataFrame:
     per_slot = _per(streams, "date_id", "song_id")
     joined = per_slot.join(dates.select("date_id", "day_of_week", "hour_of_day"), "date_id")
     return (joined.groupBy("day_of_week", "hour_of_day")
             .agg(F.sum("_plays").alias("total_plays"),
                  round_minutes(F.sum("_minutes")).alias("total_minutes"),
-                 F.count_distinct("song_id").alias("unique_songs"))
+                 _distinct_songs(approx_distinct).alias("unique_songs"))
             .orderBy("day_of_week", "hour_of_day"))
 
 

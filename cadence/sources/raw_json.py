@@ -101,9 +101,10 @@ def to_raw_pages(plays: DataFrame, page_size: int = 50) -> DataFrame:
     """Render plays as landed pages: one JSON document per line, <= page_size items.
 
     Expects played_at (timestamp), song_title, artist_name, song_duration_ms,
-    artist_natural_key, song_natural_key.  Pages are cut from consecutive
-    rows of one input partition, so no page spans tasks and none grows
-    past ``page_size``.
+    artist_natural_key, song_natural_key.  With a ``play_id`` column a page
+    is a run of ``page_size`` consecutive ids: deterministic under task
+    retries, and bounded by ``page_size`` times the id's multiplicity.
+    Without one, pages are cut from consecutive rows of one input partition.
     """
     item = F.struct(
         F.date_format(F.col("played_at"), ISO_FORMAT).alias("played_at"),
@@ -115,8 +116,8 @@ def to_raw_pages(plays: DataFrame, page_size: int = 50) -> DataFrame:
                              F.col("artist_name").alias("name"))).alias("artists"),
         ).alias("track"),
     )
-    paged = plays.select(
-        F.expr(f"monotonically_increasing_id() div {int(page_size)}").alias("_page"), item.alias("item"))
+    key = "CAST(play_id AS BIGINT)" if "play_id" in plays.columns else "monotonically_increasing_id()"
+    paged = plays.select(F.expr(f"{key} div {int(page_size)}").alias("_page"), item.alias("item"))
     return (paged.groupBy("_page").agg(F.collect_list("item").alias("items"))
             .select(F.to_json(F.struct("items")).alias("value")))
 

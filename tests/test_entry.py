@@ -44,3 +44,46 @@ def test_marts_pre_aggregate_before_join(spark):
     txt = df._jdf.queryExecution().optimizedPlan().toString()
     # the join's fact side is an Aggregate on (artist_id, song_id), not the raw cells
     assert re.search(r"Join Inner.*\n(:?.*\n)*?.*Aggregate \[artist_id#\d+L?, song_id", txt)
+
+
+def test_per_listener_cap_limits_before_shuffle(spark):
+    from cadence.sources import raw_json
+    from cadence.sources.feed import event_plays
+    plays = event_plays(spark, SF_SMALL)
+    capped = raw_json.latest_plays(plays, n=3, per="artist_natural_key")
+    plan = _plan(capped)
+    assert "WindowGroupLimit" in plan
+    counts = {r[0]: r[1] for r in capped.groupBy("artist_natural_key").count().collect()}
+    assert set(counts.values()) == {3} and len(counts) == 10
+
+
+def test_hot_song_is_pre_aggregated_and_exact(spark, tmp_path):
+    """One song holds a third of all plays: cells are partially aggregated
+    before the shuffle, and totals equal a brute-force count."""
+    from pyspark.sql import functions as F
+
+    from cadence.operators.star import fact_song_stream, load_star, play_cells
+    from cadence.sources.warehouse import Warehouse
+    plays = catalog.cleaned_feed(spark, SF_SMALL)
+    hot = F.col("play_id") % 3 == 0
+    skewed = (plays.withColumn("song_natural_key", F.when(hot, F.lit("s-hot"))
+                               .otherwise(F.col("song_natural_key"))))
+    plan = _plan(play_cells(skewed))
+    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")  # partial below shuffle
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_star(wh, skewed, "b1")
+    fact = fact_song_stream(wh)
+    assert fact.agg(F.sum("play_count")).first()[0] == plays.count()
+    hot_plays = skewed.where(F.col("song_natural_key") == "s-hot").count()
+    from cadence.functions.keys import song_id
+    got = fact.where(F.col("song_id") == song_id(F.lit("s-hot"))).agg(F.sum("play_count")).first()[0]
+    assert got == hot_plays
+
+
+def test_approx_distinct_opt_in(spark):
+    from cadence.plans.models import mart_top_artists, staging_models
+    m = staging_models(catalog.loaded_warehouse(spark, SF_SMALL))
+    exact = {r.artist_name: r.unique_songs for r in m.mart("mart_top_artists").collect()}
+    approx = {r.artist_name: r.unique_songs
+              for r in mart_top_artists(m.stg_streams, m.stg_artists, approx_distinct=True).collect()}
+    assert approx == exact   # tiny cardinalities are exact under HLL++

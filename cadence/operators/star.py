@@ -89,8 +89,17 @@ def date_candidates(cells: DataFrame) -> DataFrame:
 
 
 def insert_if_absent(candidates: DataFrame, existing: DataFrame, natural_key: list[str]) -> DataFrame:
-    """Candidates whose natural key is not stored yet."""
-    return candidates.join(existing.select(*natural_key), natural_key, "left_anti")
+    """Candidates whose natural key is not stored yet.
+
+    A left anti join can only build (broadcast) its right side -- here the
+    stored dimension, which grows with history.  So the stored keys are
+    first narrowed to this batch's keys with a left semi join, whose small
+    build side (the batch's keys) AQE can broadcast while the dimension is
+    streamed in place; the anti join then runs between two small sets.
+    """
+    batch_keys = candidates.select(*natural_key)
+    stored = existing.select(*natural_key).join(batch_keys, natural_key, "left_semi")
+    return candidates.join(stored, natural_key, "left_anti")
 
 
 def fact_delta(cells: DataFrame) -> DataFrame:

@@ -78,6 +78,24 @@ def failing_rows(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown test {check.test!r}")
 
 
+def _orphan_count(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    """Child rows whose key has no parent, counted per key first.
+
+    The child (the fact) is reduced to (key, rows) with a map-side combine
+    before it meets the parent, so the join shuffles distinct keys rather
+    than every fact row; summing the per-key counts gives the same number
+    as counting failing rows one by one.
+    """
+    cols = list(check.columns)
+    child = tables[check.model]
+    non_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    per_key = child.where(non_null).groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
+    parent = tables[check.parent].select(
+        *[F.col(p).alias(c) for p, c in zip(check.parent_columns, cols)])
+    orphans = per_key.join(parent, cols, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
+
+
 def _labelled(c: Check, failures) -> DataFrame:
     return F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.model).alias("model"),
                     F.lit(c.column_name).alias("column_name"), F.lit(c.test).alias("test"),
@@ -98,6 +116,8 @@ def run_checks(tables: dict[str, DataFrame], checks=ALL_CHECKS) -> DataFrame:
     for c in runnable:
         if c.test == "not_null":
             by_model.setdefault(c.model, []).append(c)
+        elif c.test == "relationships":
+            parts.append(_orphan_count(c, tables).select(_labelled(c, F.col("n")).alias("r")))
         else:
             counted = failing_rows(c, tables).agg(F.count(F.lit(1)).alias("n"))
             parts.append(counted.select(_labelled(c, F.col("n")).alias("r")))

@@ -146,4 +146,12 @@ def build_models(warehouse: Warehouse, materialise_streams: bool = True) -> Mode
     register_views(models)
     for name in MART_NAMES:
         warehouse.write_model(name, models.mart(name))
+    register_marts(warehouse)
     return models
+
+
+def register_marts(warehouse: Warehouse) -> None:
+    """Expose the written mart tables to SQL under their names."""
+    for name in MART_NAMES:
+        if warehouse.exists(warehouse.model_path(name)):
+            warehouse.read_model(name).createOrReplaceTempView(name)

@@ -137,3 +137,16 @@ def test_first_wins_across_batches(spark, warehouse):
     load_star(warehouse, a, "b1")        # replaying the first batch keeps it first
     assert [(r.song_title, r.duration_ms) for r in dim_table(warehouse, "dim_song").collect()] \
         == [("first", 1000)]
+
+
+def test_command_line_batch_and_compact(spark, tmp_path):
+    from cadence.__main__ import main
+    landing = str(tmp_path / "landing")
+    _land(spark, landing, event_plays(spark, SF_SMALL))
+    wh_root = str(tmp_path / "wh")
+    assert main(["run-batch", "--raw", landing, "--warehouse", wh_root, "--batch-id", "d1"]) == 0
+    assert main(["compact", "--warehouse", wh_root]) == 0
+    # marts are registered for SQL after a build
+    assert spark.sql("SELECT sum(total_plays) AS n FROM mart_top_artists").first().n == 1000
+    assert spark.sql("SELECT count(*) AS n FROM stg_streams").first().n > 0
+    assert fact_song_stream(Warehouse(spark, wh_root)).agg(F.sum("play_count")).first()[0] == 1000

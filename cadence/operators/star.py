@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions import keys
+from cadence.schemas import STAR_TABLES
 from cadence.operators.clean import RejectedPlaysError
 from cadence.session import delete_path, materialise
 from cadence.sources.warehouse import Warehouse
@@ -146,7 +147,7 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells_all
     cells = cells_all.where(has_keys)
 
     def write_dim(table: str, candidates: DataFrame, nk: list[str]) -> None:
-        existing = warehouse.read(table, exclude_batch=batch_id)
+        existing = stored_dim(warehouse, table, exclude_batch=batch_id)
         warehouse.write_batch(table, batch_id, insert_if_absent(candidates, existing, nk))
 
     # The three dimensions are independent: submit them as concurrent jobs so
@@ -166,9 +167,27 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells_all
 
 # -- readers -----------------------------------------------------------------
 
+def stored_dim(warehouse: Warehouse, table: str, exclude_batch: str | None = None) -> DataFrame:
+    """A dimension's stored rows: the latest snapshot (if any) plus every
+    batch folder not folded into it, optionally without one batch's folder."""
+    cols = [f.name for f in STAR_TABLES[table].fields]
+    rows = warehouse.read(table)
+    version = warehouse.latest_snapshot()
+    if version is None:
+        if exclude_batch is not None:
+            rows = rows.where(F.col("batch_id") != F.lit(exclude_batch))
+        return rows.select(*cols)
+    folded = set(folded_batches(warehouse, version))
+    pending = [b for b in warehouse.list_batches(table) if b not in folded and b != exclude_batch]
+    snapshot = warehouse.spark.read.schema(STAR_TABLES[table]).parquet(
+        f"{warehouse.snapshot_path(version)}/{table}").select(*cols)
+    if not pending:
+        return snapshot
+    return snapshot.unionByName(rows.where(F.col("batch_id").isin(pending)).select(*cols))
+
+
 def dim_table(warehouse: Warehouse, table: str) -> DataFrame:
-    from cadence.schemas import STAR_TABLES
-    return warehouse.read(table).select(*[f.name for f in STAR_TABLES[table].fields])
+    return stored_dim(warehouse, table)
 
 
 FACT_COLUMNS = ["song_stream_id", *FACT_GRAIN, "play_count", "total_duration"]
@@ -217,23 +236,67 @@ class BatchAlreadyCompacted(RuntimeError):
     """A replayed batch is already folded into the fact snapshot."""
 
 
-def compact_fact(warehouse: Warehouse) -> int:
-    """Fold every loaded batch into a new snapshot version; return its number.
+def compact(warehouse: Warehouse) -> int:
+    """Fold every completed load into a new snapshot version; return its number.
 
-    A new version folder is written each time (a path being read is never
-    overwritten) and its batch list is written last, which commits it.
-    Loads keep writing delta folders; readers add the ones not folded yet.
+    A load is complete once its fact folder exists (the fact is written
+    last), so only those batches are folded; a load still running keeps its
+    folders pending.  The new version holds the fact at its grain and each
+    dimension's rows; it is a new folder each time (a path being read is
+    never overwritten) and its batch list is written last, which commits
+    it.  Later loads keep writing batch folders that readers add on top.
     """
+    spark = warehouse.spark
     version = warehouse.latest_snapshot()
     folded = set(folded_batches(warehouse, version))
-    batches = sorted(folded | set(warehouse.list_batches("fact_song_stream")))
-    new_version = (version or 0) + 1
-    path = warehouse.snapshot_path(new_version)
-    fact_song_stream(warehouse).write.mode("overwrite").parquet(f"{path}/data")
-    spark = warehouse.spark
-    spark.createDataFrame([(b,) for b in batches], "batch_id string") \
+    new = sorted(set(warehouse.list_batches("fact_song_stream")) - folded)
+    path = warehouse.snapshot_path((version or 0) + 1)
+
+    def rows(table: str) -> DataFrame:
+        return warehouse.read(table).where(F.col("batch_id").isin(new)) if new else \
+            spark.createDataFrame([], warehouse.stored_schema(table))
+
+    prev = warehouse.snapshot_path(version) if version is not None else None
+    fact_rows = rows("fact_song_stream").select(*FACT_GRAIN, "play_count", "total_duration")
+    if prev is not None:
+        fact_rows = spark.read.parquet(f"{prev}/data").select(
+            *FACT_GRAIN, "play_count", "total_duration").unionByName(fact_rows)
+    _sum_cells(fact_rows).write.mode("overwrite").parquet(f"{path}/data")
+    for table in ("dim_artist", "dim_song", "dim_date"):
+        cols = [f.name for f in STAR_TABLES[table].fields]
+        dim_rows = rows(table).select(*cols)
+        if prev is not None:
+            dim_rows = spark.read.schema(STAR_TABLES[table]).parquet(f"{prev}/{table}") \
+                .select(*cols).unionByName(dim_rows)
+        dim_rows.write.mode("overwrite").parquet(f"{path}/{table}")
+    spark.createDataFrame([(b,) for b in sorted(folded | set(new))], "batch_id string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/batches")
-    return new_version
+    return (version or 0) + 1
+
+
+compact_fact = compact
+
+
+def vacuum(warehouse: Warehouse, keep_versions: int = 2) -> list[str]:
+    """Delete snapshot versions older than the newest ``keep_versions`` and
+    the batch folders folded into every version that is kept.  Explicit and
+    optional: run it when no reader still uses an old version."""
+    if keep_versions < 1:
+        raise ValueError("keep at least one snapshot version")
+    root = f"{warehouse.root}/star/fact_snapshot"
+    all_versions = sorted(int(v) for v in warehouse.list_dirs(root, "v="))
+    committed = [v for v in all_versions
+                 if warehouse.exists(f"{warehouse.snapshot_path(v)}/batches/_SUCCESS")]
+    if not committed:
+        return []
+    kept = committed[-keep_versions:]
+    doomed = [warehouse.snapshot_path(v) for v in all_versions if v < kept[0]]
+    for b in folded_batches(warehouse, kept[0]):
+        doomed += [warehouse.batch_path(t, b) for t in STAR_TABLES
+                   if warehouse.exists(warehouse.batch_path(t, b))]
+    for path in doomed:
+        delete_path(warehouse.spark, path)
+    return doomed
 
 
 def resolve_keys(plays: DataFrame, dim_artist: DataFrame, dim_song: DataFrame,

@@ -3,7 +3,7 @@
 
   run-batch  --raw PATH --warehouse PATH --batch-id ID [--format csv|parquet]
              [--multiline] [--as-of TS] [--latest-cap N] [--keep-rejects]
-  compact    --warehouse PATH
+  compact    --warehouse PATH [--vacuum-keep K]
   stream     --landing PATH --warehouse PATH --checkpoint PATH [--max-files N]
              [--processing-time '5 minutes']   (default: process what is there, then stop)
 """
@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None) -> int:
                     help="write plays without a natural key to rejects/ instead of failing")
     cp = sub.add_parser("compact")
     cp.add_argument("--warehouse", required=True)
+    cp.add_argument("--vacuum-keep", type=int,
+                    help="afterwards delete all but the newest K snapshot versions and folded folders")
     st = sub.add_parser("stream")
     st.add_argument("--landing", required=True)
     st.add_argument("--warehouse", required=True)
@@ -51,8 +53,11 @@ def main(argv: list[str] | None = None) -> int:
                             latest_cap=args.latest_cap, fail_on_reject=not args.keep_rejects)
         res.checks.show(truncate=False)
     elif args.cmd == "compact":
-        from cadence.operators.star import compact_fact
-        print(f"fact snapshot v={compact_fact(Warehouse(spark, args.warehouse))}")
+        from cadence.operators.star import compact, vacuum
+        wh = Warehouse(spark, args.warehouse)
+        print(f"snapshot v={compact(wh)}")
+        if args.vacuum_keep:
+            print(f"vacuum removed {len(vacuum(wh, keep_versions=args.vacuum_keep))} folders")
     else:
         from cadence.streaming.incremental import run_incremental, start_incremental
         wh = Warehouse(spark, args.warehouse)

@@ -89,20 +89,44 @@ def date_candidates(cells: DataFrame) -> DataFrame:
             .select(keys.date_id().alias("date_id"), *DATE_KEYS))
 
 
-def insert_if_absent(candidates: DataFrame, existing: DataFrame, natural_key: list[str]) -> DataFrame:
+def insert_if_absent(candidates: DataFrame, existing: DataFrame, natural_key: list[str],
+                     existing_is_small: bool = False) -> DataFrame:
     """Candidates whose natural key is not stored yet.
 
     A left anti join can only build (broadcast) its right side -- here the
-    stored dimension, which grows with history.  So the stored keys are
-    first narrowed to this batch's keys with a left semi join, whose small
-    build side (the batch's keys) AQE can broadcast while the dimension is
-    streamed in place; the anti join then runs between two small sets.
+    stored dimension, which grows with history.  Unless the dimension is
+    known to be small (then AQE broadcasts it into a plain anti join), the
+    stored keys are first narrowed to this batch's keys with a left semi
+    join, whose small build side (the batch's keys) AQE can broadcast while
+    the dimension is streamed in place; the anti join then runs between two
+    small sets, and the stored dimension is never shuffled.
     """
+    if existing_is_small:
+        return candidates.join(existing.select(*natural_key), natural_key, "left_anti")
     batch_keys = candidates.select(*natural_key)
     stored = existing.select(*natural_key).join(batch_keys, natural_key, "left_semi")
     return candidates.join(stored, natural_key, "left_anti")
 
 
+def _broadcast_limit(spark) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(raw)
+    except ValueError:   # e.g. "10MB"
+        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        raw = raw.strip().lower().rstrip("b")
+        return int(float(raw[:-1]) * units[raw[-1]]) if raw[-1] in units else int(raw)
+
+
+def dim_stored_bytes(warehouse: Warehouse, table: str) -> int:
+    """On-disk size of a dimension (its batch folders plus the snapshot copy)."""
+    total = warehouse.bytes_under(warehouse.table_path(table))
+    version = warehouse.latest_snapshot()
+    if version is not None:
+        total += warehouse.bytes_under(f"{warehouse.snapshot_path(version)}/{table}")
+    return total
+
+
 def fact_delta(cells: DataFrame) -> DataFrame:
     """The batch's cells with hashed ids, ready to store."""
     with_ids = cells.select(
@@ -146,9 +170,14 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells_all
         warehouse.write_rejects(batch_id, missing)
     cells = cells_all.where(has_keys)
 
+    limit = _broadcast_limit(warehouse.spark)
+
     def write_dim(table: str, candidates: DataFrame, nk: list[str]) -> None:
         existing = stored_dim(warehouse, table, exclude_batch=batch_id)
-        warehouse.write_batch(table, batch_id, insert_if_absent(candidates, existing, nk))
+        # Size checked from file metadata: parquet on disk is smaller than in
+        # memory, so compare against a quarter of the broadcast limit.
+        small = 0 <= dim_stored_bytes(warehouse, table) * 4 <= limit
+        warehouse.write_batch(table, batch_id, insert_if_absent(candidates, existing, nk, small))
 
     # The three dimensions are independent: submit them as concurrent jobs so
     # small ones do not leave the cluster idle while the largest runs.

@@ -66,6 +66,11 @@ class Warehouse:
         return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
                       if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
+    def bytes_under(self, path: str) -> int:
+        """Stored bytes under ``path`` (file-system metadata, no job)."""
+        p, fs = self._fs_path(path)
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
     def list_batches(self, table: str) -> list[str]:
         return self.list_dirs(self.table_path(table), f"{BATCH_COL}=")
 

@@ -25,6 +25,24 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, shuffle_bytes_per_task: str = "256m") -> dict[str, str]:
+    """Settings for a large cluster (not applied by default).
+
+    Start with plenty of shuffle partitions (3 waves of the cluster's cores)
+    and let AQE coalesce them to ``shuffle_bytes_per_task``; read input in
+    256 MB splits.  Both bound the bytes one task holds, so sorts and
+    aggregations spill rarely, and a skewed partition is split at runtime.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": shuffle_bytes_per_task,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "cadence", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session configured for this library."""

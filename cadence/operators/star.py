@@ -7,11 +7,14 @@ else is derived from those cells, which are far fewer than plays:
 
 * dim_date / dim_song / dim_artist: candidate rows per natural key
   (``max`` of the carried attributes, i.e. the newest play in the batch),
-  minus keys already stored by *other* batches (left anti join), written
-  to this batch's folder.  Stored rows never change (first seen wins).
+  minus keys already stored by *other* batches or the snapshot (an anti
+  join; for a large dimension via a semi join that never shuffles it),
+  written to this batch's folder.  Stored rows never change (first seen
+  wins).
 * fact delta: the cells with hashed ids, written to this batch's folder.
-* ``fact_song_stream`` = all deltas re-aggregated on the grain, so plays
-  from later batches add to earlier cells.
+* ``fact_song_stream`` = snapshot plus later deltas, re-aggregated on the
+  grain, so plays from later batches add to earlier cells.  ``compact``
+  folds loads into a new snapshot version; ``vacuum`` drops old ones.
 
 Replaying a batch id rewrites exactly its own folders (idempotent); a new
 batch id adds.  Dims are written before the fact, so a crash in between
@@ -27,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions import keys
-from cadence.schemas import STAR_TABLES
 from cadence.operators.clean import RejectedPlaysError
+from cadence.schemas import STAR_TABLES
 from cadence.session import delete_path, materialise
 from cadence.sources.warehouse import Warehouse
 

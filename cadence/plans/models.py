@@ -61,38 +61,47 @@ def _distinct_songs(approx: bool):
     return F.approx_count_distinct("song_id") if approx else F.count_distinct("song_id")
 
 
-def mart_top_artists(streams: DataFrame, artists: DataFrame, approx_distinct: bool = False) -> DataFrame:
+def _ordered(df: DataFrame, ordered: bool, *order) -> DataFrame:
+    # The report order is a global sort (a range shuffle); a stored table has
+    # no order, so writers skip it and readers sort what they show.
+    return df.orderBy(*order) if ordered else df
+
+
+def mart_top_artists(streams: DataFrame, artists: DataFrame, approx_distinct: bool = False,
+                     ordered: bool = True) -> DataFrame:
     per_pair = _per(streams, "artist_id", "song_id")
     joined = per_pair.join(artists.select("artist_id", "artist_name"), "artist_id")
-    return (joined.groupBy("artist_name")
-            .agg(F.sum("_plays").alias("total_plays"),
-                 round_minutes(F.sum("_minutes")).alias("total_minutes_listened"),
-                 _distinct_songs(approx_distinct).alias("unique_songs"))
-            .orderBy(F.desc("total_plays"), F.asc("artist_name")))
+    out = (joined.groupBy("artist_name")
+           .agg(F.sum("_plays").alias("total_plays"),
+                round_minutes(F.sum("_minutes")).alias("total_minutes_listened"),
+                _distinct_songs(approx_distinct).alias("unique_songs")))
+    return _ordered(out, ordered, F.desc("total_plays"), F.asc("artist_name"))
 
 
-def mart_top_songs(streams: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
+def mart_top_songs(streams: DataFrame, songs: DataFrame, artists: DataFrame,
+                   ordered: bool = True) -> DataFrame:
     per_pair = _per(streams, "song_id", "artist_id")
     joined = (per_pair
               .join(songs.select("song_id", "song_title", "duration_minutes"), "song_id")
               .join(artists.select("artist_id", "artist_name"), "artist_id"))
-    return (joined.groupBy("song_title", "artist_name", "duration_minutes")
-            .agg(F.sum("_plays").alias("total_plays"),
-                 round_minutes(F.sum("_minutes")).alias("total_minutes"))
-            .select("song_title", "artist_name", "total_plays", "total_minutes",
-                    F.col("duration_minutes").alias("track_duration_minutes"))
-            .orderBy(F.desc("total_plays"), "song_title", "artist_name", "track_duration_minutes"))
+    out = (joined.groupBy("song_title", "artist_name", "duration_minutes")
+           .agg(F.sum("_plays").alias("total_plays"),
+                round_minutes(F.sum("_minutes")).alias("total_minutes"))
+           .select("song_title", "artist_name", "total_plays", "total_minutes",
+                   F.col("duration_minutes").alias("track_duration_minutes")))
+    return _ordered(out, ordered, F.desc("total_plays"), "song_title", "artist_name",
+                    "track_duration_minutes")
 
 
 def mart_listening_patterns(streams: DataFrame, dates: DataFrame,
-                            approx_distinct: bool = False) -> DataFrame:
+                            approx_distinct: bool = False, ordered: bool = True) -> DataFrame:
     per_slot = _per(streams, "date_id", "song_id")
     joined = per_slot.join(dates.select("date_id", "day_of_week", "hour_of_day"), "date_id")
-    return (joined.groupBy("day_of_week", "hour_of_day")
-            .agg(F.sum("_plays").alias("total_plays"),
-                 round_minutes(F.sum("_minutes")).alias("total_minutes"),
-                 _distinct_songs(approx_distinct).alias("unique_songs"))
-            .orderBy("day_of_week", "hour_of_day"))
+    out = (joined.groupBy("day_of_week", "hour_of_day")
+           .agg(F.sum("_plays").alias("total_plays"),
+                round_minutes(F.sum("_minutes")).alias("total_minutes"),
+                _distinct_songs(approx_distinct).alias("unique_songs")))
+    return _ordered(out, ordered, "day_of_week", "hour_of_day")
 
 
 # -- model graph (W3) ----------------------------------------------------------
@@ -107,13 +116,14 @@ class Models:
     stg_artists: DataFrame
     stg_dates: DataFrame
 
-    def mart(self, name: str) -> DataFrame:
+    def mart(self, name: str, ordered: bool = True) -> DataFrame:
         if name == "mart_top_artists":
-            return mart_top_artists(self.stg_streams, self.stg_artists)
+            return mart_top_artists(self.stg_streams, self.stg_artists, ordered=ordered)
         if name == "mart_top_songs":
-            return mart_top_songs(self.stg_streams, self.stg_songs, self.stg_artists)
+            return mart_top_songs(self.stg_streams, self.stg_songs, self.stg_artists,
+                                  ordered=ordered)
         if name == "mart_listening_patterns":
-            return mart_listening_patterns(self.stg_streams, self.stg_dates)
+            return mart_listening_patterns(self.stg_streams, self.stg_dates, ordered=ordered)
         raise KeyError(name)
 
 
@@ -145,7 +155,7 @@ def build_models(warehouse: Warehouse, materialise_streams: bool = True) -> Mode
         models.stg_streams, _ = materialise(models.stg_streams, "stg_streams")
     register_views(models)
     for name in MART_NAMES:
-        warehouse.write_model(name, models.mart(name))
+        warehouse.write_model(name, models.mart(name, ordered=False))
     register_marts(warehouse)
     return models
 

@@ -87,3 +87,10 @@ def test_approx_distinct_opt_in(spark):
     approx = {r.artist_name: r.unique_songs
               for r in mart_top_artists(m.stg_streams, m.stg_artists, approx_distinct=True).collect()}
     assert approx == exact   # tiny cardinalities are exact under HLL++
+
+
+def test_mart_tables_are_written_without_a_global_sort(spark):
+    from cadence.plans.models import staging_models
+    m = staging_models(catalog.loaded_warehouse(spark, SF_SMALL))
+    assert "rangepartitioning" not in _plan(m.mart("mart_top_songs", ordered=False)).lower()
+    assert "rangepartitioning" in _plan(m.mart("mart_top_songs")).lower()

@@ -293,14 +293,18 @@ def compact(warehouse: Warehouse) -> int:
     if prev is not None:
         fact_rows = spark.read.parquet(f"{prev}/data").select(
             *FACT_GRAIN, "play_count", "total_duration").unionByName(fact_rows)
-    _sum_cells(fact_rows).write.mode("overwrite").parquet(f"{path}/data")
+    outputs = [(_sum_cells(fact_rows), f"{path}/data")]
     for table in ("dim_artist", "dim_song", "dim_date"):
         cols = [f.name for f in STAR_TABLES[table].fields]
         dim_rows = rows(table).select(*cols)
         if prev is not None:
             dim_rows = spark.read.schema(STAR_TABLES[table]).parquet(f"{prev}/{table}") \
                 .select(*cols).unionByName(dim_rows)
-        dim_rows.write.mode("overwrite").parquet(f"{path}/{table}")
+        outputs.append((dim_rows, f"{path}/{table}"))
+    # Independent writes: run them as concurrent jobs; the batch list commits.
+    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+        for f in [pool.submit(df.write.mode("overwrite").parquet, out) for df, out in outputs]:
+            f.result()
     spark.createDataFrame([(b,) for b in sorted(folded | set(new))], "batch_id string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/batches")
     return (version or 0) + 1

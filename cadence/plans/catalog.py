@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cadence.operators.checks import run_checks
 from cadence.operators.clean import clean_plays, to_processed
-from cadence.operators.star import (compact_fact, dim_table, fact_song_stream, load_star,
+from cadence.operators.star import (compact, dim_table, fact_song_stream, load_star,
                                    resolve_keys)
 from cadence.plans.models import Models, staging_models
 from cadence.session import ensure_conf, materialise, scratch_path
@@ -215,7 +215,7 @@ def q_fact_compacted(spark, sf_dir):
     """Two batches folded into a fact snapshot: equals one batch of everything."""
     ensure_conf(spark)
     wh = _two_batch_warehouse(spark, cleaned_feed(spark, sf_dir), "wh-compact")
-    compact_fact(wh)
+    compact(wh)
     return _fact_natural(wh)
 
 

@@ -260,8 +260,28 @@ def fact_song_stream(warehouse: Warehouse) -> DataFrame:
     if not pending:
         return snapshot.select(*FACT_COLUMNS)
     deltas = warehouse.read("fact_song_stream").where(F.col("batch_id").isin(pending))
-    return _sum_cells(snapshot.select(*FACT_GRAIN, "play_count", "total_duration")
-                      .unionByName(deltas.select(*FACT_GRAIN, "play_count", "total_duration")))
+    pending_bytes = sum(warehouse.bytes_under(warehouse.batch_path("fact_song_stream", b))
+                        for b in pending)
+    small = pending_bytes * 4 <= _broadcast_limit(warehouse.spark)
+    return merge_cells(snapshot, deltas, pending_is_small=small)
+
+
+def merge_cells(snapshot: DataFrame, deltas: DataFrame, pending_is_small: bool) -> DataFrame:
+    """Snapshot cells (one row per grain) plus delta rows, summed on the grain.
+
+    With small pending deltas only the cells they touch are re-aggregated:
+    the snapshot is split by a semi / anti join against the touched keys
+    (broadcast, so the snapshot is streamed, not shuffled), untouched cells
+    pass through as they are, and only touched cells meet the deltas in a
+    shuffle.  Otherwise everything is unioned and summed.
+    """
+    measures = [*FACT_GRAIN, "play_count", "total_duration"]
+    if not pending_is_small:
+        return _sum_cells(snapshot.select(*measures).unionByName(deltas.select(*measures)))
+    touched = deltas.select(*FACT_GRAIN).distinct()
+    untouched = snapshot.join(touched, FACT_GRAIN, "left_anti").select(*FACT_COLUMNS)
+    hit = snapshot.join(touched, FACT_GRAIN, "left_semi").select(*measures)
+    return untouched.unionByName(_sum_cells(hit.unionByName(deltas.select(*measures))))
 
 
 class BatchAlreadyCompacted(RuntimeError):
@@ -289,11 +309,15 @@ def compact(warehouse: Warehouse) -> int:
             spark.createDataFrame([], warehouse.stored_schema(table))
 
     prev = warehouse.snapshot_path(version) if version is not None else None
-    fact_rows = rows("fact_song_stream").select(*FACT_GRAIN, "play_count", "total_duration")
-    if prev is not None:
-        fact_rows = spark.read.parquet(f"{prev}/data").select(
-            *FACT_GRAIN, "play_count", "total_duration").unionByName(fact_rows)
-    outputs = [(_sum_cells(fact_rows), f"{path}/data")]
+    fact_rows = rows("fact_song_stream")
+    if prev is None:
+        fact_out = _sum_cells(fact_rows.select(*FACT_GRAIN, "play_count", "total_duration"))
+    else:
+        new_bytes = sum(warehouse.bytes_under(warehouse.batch_path("fact_song_stream", b))
+                        for b in new)
+        fact_out = merge_cells(spark.read.parquet(f"{prev}/data"), fact_rows,
+                               pending_is_small=new_bytes * 4 <= _broadcast_limit(spark))
+    outputs = [(fact_out, f"{path}/data")]
     for table in ("dim_artist", "dim_song", "dim_date"):
         cols = [f.name for f in STAR_TABLES[table].fields]
         dim_rows = rows(table).select(*cols)

@@ -219,6 +219,20 @@ def q_fact_compacted(spark, sf_dir):
     return _fact_natural(wh)
 
 
+def q_rejected_plays(spark, sf_dir):
+    """Plays of one event type arrive without a song id; the load keeps the
+    rest and writes those plays to the rejects table, which is returned."""
+    ensure_conf(spark)
+    plays = event_plays(spark, sf_dir)
+    staged = as_staged(plays, extra=("event_type",)).withColumn(
+        "song_natural_key", F.when(F.col("event_type") == "view", F.lit(None).cast("string"))
+        .otherwise(F.col("song_natural_key"))).drop("event_type")
+    wh = Warehouse(spark, scratch_path(spark, "wh-rejects"))
+    load_star(wh, clean_plays(staged), "b1", fail_on_reject=False)
+    return spark.read.parquet(wh.rejects_path("b1")).select(
+        "play_id", "song_title", "artist_name", "song_duration_ms")
+
+
 def _stg_streams_natural(models: Models, wh: Warehouse) -> DataFrame:
     s = models.stg_streams
     return _doubles(s
@@ -337,6 +351,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_two_batches": q_fact_two_batches,
         "fact_batch_replay": q_fact_batch_replay,
         "fact_compacted": q_fact_compacted,
+        "rejected_plays": q_rejected_plays,
         "stg_streams": q_stg_streams,
         "stg_songs": q_stg_songs,
         "stg_artists": q_stg_artists,

@@ -204,6 +204,8 @@ LIMIT 50""",
         "fact_two_batches": star + CELLS_OUT,
         "fact_batch_replay": star + CELLS_OUT,
         "fact_compacted": star + CELLS_OUT,
+        "rejected_plays": _with(EVENT_FEED, _plays(source="(SELECT * FROM feed WHERE event_type = 'view')")) + """
+SELECT play_id, song_title, artist_name, song_duration_ms FROM plays""",
         "stg_streams": star + """
 SELECT song_natural_key, artist_natural_key, year, month, hour_of_day, day_of_week,
        play_count, total_duration, hundredths / 100.0 AS total_duration_minutes FROM streams""",

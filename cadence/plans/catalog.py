@@ -233,6 +233,19 @@ def q_rejected_plays(spark, sf_dir):
         "play_id", "song_title", "artist_name", "song_duration_ms")
 
 
+def q_batch_job_marts(spark, sf_dir):
+    """The whole job (W5): landed JSON pages -> staging -> processed ->
+    star load -> models -> checks (raising on failure); returns the written
+    mart_top_artists table."""
+    from cadence.plans.batch_job import run_batch_job
+    ensure_conf(spark)
+    landing = scratch_path(spark, "landing")
+    raw_json.write_raw_pages(raw_json.to_raw_pages(event_plays(spark, sf_dir)), landing)
+    root = scratch_path(spark, "wh-job")
+    run_batch_job(spark, landing, root, batch_id="day-1")
+    return _doubles(Warehouse(spark, root).read_model("mart_top_artists"))
+
+
 def _stg_streams_natural(models: Models, wh: Warehouse) -> DataFrame:
     s = models.stg_streams
     return _doubles(s
@@ -352,6 +365,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_batch_replay": q_fact_batch_replay,
         "fact_compacted": q_fact_compacted,
         "rejected_plays": q_rejected_plays,
+        "batch_job_marts": q_batch_job_marts,
         "stg_streams": q_stg_streams,
         "stg_songs": q_stg_songs,
         "stg_artists": q_stg_artists,

@@ -217,6 +217,7 @@ SELECT song_natural_key, song_title, duration_ms,
         "dq_suite": _suite(broken=False),
         "dq_suite_broken": _suite(broken=True),
         "incremental_marts": star + MART_TOP_ARTISTS,
+        "batch_job_marts": star + MART_TOP_ARTISTS,
         "mart_top_artists_wide": wide + MART_TOP_ARTISTS,
         "mart_top_songs_wide": wide + MART_TOP_SONGS,
         "mart_listening_patterns_wide": wide + MART_LISTENING_PATTERNS,

@@ -94,3 +94,19 @@ def test_mart_tables_are_written_without_a_global_sort(spark):
     m = staging_models(catalog.loaded_warehouse(spark, SF_SMALL))
     assert "rangepartitioning" not in _plan(m.mart("mart_top_songs", ordered=False)).lower()
     assert "rangepartitioning" in _plan(m.mart("mart_top_songs")).lower()
+
+
+def test_every_oracle_sql_runs_in_duckdb():
+    import duckdb
+    con = duckdb.connect()
+    for t in ("events", "part", "supplier", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for name, sql in entry.oracle_sql().items():
+        cols = [d[0] for d in con.execute(sql).description]
+        assert all(re.fullmatch(r"[a-z_][a-z0-9_]*", c) for c in cols), (name, cols)
+
+
+def test_query_columns_are_plain_names(spark):
+    for name in ("mart_top_artists", "stg_streams", "dq_suite", "recent_plays_top50", "clean_plays"):
+        cols = entry.queries()[name](spark, SF_SMALL).columns
+        assert all(re.fullmatch(r"[a-z_][a-z0-9_]*", c) for c in cols), (name, cols)

@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cadence.plans import catalog
+from cadence.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 
 
@@ -15,7 +15,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(oracle.oracle_sql()) <= set(entry.oracle_sql())
 
 
 def _plan(df):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import byte_bpe, complement_pack, line_runs
+from cadence.llm import byte_bpe, complement_pack, line_runs, subword_quality, toxic_grammar
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.line_dedup_digests(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_quality.quality_scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complement_pack.pack_documents(_table(spark, sf_dir, "documents"),
                                           _tokenizer("byte_bpe_50k.json"), _pattern())
@@ -39,11 +45,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                _tokenizer("byte_bpe_multi_50k.tiktoken"), _pattern())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_grammar.toxicity_scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ).select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_toxicity": op9_toxicity,
     }
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import byte_bpe, complement_pack, line_runs, subword_quality, toxic_grammar
+from cadence.llm import byte_bpe, chat_format, complement_pack, line_runs, subword_quality, toxic_grammar
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.line_dedup_digests(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_digests(_table(spark, sf_dir, "conversations"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_quality.quality_scores(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -54,6 +58,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_chat_format": op2_chat_format,
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op8_byte_bpe": op8_byte_bpe,
@@ -64,4 +69,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_runs.ORACLE_SQL,
+        "op2_chat_format": chat_format.ORACLE_SQL,
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import byte_bpe, chat_format, complement_pack, line_runs, subword_quality, toxic_grammar
+from cadence.llm import byte_bpe, chat_format, complement_pack, hamming_dedup, line_runs, subword_quality, toxic_grammar
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           _tokenizer("byte_bpe_50k.json"), _pattern())
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"),
                                _tokenizer("byte_bpe_multi_50k.tiktoken"), _pattern())
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat_format": op2_chat_format,
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
+        "op6_minhash_dedup": op6_minhash_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_toxicity": op9_toxicity,
     }

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import byte_bpe, chat_format, complement_pack, hamming_dedup, line_runs, subword_quality, toxic_grammar
+from cadence.llm import (byte_bpe, chat_format, complement_pack, hamming_dedup, learned_partitions,
+                         line_runs, subword_quality, toxic_grammar, voronoi_topk)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,10 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_topk.topk_query(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"),
                                _tokenizer("byte_bpe_multi_50k.tiktoken"), _pattern())
@@ -60,6 +65,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.nearest_query(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -67,8 +76,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op6_minhash_dedup": op6_minhash_dedup,
+        "op7_exact_topk": op7_exact_topk,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_toxicity": op9_toxicity,
+        "op10_learned_partitions": op10_learned_partitions,
     }
 
 
@@ -76,4 +87,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_runs.ORACLE_SQL,
         "op2_chat_format": chat_format.ORACLE_SQL,
+        "op7_exact_topk": voronoi_topk.ORACLE_SQL,
     }

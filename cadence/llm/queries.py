@@ -7,20 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadence.llm import (byte_bpe, chat_format, complement_pack, hamming_dedup, learned_partitions,
-                         line_runs, subword_quality, toxic_grammar, voronoi_topk)
+                         license_rules, line_runs, subword_quality, toxic_grammar, voronoi_topk)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
-def _pattern() -> str:
+def pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
@@ -42,7 +42,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complement_pack.pack_documents(_table(spark, sf_dir, "documents"),
-                                          _tokenizer("byte_bpe_50k.json"), _pattern())
+                                          tokenizer("byte_bpe_50k.json"), pattern())
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(_table(spark, sf_dir, "documents"))
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"),
-                               _tokenizer("byte_bpe_multi_50k.tiktoken"), _pattern())
+                               tokenizer("byte_bpe_multi_50k.tiktoken"), pattern())
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat_format": op2_chat_format,
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
+        "op5_license_scan": op5_license_scan,
         "op6_minhash_dedup": op6_minhash_dedup,
         "op7_exact_topk": op7_exact_topk,
         "op8_byte_bpe": op8_byte_bpe,

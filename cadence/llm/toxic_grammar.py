@@ -261,7 +261,7 @@ def _choose(rows, n_toxic: int, n_clean: int, surprise: float, least: int) -> tu
     return kept, stems
 
 
-def _fit_weights(x: np.ndarray, y: np.ndarray, hold: float = 1e-3) -> tuple[np.ndarray, float]:
+def _fit_weights(x: np.ndarray, y: np.ndarray, hold: float = 1e-3, hold_own: float = 2e-2) -> tuple[np.ndarray, float]:
     """Logistic regression by Newton steps: a scale that all patterns share, and
     each pattern's own difference, which is held towards nothing."""
     ratios = np.array([_ratio(p) for p in PATTERNS])
@@ -271,11 +271,12 @@ def _fit_weights(x: np.ndarray, y: np.ndarray, hold: float = 1e-3) -> tuple[np.n
         return prior[0] * ratios, float(np.log(share / (1 - share)))
     x = np.hstack([(x @ ratios)[:, None], x, np.ones((len(x), 1))])
     weight = len(y) / (2.0 * np.where(y == 1, y.sum(), len(y) - y.sum()))
+    hold = np.array([hold] + [hold_own] * len(PATTERNS) + [hold])
     w = prior.copy()
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (weight * (p - y)) / len(y) + hold * (w - prior)
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x / len(y) + hold * np.eye(x.shape[1])
+        bend = (x * (weight * p * (1 - p))[:, None]).T @ x / len(y) + np.diag(hold)
         step = np.linalg.solve(bend, slope)
         w = w - step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-6:

@@ -169,7 +169,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = LineRuns(spark, scratch_path(spark, "line-runs"), fanout)
     for number in range(batches):
         runs.add(lines.where(F.col("batch") == number).select("h1", "h2"))
-    repeated = runs.counts().where(F.col("n_docs") >= min_docs).select("h1", "h2")
+    # Stored first, so that both sides of the join are plain shuffles: a line that
+    # very many documents share is split by adaptive execution.
+    repeated, _ = materialise(runs.counts().where(F.col("n_docs") >= min_docs).select("h1", "h2"),
+                              "repeated-lines")
     hits = (lines.select("k", "h1", "h2").join(repeated, ["h1", "h2"])
             .groupBy(F.col("k").alias("_k")).agg(F.collect_set(F.struct("h1", "h2")).alias("hits"))
             .select("_k", F.col("hits.h1").alias("_h1"), F.col("hits.h2").alias("_h2")))

@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     cp = sub.add_parser("compact")
     cp.add_argument("--warehouse", required=True)
     cp.add_argument("--vacuum-keep", type=int,
-                    help="afterwards delete all but the newest K snapshot versions and folded folders")
+                    help="afterwards delete what only commits before the newest K name")
     st = sub.add_parser("stream")
     st.add_argument("--landing", required=True)
     st.add_argument("--warehouse", required=True)
@@ -42,8 +42,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from cadence.session import ensure_conf
-    spark = ensure_conf(SparkSession.builder.appName(f"cadence-{args.cmd}").getOrCreate())
+    from cadence.session import apply_cluster_conf, ensure_conf
+    spark = apply_cluster_conf(ensure_conf(
+        SparkSession.builder.appName(f"cadence-{args.cmd}").getOrCreate()))
 
     from cadence.sources.warehouse import Warehouse
     if args.cmd == "run-batch":
@@ -54,10 +55,13 @@ def main(argv: list[str] | None = None) -> int:
         res.checks.show(truncate=False)
     elif args.cmd == "compact":
         from cadence.operators.star import compact, vacuum
+        from cadence.plans.models import register_all
         wh = Warehouse(spark, args.warehouse)
-        print(f"snapshot v={compact(wh)}")
+        print(f"version {compact(wh)}")
         if args.vacuum_keep:
             print(f"vacuum removed {len(vacuum(wh, keep_versions=args.vacuum_keep))} folders")
+        # Views of this session would go on reading what the old version named.
+        register_all(wh)
     else:
         from cadence.streaming.incremental import run_incremental, start_incremental
         wh = Warehouse(spark, args.warehouse)

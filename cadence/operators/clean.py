@@ -51,13 +51,14 @@ def check_not_empty(df: DataFrame) -> DataFrame:
 def with_play_id(staged: DataFrame) -> DataFrame:
     """Give every staged row a deterministic ``play_id`` if it has none.
 
-    Hash of the six staged values: two rows that tie on it are identical,
-    so which one "wins" never matters.
+    Hash of the six staged values, with a mark for nulls (the hash skips
+    them): two rows that tie on it are identical, so which one "wins" never
+    matters.
     """
     if "play_id" in staged.columns:
         return staged
     return staged.withColumn("play_id", surrogate_key(
-        *[F.col(c).cast("string") for c in STAGED_COLUMNS]))
+        *[x for c in STAGED_COLUMNS for x in (F.col(c).isNull(), F.col(c).cast("string"))]))
 
 
 def clean_plays(staged: DataFrame, na_tokens: Iterable[str] = NA_TOKENS,
@@ -91,9 +92,3 @@ def clean_plays(staged: DataFrame, na_tokens: Iterable[str] = NA_TOKENS,
 def to_processed(plays: DataFrame) -> DataFrame:
     """The nine processed columns only (drops the lineage columns)."""
     return plays.select(*PROCESSED_COLUMNS)
-
-
-def split_rejects(plays: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with both natural keys, and rows missing one (never loaded)."""
-    ok = F.col("song_natural_key").isNotNull() & F.col("artist_natural_key").isNotNull()
-    return plays.where(ok), plays.where(~ok)

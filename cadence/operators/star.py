@@ -1,28 +1,27 @@
 """Star-schema load (the load step) without row loops or MERGE.
 
-One pass over the batch's plays aggregates them to the fact grain on
-natural keys -- (song, artist, year, month, hour, weekday) -- and carries,
-per cell, the newest play's song and artist attributes.  Everything
-else is derived from those cells, which are far fewer than plays:
-
-* dim_date / dim_song / dim_artist: candidate rows per natural key
-  (``max`` of the carried attributes, i.e. the newest play in the batch),
-  minus keys already stored by *other* batches or the snapshot (an anti
-  join; for a large dimension via a semi join that never shuffles it),
-  written to this batch's folder.  Stored rows never change (first seen
-  wins).
-* fact delta: the cells with hashed ids, written to this batch's folder.
-* ``fact_song_stream`` = snapshot plus later deltas, re-aggregated on the
-  grain, so plays from later batches add to earlier cells.  ``compact``
-  folds loads into a new snapshot version; ``vacuum`` drops old ones.
-
-Replaying a batch id rewrites exactly its own folders (idempotent); a new
-batch id adds.  Dims are written before the fact, so a crash in between
-leaves only unused dimension rows, which the replay rebuilds.
+A load reduces the batch's plays to the fact grain on natural keys -- (song,
+artist, year, month, hour, weekday) -- by hash aggregation of two numbers.
+From these cells come the fact delta, the calendar rows and the batch's
+distinct song and artist keys.  Keys that no dimension row holds yet (an anti
+join) are new; only for them the plays are read again, to take the attributes
+of the newest play.  Stored dimension rows never change (first seen wins).
+
+All of a load's output goes to fresh attempt folders and counts with one
+commit (``Warehouse``): all or nothing.  A load that finds another commit in
+between redoes its anti join against the new state, so a natural key is stored
+once, however many loads run.  Replaying a batch id replaces its fact delta
+and rejects; dimension rows stay, since facts of other batches may use them.
+
+The fact is partitioned by (year, month).  Its cells are the compacted months
+plus the deltas of later loads, and only months with more than one source are
+summed when read.  ``compact`` rewrites just those months.
 """
 
 from __future__ import annotations
 
+import time
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -32,12 +31,15 @@ from pyspark.sql import functions as F
 from cadence.functions import keys
 from cadence.operators.clean import RejectedPlaysError
 from cadence.schemas import STAR_TABLES
-from cadence.session import delete_path, materialise
-from cadence.sources.warehouse import Warehouse
+from cadence.sources.warehouse import ATTEMPT, DIM_TABLES, FACT, State, Warehouse, check_batch_id
 
 CELL_KEYS = ["song_natural_key", "artist_natural_key", "year", "month", "hour_of_day", "day_of_week"]
 DATE_KEYS = ["year", "month", "hour_of_day", "day_of_week"]
 FACT_GRAIN = ["date_id", "song_id", "artist_id"]
+FACT_COLUMNS = ["song_stream_id", *FACT_GRAIN, "play_count", "total_duration"]
+STREAM_PREFIX = "stream-"
+# Folders with folded batch ids are merged when there are more of them.
+MAX_FOLDED = 32
 
 
 @dataclass
@@ -46,342 +48,297 @@ class LoadResult:
     rejected_plays: int
 
 
-def _order_key(plays: DataFrame):
-    order = [F.col("played_at")] if "played_at" in plays.columns else []
-    order += [F.col("play_id")] if "play_id" in plays.columns else []
-    return order
+class BatchAlreadyCompacted(RuntimeError):
+    """A replayed batch is already folded into the compacted fact."""
+
 
+# -- cells and candidates ----------------------------------------------------------
 
 def play_cells(plays: DataFrame) -> DataFrame:
-    """Aggregate plays to the fact grain on natural keys.
+    """Aggregate plays to the fact grain on natural keys.
 
-    ``latest_song`` / ``latest_artist`` hold the attributes of the newest
-    play in the cell, ordered by (played_at, play_id) and then by the
-    attribute values themselves, so equal keys always resolve the same way.
-    A hot song or artist is pre-aggregated on the map side before the
-    shuffle, and its plays spread over many cells (one per calendar slot).
+    Two fixed-width sums: a hash aggregate, combined on the map side before the
+    shuffle, so a hot song or artist is reduced to one row per calendar slot
+    and task.
     """
-    order = _order_key(plays)
-    return (plays
-            .withColumn("day_of_week", F.lower("day_of_week"))
-            .groupBy(*CELL_KEYS)
-            .agg(F.count(F.lit(1)).alias("play_count"),
-                 F.sum("song_duration_ms").alias("total_duration"),
-                 F.max(F.struct(*order, F.col("song_title"),
-                                F.col("song_duration_ms"))).alias("latest_song"),
-                 F.max(F.struct(*order, F.col("artist_name"))).alias("latest_artist")))
-
-
-def song_candidates(cells: DataFrame) -> DataFrame:
-    latest = cells.groupBy("song_natural_key").agg(F.max("latest_song").alias("s"))
-    return latest.select(keys.song_id("song_natural_key").alias("song_id"),
-                         F.col("s.song_title").alias("song_title"),
-                         F.col("s.song_duration_ms").alias("duration_ms"),
-                         "song_natural_key")
-
-
-def artist_candidates(cells: DataFrame) -> DataFrame:
-    latest = cells.groupBy("artist_natural_key").agg(F.max("latest_artist").alias("a"))
-    return latest.select(keys.artist_id("artist_natural_key").alias("artist_id"),
-                         F.col("a.artist_name").alias("artist_name"),
-                         "artist_natural_key")
-
-
-def date_candidates(cells: DataFrame) -> DataFrame:
-    return (cells.select(*DATE_KEYS).distinct()
-            .select(keys.date_id().alias("date_id"), *DATE_KEYS))
-
-
-def insert_if_absent(candidates: DataFrame, existing: DataFrame, natural_key: list[str],
-                     existing_is_small: bool = False) -> DataFrame:
-    """Candidates whose natural key is not stored yet.
-
-    A left anti join can only build (broadcast) its right side -- here the
-    stored dimension, which grows with history.  Unless the dimension is
-    known to be small (then AQE broadcasts it into a plain anti join), the
-    stored keys are first narrowed to this batch's keys with a left semi
-    join, whose small build side (the batch's keys) AQE can broadcast while
-    the dimension is streamed in place; the anti join then runs between two
-    small sets, and the stored dimension is never shuffled.
-    """
-    if existing_is_small:
-        return candidates.join(existing.select(*natural_key), natural_key, "left_anti")
-    batch_keys = candidates.select(*natural_key)
-    stored = existing.select(*natural_key).join(batch_keys, natural_key, "left_semi")
-    return candidates.join(stored, natural_key, "left_anti")
+    return (plays.withColumn("day_of_week", F.lower("day_of_week")).groupBy(*CELL_KEYS)
+            .agg(F.count(F.lit(1)).alias("play_count"), F.sum("song_duration_ms").alias("total_duration")))
 
 
-def _broadcast_limit(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(raw)
-    except ValueError:   # e.g. "10MB"
-        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        raw = raw.strip().lower().rstrip("b")
-        return int(float(raw[:-1]) * units[raw[-1]]) if raw[-1] in units else int(raw)
+def _newest(plays: DataFrame, key: str, *attributes: str) -> DataFrame:
+    """Per key the attributes of its newest play (A8), ordered by (played_at,
+    play_id) and then by the attributes, so equal keys resolve one way."""
+    order = [c for c in ("played_at", "play_id") if c in plays.columns]
+    return plays.groupBy(key).agg(F.max(F.struct(*order, *attributes)).alias("newest")) \
+        .select(key, *[F.col(f"newest.{a}").alias(a) for a in attributes])
 
 
-def dim_stored_bytes(warehouse: Warehouse, table: str) -> int:
-    """On-disk size of a dimension (its batch folders plus the snapshot copy)."""
-    total = warehouse.bytes_under(warehouse.table_path(table))
-    version = warehouse.latest_snapshot()
-    if version is not None:
-        total += warehouse.bytes_under(f"{warehouse.snapshot_path(version)}/{table}")
-    return total
+def absent_keys(found: DataFrame, stored: DataFrame, natural_key: list[str]) -> DataFrame:
+    """The distinct natural keys of ``found`` that are not stored yet.
+
+    A left anti join can only build (broadcast) its right side, here the stored
+    dimension, which grows with history.  So the stored keys are narrowed to
+    the batch's keys first, by a semi join whose small side adaptive execution
+    can broadcast while the dimension is streamed in place; the anti join then
+    runs between two small sets.
+    """
+    wanted = found.select(*natural_key).distinct()
+    held = stored.select(*natural_key).join(wanted, natural_key, "left_semi")
+    return wanted.join(held, natural_key, "left_anti")
+
+
+def new_rows(table: str, cells: DataFrame, plays: DataFrame, stored: DataFrame, first: bool) -> DataFrame:
+    """The dimension rows a batch adds.  ``first``: nothing is stored, every key is new."""
+    if table == "dim_date":
+        dates = cells.select(*DATE_KEYS).distinct() if first else absent_keys(cells, stored, DATE_KEYS)
+        return dates.select(keys.date_id().alias("date_id"), *DATE_KEYS)
+    key = "song_natural_key" if table == "dim_song" else "artist_natural_key"
+    if not first:
+        plays = plays.join(absent_keys(cells, stored, [key]), key, "left_semi")
+    if table == "dim_song":
+        rows = _newest(plays, key, "song_title", "song_duration_ms")
+        return rows.select(keys.song_id(key).alias("song_id"), "song_title",
+                           F.col("song_duration_ms").alias("duration_ms"), key)
+    return _newest(plays, key, "artist_name").select(keys.artist_id(key).alias("artist_id"), "artist_name", key)
 
 
 def fact_delta(cells: DataFrame) -> DataFrame:
-    """The batch's cells with hashed ids, ready to store."""
-    with_ids = cells.select(
-        keys.date_id().alias("date_id"),
-        keys.song_id().alias("song_id"),
-        keys.artist_id().alias("artist_id"),
-        "play_count", "total_duration")
-    return with_ids.withColumn("song_stream_id", keys.stream_id())
+    """The batch's cells with hashed ids, and the calendar month they belong to."""
+    return cells.select(keys.date_id().alias("date_id"), keys.song_id().alias("song_id"),
+                        keys.artist_id().alias("artist_id"), "play_count", "total_duration", "year", "month")
+
+
+# -- loading -----------------------------------------------------------------------
 
+def is_folded(warehouse: Warehouse, state: State, batch_id: str) -> bool:
+    """Whether a batch is part of the compacted fact (a filtered read of stored ids)."""
+    if not state.folded:
+        return False
+    ids = warehouse.spark.read.schema("batch_id string").parquet(
+        *[warehouse.attempt_path("folded", a) for a in state.folded])
+    return not ids.where(F.col("batch_id") == batch_id).isEmpty()
 
-def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str,
-              fail_on_reject: bool = True, dedupe_plays: bool = False) -> LoadResult:
+
+def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_reject: bool = True,
+              stream: tuple[str, int] | None = None) -> LoadResult:
     """Load one batch of cleaned plays into the star schema.
 
-    ``dedupe_plays`` (off by default, like the original load) counts a play
-    seen twice in the batch -- same song at the same instant, e.g. from
-    overlapping fetch windows -- once.
+    ``plays`` is read twice or more: pass a stored table where it is costly to
+    compute.  ``stream`` names the stream and epoch a micro-batch belongs to;
+    an epoch that is committed, compacted or not, is not loaded again.
     """
-    if dedupe_plays:
-        plays = plays.dropDuplicates(["song_natural_key", "played_at"])
+    check_batch_id(batch_id)
+    if batch_id.startswith(STREAM_PREFIX) != bool(stream):
+        raise ValueError(f"batch ids that begin with {STREAM_PREFIX!r} belong to streams")
     warehouse.create_tables()
-    if batch_id in set(folded_batches(warehouse, warehouse.latest_snapshot())):
-        raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the fact snapshot; "
+    state = warehouse.state()
+    if stream and state.streams.get(stream[0], -1) >= stream[1]:
+        return LoadResult(batch_id, 0)
+    if is_folded(warehouse, state, batch_id):
+        raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the compacted fact; "
                                     "replaying it would count its plays twice")
-    # Cells are read five times below; cut the lineage once, on shared storage.
-    cells_all, cells_path = materialise(play_cells(plays), f"cells-{batch_id}")
+    scratch = warehouse.scratch_path(f"load-{batch_id}")
     try:
-        return _load_cells(warehouse, plays, batch_id, cells_all, fail_on_reject)
+        play_cells(plays).write.parquet(f"{scratch}/cells")
+        cells = warehouse.spark.read.parquet(f"{scratch}/cells")
+        return _load_cells(warehouse, plays, batch_id, cells, fail_on_reject, stream)
     finally:
-        delete_path(warehouse.spark, cells_path)
+        warehouse.delete(scratch)
 
 
-def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells_all: DataFrame,
-                fail_on_reject: bool) -> LoadResult:
+def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: DataFrame,
+                fail_on_reject: bool, stream: tuple[str, int] | None) -> LoadResult:
     has_keys = F.col("song_natural_key").isNotNull() & F.col("artist_natural_key").isNotNull()
-    rejected = cells_all.where(~has_keys).agg(F.sum("play_count").alias("n")).first()["n"] or 0
+    rejected = int(cells.where(~has_keys).agg(F.sum("play_count").alias("n")).first()["n"] or 0)
+    if rejected and fail_on_reject:
+        raise RejectedPlaysError(f"{rejected} plays in batch {batch_id!r} lack a natural key")
+    attempt = warehouse.new_attempt(batch_id)
     if rejected:
-        if fail_on_reject:
-            raise RejectedPlaysError(f"{rejected} plays in batch {batch_id!r} lack a natural key")
-        missing = plays.where(F.col("song_natural_key").isNull() | F.col("artist_natural_key").isNull())
-        warehouse.write_rejects(batch_id, missing)
-    cells = cells_all.where(has_keys)
-
-    limit = _broadcast_limit(warehouse.spark)
-
-    def write_dim(table: str, candidates: DataFrame, nk: list[str]) -> None:
-        existing = stored_dim(warehouse, table, exclude_batch=batch_id)
-        # Size checked from file metadata: parquet on disk is smaller than in
-        # memory, so compare against a quarter of the broadcast limit.
-        small = 0 <= dim_stored_bytes(warehouse, table) * 4 <= limit
-        warehouse.write_batch(table, batch_id, insert_if_absent(candidates, existing, nk, small))
-
-    # The three dimensions are independent: submit them as concurrent jobs so
-    # small ones do not leave the cluster idle while the largest runs.
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        futures = [pool.submit(write_dim, *args) for args in (
-            ("dim_date", date_candidates(cells), DATE_KEYS),
-            ("dim_song", song_candidates(cells), ["song_natural_key"]),
-            ("dim_artist", artist_candidates(cells), ["artist_natural_key"]),
-        )]
-        for f in futures:
-            f.result()
-    # Fact last: a crash before this point leaves only unused dimension rows.
-    warehouse.write_batch("fact_song_stream", batch_id, fact_delta(cells))
-    return LoadResult(batch_id=batch_id, rejected_plays=int(rejected))
-
-
-# -- readers -----------------------------------------------------------------
-
-def stored_dim(warehouse: Warehouse, table: str, exclude_batch: str | None = None) -> DataFrame:
-    """A dimension's stored rows: the latest snapshot (if any) plus every
-    batch folder not folded into it, optionally without one batch's folder."""
-    cols = [f.name for f in STAR_TABLES[table].fields]
-    rows = warehouse.read(table)
-    version = warehouse.latest_snapshot()
-    if version is None:
-        if exclude_batch is not None:
-            rows = rows.where(F.col("batch_id") != F.lit(exclude_batch))
-        return rows.select(*cols)
-    folded = set(folded_batches(warehouse, version))
-    pending = [b for b in warehouse.list_batches(table) if b not in folded and b != exclude_batch]
-    snapshot = warehouse.spark.read.schema(STAR_TABLES[table]).parquet(
-        f"{warehouse.snapshot_path(version)}/{table}").select(*cols)
-    if not pending:
-        return snapshot
-    return snapshot.unionByName(rows.where(F.col("batch_id").isin(pending)).select(*cols))
-
-
-def dim_table(warehouse: Warehouse, table: str) -> DataFrame:
-    return stored_dim(warehouse, table)
+        plays.where(~has_keys).write.parquet(warehouse.attempt_path("rejects", attempt))
+    cells, plays = cells.where(has_keys), plays.where(has_keys)
+    months = sorted(f"{r.year:04d}-{r.month:02d}" for r in cells.select("year", "month").distinct().collect())
+    fact_delta(cells).write.partitionBy("year", "month").parquet(warehouse.attempt_path(FACT, attempt))
+
+    based_on, added = None, {}
+    while True:
+        state = warehouse.state()
+        if stream and state.streams.get(stream[0], -1) >= stream[1]:
+            return LoadResult(batch_id, 0)
+        if is_folded(warehouse, state, batch_id):
+            raise BatchAlreadyCompacted(f"batch {batch_id!r} was compacted while it was loaded again")
+        if based_on != state.dims:
+            added = _write_dims(warehouse, state, cells, plays, warehouse.new_attempt(batch_id))
+            based_on = state.dims
+        rejects = {b: a for b, a in state.rejects.items() if b != batch_id}
+        if rejected:
+            rejects[batch_id] = attempt
+        done = warehouse.try_commit(
+            state, dims={t: [*state.dims.get(t, []), a] for t, a in added.items()},
+            facts=state.facts | {batch_id: {"attempt": attempt, "months": months}}, rejects=rejects,
+            streams=state.streams | ({stream[0]: stream[1]} if stream else {}))
+        if done:
+            return LoadResult(batch_id, rejected)
+
+
+def _write_dims(warehouse: Warehouse, state: State, cells: DataFrame, plays: DataFrame,
+                attempt: str) -> dict[str, str]:
+    """Write the new dimension rows.  The tables are independent: three concurrent jobs."""
+    def write(table: str) -> None:
+        rows = new_rows(table, cells, plays, warehouse.read_dim(table, state), not state.dims.get(table))
+        rows.select(*STAR_TABLES[table].names).write.parquet(warehouse.attempt_path(table, attempt))
+
+    with ThreadPoolExecutor(max_workers=len(DIM_TABLES)) as pool:
+        list(pool.map(write, DIM_TABLES))
+    return {table: attempt for table in DIM_TABLES}
+
+
+# -- readers -----------------------------------------------------------------------
+
+def dim_table(warehouse: Warehouse, table: str, state: State | None = None) -> DataFrame:
+    return warehouse.read_dim(table, state)
+
+
+def _sources(state: State) -> dict[str, list[str]]:
+    """month -> the attempts that hold cells of it."""
+    found: dict[str, list[str]] = defaultdict(list)
+    for month, attempt in state.months.items():
+        found[month].append(attempt)
+    for fact in state.facts.values():
+        for month in fact["months"]:
+            found[month].append(fact["attempt"])
+    return found
+
+
+def _cells_of(warehouse: Warehouse, sources: dict[str, list[str]], months: list[str]) -> DataFrame:
+    folders = [f"{ATTEMPT}={a}/year={int(m[:4])}/month={int(m[5:])}" for m in months for a in sources[m]]
+    return warehouse.read(FACT, folders, ", year int, month int").drop(ATTEMPT)
 
 
-FACT_COLUMNS = ["song_stream_id", *FACT_GRAIN, "play_count", "total_duration"]
+def _sum_cells(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*FACT_GRAIN, "year", "month").agg(
+        F.sum("play_count").alias("play_count"), F.sum("total_duration").alias("total_duration"))
 
 
-def _sum_cells(rows: DataFrame) -> DataFrame:
-    cells = rows.groupBy(*FACT_GRAIN).agg(
-        F.sum("play_count").alias("play_count"),
-        F.sum("total_duration").alias("total_duration"))
-    return cells.select(keys.stream_id().alias("song_stream_id"), *FACT_GRAIN,
-                        "play_count", "total_duration")
-
-
-def folded_batches(warehouse: Warehouse, version: int | None) -> list[str]:
-    """Batch ids folded into a snapshot (one small row per batch)."""
-    if version is None:
-        return []
-    path = f"{warehouse.snapshot_path(version)}/batches"
-    return [r.batch_id for r in warehouse.spark.read.parquet(path).collect()]
-
-
-def fact_song_stream(warehouse: Warehouse) -> DataFrame:
-    """The accumulated fact: snapshot (if any) plus every later batch's delta,
-    summed on the grain.  When a single source holds everything -- the
-    snapshot right after a compaction, or the only batch ever loaded -- it
-    is already at the grain and is read without a shuffle."""
-    version = warehouse.latest_snapshot()
-    folded = set(folded_batches(warehouse, version))
-    pending = [b for b in warehouse.list_batches("fact_song_stream") if b not in folded]
-    if version is None:
-        deltas = warehouse.read("fact_song_stream")
-        if len(pending) == 1:
-            # One load's delta is already one row per cell (ids are hashes
-            # of the natural cell key): no re-aggregation shuffle needed.
-            return deltas.select(*FACT_COLUMNS)
-        return _sum_cells(deltas)
-    snapshot = warehouse.spark.read.parquet(f"{warehouse.snapshot_path(version)}/data")
-    if not pending:
-        return snapshot.select(*FACT_COLUMNS)
-    deltas = warehouse.read("fact_song_stream").where(F.col("batch_id").isin(pending))
-    pending_bytes = sum(warehouse.bytes_under(warehouse.batch_path("fact_song_stream", b))
-                        for b in pending)
-    small = pending_bytes * 4 <= _broadcast_limit(warehouse.spark)
-    return merge_cells(snapshot, deltas, pending_is_small=small)
-
-
-def merge_cells(snapshot: DataFrame, deltas: DataFrame, pending_is_small: bool) -> DataFrame:
-    """Snapshot cells (one row per grain) plus delta rows, summed on the grain.
-
-    With small pending deltas only the cells they touch are re-aggregated:
-    the snapshot is split by a semi / anti join against the touched keys
-    (broadcast, so the snapshot is streamed, not shuffled), untouched cells
-    pass through as they are, and only touched cells meet the deltas in a
-    shuffle.  Otherwise everything is unioned and summed.
+def fact_cells(warehouse: Warehouse, state: State | None = None) -> DataFrame:
+    """The accumulated fact on its grain, with year and month (partition columns).
+
+    A month that one attempt holds alone is already at the grain and is read
+    without a shuffle; the others are summed.
     """
-    measures = [*FACT_GRAIN, "play_count", "total_duration"]
-    if not pending_is_small:
-        return _sum_cells(snapshot.select(*measures).unionByName(deltas.select(*measures)))
-    touched = deltas.select(*FACT_GRAIN).distinct()
-    untouched = snapshot.join(touched, FACT_GRAIN, "left_anti").select(*FACT_COLUMNS)
-    hit = snapshot.join(touched, FACT_GRAIN, "left_semi").select(*measures)
-    return untouched.unionByName(_sum_cells(hit.unionByName(deltas.select(*measures))))
+    sources = _sources(state or warehouse.state())
+    alone = [m for m in sorted(sources) if len(sources[m]) == 1]
+    mixed = [m for m in sorted(sources) if len(sources[m]) > 1]
+    parts = [_cells_of(warehouse, sources, alone)] if alone or not mixed else []
+    if mixed:
+        parts.append(_sum_cells(_cells_of(warehouse, sources, mixed)))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-class BatchAlreadyCompacted(RuntimeError):
-    """A replayed batch is already folded into the fact snapshot."""
+def fact_song_stream(warehouse: Warehouse, state: State | None = None) -> DataFrame:
+    """The fact table as its readers see it, with the id of each cell."""
+    return fact_cells(warehouse, state).select(keys.stream_id().alias("song_stream_id"), *FACT_GRAIN,
+                                               "play_count", "total_duration")
+
 
+# -- compaction ----------------------------------------------------------------------
 
 def compact(warehouse: Warehouse) -> int:
-    """Fold every completed load into a new snapshot version; return its number.
-
-    A load is complete once its fact folder exists (the fact is written
-    last), so only those batches are folded; a load still running keeps its
-    folders pending.  The new version holds the fact at its grain and each
-    dimension's rows; it is a new folder each time (a path being read is
-    never overwritten) and its batch list is written last, which commits
-    it.  Later loads keep writing batch folders that readers add on top.
+    """Fold every committed load into compacted months; return the new version.
+
+    Only months with pending deltas are rewritten, the others keep their
+    attempt.  Dimension attempts become one.  Loads that commit meanwhile stay
+    pending; if a folded batch is replaced meanwhile, or another compaction
+    wins, the work is done again on the new state.
     """
-    spark = warehouse.spark
-    version = warehouse.latest_snapshot()
-    folded = set(folded_batches(warehouse, version))
-    new = sorted(set(warehouse.list_batches("fact_song_stream")) - folded)
-    path = warehouse.snapshot_path((version or 0) + 1)
-
-    def rows(table: str) -> DataFrame:
-        return warehouse.read(table).where(F.col("batch_id").isin(new)) if new else \
-            spark.createDataFrame([], warehouse.stored_schema(table))
-
-    prev = warehouse.snapshot_path(version) if version is not None else None
-    fact_rows = rows("fact_song_stream")
-    if prev is None:
-        fact_out = _sum_cells(fact_rows.select(*FACT_GRAIN, "play_count", "total_duration"))
-    else:
-        new_bytes = sum(warehouse.bytes_under(warehouse.batch_path("fact_song_stream", b))
-                        for b in new)
-        fact_out = merge_cells(spark.read.parquet(f"{prev}/data"), fact_rows,
-                               pending_is_small=new_bytes * 4 <= _broadcast_limit(spark))
-    outputs = [(fact_out, f"{path}/data")]
-    for table in ("dim_artist", "dim_song", "dim_date"):
-        cols = [f.name for f in STAR_TABLES[table].fields]
-        dim_rows = rows(table).select(*cols)
-        if prev is not None:
-            dim_rows = spark.read.schema(STAR_TABLES[table]).parquet(f"{prev}/{table}") \
-                .select(*cols).unionByName(dim_rows)
-        outputs.append((dim_rows, f"{path}/{table}"))
-    # Independent writes: run them as concurrent jobs; the batch list commits.
-    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-        for f in [pool.submit(df.write.mode("overwrite").parquet, out) for df, out in outputs]:
-            f.result()
-    spark.createDataFrame([(b,) for b in sorted(folded | set(new))], "batch_id string") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{path}/batches")
-    return (version or 0) + 1
-
-
-compact_fact = compact
-
-
-def vacuum(warehouse: Warehouse, keep_versions: int = 2) -> list[str]:
-    """Delete snapshot versions older than the newest ``keep_versions`` and
-    the batch folders folded into every version that is kept.  Explicit and
-    optional: run it when no reader still uses an old version."""
+    while True:
+        state = warehouse.state()
+        attempt = warehouse.new_attempt("compact")
+        sources = _sources(state)
+        touched = sorted({m for f in state.facts.values() for m in f["months"]})
+        jobs = []
+        if touched:
+            # Rebalanced by month: small months get one file, large ones several.
+            summed = _sum_cells(_cells_of(warehouse, sources, touched)).hint("rebalance", "year", "month")
+            jobs.append(lambda: summed.write.partitionBy("year", "month").parquet(
+                warehouse.attempt_path(FACT, attempt)))
+        merged = [t for t in DIM_TABLES if len(state.dims.get(t, [])) > 1]
+        for table in merged:
+            jobs.append(lambda table=table: warehouse.read_dim(table, state).hint("rebalance").write.parquet(
+                warehouse.attempt_path(table, attempt)))
+        # Epochs of streams are remembered by their newest number.
+        named = sorted(b for b in state.facts if not b.startswith(STREAM_PREFIX))
+        folded = list(state.folded)
+        if named:
+            ids = warehouse.spark.createDataFrame([(b,) for b in named], "batch_id string").coalesce(1)
+            if len(folded) >= MAX_FOLDED:
+                ids = ids.unionByName(warehouse.spark.read.schema("batch_id string").parquet(
+                    *[warehouse.attempt_path("folded", a) for a in folded]))
+                folded = []
+            jobs.append(lambda: ids.write.parquet(warehouse.attempt_path("folded", attempt)))
+            folded.append(attempt)
+        if jobs:
+            with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+                list(pool.map(lambda job: job(), jobs))
+        while True:
+            now = warehouse.state()
+            unchanged = now.months == state.months and now.folded == state.folded and all(
+                now.facts.get(b) == f for b, f in state.facts.items())
+            if not unchanged:
+                break  # do it again
+            done = warehouse.try_commit(
+                now, months=now.months | {m: attempt for m in touched}, folded=folded,
+                facts={b: f for b, f in now.facts.items() if b not in state.facts},
+                dims={t: ([attempt] + [a for a in now.dims[t] if a not in state.dims[t]] if t in merged
+                          else now.dims[t]) for t in now.dims})
+            if done:
+                return done.version
+
+
+def vacuum(warehouse: Warehouse, keep_versions: int = 2, orphan_hours: float = 168) -> list[str]:
+    """Delete commits older than the newest ``keep_versions`` and the attempts
+    that no kept commit names, if an older commit named them or they are older
+    than ``orphan_hours`` (left by a load that died).  Explicit and optional: run
+    it when no reader still uses an old version."""
     if keep_versions < 1:
-        raise ValueError("keep at least one snapshot version")
-    root = f"{warehouse.root}/star/fact_snapshot"
-    all_versions = sorted(int(v) for v in warehouse.list_dirs(root, "v="))
-    committed = [v for v in all_versions
-                 if warehouse.exists(f"{warehouse.snapshot_path(v)}/batches/_SUCCESS")]
-    if not committed:
-        return []
-    kept = committed[-keep_versions:]
-    doomed = [warehouse.snapshot_path(v) for v in all_versions if v < kept[0]]
-    for b in folded_batches(warehouse, kept[0]):
-        doomed += [warehouse.batch_path(t, b) for t in STAR_TABLES
-                   if warehouse.exists(warehouse.batch_path(t, b))]
+        raise ValueError("keep at least one version")
+    versions = warehouse.versions()
+    kept = set().union(*[warehouse.state(v).attempts() for v in versions[-keep_versions:]])
+    old = set().union(*[warehouse.state(v).attempts() for v in versions[:-keep_versions]])
+    limit = (time.time() - orphan_hours * 3600) * 1000
+    doomed = []
+    tables = [*STAR_TABLES, "rejects", "folded",
+              *[f"marts/{n}" for n, _ in warehouse.list_dir(f"{warehouse.root}/marts")]]
+    for table in tables:
+        for name, changed in warehouse.list_dir(warehouse.table_path(table)):
+            item = (table, name.removeprefix(f"{ATTEMPT}="))
+            if name.startswith(f"{ATTEMPT}=") and item not in kept and (item in old or changed < limit):
+                doomed.append(f"{warehouse.table_path(table)}/{name}")
+    doomed += [f"{warehouse.root}/_scratch/{name}" for name, changed
+               in warehouse.list_dir(f"{warehouse.root}/_scratch") if changed < limit]
+    doomed += [f"{warehouse.root}/_commits/{v:012d}.json" for v in versions[:-keep_versions]]
     for path in doomed:
-        delete_path(warehouse.spark, path)
+        warehouse.delete(path)
     return doomed
 
 
-def resolve_keys(plays: DataFrame, dim_artist: DataFrame, dim_song: DataFrame,
-                 dim_date: DataFrame, strict: bool = True) -> DataFrame:
+# -- key lookup ----------------------------------------------------------------------
+
+def resolve_keys(plays: DataFrame, dim_artist: DataFrame, dim_song: DataFrame, dim_date: DataFrame,
+                 strict: bool = True) -> DataFrame:
     """Attach surrogate ids to plays by natural-key lookup.
 
-    Plays are first reduced to natural-key cells, so the joins shuffle
-    cells, not plays.  With ``strict`` a cell whose key is missing from a
-    dimension aborts, as the lookup in the original load did; the lookups
-    are left joins, written once to the shared checkpoint folder, so the
-    check and the caller read the same result instead of recomputing it.
+    Plays are first reduced to natural-key cells, so the joins shuffle cells, not
+    plays.  With ``strict`` a cell whose key is missing from a dimension aborts the
+    job that reads the result, as the lookup in the original load did; otherwise
+    such cells are left out.
     """
-    cells = plays.withColumn("day_of_week", F.lower("day_of_week")).groupBy(*CELL_KEYS).agg(
-        F.count(F.lit(1)).alias("play_count"), F.sum("song_duration_ms").alias("total_duration"))
-    out = (cells
+    out = (play_cells(plays)
            .join(dim_artist.select("artist_natural_key", "artist_id"), ["artist_natural_key"], "left")
            .join(dim_song.select("song_natural_key", "song_id"), ["song_natural_key"], "left")
            .join(dim_date.select(*DATE_KEYS, "date_id"), DATE_KEYS, "left"))
+    found = F.col("artist_id").isNotNull() & F.col("song_id").isNotNull() & F.col("date_id").isNotNull()
     if not strict:
-        return out.where(F.col("artist_id").isNotNull() & F.col("song_id").isNotNull()
-                         & F.col("date_id").isNotNull())
-    out, _ = materialise(out, "resolved")
-    missing = out.where(F.col("artist_id").isNull() | F.col("song_id").isNull()
-                        | F.col("date_id").isNull())
-    if not missing.isEmpty():
-        raise KeyError("natural key not found in a dimension: "
-                       f"{missing.select(*CELL_KEYS[:2]).first()}")
-    return out
+        return out.where(found)
+    missing = F.raise_error(F.concat(F.lit("natural key not found in a dimension: "),
+                                     F.concat_ws(", ", *[F.col(c).cast("string") for c in CELL_KEYS])))
+    return out.where(F.when(found, F.lit(True)).otherwise(missing.cast("boolean")))

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.operators.checks import assert_checks, run_checks
-from cadence.operators.clean import LINEAGE_COLUMNS, check_not_empty, clean_plays
-from cadence.operators.star import dim_table, fact_song_stream, load_star
-from cadence.plans.models import Models, build_models
+from cadence.operators.clean import LINEAGE_COLUMNS, check_not_empty, clean_plays, with_play_id
+from cadence.operators.star import dim_table, load_star
+from cadence.plans.models import Models, register_all, staging_models, stored_fact, write_marts
 from cadence.schemas import PROCESSED_COLUMNS, STAGED_COLUMNS
 from cadence.session import ensure_conf
 from cadence.sources import csv_files, raw_json
-from cadence.sources.warehouse import Warehouse
+from cadence.sources.warehouse import DIM_TABLES, Warehouse, check_batch_id
 
 
 @dataclass
@@ -38,11 +38,13 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
                   latest_cap: int | None = None, fail_on_reject: bool = True,
                   fail_on_checks: bool = True) -> JobResult:
     ensure_conf(spark)
+    check_batch_id(batch_id)
     wh = Warehouse(spark, warehouse_root)
     wh.create_tables()
 
-    # extract: landed pages -> staged plays (optionally the last day only, newest N)
-    staged = raw_json.read_staged_from_json(spark, raw_path, multiline=multiline)
+    # extract: landed pages -> staged plays (optionally the last day only, newest N).
+    # The play id is given before the cap, so plays of one instant have an order.
+    staged = with_play_id(raw_json.read_staged_from_json(spark, raw_path, multiline=multiline))
     if as_of is not None:
         staged = raw_json.recent_window(staged, as_of)
     if latest_cap is not None:
@@ -64,18 +66,22 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
         plays.write.mode("overwrite").parquet(processed_path)
         plays = spark.read.parquet(processed_path)
 
-    # load, models, checks
+    # load, models, checks: the fact is summed once, and marts count only once
+    # the checks have passed.
     loaded = load_star(wh, plays, batch_id, fail_on_reject=fail_on_reject)
-    models = build_models(wh)
-    checks = run_checks({
-        "stg_streams": models.stg_streams, "stg_songs": models.stg_songs,
-        "stg_artists": models.stg_artists, "dim_artist": dim_table(wh, "dim_artist"),
-        "dim_song": dim_table(wh, "dim_song"), "dim_date": dim_table(wh, "dim_date"),
-        "fact_song_stream": fact_song_stream(wh),
-    })
-    if fail_on_checks:
-        assert_checks(checks)
-    return JobResult(batch_id, models, checks, loaded.rejected_plays)
+    with stored_fact(wh) as (state, fact):
+        models = staging_models(wh, fact, state)
+        attempts = write_marts(wh, models)
+        results = run_checks({
+            "stg_streams": models.stg_streams, "stg_songs": models.stg_songs,
+            "stg_artists": models.stg_artists, "fact_song_stream": fact,
+            **{t: dim_table(wh, t, state) for t in DIM_TABLES}})
+        # One row for each check, kept beyond the stored fact.
+        checks = spark.createDataFrame(results.collect(), results.schema)
+        if fail_on_checks:
+            assert_checks(checks)
+    wh.publish_models(attempts)
+    return JobResult(batch_id, register_all(wh), checks, loaded.rejected_plays)
 
 
 def clean_back(spark: SparkSession, path: str) -> DataFrame:

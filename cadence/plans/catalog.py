@@ -22,14 +22,16 @@ from cadence.operators.clean import clean_plays, to_processed
 from cadence.operators.star import (compact, dim_table, fact_song_stream, load_star,
                                    resolve_keys)
 from cadence.plans.models import Models, staging_models
-from cadence.session import ensure_conf, materialise, scratch_path
+from cadence.session import delete_path, ensure_conf, materialise, scratch_path
 from cadence.sources import csv_files, raw_json
-from cadence.sources.feed import as_staged, event_plays, lineitem_plays
+from cadence.sources.feed import as_staged, event_plays, lineitem_plays, read_table
 from cadence.sources.warehouse import Warehouse
 from cadence.streaming.incremental import run_incremental
 
-# Fixed value: the two-batch split date (inside every feed's date range).
+# Fixed value: the two-batch split date of the events feed.
 SPLIT_AT = "2024-01-16 00:00:00"
+# The lineitem feed lies in other years.
+SPLIT_AT_WIDE = "1998-05-24 00:00:00"
 
 FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events": event_plays,
@@ -50,7 +52,7 @@ def loaded_warehouse(spark: SparkSession, sf_dir: str, feed: str = "events") ->
     root = _LOADED.get(key)
     if root is not None:
         wh = Warehouse(spark, root)
-        if wh.exists(wh.table_path("fact_song_stream")):
+        if wh.versions():
             return wh
     wh = Warehouse(spark, scratch_path(spark, f"wh-{feed}"))
     load_star(wh, cleaned_feed(spark, sf_dir, feed), batch_id="b1")
@@ -125,7 +127,8 @@ def q_raw_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_recent_plays_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
     plays = event_plays(spark, sf_dir)
-    as_of = plays.select(F.max("played_at")).scalar()
+    # Every event joins one part and one supplier, so the events alone tell the newest play.
+    as_of = read_table(spark, sf_dir, "events").select(F.max(F.col("ts").cast("timestamp"))).scalar()
     recent = raw_json.latest_plays(raw_json.recent_window(plays, as_of, days=1), n=50)
     return recent.select("play_id", "song_title", "artist_name", "song_duration_ms",
                          F.unix_micros("played_at").alias("played_at_us"))
@@ -165,32 +168,44 @@ def q_dim_date(spark, sf_dir):
     return _dim_date(loaded_warehouse(spark, sf_dir))
 
 
-def _two_batch_warehouse(spark, plays: DataFrame, label: str, replay_second: bool = False) -> Warehouse:
+def _before_split(feed: str = "events"):
+    at = SPLIT_AT if feed == "events" else SPLIT_AT_WIDE
+    return F.col("played_at") < F.lit(at).cast("timestamp")
+
+
+def _two_batch_warehouse(spark, plays: DataFrame, label: str, feed: str = "events",
+                         replay: str | None = None) -> Warehouse:
+    """Loads the plays before and after the split as b1 and b2.  ``replay``: "same"
+    loads b2 again, "smaller" loads b1 again with the songs of even numbers only."""
     # The processed layer is written once; each batch then reads its slice
     # (the played_at filter reaches the parquet scan) instead of re-cleaning.
-    plays, _ = materialise(plays, f"{label}-processed")
+    plays, path = materialise(plays, f"{label}-processed")
     wh = Warehouse(spark, scratch_path(spark, label))
-    before = F.col("played_at") < F.lit(SPLIT_AT).cast("timestamp")
+    before = _before_split(feed)
     load_star(wh, plays.where(before), batch_id="b1")
     load_star(wh, plays.where(~before), batch_id="b2")
-    if replay_second:
+    if replay == "same":
         load_star(wh, plays.where(~before), batch_id="b2")
+    elif replay == "smaller":
+        even = F.substring("song_natural_key", 2, 20).cast("bigint") % 2 == 0
+        load_star(wh, plays.where(before & even), batch_id="b1")
+    delete_path(spark, path)
     return wh
 
 
-def q_dim_first_wins(spark, sf_dir):
+def q_dim_first_wins(spark, sf_dir, feed="events"):
     """Song titles and durations vary per play; two batches.  Stored songs
     keep the attributes of the newest play of the first batch that saw them."""
     ensure_conf(spark)
-    plays = event_plays(spark, sf_dir).withColumn(
-        "song_title", F.concat_ws(" ", "song_title", "event_type"))
-    wh = _two_batch_warehouse(spark, clean_plays(as_staged(plays)), "wh-firstwins")
+    varying = F.col("event_type") if feed == "events" else F.col("play_id").cast("string")
+    plays = FEEDS[feed](spark, sf_dir).withColumn("song_title", F.concat_ws(" ", "song_title", varying))
+    wh = _two_batch_warehouse(spark, clean_plays(as_staged(plays)), "wh-firstwins", feed)
     return _dim_song(wh)
 
 
-def q_key_resolution(spark, sf_dir):
-    wh = loaded_warehouse(spark, sf_dir)
-    resolved = resolve_keys(cleaned_feed(spark, sf_dir), dim_table(wh, "dim_artist"),
+def q_key_resolution(spark, sf_dir, feed="events"):
+    wh = loaded_warehouse(spark, sf_dir, feed)
+    resolved = resolve_keys(cleaned_feed(spark, sf_dir, feed), dim_table(wh, "dim_artist"),
                             dim_table(wh, "dim_song"), dim_table(wh, "dim_date"), strict=True)
     return resolved.select("song_natural_key", "artist_natural_key", "year", "month", "hour_of_day",
                            "day_of_week", "play_count", "total_duration")
@@ -200,50 +215,70 @@ def q_fact_song_stream(spark, sf_dir):
     return _fact_natural(loaded_warehouse(spark, sf_dir))
 
 
-def q_fact_two_batches(spark, sf_dir):
+def q_fact_two_batches(spark, sf_dir, feed="events"):
+    ensure_conf(spark)
+    return _fact_natural(_two_batch_warehouse(spark, cleaned_feed(spark, sf_dir, feed), "wh-two", feed))
+
+
+def q_fact_batch_replay(spark, sf_dir, feed="events"):
     ensure_conf(spark)
-    return _fact_natural(_two_batch_warehouse(spark, cleaned_feed(spark, sf_dir), "wh-two"))
+    return _fact_natural(_two_batch_warehouse(spark, cleaned_feed(spark, sf_dir, feed), "wh-replay",
+                                              feed, replay="same"))
 
 
-def q_fact_batch_replay(spark, sf_dir):
+def q_fact_replay_smaller(spark, sf_dir):
+    """b1 is replayed with fewer songs; facts of b2 keep their dimension rows."""
     ensure_conf(spark)
-    return _fact_natural(_two_batch_warehouse(spark, cleaned_feed(spark, sf_dir), "wh-replay",
-                                              replay_second=True))
+    wh = _two_batch_warehouse(spark, cleaned_feed(spark, sf_dir), "wh-smaller", replay="smaller")
+    return _doubles(staging_models(wh).mart("mart_top_songs"))
 
 
-def q_fact_compacted(spark, sf_dir):
-    """Two batches folded into a fact snapshot: equals one batch of everything."""
+def q_fact_compacted(spark, sf_dir, feed="events"):
+    """Two batches folded into compacted months: equals one batch of everything."""
     ensure_conf(spark)
-    wh = _two_batch_warehouse(spark, cleaned_feed(spark, sf_dir), "wh-compact")
+    wh = _two_batch_warehouse(spark, cleaned_feed(spark, sf_dir, feed), "wh-compact", feed)
     compact(wh)
     return _fact_natural(wh)
 
 
-def q_rejected_plays(spark, sf_dir):
-    """Plays of one event type arrive without a song id; the load keeps the
-    rest and writes those plays to the rejects table, which is returned."""
+def q_rejected_plays(spark, sf_dir, feed="events"):
+    """Some plays (of one event type, or every fifth song) arrive without a song
+    id; the load keeps the rest and stores those plays as rejects, which are returned."""
     ensure_conf(spark)
-    plays = event_plays(spark, sf_dir)
-    staged = as_staged(plays, extra=("event_type",)).withColumn(
-        "song_natural_key", F.when(F.col("event_type") == "view", F.lit(None).cast("string"))
-        .otherwise(F.col("song_natural_key"))).drop("event_type")
+    plays = FEEDS[feed](spark, sf_dir)
+    lost = (F.col("event_type") == "view" if feed == "events"
+            else F.substring("song_natural_key", 2, 20).cast("bigint") % 5 == 0)
+    staged = as_staged(plays.withColumn("song_natural_key", F.when(~lost, F.col("song_natural_key"))))
     wh = Warehouse(spark, scratch_path(spark, "wh-rejects"))
     load_star(wh, clean_plays(staged), "b1", fail_on_reject=False)
-    return spark.read.parquet(wh.rejects_path("b1")).select(
-        "play_id", "song_title", "artist_name", "song_duration_ms")
+    return wh.read_rejects("b1").select("play_id", "song_title", "artist_name", "song_duration_ms")
+
+
+def _all_marts(mart) -> DataFrame:
+    """The three marts in one table: mart, name, detail, total_plays, total_minutes, number."""
+    def shaped(name, label, detail, minutes, number):
+        return _doubles(mart(name)).select(
+            F.lit(name).alias("mart"), F.col(label).alias("name"), detail.alias("detail"), "total_plays",
+            F.col(minutes).alias("total_minutes"), F.col(number).cast("double").alias("number"))
+
+    return (shaped("mart_top_artists", "artist_name", F.lit(""), "total_minutes_listened", "unique_songs")
+            .unionByName(shaped("mart_top_songs", "song_title", F.col("artist_name"), "total_minutes",
+                                "track_duration_minutes"))
+            .unionByName(shaped("mart_listening_patterns", "day_of_week",
+                                F.col("hour_of_day").cast("string"), "total_minutes", "unique_songs")))
 
 
 def q_batch_job_marts(spark, sf_dir):
     """The whole job (W5): landed JSON pages -> staging -> processed ->
-    star load -> models -> checks (raising on failure); returns the written
-    mart_top_artists table."""
+    star load -> models -> checks (raising on failure); returns the published marts."""
     from cadence.plans.batch_job import run_batch_job
     ensure_conf(spark)
     landing = scratch_path(spark, "landing")
     raw_json.write_raw_pages(raw_json.to_raw_pages(event_plays(spark, sf_dir)), landing)
     root = scratch_path(spark, "wh-job")
     run_batch_job(spark, landing, root, batch_id="day-1")
-    return _doubles(Warehouse(spark, root).read_model("mart_top_artists"))
+    delete_path(spark, landing)
+    return _all_marts(Warehouse(spark, root).read_model)
 
 
 def _stg_streams_natural(models: Models, wh: Warehouse) -> DataFrame:
@@ -295,8 +330,8 @@ def _check_tables(models: Models, wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def q_dq_suite(spark, sf_dir):
-    wh = loaded_warehouse(spark, sf_dir)
+def q_dq_suite(spark, sf_dir, feed="events"):
+    wh = loaded_warehouse(spark, sf_dir, feed)
     return run_checks(_check_tables(staging_models(wh), wh))
 
 
@@ -329,21 +364,36 @@ def q_dq_suite_broken(spark, sf_dir):
     return run_checks(broken)
 
 
+def _landed_slices(spark, sf_dir, cuts: list[str]) -> str:
+    """The feed as landed pages, one folder for each time slice (one write)."""
+    landing = scratch_path(spark, "landing")
+    plays = event_plays(spark, sf_dir)
+    number = sum((F.col("played_at") >= F.lit(c).cast("timestamp")).cast("int") for c in cuts)
+    pages = raw_json.to_raw_pages(plays.withColumn("slice", number), by="slice")
+    pages.write.partitionBy("slice").text(landing)
+    return landing
+
+
 def q_incremental_marts(spark, sf_dir):
     """Land the feed as JSON pages in three time slices, stream them in with
-    availableNow, and build mart_top_artists from the streamed warehouse."""
+    availableNow, and build the marts from the streamed warehouse."""
     ensure_conf(spark)
-    landing = scratch_path(spark, "landing")
-    plays = event_plays(spark, sf_dir)
-    ts = F.col("played_at")
-    cuts = [F.lit(c).cast("timestamp") for c in ("2024-01-11 00:00:00", "2024-01-21 00:00:00")]
-    slices = [ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]
-    for i, cond in enumerate(slices):
-        raw_json.write_raw_pages(raw_json.to_raw_pages(plays.where(cond)), f"{landing}/slice={i}")
+    landing = _landed_slices(spark, sf_dir, ["2024-01-11 00:00:00", "2024-01-21 00:00:00"])
     wh = Warehouse(spark, scratch_path(spark, "wh-stream"))
     run_incremental(spark, landing, wh, checkpoint=scratch_path(spark, "stream-ckpt"),
                     max_files_per_trigger=16)
-    return _doubles(staging_models(wh).mart("mart_top_artists"))
+    return _all_marts(staging_models(wh).mart)
+
+
+def q_incremental_two_streams(spark, sf_dir):
+    """Two streams, each with its own landing and checkpoint, into one warehouse:
+    equals one batch of everything."""
+    ensure_conf(spark)
+    landing = _landed_slices(spark, sf_dir, [SPLIT_AT])
+    wh = Warehouse(spark, scratch_path(spark, "wh-streams"))
+    for number in (0, 1):
+        run_incremental(spark, f"{landing}/slice={number}", wh, checkpoint=scratch_path(spark, "stream-ckpt"))
+    return _fact_natural(wh)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -373,11 +423,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_suite": q_dq_suite,
         "dq_suite_broken": q_dq_suite_broken,
         "incremental_marts": q_incremental_marts,
+        "incremental_two_streams": q_incremental_two_streams,
+        "fact_replay_smaller": q_fact_replay_smaller,
         # Wide feed: songs and artists grow with the tables.
         "mart_top_artists_wide": lambda s, d: q_mart_top_artists(s, d, "lineitem"),
         "mart_top_songs_wide": lambda s, d: q_mart_top_songs(s, d, "lineitem"),
         "mart_listening_patterns_wide": lambda s, d: q_mart_listening_patterns(s, d, "lineitem"),
         "fact_song_stream_wide": lambda s, d: _fact_natural(loaded_warehouse(s, d, "lineitem")),
         "dim_song_wide": lambda s, d: _dim_song(loaded_warehouse(s, d, "lineitem")),
+        "dim_first_wins_wide": lambda s, d: q_dim_first_wins(s, d, "lineitem"),
+        "key_resolution_wide": lambda s, d: q_key_resolution(s, d, "lineitem"),
+        "fact_two_batches_wide": lambda s, d: q_fact_two_batches(s, d, "lineitem"),
+        "fact_batch_replay_wide": lambda s, d: q_fact_batch_replay(s, d, "lineitem"),
+        "fact_compacted_wide": lambda s, d: q_fact_compacted(s, d, "lineitem"),
+        "rejected_plays_wide": lambda s, d: q_rejected_plays(s, d, "lineitem"),
+        "dq_suite_wide": lambda s, d: q_dq_suite(s, d, "lineitem"),
     }
     return q

@@ -14,6 +14,8 @@ the join-then-aggregate form.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -21,8 +23,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.measures import minutes_2dp, round_minutes
 from cadence.operators.star import dim_table, fact_song_stream
-from cadence.session import materialise
-from cadence.sources.warehouse import Warehouse
+from cadence.sources.warehouse import State, Warehouse
 
 
 # -- staging views (P8-P12, M1) -----------------------------------------------
@@ -127,13 +128,17 @@ class Models:
         raise KeyError(name)
 
 
-def staging_models(warehouse: Warehouse) -> Models:
-    """The four staging views over the stored star tables (lazy)."""
+def staging_models(warehouse: Warehouse, fact: DataFrame | None = None, state: State | None = None) -> Models:
+    """The four staging views over the star tables (lazy), all of one state.
+
+    ``fact`` may hold the fact of that state, if it is stored already.
+    """
+    state = state or warehouse.state()
     return Models(
-        stg_streams=stg_streams(fact_song_stream(warehouse)),
-        stg_songs=stg_songs(dim_table(warehouse, "dim_song")),
-        stg_artists=stg_artists(dim_table(warehouse, "dim_artist")),
-        stg_dates=stg_dates(dim_table(warehouse, "dim_date")),
+        stg_streams=stg_streams(fact_song_stream(warehouse, state) if fact is None else fact),
+        stg_songs=stg_songs(dim_table(warehouse, "dim_song", state)),
+        stg_artists=stg_artists(dim_table(warehouse, "dim_artist", state)),
+        stg_dates=stg_dates(dim_table(warehouse, "dim_date", state)),
     )
 
 
@@ -143,25 +148,49 @@ def register_views(models: Models) -> None:
         getattr(models, name).createOrReplaceTempView(name)
 
 
-def build_models(warehouse: Warehouse, materialise_streams: bool = True) -> Models:
-    """Run the model graph: staging views, then every mart as a table (K6).
+@contextmanager
+def stored_fact(warehouse: Warehouse):
+    """(state, fact): the summed fact of the newest state, stored while in use.
 
-    ``stg_streams`` feeds all three marts and is the one expensive view (it
-    re-aggregates every fact delta); it is written once to the shared
-    checkpoint folder so the marts do not each redo that shuffle.
+    Models and checks read it several times; it is summed once.
     """
+    state, path = warehouse.state(), warehouse.scratch_path("fact")
+    try:
+        fact_song_stream(warehouse, state).write.parquet(path)
+        yield state, warehouse.spark.read.parquet(path)
+    finally:
+        warehouse.delete(path)
+
+
+def write_marts(warehouse: Warehouse, models: Models) -> dict[str, str]:
+    """Write every mart to an attempt of its own, as concurrent jobs (K6).
+
+    Returns model -> attempt; ``Warehouse.publish_models`` makes them count.
+    """
+    attempts = {name: warehouse.new_attempt("build") for name in MART_NAMES}
+
+    def write(name: str) -> None:
+        models.mart(name, ordered=False).write.parquet(
+            warehouse.attempt_path(f"marts/{name}", attempts[name]))
+
+    with ThreadPoolExecutor(max_workers=len(MART_NAMES)) as pool:
+        list(pool.map(write, MART_NAMES))
+    return attempts
+
+
+def register_all(warehouse: Warehouse) -> Models:
+    """Expose staging views and published marts to SQL; return the views."""
     models = staging_models(warehouse)
-    if materialise_streams:
-        models.stg_streams, _ = materialise(models.stg_streams, "stg_streams")
     register_views(models)
     for name in MART_NAMES:
-        warehouse.write_model(name, models.mart(name, ordered=False))
-    register_marts(warehouse)
+        if name in warehouse.state().models:
+            warehouse.read_model(name).createOrReplaceTempView(name)
     return models
 
 
-def register_marts(warehouse: Warehouse) -> None:
-    """Expose the written mart tables to SQL under their names."""
-    for name in MART_NAMES:
-        if warehouse.exists(warehouse.model_path(name)):
-            warehouse.read_model(name).createOrReplaceTempView(name)
+def build_models(warehouse: Warehouse) -> Models:
+    """Run the model graph (W3): staging views, then every mart, published at once."""
+    with stored_fact(warehouse) as (state, fact):
+        attempts = write_marts(warehouse, staging_models(warehouse, fact, state))
+    warehouse.publish_models(attempts)
+    return register_all(warehouse)

@@ -106,6 +106,20 @@ SELECT c.day_of_week, c.hour_of_day, CAST(SUM(c.play_count) AS BIGINT) AS total_
 FROM streams c
 GROUP BY c.day_of_week, c.hour_of_day"""
 
+# The three marts in one table.
+ALL_MARTS = f"""
+SELECT 'mart_top_artists' AS mart, artist_name AS name, '' AS detail, total_plays,
+       CAST(total_minutes_listened AS DOUBLE) AS total_minutes, CAST(unique_songs AS DOUBLE) AS number
+FROM ({MART_TOP_ARTISTS})
+UNION ALL
+SELECT 'mart_top_songs', song_title, artist_name, total_plays, CAST(total_minutes AS DOUBLE),
+       CAST(track_duration_minutes AS DOUBLE)
+FROM ({MART_TOP_SONGS})
+UNION ALL
+SELECT 'mart_listening_patterns', day_of_week, CAST(hour_of_day AS VARCHAR), total_plays,
+       CAST(total_minutes AS DOUBLE), CAST(unique_songs AS DOUBLE)
+FROM ({MART_LISTENING_PATTERNS})"""
+
 CELLS_OUT = """
 SELECT song_natural_key, artist_natural_key, year, month, hour_of_day, day_of_week,
        play_count, total_duration FROM cells"""
@@ -160,13 +174,13 @@ def _broken_failures(test: str, rel: str) -> str:
     return f"(SELECT COUNT(*) FROM {rel})"
 
 
-def _suite(broken: bool) -> str:
+def _suite(broken: bool, feed: str = EVENT_FEED) -> str:
     rows = []
     for cid, model, col, test, rel, key in _CHECKS:
         n = _broken_failures(test, rel) if broken else _failures(test, rel, key)
         rows.append(f"SELECT '{cid}' AS check_id, '{model}' AS model, '{col}' AS column_name, "
                     f"'{test}' AS test, CAST({n} AS BIGINT) AS failures")
-    return _star() + "\n" + "\nUNION ALL\n".join(rows)
+    return _star(feed) + "\n" + "\nUNION ALL\n".join(rows)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -179,6 +193,14 @@ dirty AS (
     first_wins = _with(EVENT_FEED, _plays(
         title="song_title || ' ' || event_type",
         batch="CASE WHEN played_at < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END"), STAR)
+    first_wins_wide = _with(LINEITEM_FEED, _plays(
+        title="song_title || ' ' || CAST(play_id AS VARCHAR)",
+        batch="CASE WHEN played_at < TIMESTAMP '1998-05-24 00:00:00' THEN 1 ELSE 2 END"), STAR)
+    # b1 again with even songs only: dimension rows stay, its other cells go.
+    smaller = _with(EVENT_FEED, _plays(
+        batch="CASE WHEN played_at < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END"),
+        STAR.replace("FROM plays GROUP BY ALL", "FROM plays WHERE batch = 2 OR "
+                     "CAST(substr(song_natural_key, 2) AS BIGINT) % 2 = 0 GROUP BY ALL"))
     return {
         "mart_top_artists": star + MART_TOP_ARTISTS,
         "mart_top_songs": star + MART_TOP_SONGS,
@@ -216,11 +238,23 @@ SELECT song_natural_key, song_title, duration_ms,
         "stg_dates": star + "\nSELECT hour_of_day, day_of_week, month, year FROM dim_date",
         "dq_suite": _suite(broken=False),
         "dq_suite_broken": _suite(broken=True),
-        "incremental_marts": star + MART_TOP_ARTISTS,
-        "batch_job_marts": star + MART_TOP_ARTISTS,
+        "incremental_marts": star + ALL_MARTS,
+        "batch_job_marts": star + ALL_MARTS,
+        "incremental_two_streams": star + CELLS_OUT,
+        "fact_replay_smaller": smaller + MART_TOP_SONGS,
         "mart_top_artists_wide": wide + MART_TOP_ARTISTS,
         "mart_top_songs_wide": wide + MART_TOP_SONGS,
         "mart_listening_patterns_wide": wide + MART_LISTENING_PATTERNS,
         "fact_song_stream_wide": wide + CELLS_OUT,
+        "fact_two_batches_wide": wide + CELLS_OUT,
+        "fact_batch_replay_wide": wide + CELLS_OUT,
+        "fact_compacted_wide": wide + CELLS_OUT,
+        "key_resolution_wide": wide + CELLS_OUT,
+        "dim_first_wins_wide": first_wins_wide
+        + "\nSELECT song_natural_key, song_title, duration_ms FROM dim_song",
+        "rejected_plays_wide": _with(LINEITEM_FEED, _plays(
+            source="(SELECT * FROM feed WHERE CAST(substr(song_natural_key, 2) AS BIGINT) % 5 = 0)")) + """
+SELECT play_id, song_title, artist_name, song_duration_ms FROM plays""",
+        "dq_suite_wide": _suite(broken=False, feed=LINEITEM_FEED),
         "dim_song_wide": wide + "\nSELECT song_natural_key, song_title, duration_ms FROM dim_song",
     }

@@ -11,7 +11,8 @@ ARTIST_REF = T.StructType([T.StructField("id", _S), T.StructField("name", _S)])
 TRACK = T.StructType([
     T.StructField("name", _S),
     T.StructField("id", _S),
-    T.StructField("duration_ms", _L),
+    # As landed: a missing duration and an explicit null must stay apart.
+    T.StructField("duration_ms", T.VariantType()),
     T.StructField("artists", T.ArrayType(ARTIST_REF)),
 ])
 
@@ -43,7 +44,8 @@ PROCESSED = T.StructType([
     T.StructField("day_of_week", _S),
 ])
 
-# Star schema.  Ids are 64-bit hashes of the natural key (see keys.py);
+# Star schema.  Dimension ids are 64-bit hashes of the natural key, the fact's
+# id has 128 bits and is derived when read (see keys.py);
 # counts and durations are 64-bit so a busy cell cannot overflow.
 DIM_ARTIST = T.StructType([
     T.StructField("artist_id", _L),
@@ -64,7 +66,7 @@ DIM_DATE = T.StructType([
     T.StructField("day_of_week", _S),
 ])
 FACT_SONG_STREAM = T.StructType([
-    T.StructField("song_stream_id", _L),
+    T.StructField("song_stream_id", T.BinaryType()),
     T.StructField("date_id", _L),
     T.StructField("song_id", _L),
     T.StructField("artist_id", _L),
@@ -78,9 +80,3 @@ STAR_TABLES = {
     "dim_date": DIM_DATE,
     "fact_song_stream": FACT_SONG_STREAM,
 }
-
-NATURAL_KEYS = {
-    "dim_artist": ["artist_natural_key"],
-    "dim_song": ["song_natural_key"],
-    "dim_date": ["year", "month", "hour_of_day", "day_of_week"],
-}

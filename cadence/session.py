@@ -26,7 +26,7 @@ SCALE_CONF = {
 
 
 def cluster_conf(total_cores: int, shuffle_bytes_per_task: str = "256m") -> dict[str, str]:
-    """Settings for a large cluster (not applied by default).
+    """Settings for a large cluster (the command line applies them).
 
     Start with plenty of shuffle partitions (3 waves of the cluster's cores)
     and let AQE coalesce them to ``shuffle_bytes_per_task``; read input in
@@ -58,19 +58,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
-    """Apply the result-changing settings to a session we did not build."""
+    """Apply the result-changing settings to a session we did not build.
+
+    They stay set: time zone and ANSI mode of the caller's session are UTC and
+    on from then on, also for its own queries.
+    """
     for k, v in CORRECTNESS_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark
 
 
+def apply_cluster_conf(spark: SparkSession) -> SparkSession:
+    """Apply the sizing for this cluster's cores where the user set nothing."""
+    given = spark.sparkContext.getConf()
+    for k, v in {**SCALE_CONF, **cluster_conf(spark.sparkContext.defaultParallelism)}.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from ``spark.checkpoint.dir`` (or an already-set checkpoint dir).
-    Only when neither is set -- local runs and tests -- a fresh folder
-    is created and registered, so ``DataFrame.checkpoint()`` works too.
+    Only when neither is set and the master is local (one machine, as in
+    tests) a fresh folder is created and registered.  On a cluster executors
+    would each write to a disk of their own, so there it is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -81,6 +95,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/")
@@ -91,23 +107,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_parallelism(df, *keys: str, min_partitions: int | None = None):
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    Large inputs are split by the file source already (one task per
-    ~128 MB), so this is a no-op at scale; it only matters when a table is
-    one small file with a single row group, where every narrow step after
-    the scan would otherwise run in one task.  Counting partitions plans
-    the scan (file listing) but runs no job.  Hash-partitioning on ``keys``
-    (the table's own key) avoids the local sort a round-robin repartition
-    needs to stay deterministic on retry.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
 def materialise(df, label: str):
     """Write ``df`` to a fresh folder under the shared checkpoint root and
     read it back: cuts the lineage (a lost executor re-reads files instead

@@ -23,7 +23,6 @@ CSV_WRITE_OPTIONS = {
 CSV_READ_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "multiLine": "true",
     "mode": "FAILFAST",
 }
 
@@ -33,9 +32,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a headered CSV with a fixed schema; a missing path raises."""
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+    """Read a headered CSV with a fixed schema; a missing path raises.
+
+    ``multiline=False`` makes files splittable, for text known to hold no line ends.
+    """
+    reader = spark.read.schema(schema).options(**CSV_READ_OPTIONS).option("multiLine", multiline)
+    return reader.csv(path)
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> None:
@@ -47,9 +50,9 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
         raise ValueError(f"unknown format {fmt!r}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, multiline: bool) -> DataFrame:
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multiline)
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
     raise ValueError(f"unknown format {fmt!r}")
@@ -60,8 +63,8 @@ def save_staging(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_staging(spark: SparkSession, path: str, fmt: str = "parquet",
-                 schema: T.StructType = STAGED) -> DataFrame:
-    return _read(spark, path, schema, fmt)
+                 schema: T.StructType = STAGED, multiline: bool = True) -> DataFrame:
+    return _read(spark, path, schema, fmt, multiline)
 
 
 def save_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -69,5 +72,5 @@ def save_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_processed(spark: SparkSession, path: str, fmt: str = "parquet",
-                   schema: T.StructType = PROCESSED) -> DataFrame:
-    return _read(spark, path, schema, fmt)
+                   schema: T.StructType = PROCESSED, multiline: bool = True) -> DataFrame:
+    return _read(spark, path, schema, fmt, multiline)

@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.session import ensure_parallelism
-
 # The feed mapping (songs = user_id mod 60, artists = user_id
 # mod 10; 60 is a multiple of 10 so every song has one artist).
 EVENT_SONGS = 60
@@ -31,8 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = ensure_parallelism(read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "value", "event_type"), "event_id")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "event_type")
     # The join keys are residues, so only parts 0..59 and suppliers 0..9 can
     # match.  Saying so lets the scans prune and bounds the small sides.
     part = (read_table(spark, sf_dir, "part")
@@ -58,9 +55,8 @@ def event_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"),
-        "l_orderkey", "l_linenumber")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     plays = (li.join(part, F.col("l_partkey") == F.col("p_partkey"))

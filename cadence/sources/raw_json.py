@@ -14,7 +14,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.functions.calendar import window_cutoff
+from cadence.functions.calendar import to_play_timestamp, window_cutoff
+from cadence.functions.measures import strict_bigint
+from cadence.functions.text import NA_TOKENS, na_to_null
 from cadence.schemas import RAW_PAGE, STAGED_COLUMNS
 
 # Defaults the extract step uses when a field is absent.
@@ -50,7 +52,10 @@ def flatten_items(items: DataFrame) -> DataFrame:
         F.coalesce(track["name"], F.lit(MISSING_TEXT)).alias("song_title"),
         F.coalesce(first_artist["name"], F.lit(MISSING_TEXT)).alias("artist_name"),
         F.coalesce(F.col("item.played_at"), F.lit(MISSING_TEXT)).alias("played_at"),
-        F.coalesce(track["duration_ms"], F.lit(MISSING_DURATION).cast("bigint")).alias("song_duration_ms"),
+        # Absent counts as 0 ms; an explicit null stays null (its row is dropped).
+        F.when(track["duration_ms"].isNull(), F.lit(MISSING_DURATION).cast("bigint"))
+        .when(~F.is_variant_null(track["duration_ms"]),
+              strict_bigint(F.variant_get(track["duration_ms"], "$", "string"))).alias("song_duration_ms"),
         first_artist["id"].alias("artist_natural_key"),
         track["id"].alias("song_natural_key"),
     ).select(*STAGED_COLUMNS)
@@ -69,15 +74,21 @@ def _as_column(as_of) -> Column:
 
 
 def played_at_ts(df: DataFrame) -> Column:
+    """The time of a play.  A missing one (null or a missing-value token) is null;
+    one that can't be parsed fails the batch, as in the transform step."""
     dtype = dict(df.dtypes)["played_at"]
     if dtype == "string":
-        return F.try_to_timestamp(F.col("played_at"))
+        return to_play_timestamp(na_to_null(F.col("played_at"), list(NA_TOKENS)), dtype)
     return F.col("played_at").cast("timestamp")
 
 
 def recent_window(plays: DataFrame, as_of, days: int = 1) -> DataFrame:
-    """Plays strictly after ``as_of`` (floored to the second) minus ``days``."""
-    return plays.where(played_at_ts(plays) > window_cutoff(_as_column(as_of), days))
+    """Plays strictly after ``as_of`` (floored to the second) minus ``days``, up to ``as_of``.
+
+    The upper end makes a retry, when later plays have landed, take the same plays.
+    """
+    ts, end = played_at_ts(plays), _as_column(as_of)
+    return plays.where((ts > window_cutoff(end, days)) & (ts <= end))
 
 
 def latest_plays(plays: DataFrame, n: int = 50, per: str | None = None,
@@ -97,7 +108,7 @@ def latest_plays(plays: DataFrame, n: int = 50, per: str | None = None,
     return plays.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def to_raw_pages(plays: DataFrame, page_size: int = 50) -> DataFrame:
+def to_raw_pages(plays: DataFrame, page_size: int = 50, by: str | None = None) -> DataFrame:
     """Render plays as landed pages: one JSON document per line, <= page_size items.
 
     Expects played_at (timestamp), song_title, artist_name, song_duration_ms,
@@ -105,6 +116,7 @@ def to_raw_pages(plays: DataFrame, page_size: int = 50) -> DataFrame:
     is a run of ``page_size`` consecutive ids: deterministic under task
     retries, and bounded by ``page_size`` times the id's multiplicity.
     Without one, pages are cut from consecutive rows of one input partition.
+    ``by`` names a column that is constant within a page and kept beside it.
     """
     item = F.struct(
         F.date_format(F.col("played_at"), ISO_FORMAT).alias("played_at"),
@@ -117,9 +129,10 @@ def to_raw_pages(plays: DataFrame, page_size: int = 50) -> DataFrame:
         ).alias("track"),
     )
     key = "CAST(play_id AS BIGINT)" if "play_id" in plays.columns else "monotonically_increasing_id()"
-    paged = plays.select(F.expr(f"{key} div {int(page_size)}").alias("_page"), item.alias("item"))
-    return (paged.groupBy("_page").agg(F.collect_list("item").alias("items"))
-            .select(F.to_json(F.struct("items")).alias("value")))
+    keep = [by] if by else []
+    paged = plays.select(F.expr(f"{key} div {int(page_size)}").alias("_page"), item.alias("item"), *keep)
+    return (paged.groupBy("_page", *keep).agg(F.collect_list("item").alias("items"))
+            .select(F.to_json(F.struct("items")).alias("value"), *keep))
 
 
 def write_raw_pages(pages: DataFrame, path: str) -> None:

@@ -1,32 +1,74 @@
-"""The warehouse: star tables, staging models and marts on shared storage.
+"""The warehouse: star tables, models and their commits on shared storage.
 
 Layout under ``root``::
 
-    star/<table>/batch_id=<id>/...        dims and fact deltas, one folder per load
-    marts/<model>/...                     fully rebuilt model tables
-    rejects/batch_id=<id>/...             plays refused by the loader
-
-A load writes its own ``batch_id`` folders with a plain path overwrite, so
-replaying a batch replaces exactly its earlier output (idempotent), and a
-new batch only adds folders.  Readers see every batch through partition
-discovery; ``batch_id`` is a partition column, so excluding a batch prunes
-its files instead of filtering rows.
+    data/<table>/attempt=<id>/...                       dimension rows of one attempt
+    data/fact_song_stream/attempt=<id>/year=/month=/    fact cells of one attempt
+    data/rejects/attempt=<id>/, data/folded/attempt=<id>/
+    marts/<model>/attempt=<id>/                         a model table of one build
+    _commits/<version>.json                             which attempts count
+    _scratch/...                                        intermediates, deleted after use
+
+Every write goes to a fresh attempt folder that no reader looks at.  A commit
+file then publishes it: it names all attempts that count at its version.
+Commit files are created only if absent, under the next number, so of two
+writers that started from one version the second one fails to commit, looks
+at the new state and tries again.  Readers take one state and see just its
+attempts; an attempt that was never committed is garbage that ``vacuum``
+removes after a while.
+
+Commits need a store whose rename fails if the target exists (HDFS and
+similar).  On stores without it let one writer work at a time; two writers of
+one process are kept apart by a lock.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import threading
+import uuid
+from dataclasses import asdict, dataclass, field, replace
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.schemas import STAR_TABLES
 
-BATCH_COL = "batch_id"
-
-# Extra partition columns a star table may carry inside each batch folder.
-# None by default: a batch folder already groups one load's rows, and
-# sub-folders per calendar month would multiply files per task.
-TABLE_PARTITIONS: dict[str, list] = {}
+DIM_TABLES = ("dim_artist", "dim_song", "dim_date")
+FACT = "fact_song_stream"
+ATTEMPT = "attempt"
+BATCH_ID = re.compile(r"[A-Za-z0-9_.-]+")
+_locks: dict[str, threading.Lock] = {}
+
+
+@dataclass(frozen=True)
+class State:
+    """What counts at one version.  Its size is bounded by the loads since the
+    last compaction, the calendar months and the number of streams."""
+
+    version: int = 0
+    dims: dict[str, list[str]] = field(default_factory=dict)     # table -> attempts
+    facts: dict[str, dict] = field(default_factory=dict)         # batch -> {attempt, months}
+    months: dict[str, str] = field(default_factory=dict)         # compacted month -> attempt
+    rejects: dict[str, str] = field(default_factory=dict)        # batch -> attempt
+    folded: list[str] = field(default_factory=list)              # attempts with folded batch ids
+    streams: dict[str, int] = field(default_factory=dict)        # stream -> newest epoch
+    models: dict[str, str] = field(default_factory=dict)         # model -> attempt
+
+    def attempts(self) -> set[tuple[str, str]]:
+        """(table, attempt) of everything that counts."""
+        out = {(t, a) for t, found in self.dims.items() for a in found}
+        out |= {(FACT, f["attempt"]) for f in self.facts.values()} | {(FACT, a) for a in self.months.values()}
+        out |= {("rejects", a) for a in self.rejects.values()} | {("folded", a) for a in self.folded}
+        return out | {(f"marts/{m}", a) for m, a in self.models.items()}
+
+
+def check_batch_id(batch_id: str) -> str:
+    """Batch ids become folder names: letters, digits, ``_``, ``.`` and ``-`` only."""
+    if not BATCH_ID.fullmatch(batch_id) or batch_id.startswith("."):
+        raise ValueError(f"invalid batch id {batch_id!r}")
+    return batch_id
 
 
 class Warehouse:
@@ -34,65 +76,78 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- paths -----------------------------------------------------------
+    # -- files -------------------------------------------------------------
     def table_path(self, table: str) -> str:
-        return f"{self.root}/star/{table}"
+        return f"{self.root}/{table}" if table.startswith("marts/") else f"{self.root}/data/{table}"
 
-    def batch_path(self, table: str, batch_id: str) -> str:
-        _check_batch_id(batch_id)
-        return f"{self.table_path(table)}/{BATCH_COL}={batch_id}"
+    def attempt_path(self, table: str, attempt: str) -> str:
+        return f"{self.table_path(table)}/{ATTEMPT}={attempt}"
 
-    def model_path(self, name: str) -> str:
-        return f"{self.root}/marts/{name}"
+    def new_attempt(self, label: str) -> str:
+        return f"{check_batch_id(label)}-{uuid.uuid4().hex[:12]}"
 
-    def rejects_path(self, batch_id: str) -> str:
-        _check_batch_id(batch_id)
-        return f"{self.root}/rejects/{BATCH_COL}={batch_id}"
+    def scratch_path(self, label: str) -> str:
+        return f"{self.root}/_scratch/{label}-{uuid.uuid4().hex[:12]}"
 
-    def _fs_path(self, path: str):
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def exists(self, path: str) -> bool:
-        p, fs = self._fs_path(path)
+        p, fs = self._fs(path)
         return bool(fs.exists(p))
 
-    def list_dirs(self, path: str, prefix: str) -> list[str]:
-        """Names after ``prefix`` of the sub-folders of ``path`` (metadata only)."""
-        p, fs = self._fs_path(path)
-        if not fs.exists(p):
-            return []
-        return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
-                      if st.isDirectory() and st.getPath().getName().startswith(prefix))
-
-    def bytes_under(self, path: str) -> int:
-        """Stored bytes under ``path`` (file-system metadata, no job)."""
-        p, fs = self._fs_path(path)
-        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
-    def list_batches(self, table: str) -> list[str]:
-        return self.list_dirs(self.table_path(table), f"{BATCH_COL}=")
-
-    # -- fact snapshots --------------------------------------------------
-    def snapshot_path(self, version: int) -> str:
-        return f"{self.root}/star/fact_snapshot/v={version:08d}"
-
-    def latest_snapshot(self) -> int | None:
-        """Newest snapshot version whose batch list was committed (written last)."""
-        versions = [int(v) for v in self.list_dirs(f"{self.root}/star/fact_snapshot", "v=")]
-        for v in sorted(versions, reverse=True):
-            if self.exists(f"{self.snapshot_path(v)}/batches/_SUCCESS"):
-                return v
-        return None
-
-    # -- star tables -----------------------------------------------------
-    def stored_schema(self, table: str) -> T.StructType:
-        fields = list(STAR_TABLES[table].fields)
-        fields.append(T.StructField(BATCH_COL, T.StringType()))
-        fields += [T.StructField(n, t) for n, t in TABLE_PARTITIONS.get(table, [])]
-        return T.StructType(fields)
-
+    def delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        fs.delete(p, True)
+
+    def list_dir(self, path: str) -> list[tuple[str, int]]:
+        """(name, modification time in ms) of what lies under ``path``."""
+        p, fs = self._fs(path)
+        return sorted((s.getPath().getName(), s.getModificationTime())
+                      for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    # -- commits -----------------------------------------------------------
+    def versions(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n, _ in self.list_dir(f"{self.root}/_commits")
+                      if re.fullmatch(r"\d+\.json", n))
+
+    def state(self, version: int | None = None) -> State:
+        """The newest state, or the one of a version that is still there."""
+        if version is None:
+            found = self.versions()
+            if not found:
+                return State()
+            version = found[-1]
+        p, fs = self._fs(f"{self.root}/_commits/{version:012d}.json")
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return State(**json.loads(text))
+
+    def try_commit(self, base: State, **changes) -> State | None:
+        """Publish ``base`` with changes as the next version; None if another
+        writer published that version first."""
+        new = replace(base, version=base.version + 1, **changes)
+        with _locks.setdefault(self.root, threading.Lock()):
+            target, fs = self._fs(f"{self.root}/_commits/{new.version:012d}.json")
+            if fs.exists(target):
+                return None
+            draft, _ = self._fs(f"{self.root}/_commits/.draft-{uuid.uuid4().hex}")
+            out = fs.create(draft, False)
+            try:
+                out.write(bytearray(json.dumps(asdict(new), sort_keys=True).encode()))
+            finally:
+                out.close()
+            if not fs.rename(draft, target):
+                fs.delete(draft, False)
+                return None
+        return new
+
+    # -- tables ------------------------------------------------------------
     def create_tables(self) -> None:
         """Create each star table's folder if absent (metadata only, no job).
 
@@ -100,46 +155,40 @@ class Warehouse:
         empty, fully typed table.
         """
         for table in STAR_TABLES:
-            p, fs = self._fs_path(self.table_path(table))
+            p, fs = self._fs(self.table_path(table))
             if not fs.exists(p):
                 fs.mkdirs(p)
 
-    def read(self, table: str, exclude_batch: str | None = None) -> DataFrame:
-        """All stored batches of a star table (including ``batch_id``)."""
-        schema = self.stored_schema(table)
-        path = self.table_path(table)
-        if not self.exists(path):
+    def read(self, table: str, folders: list[str], extra: str = "") -> DataFrame:
+        """Rows of the named folders below a table, with its partition columns."""
+        schema = T.StructType([*STAR_TABLES[table].fields,
+                               *T.StructType.fromDDL(f"{ATTEMPT} string{extra}").fields])
+        if table == FACT:
+            schema = T.StructType([f for f in schema.fields if f.name != "song_stream_id"])
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).option("basePath", path).parquet(path)
-        if exclude_batch is not None:
-            df = df.where(F.col(BATCH_COL) != F.lit(exclude_batch))
-        return df
-
-    def write_batch(self, table: str, batch_id: str, df: DataFrame) -> None:
-        """Replace this batch's folder of ``table`` with ``df``."""
-        self._write(df, table, batch_id)
-
-    def _write(self, df: DataFrame, table: str, batch_id: str) -> None:
-        parts = [n for n, _ in TABLE_PARTITIONS.get(table, [])]
-        cols = [f.name for f in STAR_TABLES[table].fields] + parts
-        writer = df.select(*cols).write.mode("overwrite")
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.parquet(self.batch_path(table, batch_id))
-
-    # -- models ----------------------------------------------------------
-    def write_model(self, name: str, df: DataFrame) -> None:
-        """Materialise a model as a table (full rebuild each run)."""
-        df.write.mode("overwrite").parquet(self.model_path(name))
+        path = self.table_path(table)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(
+            *[f"{path}/{f}" for f in folders])
+
+    def read_dim(self, table: str, state: State | None = None) -> DataFrame:
+        attempts = (state or self.state()).dims.get(table, [])
+        return self.read(table, [f"{ATTEMPT}={a}" for a in attempts]).drop(ATTEMPT)
+
+    def read_rejects(self, batch_id: str) -> DataFrame:
+        """The plays that the committed load of a batch refused."""
+        attempt = self.state().rejects.get(batch_id)
+        if attempt is None:
+            raise KeyError(f"batch {batch_id!r} has no rejected plays")
+        return self.spark.read.parquet(self.attempt_path("rejects", attempt))
+
+    # -- models ------------------------------------------------------------
+    def publish_models(self, attempts: dict[str, str]) -> None:
+        """Make readers see these attempts of the models, all at once."""
+        while True:
+            state = self.state()
+            if self.try_commit(state, models=state.models | attempts):
+                return
 
     def read_model(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.model_path(name))
-
-    def write_rejects(self, batch_id: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.rejects_path(batch_id))
-
-
-def _check_batch_id(batch_id: str) -> None:
-    bad = not batch_id or any(ch in batch_id for ch in "/=\\") or batch_id.startswith(".")
-    if bad:
-        raise ValueError(f"invalid batch id {batch_id!r}")
+        return self.spark.read.parquet(self.attempt_path(f"marts/{name}", self.state().models[name]))

@@ -1,12 +1,13 @@
 """Incremental play ingest (T1) and micro-batch star upsert.
 
-Landed JSON pages are read as a file stream; each micro-batch is
-flattened, cleaned and loaded with ``load_star`` under the batch id
-``stream-<epoch>``.  ``foreachBatch`` is at-least-once: a micro-batch
-that is re-run after a failure reuses its epoch id, and ``load_star``
-overwrites that batch's folders, so the warehouse ends up as if it ran
-once.  The stream checkpoint and the warehouse belong together: reset
-both or neither.
+Landed JSON pages are read as a file stream; each micro-batch is flattened,
+cleaned and loaded with ``load_star`` under the batch id
+``stream-<query id>-<epoch>``.  The query id belongs to the stream's
+checkpoint, so two streams into one warehouse, or one with a new checkpoint,
+never share batch ids.  ``foreachBatch`` is at-least-once: the warehouse
+remembers each stream's newest committed epoch, and a micro-batch that comes
+again is a no-op, whether it has been compacted or not.  A reset checkpoint is
+a new stream: it reads everything that is still landed, and adds it.
 
 Late data needs no rule here: fact cells are additive, so a late play
 simply lands in (and adds to) its old cell.
@@ -14,18 +15,18 @@ simply lands in (and adds to) its old cell.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cadence.operators.clean import clean_plays
-from cadence.operators.star import load_star
+from cadence.operators.star import STREAM_PREFIX, load_star
 from cadence.schemas import RAW_PAGE
 from cadence.sources.raw_json import explode_items, flatten_items
 from cadence.sources.warehouse import Warehouse
 
-STREAM_BATCH_PREFIX = "stream-"
-
-
 def staged_stream(spark: SparkSession, landing: str, multiline: bool = False,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(RAW_PAGE).option("multiLine", multiline)
@@ -35,16 +36,34 @@ def staged_stream(spark: SparkSession, landing: str, multiline: bool = False,
     return flatten_items(explode_items(reader.json(landing)))
 
 
-def upsert_batch(warehouse: Warehouse, fail_on_reject: bool = True):
-    """The foreachBatch function: clean and load one micro-batch."""
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns a checkpoint folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
+
+
+def upsert_batch(warehouse: Warehouse, name: Callable[[], str], fail_on_reject: bool = True):
+    """The foreachBatch function: clean and load one micro-batch of the stream ``name()``."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # An empty micro-batch is a no-op, not an error.  The probe runs on the
         # raw rows (stops at the first one); a batch whose rows are all cleaned
         # away still loads as an empty, harmless batch.
         if batch.isEmpty():
             return
-        load_star(warehouse, clean_plays(batch), batch_id=f"{STREAM_BATCH_PREFIX}{epoch_id}",
-                  fail_on_reject=fail_on_reject)
+        stream = name()
+        path = warehouse.scratch_path("plays")
+        try:
+            # Stored, as the load reads the plays more than once.
+            clean_plays(batch).write.parquet(path)
+            load_star(warehouse, warehouse.spark.read.parquet(path), f"{STREAM_PREFIX}{stream}-{epoch_id}",
+                      fail_on_reject=fail_on_reject, stream=(stream, epoch_id))
+        finally:
+            warehouse.delete(path)
     return handle
 
 
@@ -53,8 +72,8 @@ def start_incremental(spark: SparkSession, landing: str, warehouse: Warehouse, c
                       max_files_per_trigger: int | None = None,
                       multiline: bool = False) -> StreamingQuery:
     stream = staged_stream(spark, landing, multiline, max_files_per_trigger)
-    writer = (stream.writeStream.foreachBatch(upsert_batch(warehouse))
-              .option("checkpointLocation", checkpoint))
+    handle = upsert_batch(warehouse, lambda: stream_name(spark, checkpoint))
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -62,17 +81,29 @@ def start_incremental(spark: SparkSession, landing: str, warehouse: Warehouse, c
     return writer.start()
 
 
+class StreamNotFinished(RuntimeError):
+    """A time limit ran out before all landed files were read."""
+
+
 def run_incremental(spark: SparkSession, landing: str, warehouse: Warehouse, checkpoint: str,
                     max_files_per_trigger: int | None = None, multiline: bool = False,
-                    timeout_s: int = 3600) -> None:
-    """Process everything landed so far, then return."""
+                    limit_s: float | None = None) -> None:
+    """Process everything landed so far, then return.
+
+    It takes as long as it takes.  A limit that the caller sets raises when it
+    runs out; loaded micro-batches stay, and the next run goes on after them.
+    """
     warehouse.create_tables()
     q = start_incremental(spark, landing, warehouse, checkpoint, available_now=True,
                           max_files_per_trigger=max_files_per_trigger, multiline=multiline)
     try:
-        q.awaitTermination(timeout_s)
+        finished = q.awaitTermination() if limit_s is None else q.awaitTermination(limit_s)
     finally:
+        last = q.lastProgress
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise q.exception()
+    if finished is False:
+        raise StreamNotFinished(f"files under {landing} are unread after {limit_s} s (last finished "
+                                f"micro-batch: {last['batchId'] if last else 'none'}); run again to go on")

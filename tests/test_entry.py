@@ -103,7 +103,7 @@ def test_every_oracle_sql_runs_in_duckdb():
     con = duckdb.connect()
     for t in ("events", "part", "supplier", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    for name, sql in entry.oracle_sql().items():
+    for name, sql in oracle.oracle_sql().items():
         cols = [d[0] for d in con.execute(sql).description]
         assert all(re.fullmatch(r"[a-z_][a-z0-9_]*", c) for c in cols), (name, cols)
 

@@ -86,9 +86,10 @@ def test_recent_window_and_cap(spark):
     df = spark.createDataFrame(rows, STAGED)
     # as_of floored to the second: 2026-05-25T12:00:00 -> cutoff 2026-05-24T12:00:00 (exclusive)
     w = raw_json.recent_window(df, "2026-05-25 12:00:00.700", days=1)
-    assert w.count() == 25
+    # ... up to as_of itself: hours 0-12 of the day, and the evening before.
+    assert w.count() == 14
     cap = raw_json.latest_plays(clean_plays(w), n=5)
-    assert [r.hour_of_day for r in cap.collect()] == [23, 22, 21, 20, 19]
+    assert [r.hour_of_day for r in cap.collect()] == [12, 11, 10, 9, 8]
     per = raw_json.latest_plays(clean_plays(w), n=2, per="artist_natural_key")
     assert per.count() == 2
 

@@ -17,7 +17,7 @@ def brute(pairs, min_docs, min_chars=1):
         lines = (t or "").split("\n")
         kept = [x for x, k in zip(lines, keys(t)) if count.get(low(k), 0) < min_docs]
         out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
-    return sorted(out, key=lambda t: (t[0] is not None, t[0] or 0, t[1]))
+    return sorted(out, key=lambda t: (t[0] is not None, t[0] or 0, *t[1:]))
 
 
 def test_matches_sql_on_the_given_tables(spark):

@@ -35,13 +35,12 @@ def main() -> None:
     plays, _ = materialise(catalog.cleaned_feed(spark, sf_dir, "lineitem"), "plan-plays")
     cells = star.play_cells(plays)
     big_cells, _ = materialise(cells, "plan-cells")
+    stored_songs = star.dim_table(wh, "dim_song")
 
     plans = {
         "01_feed_and_clean": catalog.cleaned_feed(spark, sf_dir, "lineitem"),
         "02_play_cells": cells,
-        "03_dim_song_insert_semi_join": star.insert_if_absent(
-            star.song_candidates(big_cells), star.stored_dim(wh, "dim_song"),
-            ["song_natural_key"], existing_is_small=False),
+        "03_dim_song_new_rows": star.new_rows("dim_song", big_cells, plays, stored_songs, False),
         "04_fact_song_stream_single_batch": star.fact_song_stream(wh),
         "05_mart_top_artists": models.mart("mart_top_artists"),
         "06_mart_top_songs": models.mart("mart_top_songs"),
@@ -57,15 +56,18 @@ def main() -> None:
         "10_latest_per_artist": catalog.raw_json.latest_plays(
             catalog.event_plays(spark, sf_dir), n=5, per="artist_natural_key"),
     }
-    # Snapshot plus one small pending batch: only touched cells are re-aggregated.
+    # Compacted months plus one small pending batch: only its months are summed.
     from cadence.session import scratch_path
     from cadence.sources.warehouse import Warehouse
     snap_wh = Warehouse(spark, scratch_path(spark, "plan-snap"))
-    cut = F.lit("1999-01-01 00:00:00").cast("timestamp")
-    star.load_star(snap_wh, plays.where(F.col("played_at") < cut), "b1")
+    month = (F.year("played_at") == 1998) & (F.month("played_at") == 5)
+    star.load_star(snap_wh, plays.where(~month), "b1")
+    star.load_star(snap_wh, plays.where(month & (F.col("play_id") % 2 == 0)), "b2")
     star.compact(snap_wh)
-    star.load_star(snap_wh, plays.where(F.col("played_at") >= cut).limit(2000), "b2")
-    plans["11_fact_snapshot_plus_small_delta"] = star.fact_song_stream(snap_wh)
+    star.load_star(snap_wh, plays.where(month & (F.col("play_id") % 2 == 1)), "b3")
+    plans["11_fact_months_plus_pending_batch"] = star.fact_song_stream(snap_wh)
+    cells_of_may = star.fact_cells(snap_wh).where((F.col("year") == 1998) & (F.col("month") == 5))
+    plans["12_fact_one_month_partition_filters"] = cells_of_may
 
     for name, df in plans.items():
         df._jdf.queryExecution().toRdd().count()   # runs *this* plan, so AQE finalises it

@@ -157,7 +157,9 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: Da
         plays.where(~has_keys).write.parquet(warehouse.attempt_path("rejects", attempt))
     cells, plays = cells.where(has_keys), plays.where(has_keys)
     months = sorted(f"{r.year:04d}-{r.month:02d}" for r in cells.select("year", "month").distinct().collect())
-    fact_delta(cells).write.partitionBy("year", "month").parquet(warehouse.attempt_path(FACT, attempt))
+    # Balanced by month: a file or a few for each month, not one for each task and month.
+    fact_delta(cells).hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(
+        warehouse.attempt_path(FACT, attempt))
 
     based_on, added = None, {}
     while True:

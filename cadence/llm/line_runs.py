@@ -163,9 +163,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.xxhash64(F.when(F.col(id_col).isNull(), F.col(text_col)).otherwise(
         F.col(id_col).cast("string")))
     keyed = docs.withColumn("_k", key)
-    lines, lines_path = materialise(
-        line_hashes(keyed.select("_k", text_col), min_chars)
-        .withColumn("batch", F.pmod("k", F.lit(batches)).cast("int")), "line-hashes")
+    # Stored by batch, so that each batch reads its own folder only.
+    lines_path = scratch_path(spark, "line-hashes")
+    line_hashes(keyed.select("_k", text_col), min_chars) \
+        .withColumn("batch", F.pmod("k", F.lit(batches)).cast("int")) \
+        .write.partitionBy("batch").parquet(lines_path)
+    lines = spark.read.schema("k bigint, h1 bigint, h2 bigint, batch int").parquet(lines_path)
     runs = LineRuns(spark, scratch_path(spark, "line-runs"), fanout)
     for number in range(batches):
         runs.add(lines.where(F.col("batch") == number).select("h1", "h2"))

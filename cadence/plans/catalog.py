@@ -55,7 +55,10 @@ def loaded_warehouse(spark: SparkSession, sf_dir: str, feed: str = "events") ->
         if wh.versions():
             return wh
     wh = Warehouse(spark, scratch_path(spark, f"wh-{feed}"))
-    load_star(wh, cleaned_feed(spark, sf_dir, feed), batch_id="b1")
+    # The load reads the plays more than once: store the processed layer, as the job does.
+    plays, path = materialise(cleaned_feed(spark, sf_dir, feed), f"wh-{feed}-processed")
+    load_star(wh, plays, batch_id="b1")
+    delete_path(spark, path)
     _LOADED[key] = wh.root
     return wh
 
@@ -250,7 +253,9 @@ def q_rejected_plays(spark, sf_dir, feed="events"):
             else F.substring("song_natural_key", 2, 20).cast("bigint") % 5 == 0)
     staged = as_staged(plays.withColumn("song_natural_key", F.when(~lost, F.col("song_natural_key"))))
     wh = Warehouse(spark, scratch_path(spark, "wh-rejects"))
-    load_star(wh, clean_plays(staged), "b1", fail_on_reject=False)
+    plays, path = materialise(clean_plays(staged), "wh-rejects-processed")
+    load_star(wh, plays, "b1", fail_on_reject=False)
+    delete_path(spark, path)
     return wh.read_rejects("b1").select("play_id", "song_title", "artist_name", "song_duration_ms")
 
 

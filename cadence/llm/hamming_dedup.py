@@ -3,7 +3,8 @@
 A document's set holds its distinct shingles of ``SHINGLE`` words (A-Z
 lower-cased, words ``[^\\x20\\x09-\\x0D]+``); with fewer words the whole
 sequence is its one shingle, and without words the set is empty and linked
-with nothing.  Documents are linked if 100 * intersection >= 85 * union.
+with nothing.  Documents are linked if 100 * intersection >= percent * union
+(85 in operator 6).
 
 1. Equal sets form one class, named by its smallest id; all further work is on
    classes, so groups of copies cost one row each.
@@ -14,7 +15,8 @@ with nothing.  Documents are linked if 100 * intersection >= 85 * union.
    chunks and one less in the rest.  The allowed errors of a chunk are
    enumerated: one key for each choice of the symbols that may differ, made of
    the others.  Classes that share a key are candidates, so every pair within
-   the distance shares one.
+   the distance shares one.  ``fit`` chooses the distance, and the reach of the
+   next step, for the percentage.
 3. Classes that share a key and whose signatures are within ``REACH`` are near.
    A bucket (a key's classes) whose classes are all near its smallest one is
    connected by that star; other buckets are compared whole, in blocks of
@@ -25,8 +27,9 @@ with nothing.  Documents are linked if 100 * intersection >= 85 * union.
    compared.  The links found connect exactly what all links would.
 
 A pair at a similarity of 0.85 differs in 6 of 40 symbols on average; it
-shares no key with a chance of about 1e-5, and lies beyond REACH = 18 with a
-chance below 1e-6.  Hot keys (a passage that many documents share) are
+shares no key with a chance of 6e-6, and lies beyond REACH = 18 with a chance
+of 1.2e-6.  At 0.80 the distance is 16 and the reach 21, with chances of 5e-6
+and 1.1e-6.  Hot keys (a passage that many documents share) are
 counted before the shuffle and joined in joins that adaptive execution splits,
 and their buckets are cut into blocks, as are large clusters; a task holds two
 blocks at most.
@@ -39,7 +42,9 @@ set (as bytes) is the one that is confirmed.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +62,9 @@ CHUNKS = 8
 DISTANCE = 13
 REACH = 18
 BLOCK = 1024
+# Largest chances that a pair at the threshold shares no key, or lies beyond the reach.
+NO_KEY = 1e-5
+TOO_FAR = 2e-6
 
 
 def _odd_numbers(n: int, seed: int) -> np.ndarray:
@@ -128,14 +136,34 @@ def chunk_plan(symbols: int = SYMBOLS, chunks: int = CHUNKS, distance: int = DIS
     return keys
 
 
+def _more_than(allowed: int, symbols: int, percent: int) -> float:
+    """The chance that more than ``allowed`` of ``symbols`` differ at a similarity of ``percent``."""
+    p = 1 - percent / 100
+    return sum(comb(symbols, i) * p ** i * (1 - p) ** (symbols - i) for i in range(allowed + 1, symbols + 1))
+
+
+@lru_cache
+def fit(percent: int) -> tuple[int, int]:
+    """(distance, reach): the smallest that lose a pair at the threshold with NO_KEY and TOO_FAR at most."""
+    def no_key(distance: int) -> float:
+        errors, rest = divmod(distance, CHUNKS)
+        chance = 1.0
+        for c, size in enumerate(np.diff(np.linspace(0, SYMBOLS, CHUNKS + 1).astype(int)).tolist()):
+            chance *= _more_than(errors if c <= rest else errors - 1, size, percent)
+        return chance
+
+    return (next(d for d in range(SYMBOLS + 1) if no_key(d) <= NO_KEY),
+            next(r for r in range(SYMBOLS + 1) if _more_than(r, SYMBOLS, percent) <= TOO_FAR))
+
+
 _KEYS = chunk_plan()
 
 
-def keys_of(signatures: np.ndarray) -> np.ndarray:
+def keys_of(signatures: np.ndarray, plan: list[tuple[int, ...]] = _KEYS) -> np.ndarray:
     """The 64-bit keys of signatures (a row each), a column for every key of the plan."""
     wide = signatures.astype(np.uint64)
-    out = np.empty((len(wide), len(_KEYS)), np.uint64)
-    for k, members in enumerate(_KEYS):
+    out = np.empty((len(wide), len(plan)), np.uint64)
+    for k, members in enumerate(plan):
         x = np.full(len(wide), k + 1, np.uint64)
         for m in members:
             x = x * np.uint64(0x9E3779B97F4A7C15) + wide[:, m] + np.uint64(1)
@@ -166,12 +194,12 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 # -- candidates -----------------------------------------------------------------------
 
-def bucket_members(classes: DataFrame) -> DataFrame:
+def bucket_members(classes: DataFrame, plan: list[tuple[int, ...]] = _KEYS) -> DataFrame:
     """(key, rep, leader, size): the classes of every key that two classes share at least."""
     def run(batches):
         for batch in batches:
             sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, SYMBOLS)
-            keys = keys_of(sigs)
+            keys = keys_of(sigs, plan)
             at = np.repeat(np.arange(len(sigs)), keys.shape[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel(), pa.int64()), batch.column(0).take(pa.array(at))], ["key", "rep"])
@@ -345,15 +373,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, class_id, component_id, kept) for every row of ``docs``."""
     bound_batches(docs.sparkSession)
+    distance, reach = fit(percent)
     described, _ = materialise(describe(docs, id_col, text_col), "near-described")
     named = described.where(F.col("s1").isNotNull() & F.col(id_col).isNotNull())
     classes, _ = materialise(named.groupBy("s1", "s2").agg(
         F.min(id_col).alias("rep"), F.min("n_shingles").alias("n_shingles"), F.min("sig").alias("sig")),
         "near-classes")
-    members, _ = materialise(bucket_members(classes), "near-buckets")
-    near, _ = materialise(near_edges(members, classes, REACH, block), "near-edges")
+    members, _ = materialise(bucket_members(classes, chunk_plan(distance=distance)), "near-buckets")
+    near, _ = materialise(near_edges(members, classes, reach, block), "near-edges")
     clusters, _ = materialise(connected_components(near, "a", "b"), "near-clusters")
-    links, _ = materialise(linked_edges(clusters, classes, docs, id_col, text_col, percent, REACH, block),
+    links, _ = materialise(linked_edges(clusters, classes, docs, id_col, text_col, percent, reach, block),
                            "near-links")
     components, _ = materialise(connected_components(links, "a", "b"), "near-components")
 

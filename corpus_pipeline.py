@@ -7,7 +7,8 @@ last return the columns of documents.
 1. quality   documents that the quality classifier rejects go
 2. toxicity  documents that the toxicity grammar marks go
 3. lines     lines found in ten documents or more go from every document
-4. near      of each group of near duplicates the one with the smallest id stays
+4. near      of each group of near duplicates (sets of five words with a
+             similarity of 0.8 or more) the one with the smallest id stays
 5. packing   what is left is packed into sequences of 2048 tokens
 
 Rows whose doc_id is null are scored and cleaned like others, and stay in the
@@ -27,6 +28,7 @@ from cadence.session import delete_path, materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 REST = COLUMNS[2:]
+NEAR_PERCENT = 80
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = only(docs, *COLUMNS)
-    kept = hamming_dedup.near_duplicates(docs).where("kept").select("doc_id")
+    kept = hamming_dedup.near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select("doc_id")
     with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return with_id.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
 

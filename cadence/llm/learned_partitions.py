@@ -19,7 +19,9 @@ recall.
 Vectors that are null, empty or zero, or hold null or non-finite components, take
 no part, nor do null ids, and vectors of another length than most of the sample
 are searched whole, as a partition of their own.  Ties go to the smaller id; rows
-that repeat the query's id are its own.
+that repeat the query's id are its own.  Equal rows of an id count once.  An id
+with several vectors takes one place at most in a query's answer, and a query
+with several has one answer: the best score over all of them counts.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.vectors import first_by_hash, search, stack, top_rows, valid_vectors
+from cadence.llm.vectors import first_by_hash, search, stack, valid_vectors
 from cadence.session import materialise
 
 K = 5
@@ -188,15 +190,22 @@ def _solve(k: int):
     def solve(ids, v, query_ids, q):
         v_norm, q_norm = np.sqrt((v * v).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
         rough = (q / q_norm[:, None]) @ (v / v_norm[:, None]).T
+        names, name = np.unique(ids, return_inverse=True)
         for n, query_id in enumerate(query_ids):
             others = np.flatnonzero(ids != query_id)
             near = rough[n, others]
-            if len(others) > k:
-                near_k = np.partition(near, len(near) - k)[len(near) - k]
+            best_of = near
+            if len(names) < len(ids):
+                best_of = np.full(len(names), -np.inf)
+                np.maximum.at(best_of, name[others], near)
+            if len(best_of) > k:
+                near_k = np.partition(best_of, len(best_of) - k)[len(best_of) - k]
                 others = others[near >= near_k - SLACK]
             # One row at a time in one order, so equal vectors get equal scores.
             exact = (v[others] * q[n]).sum(axis=1) / (v_norm[others] * q_norm[n])
-            best = top_rows(exact, ids[others], k)
+            best = np.lexsort((ids[others], -exact))
+            # The first row of each id.
+            best = best[np.sort(np.unique(ids[others][best], return_index=True)[1])][:k]
             yield others[best], exact[best]
 
     return solve
@@ -206,15 +215,16 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = K, id_col: str = "
             vec_col: str = "embedding", sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score) of every row for which ``is_query`` (over vec_id) holds."""
     vectors, _ = materialise(
-        valid_vectors(embeddings, id_col, vec_col, lambda v: v if v.any() else None), "ann-vectors")
+        valid_vectors(embeddings, id_col, vec_col, lambda v: v if v.any() else None).distinct(), "ann-vectors")
     picked = [np.frombuffer(r.v, "<f8") for r in first_by_hash(vectors, sample).collect()]
     dims, counts = np.unique([len(v) for v in picked], return_counts=True)
     dim = int(dims[counts.argmax()]) if picked else 1
     router = train_router(np.array([v for v in picked if len(v) == dim]).reshape(-1, dim), k, target)
     data, _ = materialise(assign(vectors, router, False), "ann-index")
     routed, _ = materialise(assign(vectors.where(is_query), router, True)
-                            .withColumnsRenamed({"vec_id": "query_id", "v": "q"}), "ann-routes")
-    return search(data, routed, k, _solve(k), "double")
+                            .withColumnsRenamed({"vec_id": "query_id", "v": "q"})
+                            .withColumn("copies", F.lit(1).cast("bigint")), "ann-routes")
+    return search(data, routed, k, _solve(k), "double", once=True)
 
 
 def nearest_query(embeddings: DataFrame) -> DataFrame:

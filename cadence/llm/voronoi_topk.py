@@ -15,7 +15,9 @@ ruled out; the result is exact all the same.  Vectors that are null or empty, or
 hold null or non-finite components, take no part, nor do null ids.  Vectors of
 another length than the query's are no candidates.  Ties go to the smaller id;
 rows that repeat the query's id are its own.  Repeated rows of another id
-are candidates each.  Scores must fit 64 bits.
+are candidates each, and of repeated rows of a query's id each ranks them (as
+in the SQL, so m equal rows of a query fill m places with each candidate); equal
+ones are solved once.  Scores must fit 64 bits.
 """
 
 from __future__ import annotations
@@ -102,7 +104,11 @@ def group_by_pivot(vectors: DataFrame, cells: Cells) -> DataFrame:
 
 
 def route(queries: DataFrame, cells: Cells, summaries: dict[str, tuple[int, float]], k: int) -> DataFrame:
-    """(g, query_id, q): one row for each cell that may hold one of a query's k best."""
+    """(g, query_id, q, copies): one row for each cell that may hold one of a query's k best.
+
+    ``queries`` has (vec_id, dim, v, copies, own), where ``own`` counts the rows of
+    the query's id, which are in the cells' numbers but are no candidates.
+    """
     def run(batches):
         for batch in batches:
             at_all, groups = [], []
@@ -119,8 +125,9 @@ def route(queries: DataFrame, cells: Cells, summaries: dict[str, tuple[int, floa
                 reach = np.where(np.isfinite(reach), reach, np.inf)
                 low, high = middle - reach - slack, middle + reach + slack
                 order = np.argsort(-low, axis=1)
-                # The query itself may be among the first k + 1.
-                enough = np.cumsum(counts[order], axis=1) >= k + 1
+                # All rows of the query's id may be among the first.
+                own = batch.column("own").to_numpy()[at]
+                enough = np.cumsum(counts[order], axis=1) >= k + own[:, None]
                 first = np.where(enough.any(axis=1), enough.argmax(axis=1), low.shape[1] - 1)
                 bound = np.where(enough.any(axis=1), low[np.arange(len(q)), order[np.arange(len(q)), first]], -np.inf)
                 rows, picked = np.nonzero(high >= bound[:, None])
@@ -129,10 +136,12 @@ def route(queries: DataFrame, cells: Cells, summaries: dict[str, tuple[int, floa
             at_all = pa.array(at_all, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(groups, pa.string()), batch.column("vec_id").take(at_all),
-                 batch.column("v").take(at_all)], ["g", "query_id", "q"])
+                 batch.column("v").take(at_all), batch.column("copies").take(at_all)],
+                ["g", "query_id", "q", "copies"])
 
     id_type = queries.schema["vec_id"].dataType.simpleString()
-    return queries.select("vec_id", "dim", "v").mapInArrow(run, f"g string, query_id {id_type}, q binary")
+    return queries.select("vec_id", "dim", "v", "copies", "own").mapInArrow(
+        run, f"g string, query_id {id_type}, q binary, copies bigint")
 
 
 def exact_topk(embeddings: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
@@ -146,7 +155,9 @@ def exact_topk(embeddings: DataFrame, is_query: Column, k: int = K, id_col: str
     # One row for each pivot (and each vector length without one).
     summaries = {r.g: (r.n, r.radius) for r in grouped.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()}
-    routed, _ = materialise(route(grouped.where(is_query), cells, summaries, k), "topk-routes")
+    asked = grouped.where(is_query).groupBy("vec_id", "dim", "v").agg(F.count(F.lit(1)).alias("copies"))
+    own = asked.groupBy("vec_id", "dim").agg(F.sum("copies").alias("own"))
+    routed, _ = materialise(route(asked.join(own, ["vec_id", "dim"]), cells, summaries, k), "topk-routes")
     return search(grouped.select("g", "vec_id", "v"), routed, k, _solve(k), "bigint")
 
 

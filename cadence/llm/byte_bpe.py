@@ -2,7 +2,8 @@
 
 The tiktoken library does the merging, from a local rank file whose path is
 a parameter.  Every match of the split pattern is encoded separately and no
-special tokens are known, so their strings in a text are ordinary text.
+special tokens are known, so their strings in a text are ordinary text;
+``encode_with_added`` reads a vocabulary file's added tokens as their ids.
 
 Long texts are first cut at safe boundaries: before a blank or line end that
 follows something else than white space.  No match of the pattern reaches
@@ -90,6 +91,32 @@ def encode(enc, text: str) -> np.ndarray:
     return np.concatenate([np.array(enc.encode_ordinary(p), "<u4") for p in safe_parts(text)])
 
 
+@lru_cache(maxsize=4)
+def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """A pattern of a vocabulary file's added tokens (the longest first), and their ids."""
+    if not path.endswith(".json"):
+        return None, {}
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens", [])
+    if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path}: added tokens that take blanks or whole words only")
+    ids = {t["content"]: t["id"] for t in tokens}
+    longest_first = sorted(ids, key=len, reverse=True)
+    return re.compile("|".join(map(re.escape, longest_first))) if ids else None, ids
+
+
+def encode_with_added(enc, path: str, text: str) -> np.ndarray:
+    """The ids of a whole text, in which an added token of the vocabulary file is one id."""
+    found, ids = added_tokens(path)
+    if found is None or not found.search(text):
+        return encode(enc, text)
+    parts, start = [], 0
+    for m in found.finditer(text):
+        parts += [encode(enc, text[start:m.start()]), np.array([ids[m.group()]], "<u4")]
+        start = m.end()
+    return np.concatenate([*parts, encode(enc, text[start:])])
+
+
 def decode(enc, ids) -> bytes:
     """The raw bytes of a sequence of ids."""
     return enc.decode_bytes([int(i) for i in ids])

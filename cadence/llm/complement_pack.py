@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.byte_bpe import encode, encoding
+from cadence.llm.byte_bpe import encode_with_added, encoding
 from cadence.llm.text import as_bytes, bound_batches, only, with_fields
 from cadence.session import materialise
 
@@ -59,7 +59,7 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, capacity: int = CAPAC
         for batch in batches:
             at, numbers, starts, lengths, sums, parts = [], [], [], [], [], []
             for i, raw in enumerate(as_bytes(batch.column(1))):
-                ids = np.append(encode(enc, raw.decode()), np.uint32(terminator)).astype("<u4")
+                ids = np.append(encode_with_added(enc, path, raw.decode()), np.uint32(terminator)).astype("<u4")
                 for number, (start, length) in enumerate(piece_bounds(len(ids), capacity)):
                     at.append(i)
                     numbers.append(number)

@@ -13,4 +13,7 @@ registered queries and their SQL, and every other module one operator:
 8  byte_bpe          byte-level BPE encoding and decoding
 9  toxic_grammar     toxicity by a weighted finite-state pattern grammar
 10 learned_partitions  approximate nearest neighbours by learned partitions
+11 spelling_variants  spelling variants by dynamic programming over sorted lists
+12 chunk_collocations  phrase collocations by prefix-free parsing
+13 rank_bpe          BPE encoding and decoding by contiguous rank arrays
 """

@@ -35,7 +35,7 @@ LONG_CHARS = 1 << 16
 SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level BPE vocabulary files:
     bytes that print stand for themselves, the others for code points from 256 on."""
     prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -53,7 +53,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"] for t in spec.get("added_tokens", [])}
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         return {bytes(alphabet[c] for c in token): i
                 for token, i in spec["model"]["vocab"].items() if token not in special}
     with open(path, "rb") as f:
@@ -69,8 +69,9 @@ def encoding(path: str, pattern: str):
                              special_tokens={})
 
 
-def safe_parts(text: str, size: int = LONG_CHARS) -> list[str]:
-    """Cut a text at safe boundaries into parts of ``size`` characters or slightly more."""
+def safe_parts(text: str, size: int | None = None) -> list[str]:
+    """Cut a text at safe boundaries into parts of ``size`` characters (LONG_CHARS) or slightly more."""
+    size = size or LONG_CHARS
     if len(text) <= size:
         return [text]
     parts, start = [], 0

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadence.llm import (byte_bpe, chat_format, complement_pack, hamming_dedup, learned_partitions,
-                         license_rules, line_runs, rank_bpe, subword_quality, toxic_grammar, voronoi_topk)
+                         license_rules, line_runs, rank_bpe, spelling_variants, subword_quality,
+                         toxic_grammar, voronoi_topk)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +74,10 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_partitions.nearest_query(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), pattern())
 
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_toxicity": op9_toxicity,
         "op10_learned_partitions": op10_learned_partitions,
+        "op11_spelling_variants": op11_spelling_variants,
         "op13_rank_bpe": op13_rank_bpe,
     }
 
@@ -98,4 +104,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": line_runs.ORACLE_SQL,
         "op2_chat_format": chat_format.ORACLE_SQL,
         "op7_exact_topk": voronoi_topk.ORACLE_SQL,
+        "op11_spelling_variants": spelling_variants.ORACLE_SQL,
     }

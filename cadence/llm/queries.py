@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import (byte_bpe, chat_format, complement_pack, hamming_dedup, learned_partitions,
+from cadence.llm import (byte_bpe, chat_format, chunk_collocations, complement_pack, hamming_dedup, learned_partitions,
                          license_rules, line_runs, rank_bpe, spelling_variants, subword_quality,
                          toxic_grammar, voronoi_topk)
 
@@ -78,6 +78,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), pattern())
 
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_learned_partitions": op10_learned_partitions,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_collocations": op12_collocations,
         "op13_rank_bpe": op13_rank_bpe,
     }
 
@@ -105,4 +110,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_format": chat_format.ORACLE_SQL,
         "op7_exact_topk": voronoi_topk.ORACLE_SQL,
         "op11_spelling_variants": spelling_variants.ORACLE_SQL,
+        "op12_collocations": chunk_collocations.ORACLE_SQL,
     }

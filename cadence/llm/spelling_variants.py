@@ -121,7 +121,7 @@ def _dealt(rows: DataFrame) -> DataFrame:
         "size", "g.head", "g.tail", "g.lcp_below", "g.rest", "word", "n")
 
 
-def near_words(words: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
+def near_words(words: DataFrame, large_group: int = LARGE_GROUP, walk_words: int = WALK_WORDS) -> DataFrame:
     """(word, n, near, near_n): all ordered pairs of words (word, n) exactly one edit apart."""
     found = []
     rows = first_groups(words)
@@ -138,7 +138,7 @@ def near_words(words: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
         rows = _dealt(stored.join(large, GROUP, "left_semi"))
     out = None
     for part, _ in found:
-        solved = _walked(part)
+        solved = _walked(part, walk_words)
         out = solved if out is None else out.unionByName(solved)
     links, _ = materialise(out, "spelling-links")
     for _, path in found:
@@ -146,14 +146,14 @@ def near_words(words: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
     return links
 
 
-def _walked(groups: DataFrame) -> DataFrame:
+def _walked(groups: DataFrame, walk_words: int) -> DataFrame:
     """The near pairs of every group; groups arrive whole and sorted, many at a time."""
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
             rows = list(zip(*[c.to_pylist() for c in batch.columns]))
             held += rows
-            if len(held) >= WALK_WORDS:
+            if len(held) >= walk_words:
                 # The last group may go on in the next batch.
                 last = held[-1][:4]
                 cut = next(i for i in range(len(held), 0, -1) if i == 0 or held[i - 1][:4] != last) \

@@ -1,0 +1,126 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cadence.llm import chunk_collocations as C
+from cadence.llm import queries
+from tests.llm.helpers import DOCS, SF, awkward, empty, oracle, rows, same, with_clashes
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def brute(found, least, top):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in found:
+        lang = "und" if lang is None else lang
+        low = "".join(c.lower() if c.isascii() else c for c in text or "")
+        for piece in re.split("[.,;:!?\n-\r]", low):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for k in range(1, 6):
+                f[lang].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        many = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        inside = {p[i:j] for p, a in many.items() for i in range(len(p)) for j in range(i + 1, len(p) + 1)
+                  if j - i < len(p) and counts[p[i:j]] <= a}
+        scored = []
+        for p, a in many.items():
+            if p not in inside:
+                score, k = min((1000 * a * n[lang] // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+def frame(spark, found):
+    return spark.createDataFrame([(i, t, lang, None, None) for i, (lang, t) in enumerate(found)], DOCS)
+
+
+def test_matches_sql_on_the_given_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sql = C.ORACLE_SQL.replace("HAVING count(*) >= 100", "HAVING count(*) >= 5")
+    assert sql != C.ORACLE_SQL
+    same(C.collocations(docs, 5), oracle(sql))
+    same(queries.op12_collocations(spark, SF), oracle(C.ORACLE_SQL))
+
+
+@pytest.mark.parametrize("period", [1, 2, 16])
+def test_matches_brute_force_whatever_the_chunks(spark, period):
+    rng = random.Random(period)
+    letters = ["a", "b", "ab", "É", "Ab", "x\x00", "x\x01", "x\x01\x00\x02", "\x1c", "\x00", "q"]
+    gaps = [" "] * 12 + ["  ", "\t", " \t", ", ", ".", "\n", " \n ", "\r", "\x0b!"]
+    passage = " ".join(rng.choice(letters) for _ in range(30))
+    found = []
+    for i in range(60):
+        text = "".join(rng.choice(letters) + rng.choice(gaps) for _ in range(rng.randrange(40)))
+        if i % 4 == 0:
+            text += passage + " tail"
+        found.append((rng.choice(["en", "en", "de", None, "und"]), text))
+    found += [("en", None), ("xx", ""), ("en", " \t "), ("xx", "alone")]
+    assert rows(C.collocations(with_clashes(frame(spark, found)), 3, 25, period, 50), *COLUMNS) == brute(found, 3, 25)
+
+
+def test_counts_beyond_64_bit_products(spark):
+    counts = spark.createDataFrame([("x", b"a", 1, 4_000_000_000_000), ("x", b"b", 1, 3_000_000_000_000),
+                                    ("x", b"a\x00b", 2, 2_000_000_000_000)],
+                                   "lang string, phrase binary, size int, f bigint")
+    totals = spark.createDataFrame([("x", 90_000_000_000_000_000)], "lang string, n bigint")
+    r = C.scored(counts, totals).first()
+    assert r.score == 1000 * 2_000_000_000_000 * 90_000_000_000_000_000 // (4_000_000_000_000 * 3_000_000_000_000)
+
+
+def test_chunks_are_prefix_free_and_assign_each_word_once():
+    rng = random.Random(4)
+    text = C.normalised(" ".join(rng.choice("abcd") for _ in range(3000)).encode())
+    words = C.Words(text + b"\n")
+    first, stop = C.chunk_spans(words, 4, 3)
+    chunks = [words.text(a, b) for a, b in zip(first, stop)]
+    assert len(set(chunks)) < len(chunks) and stop[-1] == 3000
+    cut_at_triggers = sorted(set(chunks[:-1]))
+    assert not any(b.startswith(a + C.JOINT) for a, b in zip(cut_at_triggers, cut_at_triggers[1:]))
+    own = C.own_words(C.Words(b"\n".join(chunks) + b"\n"), 4, 3)
+    assert own.sum() == 3000 and np.array_equal(np.diff(first), stop[:-1] - 4 - first[:-1])
+
+
+def test_equal_passages_fall_into_equal_chunks(spark):
+    rng = random.Random(5)
+    passage = " ".join(f"w{rng.randrange(999)}" for _ in range(400))
+    found = [("en", f"{' '.join('abcde'[:i % 5])} {passage}") for i in range(40)]
+    dictionary = C.parse(frame(spark, found))
+    assert dictionary.agg(F.max("n")).first()[0] == 40 and dictionary.count() < 40 * 6
+
+
+def test_runs_over_partitions_add_up(spark):
+    found = spark.createDataFrame([("x", f"a\x00b\x00{i:04d}".encode(), 2) for i in range(500)],
+                                  "lang string, window binary, n bigint")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = rows(C.phrase_counts(found, 100), "phrase", "f")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert [(bytes(p), f) for p, f in counts] == [(b"a\x00b", 1000)]
+
+
+def test_the_top_is_cut_by_rank_only(spark):
+    found = [("en", ". ".join(f"p{i} q{i}" for i in range(30)))] * 3
+    got = rows(C.collocations(frame(spark, found), 3, 7), *COLUMNS)
+    assert got == brute(found, 3, 7) and [r[1] for r in got] == list(range(1, 8))
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    docs = awkward(spark)
+    want = brute([(r.lang, r.text) for r in docs.collect()], 3, 50)
+    assert rows(C.collocations(docs, 3, 50), *COLUMNS) == want
+    assert C.collocations(empty(spark)).count() == 0
+
+
+def test_texts_come_back_from_their_normal_form():
+    for word in ["a", "\x00", "\x01", "\x01\x00", "\x00\x01", "\x01\x02", "\x00\x02\x01\x01é"]:
+        assert C.plain(C.normalised(f"  {word} \t {word}".encode())) == f"{word} {word}"

@@ -108,13 +108,12 @@ def test_the_walk_finds_all_pairs_of_sorted_lists(seed):
         assert words[a][:shared] == words[b][:shared] and words[a][shared:shared + 1] != words[b][shared:shared + 1]
 
 
-def test_groups_that_span_batches_stay_whole(spark, monkeypatch):
-    monkeypatch.setattr(S, "WALK_WORDS", 3)
+def test_groups_that_span_batches_stay_whole(spark):
     words = [f"abcd{a}{b}" for a in "efgh" for b in "efgh"]
     df = spark.createDataFrame([(w, 1) for w in words], "word string, n bigint")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     try:
-        found = S.near_words(df).count()
+        found = S.near_words(df, walk_words=3).count()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found == sum(one_edit(a, b) for a in words for b in words)

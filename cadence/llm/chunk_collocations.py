@@ -9,11 +9,13 @@
 2. Words are counted in the dictionary: a chunk's words count as often as the chunk
    occurs, but a trigger that the next chunk begins with counts there only.
 3. Phrases: from each such word on, a window of up to ``LONGEST`` words goes as far as
-   words reach that occur often enough, by a filter of fixed size that never loses
-   one.  Each window stands for all phrases that it begins with, once for all of
+   each two neighbours occur often enough together, by filters of fixed size over
+   summed hashes that never lose a frequent one: words first, then pairs of frequent
+   words.  Each window stands for all phrases that it begins with, once for all of
    them.  Windows are summed in the tasks and sorted by range; runs of equal
-   beginnings in the sorted windows give the phrases' counts.  A run inside a
-   partition is whole, runs at its ends are summed over partitions.
+   beginnings in the sorted windows give the phrases' counts, of the texts and not of
+   hashes.  A run inside a partition is whole, runs at its ends are summed over
+   partitions.
 4. Every cut of every candidate looks up its two parts by joins; the lowest score
    counts, and what stands in an equally frequent longer candidate goes.
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.text import SpanHashes, as_bytes, bound_batches, buffers, mix, only
+from cadence.llm.text import BUFFER_BYTES, SpanHashes, as_bytes, bound_batches, buffers, mix, only
 from cadence.session import delete_path, materialise
 
 LONGEST = 5
@@ -44,7 +46,8 @@ LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
 HELD_ROWS = 300_000
-# The filter of frequent words: a bit for each hash, 8 MB whatever there is to hold.
+HELD_PAIRS = 2_000_000
+# Filters: a bit for each hash, 8 MB whatever there is to hold.
 FILTER_BITS = 26
 BLOCK_BITS = 15
 # Words are joined by a byte that sorts before all others; \x00 and \x01 inside words
@@ -140,8 +143,8 @@ def own_words(words: Words, overlap: int = OVERLAP, period: int = PERIOD) -> np.
 
 
 def _rows(held: Counter, names: list[str]):
-    """Batches of (lang, bytes, n), in order, so that they compress well."""
-    items = sorted(held.items())
+    """Batches of (lang, bytes, n)."""
+    items = list(held.items())
     for i in range(0, len(items), 50_000):
         part = items[i:i + 50_000]
         yield pa.RecordBatch.from_arrays(
@@ -178,35 +181,89 @@ def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", perio
     return chunks.groupBy("lang", "chunk").agg(F.sum("n").alias("n"))
 
 
-def _chunk_buffers(batch: pa.RecordBatch):
-    """(words, lang of each word, weight of each word, langs' names) of runs of chunks."""
-    names, lang = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
-    weight = batch.column(2).to_numpy()
-    chunks = batch.column(1).to_pylist()
-    for first, last, data, starts, ends in buffers(chunks):
-        # No chunk holds a line end, so it may stand between them.
-        buffer = data.copy()
-        buffer[ends] = 10
-        words = Words(buffer.tobytes())
-        of = np.searchsorted(starts, words.starts, side="right") - 1 + first
-        yield words, lang[of], weight[of], names
+class Chunks:
+    """Buffers of the dictionary's chunks, about a megabyte each, however small the batches are.
+
+    ``langs`` are the names met so far; ``lang_hash`` is a hash of each.
+    """
+
+    def __init__(self):
+        self.langs: list[str] = []
+        self.code: dict[str, int] = {}
+        self.lang_hash = np.empty(0, np.uint64)
+
+    def _codes(self, column: pa.Array) -> np.ndarray:
+        coded = column.dictionary_encode()
+        for name in coded.dictionary.to_pylist():
+            if name not in self.code:
+                self.code[name] = len(self.langs)
+                self.langs.append(name)
+                self.lang_hash = np.append(self.lang_hash, np.uint64(_lang_hash(name)))
+        place = np.array([self.code[name] for name in coded.dictionary.to_pylist()], np.int64)
+        return place[coded.indices.to_numpy()]
+
+    def buffers(self, batches):
+        """(words, lang of each word, weight of each word) of runs of chunks."""
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append((self._codes(batch.column(0)), batch.column(1), batch.column(2).to_numpy()))
+                size += batch.column(1).nbytes
+            if size >= BUFFER_BYTES:
+                yield from self._of(held)
+                held, size = [], 0
+        if held:
+            yield from self._of(held)
+
+    def _of(self, held: list):
+        lang, weight = (np.concatenate([h[i] for h in held]) for i in (0, 2))
+        chunks = [c for h in held for c in h[1].to_pylist()]
+        for first, last, data, starts, ends in buffers(chunks):
+            # No chunk holds a line end, so it may stand between them.
+            buffer = data.copy()
+            buffer[ends] = 10
+            words = Words(buffer.tobytes())
+            of = np.searchsorted(starts, words.starts, side="right") - 1 + first
+            yield words, lang[of], weight[of]
+
+
+def distinct_words(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(places of distinct words, which of them each word is) by keys that are hashes; None
+    where two words have one key."""
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    data, sizes, like = np.frombuffer(words.raw, np.uint8), words.ends - words.starts, first[which]
+    if not np.array_equal(sizes, sizes[like]):
+        return None
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    if not np.array_equal(data[np.repeat(words.starts, sizes) + inside], data[np.repeat(words.starts[like], sizes) + inside]):
+        return None
+    return first, which
+
+
+def _sums(which: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    np.add.at(out, which, values)
+    return out
 
 
 def dictionary_words(dictionary: DataFrame, period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
     """(lang, word, n): the occurrences of every word; the empty word stands for all of a lang."""
     def run(batches):
         held: Counter = Counter()
-        for batch in batches:
-            for words, lang, weight, names in _chunk_buffers(batch):
-                own = np.flatnonzero(own_words(words, period=period))
-                raw = words.raw
-                for x, y, g, n in zip(words.starts[own].tolist(), words.ends[own].tolist(), lang[own].tolist(),
-                                      weight[own].tolist()):
-                    held[names[g], raw[x:y]] += n
-                for g, n in enumerate(_sums(lang[own], weight[own], len(names))):
-                    held[names[g], b""] += n
-                if len(held) > held_rows:
-                    yield from _rows(held, columns)
+        chunks = Chunks()
+        for words, lang, weight in chunks.buffers(batches):
+            names, raw = chunks.langs, words.raw
+            weight = np.where(own_words(words, period=period), weight, 0)
+            for g, n in enumerate(_sums(lang, weight, len(names)).tolist()):
+                held[names[g], b""] += n
+            found = distinct_words(words, word_keys(words, chunks.lang_hash[lang]))
+            # Each word by itself where a hash stands for two.
+            first, which = found or (np.arange(len(lang)), np.arange(len(lang)))
+            for x, y, g, n in zip(words.starts[first].tolist(), words.ends[first].tolist(), lang[first].tolist(),
+                                  _sums(which, weight, len(first)).tolist()):
+                held[names[g], raw[x:y]] += n
+            if len(held) > held_rows:
+                yield from _rows(held, columns)
         yield from _rows(held, columns)
 
     columns = ["lang", "word", "n"]
@@ -214,68 +271,114 @@ def dictionary_words(dictionary: DataFrame, period: int = PERIOD, held_rows: int
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _sums(group: np.ndarray, values: np.ndarray, n: int) -> list[int]:
-    out = np.zeros(n, np.int64)
-    np.add.at(out, group, values)
-    return out.tolist()
-
-
 # -- phrases -----------------------------------------------------------------------
 
-def _places(hashes: np.ndarray, langs: np.ndarray) -> np.ndarray:
-    """A place of the filter for each word of a lang (the lang by a hash of its name)."""
-    return (mix(hashes + langs) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
 def _lang_hash(name: str) -> int:
     raw = np.frombuffer(name.encode() + b"\n", np.uint8)
     return int(SpanHashes(raw).spans(np.array([0]), np.array([len(raw)]))[0])
 
 
-def frequent_filter(words: DataFrame) -> np.ndarray:
-    """A bit for each hash, set for all given words (lang, word); its size is fixed."""
+def word_keys(words: Words, lang_hash: np.ndarray) -> np.ndarray:
+    """A hash of each word and its lang."""
+    return mix(words.hashes + lang_hash)
+
+
+def pair_keys(keys: np.ndarray) -> np.ndarray:
+    """A hash of each word and the one after it."""
+    return mix(keys[:-1] * np.uint64(3) + keys[1:])
+
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _holds(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = _places(keys)
+    return bits[place >> 3] >> (place & 7) & 1 == 1
+
+
+def _filter(placed: DataFrame) -> np.ndarray:
+    """A bit for each place, set for all given ones; the size is fixed."""
+    low = F.lit((1 << BLOCK_BITS) - 1)
+    blocks = placed.select(F.shiftright("place", BLOCK_BITS).alias("block"), F.col("place").bitwiseAND(low).alias("bit")) \
+        .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = np.zeros((1 << FILTER_BITS - BLOCK_BITS, 1 << BLOCK_BITS - 3), np.uint8)
+    for r in blocks:
+        out[r.block] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def frequent_words(words: DataFrame) -> np.ndarray:
+    """The filter of the given words (lang, word)."""
     def run(batches):
         for batch in batches:
             joined = Words(b"\n".join(batch.column(1).to_pylist()) + b"\n")
             langs = batch.column(0).to_pylist()
             named = {name: _lang_hash(name) for name in set(langs)}
-            at = _places(joined.hashes, np.array([named[x] for x in langs], np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> BLOCK_BITS), pa.array(at & (1 << BLOCK_BITS) - 1)],
-                                             ["block", "bit"])
+            keys = word_keys(joined, np.array([named[x] for x in langs], np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(_places(keys))], ["place"])
 
-    placed = words.where(F.length("word") > 0).select("lang", "word").mapInArrow(run, "block bigint, bit bigint")
-    blocks = placed.groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
-    out = np.zeros((1 << FILTER_BITS - BLOCK_BITS, 1 << BLOCK_BITS - 3), np.uint8)
-    for r in blocks:
-        out[r.block] = np.frombuffer(r.bits, np.uint8)
-    return out.reshape(-1)
+    return _filter(words.where(F.length("word") > 0).select("lang", "word").mapInArrow(run, "place bigint"))
+
+
+def _links(words: Words, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each word and the one after it in its chunk are known."""
+    inside = np.arange(len(keys)) + 1 < words.stop
+    return inside & known & np.append(known[1:], False)
+
+
+def frequent_pairs(dictionary: DataFrame, known_words: np.ndarray, least: int, period: int = PERIOD) -> np.ndarray:
+    """The filter of the pairs of known words that occur ``least`` times, or share a hash with such."""
+    shared = dictionary.sparkSession.sparkContext.broadcast(known_words)
 
+    def summed(held: list):
+        keys, n = (np.concatenate(x) for x in zip(*held))
+        distinct, which = np.unique(keys, return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(_sums(which, n, len(distinct)))],
+                                         ["h", "n"])
 
-def windows(dictionary: DataFrame, frequent: np.ndarray, longest: int = LONGEST, period: int = PERIOD,
-            held_rows: int = HELD_ROWS) -> DataFrame:
+    def run(batches):
+        chunks, held, size = Chunks(), [], 0
+        for words, lang, weight in chunks.buffers(batches):
+            keys = word_keys(words, chunks.lang_hash[lang])
+            at = np.flatnonzero(own_words(words, period=period) & _links(words, keys, _holds(shared.value, keys)))
+            if len(at):
+                held.append((pair_keys(keys)[at], weight[at]))
+                size += len(at)
+            if size > HELD_PAIRS:
+                yield from summed(held)
+                held, size = [], 0
+        if held:
+            yield from summed(held)
+
+    pairs = dictionary.select("lang", "chunk", "n").mapInArrow(run, "h bigint, n bigint")
+    many = pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return _filter(many.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("place")))
+
+
+def windows(dictionary: DataFrame, known_words: np.ndarray, known_pairs: np.ndarray, longest: int = LONGEST,
+            period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
     """(lang, window, n): from each word of the dictionary's chunks on, the frequent words that follow."""
-    shared = dictionary.sparkSession.sparkContext.broadcast(frequent)
+    shared = dictionary.sparkSession.sparkContext.broadcast((known_words, known_pairs))
 
     def run(batches):
-        bits = shared.value
         held: Counter = Counter()
-        for batch in batches:
-            for words, lang, weight, names in _chunk_buffers(batch):
-                hashed = np.array([_lang_hash(x) for x in names], np.uint64)
-                place = _places(words.hashes, hashed[lang])
-                known = bits[place >> 3] >> (place & 7) & 1 == 1
-                n = len(known)
-                # The first word that is not known, or the end of the chunk.
-                at = np.arange(n)
-                gap = np.minimum.accumulate(np.where(known, n, at)[::-1])[::-1] if n else at
-                stop = np.minimum(np.minimum(gap, words.stop), at + longest)
-                own = np.flatnonzero(own_words(words, period=period) & (stop - at >= 2))
-                begin, end = words.starts[own], words.ends[stop[own] - 1]
-                raw = words.raw
-                for x, y, g, k in zip(begin.tolist(), end.tolist(), lang[own].tolist(), weight[own].tolist()):
-                    held[names[g], raw[x:y]] += k
-                if len(held) > held_rows:
-                    yield from _rows(held, columns)
+        chunks = Chunks()
+        for words, lang, weight in chunks.buffers(batches):
+            names, raw = chunks.langs, words.raw
+            keys = word_keys(words, chunks.lang_hash[lang])
+            linked = _links(words, keys, _holds(shared.value[0], keys))
+            linked[:-1] &= _holds(shared.value[1], pair_keys(keys))
+            # A window ends with the first word that isn't linked to the next one.
+            at = np.arange(len(keys))
+            end = np.minimum.accumulate(np.where(linked, len(keys), at)[::-1])[::-1]
+            stop = np.minimum(end + 1, at + longest)
+            own = np.flatnonzero(own_words(words, period=period) & linked)
+            begin, end = words.starts[own], words.ends[stop[own] - 1]
+            for x, y, g, k in zip(begin.tolist(), end.tolist(), lang[own].tolist(), weight[own].tolist()):
+                held[names[g], raw[x:y]] += k
+            if len(held) > held_rows:
+                yield from _rows(held, columns)
         yield from _rows(held, columns)
 
     columns = ["lang", "window", "n"]
@@ -390,7 +493,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, period: in
     dictionary, dictionary_path = materialise(parse(docs, period=period, held_rows=held_rows), "collocation-chunks")
     words, words_path = materialise(
         dictionary_words(dictionary, period, held_rows).where(F.col("n") >= least), "collocation-words")
-    found = windows(dictionary, frequent_filter(words), period=period, held_rows=held_rows)
+    known = frequent_words(words)
+    found = windows(dictionary, known, frequent_pairs(dictionary, known, least, period), period=period,
+                    held_rows=held_rows)
     summed, summed_path = materialise(found, "collocation-windows")
     phrases, phrases_path = materialise(phrase_counts(summed, least), "collocation-phrases")
     singles = words.where(F.length("word") > 0).select(

@@ -2,10 +2,11 @@
 (or ``python -m cadence``).
 
   run-batch  --raw PATH --warehouse PATH --batch-id ID [--format csv|parquet]
-             [--multiline] [--as-of TS] [--latest-cap N] [--keep-rejects]
+             [--multiline] [--csv-one-line] [--as-of TS] [--latest-cap N] [--keep-rejects]
   compact    --warehouse PATH [--vacuum-keep K]
   stream     --landing PATH --warehouse PATH --checkpoint PATH [--max-files N]
              [--processing-time '5 minutes']   (default: process what is there, then stop)
+             [--fail-on-reject]                (default: bad records are stored as rejects)
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--batch-id", required=True)
     rb.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     rb.add_argument("--multiline", action="store_true")
+    rb.add_argument("--csv-one-line", action="store_true",
+                    help="texts hold no line ends: read large CSV files in several tasks")
     rb.add_argument("--as-of")
     rb.add_argument("--latest-cap", type=int)
     rb.add_argument("--keep-rejects", action="store_true",
@@ -38,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--max-files", type=int)
     st.add_argument("--multiline", action="store_true")
     st.add_argument("--processing-time")
+    st.add_argument("--fail-on-reject", action="store_true")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -51,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
         from cadence.plans.batch_job import run_batch_job
         res = run_batch_job(spark, args.raw, args.warehouse, args.batch_id, fmt=args.format,
                             multiline=args.multiline, as_of=args.as_of,
-                            latest_cap=args.latest_cap, fail_on_reject=not args.keep_rejects)
+                            latest_cap=args.latest_cap, fail_on_reject=not args.keep_rejects,
+                            csv_multiline=not args.csv_one_line)
         res.checks.show(truncate=False)
     elif args.cmd == "compact":
         from cadence.operators.star import compact, vacuum
@@ -70,10 +75,12 @@ def main(argv: list[str] | None = None) -> int:
             start_incremental(spark, args.landing, wh, args.checkpoint, available_now=False,
                               processing_time=args.processing_time,
                               max_files_per_trigger=args.max_files,
-                              multiline=args.multiline).awaitTermination()
+                              multiline=args.multiline,
+                              fail_on_reject=args.fail_on_reject).awaitTermination()
         else:
             run_incremental(spark, args.landing, wh, args.checkpoint,
-                            max_files_per_trigger=args.max_files, multiline=args.multiline)
+                            max_files_per_trigger=args.max_files, multiline=args.multiline,
+                            fail_on_reject=args.fail_on_reject)
     return 0
 
 

@@ -34,6 +34,11 @@ def to_play_timestamp(col: Column, dtype: str) -> Column:
     return col
 
 
+def lenient_play_timestamp(col: Column, dtype: str) -> Column:
+    """As ``to_play_timestamp``, but null where that fails."""
+    return F.try_to_timestamp(col) if dtype == "string" else to_play_timestamp(col, dtype)
+
+
 def window_cutoff(as_of: Column, days: int = 1) -> Column:
     """``as_of`` floored to whole seconds, minus ``days`` days."""
     return F.date_trunc("second", as_of) - F.make_interval(days=F.lit(days))

@@ -19,6 +19,13 @@ def strict_bigint(col: Column) -> Column:
     return col.cast("bigint")
 
 
+def lenient_bigint(col: Column, dtype: str) -> Column:
+    """As ``strict_bigint``, but null where that fails."""
+    if dtype == "string":
+        return col.try_cast("bigint")
+    return col.cast("double").try_cast("bigint") if dtype in ("float", "double") else col.try_cast("bigint")
+
+
 def minutes_2dp(ms: Column) -> Column:
     """``round(ms / 60000.0, 2)`` as an exact decimal, half rounded up."""
     return F.round(ms / F.lit(_MS_PER_MINUTE), 2)

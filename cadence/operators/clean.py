@@ -23,11 +23,11 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.calendar import calendar_parts, to_play_timestamp
+from cadence.functions.calendar import calendar_parts, lenient_play_timestamp, to_play_timestamp
 from cadence.functions.keys import surrogate_key
-from cadence.functions.measures import strict_bigint
+from cadence.functions.measures import lenient_bigint, strict_bigint
 from cadence.functions.text import NA_TOKENS, na_to_null, normalise_name
-from cadence.schemas import PROCESSED_COLUMNS, STAGED_COLUMNS
+from cadence.schemas import CORRUPT, PROCESSED_COLUMNS, REJECT, SOURCE, STAGED_COLUMNS
 
 REQUIRED = ["song_title", "artist_name", "played_at", "song_duration_ms"]
 LINEAGE_COLUMNS = ["played_at", "play_id"]
@@ -89,6 +89,50 @@ def clean_plays(staged: DataFrame, na_tokens: Iterable[str] = NA_TOKENS,
     )
 
 
+def examine_plays(staged: DataFrame, na_tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
+    """The rules of ``clean_plays`` without failing: ``REJECT`` rows, good plays with no reason.
+
+    Where the cleaning would fail the batch, the row says why (``reason``) and
+    what it was (``record``): a text that is no page (``_corrupt``), a time or a
+    duration that can't be read.  Plays without a required value are dropped here as
+    there.  ``source`` is the file, where the staged rows know it.
+    """
+    staged = with_play_id(staged)
+    dtypes, tokens = dict(staged.dtypes), list(na_tokens)
+
+    def text(c: str):
+        return na_to_null(F.col(c), tokens) if dtypes[c] == "string" else F.col(c)
+
+    corrupt = F.col(CORRUPT) if CORRUPT in dtypes else F.lit(None).cast("string")
+    nulled = staged.select(
+        *[text(c).alias(c) for c in STAGED_COLUMNS], "play_id", corrupt.alias(CORRUPT),
+        (F.col(SOURCE) if SOURCE in dtypes else F.lit(None).cast("string")).alias("source"),
+        F.coalesce(corrupt, F.to_json(F.struct(*STAGED_COLUMNS))).alias("record"))
+    kept = nulled.where(F.col(CORRUPT).isNotNull() | reduce(and_, [F.col(c).isNotNull() for c in REQUIRED]))
+    kept = kept.withColumns({
+        "_ts": lenient_play_timestamp(F.col("played_at"), dtypes["played_at"]),
+        "_ms": lenient_bigint(F.col("song_duration_ms"), dtypes["song_duration_ms"])})
+    reason = (F.when(F.col(CORRUPT).isNotNull(), "malformed page")
+              .when(F.col("_ts").isNull(), "unreadable played_at")
+              .when(F.col("_ms").isNull(), "unreadable song_duration_ms"))
+    whole = F.col(CORRUPT).isNull()
+    return kept.withColumn("reason", reason).select(
+        *[F.when(whole, normalise_name(c)).alias(c) for c in ("song_title", "artist_name")],
+        F.when(whole, F.col("_ms")).alias("song_duration_ms"), "artist_natural_key", "song_natural_key",
+        *calendar_parts(F.col("_ts")), F.col("_ts").alias("played_at"), F.when(whole, F.col("play_id")).alias("play_id"),
+        "reason", F.when(F.col("reason").isNotNull(), F.col("record")).alias("record"),
+        F.when(F.col("reason").isNotNull(), F.col("source")).alias("source")).select(*REJECT.names)
+
+
+def good_plays(examined: DataFrame) -> DataFrame:
+    """The plays of ``examine_plays`` that nothing is wrong with, as ``clean_plays`` returns them."""
+    return examined.where(F.col("reason").isNull()).drop("reason", "record", "source")
+
+
+def refused_rows(examined: DataFrame) -> DataFrame:
+    return examined.where(F.col("reason").isNotNull())
+
+
 def to_processed(plays: DataFrame) -> DataFrame:
     """The nine processed columns only (drops the lineage columns)."""
     return plays.select(*PROCESSED_COLUMNS)

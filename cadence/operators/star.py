@@ -13,9 +13,13 @@ between redoes its anti join against the new state, so a natural key is stored
 once, however many loads run.  Replaying a batch id replaces its fact delta
 and rejects; dimension rows stay, since facts of other batches may use them.
 
-The fact is partitioned by (year, month).  Its cells are the compacted months
-plus the deltas of later loads, and only months with more than one source are
-summed when read.  ``compact`` rewrites just those months.
+The fact is partitioned by (year, month).  Its cells are the folded months plus
+the deltas of later loads, and only months with more than one source are summed
+when read.  Upkeep needs no command: a load that finds too many pending loads
+folds the older ones (``fold``).  A month's folded attempts are kept in sizes
+that fall by a ratio, so a late play is merged with small attempts and does not
+rewrite an old month, and their number grows with the logarithm of the rows.
+Dimension attempts are merged by the same rule.  ``compact`` folds everything.
 """
 
 from __future__ import annotations
@@ -23,29 +27,37 @@ from __future__ import annotations
 import time
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions import keys
 from cadence.operators.clean import RejectedPlaysError
-from cadence.schemas import STAR_TABLES
-from cadence.sources.warehouse import ATTEMPT, DIM_TABLES, FACT, State, Warehouse, check_batch_id
+from cadence.schemas import REJECT, STAR_TABLES
+from cadence.sources.warehouse import (ATTEMPT, DIM_TABLES, FACT, NUMBERS, PART_TABLES, TABLES, State, Warehouse,
+                                       check_batch_id)
 
 CELL_KEYS = ["song_natural_key", "artist_natural_key", "year", "month", "hour_of_day", "day_of_week"]
 DATE_KEYS = ["year", "month", "hour_of_day", "day_of_week"]
 FACT_GRAIN = ["date_id", "song_id", "artist_id"]
 FACT_COLUMNS = ["song_stream_id", *FACT_GRAIN, "play_count", "total_duration"]
 STREAM_PREFIX = "stream-"
-# Folders with folded batch ids are merged when there are more of them.
+# Folders with folded batch ids, or rejects of such, are merged when there are more of them.
 MAX_FOLDED = 32
+# An attempt stays beside smaller ones as long as it is that many times their sum.
+SIZE_RATIO = 4
+# Songs are numbered in parts of about this many.
+NUMBERED_TOGETHER = 500_000
 
 
 @dataclass
 class LoadResult:
+    """``rejected_plays``: what the load refused; ``loaded``: False if nothing was to be done."""
+
     batch_id: str
     rejected_plays: int
+    loaded: bool = True
 
 
 class BatchAlreadyCompacted(RuntimeError):
@@ -110,22 +122,33 @@ def fact_delta(cells: DataFrame) -> DataFrame:
 
 # -- loading -----------------------------------------------------------------------
 
-def is_folded(warehouse: Warehouse, state: State, batch_id: str) -> bool:
-    """Whether a batch is part of the compacted fact (a filtered read of stored ids)."""
+def folded_digest(warehouse: Warehouse, state: State, batch_id: str) -> str | None:
+    """The digest of a folded batch's cells ("" if it is unknown), or None if it is not
+    folded (a filtered read of stored ids)."""
     if not state.folded:
-        return False
-    ids = warehouse.spark.read.schema("batch_id string").parquet(
+        return None
+    ids = warehouse.spark.read.schema("batch_id string, digest string").parquet(
         *[warehouse.attempt_path("folded", a) for a in state.folded])
-    return not ids.where(F.col("batch_id") == batch_id).isEmpty()
+    row = ids.where(F.col("batch_id") == batch_id).first()
+    return None if row is None else row.digest or ""
+
+
+def is_folded(warehouse: Warehouse, state: State, batch_id: str) -> bool:
+    """Whether a batch is part of the folded fact."""
+    return folded_digest(warehouse, state, batch_id) is not None
 
 
 def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_reject: bool = True,
-              stream: tuple[str, int] | None = None) -> LoadResult:
+              stream: tuple[str, int] | None = None, refused: DataFrame | None = None,
+              same_is_done: bool = False) -> LoadResult:
     """Load one batch of cleaned plays into the star schema.
 
     ``plays`` is read twice or more: pass a stored table where it is costly to
     compute.  ``stream`` names the stream and epoch a micro-batch belongs to;
-    an epoch that is committed, compacted or not, is not loaded again.
+    an epoch that is committed, folded or not, is not loaded again.  ``refused``
+    (``REJECT`` rows) is stored with the batch's rejects, in the same commit.  A
+    folded batch can't be replaced; with ``same_is_done`` a replay of equal cells
+    does nothing instead of raising.
     """
     check_batch_id(batch_id)
     if batch_id.startswith(STREAM_PREFIX) != bool(stream):
@@ -133,30 +156,68 @@ def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_rej
     warehouse.create_tables()
     state = warehouse.state()
     if stream and state.streams.get(stream[0], -1) >= stream[1]:
-        return LoadResult(batch_id, 0)
-    if is_folded(warehouse, state, batch_id):
+        return LoadResult(batch_id, 0, False)
+    folded = folded_digest(warehouse, state, batch_id)
+    if folded is not None and not same_is_done:
         raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the compacted fact; "
                                     "replaying it would count its plays twice")
     scratch = warehouse.scratch_path(f"load-{batch_id}")
     try:
         play_cells(plays).write.parquet(f"{scratch}/cells")
         cells = warehouse.spark.read.parquet(f"{scratch}/cells")
-        return _load_cells(warehouse, plays, batch_id, cells, fail_on_reject, stream)
+        if folded is not None:
+            if _summary(cells)[2] != folded:
+                raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the compacted fact "
+                                            "with other plays")
+            return LoadResult(batch_id, 0, False)
+        result = _load_cells(warehouse, plays, batch_id, cells, fail_on_reject, stream, refused)
     finally:
         warehouse.delete(scratch)
+    if len(warehouse.state().facts) > 2 * warehouse.keep_pending:
+        fold(warehouse)
+    return result
+
+
+def _has_keys() -> Column:
+    return F.col("song_natural_key").isNotNull() & F.col("artist_natural_key").isNotNull()
+
+
+def _summary(cells: DataFrame) -> tuple[dict[str, int], int, str]:
+    """(rows of each month, plays without a key, digest of all cells), one row for each month."""
+    found = cells.groupBy("year", "month").agg(
+        F.count_if(_has_keys()).alias("cells"),
+        F.sum(F.when(~_has_keys(), F.col("play_count")).otherwise(0)).alias("rejected"),
+        F.bit_xor(F.xxhash64(*[x for c in CELL_KEYS for x in (F.col(c).isNull(), F.col(c))],
+                             "play_count", "total_duration")).alias("digest")).collect()
+    digest = 0
+    for r in found:
+        digest ^= r.digest
+    months = {f"{r.year:04d}-{r.month:02d}": r.cells for r in found if r.cells}
+    return dict(sorted(months.items())), sum(r.rejected for r in found), f"{digest & (1 << 64) - 1:016x}"
+
 
+def _without_key(plays: DataFrame) -> DataFrame:
+    """The plays without a natural key as ``REJECT`` rows."""
+    reason = F.when(F.col("song_natural_key").isNull(), "no song id").otherwise("no artist id")
+    rows = plays.where(~_has_keys()).withColumn("reason", reason)
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in REJECT.fields])
 
-def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: DataFrame,
-                fail_on_reject: bool, stream: tuple[str, int] | None) -> LoadResult:
-    has_keys = F.col("song_natural_key").isNotNull() & F.col("artist_natural_key").isNotNull()
-    rejected = int(cells.where(~has_keys).agg(F.sum("play_count").alias("n")).first()["n"] or 0)
+
+def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: DataFrame, fail_on_reject: bool,
+                stream: tuple[str, int] | None, refused: DataFrame | None) -> LoadResult:
+    months, rejected, digest = _summary(cells)
     if rejected and fail_on_reject:
         raise RejectedPlaysError(f"{rejected} plays in batch {batch_id!r} lack a natural key")
     attempt = warehouse.new_attempt(batch_id)
-    if rejected:
-        plays.where(~has_keys).write.parquet(warehouse.attempt_path("rejects", attempt))
-    cells, plays = cells.where(has_keys), plays.where(has_keys)
-    months = sorted(f"{r.year:04d}-{r.month:02d}" for r in cells.select("year", "month").distinct().collect())
+    if rejected or refused is not None:
+        bad = _without_key(plays) if rejected else None
+        if refused is not None:
+            bad = refused.select(*REJECT.names) if bad is None else bad.unionByName(refused.select(*REJECT.names))
+        path = warehouse.attempt_path("rejects", attempt)
+        bad.write.parquet(path)
+        rejected = warehouse.spark.read.parquet(path).count()
+    cells, plays = cells.where(_has_keys()), plays.where(_has_keys())
     # Balanced by month: a file or a few for each month, not one for each task and month.
     fact_delta(cells).hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(
         warehouse.attempt_path(FACT, attempt))
@@ -165,33 +226,95 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: Da
     while True:
         state = warehouse.state()
         if stream and state.streams.get(stream[0], -1) >= stream[1]:
-            return LoadResult(batch_id, 0)
+            return LoadResult(batch_id, 0, False)
         if is_folded(warehouse, state, batch_id):
             raise BatchAlreadyCompacted(f"batch {batch_id!r} was compacted while it was loaded again")
         if based_on != state.dims:
-            added = _write_dims(warehouse, state, cells, plays, warehouse.new_attempt(batch_id))
+            dims_attempt = warehouse.new_attempt(batch_id)
+            added = _write_dims(warehouse, state, cells, plays, dims_attempt)
             based_on = state.dims
         rejects = {b: a for b, a in state.rejects.items() if b != batch_id}
         if rejected:
             rejects[batch_id] = attempt
+        fact = {"attempt": attempt, "months": months, "version": state.version + 1, "digest": digest}
         done = warehouse.try_commit(
-            state, dims={t: [*state.dims.get(t, []), a] for t, a in added.items()},
-            facts=state.facts | {batch_id: {"attempt": attempt, "months": months}}, rejects=rejects,
+            state, dims={t: state.dims.get(t, []) + ([dims_attempt] if added.get(t) else [])
+                         for t in {*state.dims, *added} if state.dims.get(t) or added.get(t)},
+            rows=state.rows | {f"{t}/{dims_attempt}": n for t, n in added.items() if n},
+            facts=state.facts | {batch_id: fact}, rejects=rejects,
             streams=state.streams | ({stream[0]: stream[1]} if stream else {}))
         if done:
             return LoadResult(batch_id, rejected)
 
 
+def _stored_rows(warehouse: Warehouse, table: str, attempt: str) -> int:
+    """The rows of an attempt (read from the files' footers)."""
+    return warehouse.read(table, [f"{ATTEMPT}={attempt}"]).count()
+
+
 def _write_dims(warehouse: Warehouse, state: State, cells: DataFrame, plays: DataFrame,
-                attempt: str) -> dict[str, str]:
-    """Write the new dimension rows.  The tables are independent: three concurrent jobs."""
-    def write(table: str) -> None:
+                attempt: str) -> dict[str, int]:
+    """Write the new dimension rows; return how many each table got.
+
+    The tables are independent: three concurrent jobs.  New songs get dense numbers
+    after the stored ones, which belong to the same commit.
+    """
+    def write(table: str) -> int:
         rows = new_rows(table, cells, plays, warehouse.read_dim(table, state), not state.dims.get(table))
         rows.select(*STAR_TABLES[table].names).write.parquet(warehouse.attempt_path(table, attempt))
+        return _stored_rows(warehouse, table, attempt)
 
     with ThreadPoolExecutor(max_workers=len(DIM_TABLES)) as pool:
-        list(pool.map(write, DIM_TABLES))
-    return {table: attempt for table in DIM_TABLES}
+        added = dict(zip(DIM_TABLES, pool.map(write, DIM_TABLES)))
+    if added["dim_song"]:
+        songs = warehouse.read("dim_song", [f"{ATTEMPT}={attempt}"]).select("song_id")
+        numbers, n = numbered(songs, added["dim_song"]), _numbered_songs(warehouse, state)
+        numbers.select("song_id", (F.col("number") + n).alias("number")).write.parquet(
+            warehouse.attempt_path(NUMBERS, attempt))
+        added[NUMBERS] = added["dim_song"]
+    return added
+
+
+def _numbered_songs(warehouse: Warehouse, state: State) -> int:
+    return sum(state.rows[f"{NUMBERS}/{a}"] for a in state.dims.get(NUMBERS, []))
+
+
+def number_songs(warehouse: Warehouse) -> None:
+    """Give numbers to stored songs that have none (loads before songs were numbered)."""
+    while True:
+        state = warehouse.state()
+        held = [state.rows.get(f"dim_song/{a}") for a in state.dims.get("dim_song", [])]
+        n = _numbered_songs(warehouse, state)
+        if None not in held and sum(held) == n:
+            return
+        missing = warehouse.read_dim("dim_song", state).select("song_id").join(
+            warehouse.read_dim(NUMBERS, state), "song_id", "left_anti")
+        attempt = warehouse.new_attempt("numbers")
+        numbered(missing, missing.count()).select("song_id", (F.col("number") + n).alias("number")).write.parquet(
+            warehouse.attempt_path(NUMBERS, attempt))
+        rows = {f"{NUMBERS}/{attempt}": _stored_rows(warehouse, NUMBERS, attempt)}
+        rows |= {f"dim_song/{a}": _stored_rows(warehouse, "dim_song", a) for a in state.dims["dim_song"]}
+        now = warehouse.state()
+        if now.dims == state.dims:
+            warehouse.try_commit(now, dims=now.dims | {NUMBERS: [*now.dims.get(NUMBERS, []), attempt]},
+                                 rows=now.rows | rows)
+
+
+def numbered(songs: DataFrame, rows: int) -> DataFrame:
+    """(song_id, number): numbers from 0 on without gaps, for distinct song ids.
+
+    Songs are dealt into parts by their ids; each part is numbered by itself and
+    moved behind the parts before it, so no task sees all songs.
+    """
+    parts = rows // NUMBERED_TOGETHER + 1
+    dealt = songs.select("song_id", F.pmod("song_id", F.lit(parts)).cast("int").alias("part"))
+    sizes = {r.part: r["count"] for r in dealt.groupBy("part").count().collect()}
+    starts, at = [], 0
+    for part in range(parts):
+        starts.append(F.lit(at).cast("bigint"))
+        at += sizes.get(part, 0)
+    place = F.row_number().over(Window.partitionBy("part").orderBy("song_id")) - 1
+    return dealt.withColumn("number", place + F.array(*starts)[F.col("part")]).select("song_id", "number")
 
 
 # -- readers -----------------------------------------------------------------------
@@ -200,17 +323,6 @@ def dim_table(warehouse: Warehouse, table: str, state: State | None = None) -> D
     return warehouse.read_dim(table, state)
 
 
-def _sources(state: State) -> dict[str, list[str]]:
-    """month -> the attempts that hold cells of it."""
-    found: dict[str, list[str]] = defaultdict(list)
-    for month, attempt in state.months.items():
-        found[month].append(attempt)
-    for fact in state.facts.values():
-        for month in fact["months"]:
-            found[month].append(fact["attempt"])
-    return found
-
-
 def _cells_of(warehouse: Warehouse, sources: dict[str, list[str]], months: list[str]) -> DataFrame:
     folders = [f"{ATTEMPT}={a}/year={int(m[:4])}/month={int(m[5:])}" for m in months for a in sources[m]]
     return warehouse.read(FACT, folders, ", year int, month int").drop(ATTEMPT)
@@ -221,13 +333,17 @@ def _sum_cells(rows: DataFrame) -> DataFrame:
         F.sum("play_count").alias("play_count"), F.sum("total_duration").alias("total_duration"))
 
 
-def fact_cells(warehouse: Warehouse, state: State | None = None) -> DataFrame:
+def fact_cells(warehouse: Warehouse, state: State | None = None, months: list[str] | None = None) -> DataFrame:
     """The accumulated fact on its grain, with year and month (partition columns).
 
+    ``months`` names those to read (``2026-05``), by default all.
+
     A month that one attempt holds alone is already at the grain and is read
     without a shuffle; the others are summed.
     """
-    sources = _sources(state or warehouse.state())
+    sources = (state or warehouse.state()).sources()
+    if months is not None:
+        sources = {m: sources[m] for m in months}
     alone = [m for m in sorted(sources) if len(sources[m]) == 1]
     mixed = [m for m in sorted(sources) if len(sources[m]) > 1]
     parts = [_cells_of(warehouse, sources, alone)] if alone or not mixed else []
@@ -242,58 +358,135 @@ def fact_song_stream(warehouse: Warehouse, state: State | None = None) -> DataFr
                                                "play_count", "total_duration")
 
 
-# -- compaction ----------------------------------------------------------------------
+# -- folding and compaction ----------------------------------------------------------
+
+def stays_apart(sizes: list[int], ratio: int = SIZE_RATIO) -> int:
+    """How many of the oldest attempts stay as they are; the later ones are merged.
+
+    An attempt stays if it is more than ``ratio`` times all later ones together, so
+    those that stay fall in size by the ratio and their number is a logarithm.
+    """
+    kept = 0
+    while kept < len(sizes) - 1 and sizes[kept] > ratio * sum(sizes[kept + 1:]):
+        kept += 1
+    return kept
+
+
+def fold(warehouse: Warehouse, keep_pending: int | None = None) -> int | None:
+    """Fold the loads before the newest ``keep_pending``; return the new version.
+
+    None if there is nothing to fold or another writer folded meanwhile: the next
+    load tries again.
+    """
+    state = warehouse.state()
+    keep = warehouse.keep_pending if keep_pending is None else keep_pending
+    order = sorted(state.facts, key=lambda b: (state.facts[b].get("version", 0), b))
+    old = order[:max(0, len(order) - keep)]
+    return _fold(warehouse, state, old, False) if old else None
+
 
 def compact(warehouse: Warehouse) -> int:
-    """Fold every committed load into compacted months; return the new version.
+    """Fold every committed load into one attempt a month; return the new version.
 
-    Only months with pending deltas are rewritten, the others keep their
+    Only months with several sources are rewritten, the others keep their
     attempt.  Dimension attempts become one.  Loads that commit meanwhile stay
     pending; if a folded batch is replaced meanwhile, or another compaction
     wins, the work is done again on the new state.
     """
     while True:
         state = warehouse.state()
-        attempt = warehouse.new_attempt("compact")
-        sources = _sources(state)
-        touched = sorted({m for f in state.facts.values() for m in f["months"]})
-        jobs = []
-        if touched:
-            # Rebalanced by month: small months get one file, large ones several.
-            summed = _sum_cells(_cells_of(warehouse, sources, touched)).hint("rebalance", "year", "month")
-            jobs.append(lambda: summed.write.partitionBy("year", "month").parquet(
-                warehouse.attempt_path(FACT, attempt)))
-        merged = [t for t in DIM_TABLES if len(state.dims.get(t, [])) > 1]
-        for table in merged:
-            jobs.append(lambda table=table: warehouse.read_dim(table, state).hint("rebalance").write.parquet(
-                warehouse.attempt_path(table, attempt)))
-        # Epochs of streams are remembered by their newest number.
-        named = sorted(b for b in state.facts if not b.startswith(STREAM_PREFIX))
-        folded = list(state.folded)
-        if named:
-            ids = warehouse.spark.createDataFrame([(b,) for b in named], "batch_id string").coalesce(1)
-            if len(folded) >= MAX_FOLDED:
-                ids = ids.unionByName(warehouse.spark.read.schema("batch_id string").parquet(
-                    *[warehouse.attempt_path("folded", a) for a in folded]))
-                folded = []
-            jobs.append(lambda: ids.write.parquet(warehouse.attempt_path("folded", attempt)))
-            folded.append(attempt)
-        if jobs:
-            with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-                list(pool.map(lambda job: job(), jobs))
-        while True:
-            now = warehouse.state()
-            unchanged = now.months == state.months and now.folded == state.folded and all(
-                now.facts.get(b) == f for b, f in state.facts.items())
-            if not unchanged:
-                break  # do it again
-            done = warehouse.try_commit(
-                now, months=now.months | {m: attempt for m in touched}, folded=folded,
-                facts={b: f for b, f in now.facts.items() if b not in state.facts},
-                dims={t: ([attempt] + [a for a in now.dims[t] if a not in state.dims[t]] if t in merged
-                          else now.dims[t]) for t in now.dims})
-            if done:
-                return done.version
+        version = _fold(warehouse, state, list(state.facts), True)
+        if version is not None:
+            return version
+
+
+def _fold(warehouse: Warehouse, state: State, batches: list[str], whole: bool) -> int | None:
+    """Fold ``batches``: into one attempt a month (``whole``), or into those of like size."""
+    attempt = warehouse.new_attempt("compact" if whole else "fold")
+    deltas: dict[str, list[tuple[str, int]]] = defaultdict(list)
+    for batch in batches:
+        months = state.facts[batch]["months"]
+        # Commits of former layouts list months without their rows.
+        for month in months:
+            deltas[month].append((state.facts[batch]["attempt"], months[month] if isinstance(months, dict) else 1))
+    runs, merging = {}, {}
+    for month in sorted({*deltas, *(m for m in state.runs if whole)}):
+        held = state.folded_runs(month)
+        found = [(a, state.rows.get(f"{month}/{a}", 1)) for a in held]
+        added = deltas.get(month, [])
+        sizes = [n for _, n in found] + ([sum(n for _, n in added)] if added else [])
+        kept = 0 if whole else stays_apart(sizes)
+        merged = [*found[kept:], *added]
+        runs[month] = found[:kept] + ([merged[0]] if len(merged) == 1 else [(attempt, None)])
+        if len(merged) > 1:
+            merging[month] = [a for a, _ in merged]
+    dims = {}
+    for table, held in state.dims.items():
+        kept = 0 if whole else stays_apart([state.rows.get(f"{table}/{a}", 1) for a in held])
+        if len(held) - kept > 1:
+            dims[table] = kept
+    jobs = []
+    if merging:
+        # Rebalanced by month: small months get one file, large ones several.
+        summed = _sum_cells(_cells_of(warehouse, merging, sorted(merging))).hint("rebalance", "year", "month")
+        jobs.append(lambda: summed.write.partitionBy("year", "month").parquet(warehouse.attempt_path(FACT, attempt)))
+    for table, kept in dims.items():
+        rows = warehouse.read(table, [f"{ATTEMPT}={a}" for a in state.dims[table][kept:]]).drop(ATTEMPT)
+        jobs.append(lambda table=table, rows=rows: rows.hint("rebalance").write.parquet(
+            warehouse.attempt_path(table, attempt)))
+    # Epochs of streams are remembered by their newest number.
+    named = sorted((b, state.facts[b].get("digest")) for b in batches if not b.startswith(STREAM_PREFIX))
+    spark = warehouse.spark
+    folded, refused = list(state.folded), list(state.refused)
+    if named:
+        schema = "batch_id string, digest string"
+        ids = spark.createDataFrame(named, schema).coalesce(1)
+        if len(folded) >= MAX_FOLDED:
+            ids = ids.unionByName(spark.read.schema(schema).parquet(
+                *[warehouse.attempt_path("folded", a) for a in folded]))
+            folded = []
+        jobs.append(lambda: ids.write.parquet(warehouse.attempt_path("folded", attempt)))
+        folded.append(attempt)
+    if any(b in state.rejects for b in batches):
+        # With the batch ids, into one table; the earlier ones join it when they are many.
+        again = len(refused) >= MAX_FOLDED
+        bad = warehouse.all_rejects(replace(state, refused=refused if again else [], rejects={
+            b: a for b, a in state.rejects.items() if b in batches})).coalesce(max(1, len(batches) // 8))
+        jobs.append(lambda: bad.write.parquet(warehouse.attempt_path("rejects", attempt)))
+        refused = [attempt] if again else [*refused, attempt]
+    if jobs:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            list(pool.map(lambda job: job(), jobs))
+    rows = {f"{t}/{attempt}": _stored_rows(warehouse, t, attempt) for t in dims}
+    if merging:
+        stored = warehouse.read(FACT, [f"{ATTEMPT}={attempt}"], ", year int, month int")
+        sizes = {f"{r.year:04d}-{r.month:02d}": r["count"] for r in stored.groupBy("year", "month").count().collect()}
+        runs = {m: [(a, sizes[m] if n is None else n) for a, n in found] for m, found in runs.items()}
+    rows |= {f"{m}/{a}": n for m, found in runs.items() for a, n in found}
+    while True:
+        now = warehouse.state()
+        same = (now.months, now.runs, now.folded, now.refused) == (state.months, state.runs, state.folded, state.refused)
+        if not same or any(now.facts.get(b) != state.facts[b] or now.rejects.get(b) != state.rejects.get(b)
+                           for b in batches) or any(
+                now.dims.get(t, [])[:len(found)] != found for t, found in state.dims.items()):
+            return None
+        after = replace(now, months=now.months | {m: found[0][0] for m, found in runs.items()},
+                        runs=now.runs | {m: [a for a, _ in found[1:]] for m, found in runs.items()},
+                        facts={b: f for b, f in now.facts.items() if b not in batches}).sources()
+        before = now.sources()
+        # The cells are the same: what was made from them before goes on counting.
+        parts = {m: [a, State.signature(after[m])] if made == State.signature(before.get(m, [])) and m in after
+                 else [a, made] for m, (a, made) in now.parts.items()}
+        done = warehouse.try_commit(
+            now, parts=parts, months=now.months | {m: found[0][0] for m, found in runs.items()},
+            runs=now.runs | {m: [a for a, _ in found[1:]] for m, found in runs.items()},
+            rows=now.rows | rows, folded=folded, refused=refused,
+            facts={b: f for b, f in now.facts.items() if b not in batches},
+            rejects={b: a for b, a in now.rejects.items() if b not in batches},
+            dims={t: (found[:dims[t]] + [attempt] + found[len(state.dims[t]):] if t in dims else found)
+                  for t, found in now.dims.items()})
+        if done:
+            return done.version
 
 
 def vacuum(warehouse: Warehouse, keep_versions: int = 2, orphan_hours: float = 168) -> list[str]:
@@ -308,7 +501,7 @@ def vacuum(warehouse: Warehouse, keep_versions: int = 2, orphan_hours: float = 1
     old = set().union(*[warehouse.state(v).attempts() for v in versions[:-keep_versions]])
     limit = (time.time() - orphan_hours * 3600) * 1000
     doomed = []
-    tables = [*STAR_TABLES, "rejects", "folded",
+    tables = [*TABLES, *PART_TABLES, "rejects", "folded",
               *[f"marts/{n}" for n, _ in warehouse.list_dir(f"{warehouse.root}/marts")]]
     for table in tables:
         for name, changed in warehouse.list_dir(warehouse.table_path(table)):

@@ -36,7 +36,12 @@ class JobResult:
 def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch_id: str,
                   fmt: str = "parquet", multiline: bool = False, as_of=None,
                   latest_cap: int | None = None, fail_on_reject: bool = True,
-                  fail_on_checks: bool = True) -> JobResult:
+                  fail_on_checks: bool = True, csv_multiline: bool = True) -> JobResult:
+    """Run the job for one landed batch.
+
+    ``csv_multiline=False`` reads the CSV layers as one record a line, so that large
+    files are split over tasks; it is for batches whose texts hold no line ends.
+    """
     ensure_conf(spark)
     check_batch_id(batch_id)
     wh = Warehouse(spark, warehouse_root)
@@ -54,21 +59,21 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
                            staging_path, fmt=fmt)
 
     # transform: staged -> processed (with lineage columns for the loader)
-    staged = csv_files.read_staging(spark, staging_path, fmt=fmt)
+    staged = csv_files.read_staging(spark, staging_path, fmt=fmt, multiline=csv_multiline)
     plays = clean_plays(check_not_empty(staged))
     processed_path = f"{wh.root}/processed/batch_id={batch_id}"
     if fmt == "csv":
         csv_files.save_processed(
             plays.select(*PROCESSED_COLUMNS, F.date_format("played_at", raw_json.ISO_FORMAT)
                          .alias("played_at"), "play_id"), processed_path, fmt="csv")
-        plays = clean_back(spark, processed_path)
+        plays = clean_back(spark, processed_path, csv_multiline)
     else:
         plays.write.mode("overwrite").parquet(processed_path)
         plays = spark.read.parquet(processed_path)
 
     # load, models, checks: the fact is summed once, and marts count only once
     # the checks have passed.
-    loaded = load_star(wh, plays, batch_id, fail_on_reject=fail_on_reject)
+    loaded = load_star(wh, plays, batch_id, fail_on_reject=fail_on_reject, same_is_done=True)
     with stored_fact(wh) as (state, fact):
         models = staging_models(wh, fact, state)
         attempts = write_marts(wh, models)
@@ -84,7 +89,7 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
     return JobResult(batch_id, register_all(wh), checks, loaded.rejected_plays)
 
 
-def clean_back(spark: SparkSession, path: str) -> DataFrame:
+def clean_back(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Read a processed CSV layer (nine columns + lineage) with fixed types."""
     from pyspark.sql import types as T
 
@@ -92,5 +97,5 @@ def clean_back(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(list(PROCESSED.fields) + [
         T.StructField(LINEAGE_COLUMNS[0], T.StringType()),
         T.StructField(LINEAGE_COLUMNS[1], T.LongType())])
-    df = csv_files.read_csv(spark, path, schema)
+    df = csv_files.read_csv(spark, path, schema, multiline)
     return df.withColumn("played_at", F.to_timestamp("played_at"))

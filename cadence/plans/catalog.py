@@ -21,6 +21,7 @@ from cadence.operators.checks import run_checks
 from cadence.operators.clean import clean_plays, to_processed
 from cadence.operators.star import (compact, dim_table, fact_song_stream, load_star,
                                    resolve_keys)
+from cadence.plans.mart_parts import build_marts_by_change
 from cadence.plans.models import Models, staging_models
 from cadence.session import delete_path, ensure_conf, materialise, scratch_path
 from cadence.sources import csv_files, raw_json
@@ -401,6 +402,61 @@ def q_incremental_two_streams(spark, sf_dir):
     return _fact_natural(wh)
 
 
+def q_incremental_quarantine(spark, sf_dir):
+    """A stream with bad records: views have no song id, errors no readable time,
+    purchases a duration of fractions, and every seventh page is cut off.
+
+    The good plays of each song and artist, and the rejects for each reason."""
+    ensure_conf(spark)
+    et, page = F.col("event_type"), F.expr("play_id div 50")
+    plays = event_plays(spark, sf_dir).withColumn(
+        "song_natural_key", F.when(et != "view", F.col("song_natural_key")))
+    landing = scratch_path(spark, "landing")
+    number = (F.col("played_at") >= F.lit(SPLIT_AT).cast("timestamp")).cast("int")
+    pages = raw_json.to_raw_pages(plays.withColumns({
+        "slice": number * 2 + F.when(page % 7 == 3, 1).otherwise(0)}), by="slice",
+        played_at=F.when(et == "error", "not-a-date"),
+        duration=F.when(et == "purchase", F.concat(F.col("song_duration_ms").cast("string"), F.lit(".5"))))
+    cut = F.expr("left(value, length(value) - 1)")
+    pages.select(F.when(F.col("slice") % 2 == 1, cut).otherwise(F.col("value")).alias("value"), "slice") \
+        .write.partitionBy("slice").text(landing)
+    wh = Warehouse(spark, scratch_path(spark, "wh-quarantine"))
+    run_incremental(spark, landing, wh, checkpoint=scratch_path(spark, "stream-ckpt"), max_files_per_trigger=16)
+    good = _fact_natural(wh).groupBy("song_natural_key", "artist_natural_key").agg(
+        F.sum("play_count").alias("plays"), F.sum("total_duration").alias("total_duration"))
+    bad = wh.all_rejects().groupBy("reason").agg(F.count(F.lit(1)).alias("plays"))
+    return good.select(F.lit("loaded").alias("kind"), F.col("song_natural_key").alias("name"),
+                       F.col("artist_natural_key").alias("detail"), "plays", "total_duration").unionByName(
+        bad.select(F.lit("refused").alias("kind"), F.col("reason").alias("name"), F.lit("").alias("detail"), "plays",
+                   F.lit(None).cast("bigint").alias("total_duration")))
+
+
+def q_fact_tiered(spark, sf_dir, feed="events"):
+    """Ten loads by time; all but the newest two or so are folded on the way, without a command."""
+    ensure_conf(spark)
+    plays, path = materialise(cleaned_feed(spark, sf_dir, feed), "wh-tiered-processed")
+    wh = Warehouse(spark, scratch_path(spark, "wh-tiered"), keep_pending=2)
+    for number in range(10):
+        # Days of the month in turn, so that every load has late plays of every month.
+        load_star(wh, plays.where(F.dayofmonth("played_at") % 10 == number), f"b{number}")
+    delete_path(spark, path)
+    return _fact_natural(wh)
+
+
+def q_marts_incremental(spark, sf_dir, feed="events"):
+    """Marts built by change after each of two loads and a replay of the first with
+    fewer songs; returns the published marts."""
+    ensure_conf(spark)
+    plays, path = materialise(cleaned_feed(spark, sf_dir, feed), "wh-parts-processed")
+    wh, before = Warehouse(spark, scratch_path(spark, "wh-parts")), _before_split(feed)
+    even = F.substring("song_natural_key", 2, 20).cast("bigint") % 2 == 0
+    for batch, slice_ in (("b1", before), ("b2", ~before), ("b1", before & even)):
+        load_star(wh, plays.where(slice_), batch)
+        build_marts_by_change(wh)
+    delete_path(spark, path)
+    return _all_marts(wh.read_model)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "mart_top_artists": q_mart_top_artists,
@@ -430,6 +486,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_marts": q_incremental_marts,
         "incremental_two_streams": q_incremental_two_streams,
         "fact_replay_smaller": q_fact_replay_smaller,
+        "incremental_quarantine": q_incremental_quarantine,
+        "fact_tiered": q_fact_tiered,
+        "marts_incremental": q_marts_incremental,
+        "marts_incremental_wide": lambda s, d: q_marts_incremental(s, d, "lineitem"),
         # Wide feed: songs and artists grow with the tables.
         "mart_top_artists_wide": lambda s, d: q_mart_top_artists(s, d, "lineitem"),
         "mart_top_songs_wide": lambda s, d: q_mart_top_songs(s, d, "lineitem"),

@@ -62,10 +62,18 @@ def _distinct_songs(approx: bool):
     return F.approx_count_distinct("song_id") if approx else F.count_distinct("song_id")
 
 
-def _ordered(df: DataFrame, ordered: bool, *order) -> DataFrame:
+def mart_order(name: str) -> list:
+    """The report order of a mart (O1, O2), made total by the names."""
+    return {"mart_top_artists": [F.desc("total_plays"), F.asc("artist_name")],
+            "mart_top_songs": [F.desc("total_plays"), F.asc("song_title"), F.asc("artist_name"),
+                               F.asc("track_duration_minutes")],
+            "mart_listening_patterns": [F.asc("day_of_week"), F.asc("hour_of_day")]}[name]
+
+
+def _ordered(df: DataFrame, ordered: bool, name: str) -> DataFrame:
     # The report order is a global sort (a range shuffle); a stored table has
     # no order, so writers skip it and readers sort what they show.
-    return df.orderBy(*order) if ordered else df
+    return df.orderBy(*mart_order(name)) if ordered else df
 
 
 def mart_top_artists(streams: DataFrame, artists: DataFrame, approx_distinct: bool = False,
@@ -76,7 +84,7 @@ def mart_top_artists(streams: DataFrame, artists: DataFrame, approx_distinct: bo
            .agg(F.sum("_plays").alias("total_plays"),
                 round_minutes(F.sum("_minutes")).alias("total_minutes_listened"),
                 _distinct_songs(approx_distinct).alias("unique_songs")))
-    return _ordered(out, ordered, F.desc("total_plays"), F.asc("artist_name"))
+    return _ordered(out, ordered, "mart_top_artists")
 
 
 def mart_top_songs(streams: DataFrame, songs: DataFrame, artists: DataFrame,
@@ -90,8 +98,7 @@ def mart_top_songs(streams: DataFrame, songs: DataFrame, artists: DataFrame,
                 round_minutes(F.sum("_minutes")).alias("total_minutes"))
            .select("song_title", "artist_name", "total_plays", "total_minutes",
                    F.col("duration_minutes").alias("track_duration_minutes")))
-    return _ordered(out, ordered, F.desc("total_plays"), "song_title", "artist_name",
-                    "track_duration_minutes")
+    return _ordered(out, ordered, "mart_top_songs")
 
 
 def mart_listening_patterns(streams: DataFrame, dates: DataFrame,
@@ -102,7 +109,7 @@ def mart_listening_patterns(streams: DataFrame, dates: DataFrame,
            .agg(F.sum("_plays").alias("total_plays"),
                 round_minutes(F.sum("_minutes")).alias("total_minutes"),
                 _distinct_songs(approx_distinct).alias("unique_songs")))
-    return _ordered(out, ordered, "day_of_week", "hour_of_day")
+    return _ordered(out, ordered, "mart_listening_patterns")
 
 
 # -- model graph (W3) ----------------------------------------------------------
@@ -127,6 +134,10 @@ class Models:
             return mart_listening_patterns(self.stg_streams, self.stg_dates, ordered=ordered)
         raise KeyError(name)
 
+    @staticmethod
+    def of(warehouse: Warehouse, state: State) -> Models:
+        return staging_models(warehouse, state=state)
+
 
 def staging_models(warehouse: Warehouse, fact: DataFrame | None = None, state: State | None = None) -> Models:
     """The four staging views over the star tables (lazy), all of one state.

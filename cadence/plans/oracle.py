@@ -201,7 +201,30 @@ dirty AS (
         batch="CASE WHEN played_at < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END"),
         STAR.replace("FROM plays GROUP BY ALL", "FROM plays WHERE batch = 2 OR "
                      "CAST(substr(song_natural_key, 2) AS BIGINT) % 2 = 0 GROUP BY ALL"))
+    smaller_wide = _with(LINEITEM_FEED, _plays(
+        batch="CASE WHEN played_at < TIMESTAMP '1998-05-24 00:00:00' THEN 1 ELSE 2 END"),
+        STAR.replace("FROM plays GROUP BY ALL", "FROM plays WHERE batch = 2 OR "
+                     "CAST(substr(song_natural_key, 2) AS BIGINT) % 2 = 0 GROUP BY ALL"))
+    # Every seventh page is cut off; of the other plays views, errors and purchases are refused.
+    quarantine = _with(EVENT_FEED, """
+landed AS (
+  SELECT *, play_id // 50 AS page, played_at >= TIMESTAMP '2024-01-16 00:00:00' AS late,
+         (play_id // 50) % 7 = 3 AS cut FROM feed),
+bad AS (
+  SELECT 'malformed page' AS name, COUNT(DISTINCT (page, late)) AS plays FROM landed WHERE cut
+  UNION ALL SELECT 'no song id', COUNT(*) FROM landed WHERE NOT cut AND event_type = 'view'
+  UNION ALL SELECT 'unreadable played_at', COUNT(*) FROM landed WHERE NOT cut AND event_type = 'error'
+  UNION ALL SELECT 'unreadable song_duration_ms', COUNT(*) FROM landed WHERE NOT cut AND event_type = 'purchase')""")
     return {
+        "incremental_quarantine": quarantine + """
+SELECT 'loaded' AS kind, song_natural_key AS name, artist_natural_key AS detail,
+       CAST(COUNT(*) AS BIGINT) AS plays, CAST(SUM(song_duration_ms) AS BIGINT) AS total_duration
+FROM landed WHERE NOT cut AND event_type NOT IN ('view', 'error', 'purchase')
+GROUP BY song_natural_key, artist_natural_key
+UNION ALL SELECT 'refused', name, '', plays, NULL FROM bad WHERE plays > 0""",
+        "fact_tiered": star + CELLS_OUT,
+        "marts_incremental": smaller + ALL_MARTS,
+        "marts_incremental_wide": smaller_wide + ALL_MARTS,
         "mart_top_artists": star + MART_TOP_ARTISTS,
         "mart_top_songs": star + MART_TOP_SONGS,
         "mart_listening_patterns": star + MART_LISTENING_PATTERNS,

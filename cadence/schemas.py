@@ -29,6 +29,11 @@ STAGED_COLUMNS = ["song_title", "artist_name", "played_at", "song_duration_ms",
                   "artist_natural_key", "song_natural_key"]
 STAGED = T.StructType([T.StructField(c, _S) for c in STAGED_COLUMNS])
 
+# A landed page read without failing: the text of what is no page, and where it stood.
+CORRUPT = "_corrupt"
+SOURCE = "_source"
+LANDED_PAGE = T.StructType([*RAW_PAGE.fields, T.StructField(CORRUPT, _S)])
+
 # Processed play: played_at replaced by four calendar parts.
 PROCESSED_COLUMNS = ["song_title", "artist_name", "song_duration_ms", "artist_natural_key",
                      "song_natural_key", "year", "month", "hour_of_day", "day_of_week"]
@@ -44,6 +49,17 @@ PROCESSED = T.StructType([
     T.StructField("day_of_week", _S),
 ])
 
+# A refused play or page: the play as far as it was cleaned, why it was refused, and for
+# what could not be cleaned the record as it came, with the file it came from.
+REJECT = T.StructType([
+    *PROCESSED.fields,
+    T.StructField("played_at", T.TimestampType()),
+    T.StructField("play_id", _L),
+    T.StructField("reason", _S),
+    T.StructField("record", _S),
+    T.StructField("source", _S),
+])
+
 # Star schema.  Dimension ids are 64-bit hashes of the natural key, the fact's
 # id has 128 bits and is derived when read (see keys.py);
 # counts and durations are 64-bit so a busy cell cannot overflow.
@@ -74,6 +90,9 @@ FACT_SONG_STREAM = T.StructType([
     T.StructField("total_duration", _L),
 ])
 
+# A dense number for each song, from 0 on, for bitmaps of songs.
+SONG_NUMBERS = T.StructType([T.StructField("song_id", _L), T.StructField("number", _L)])
+
 STAR_TABLES = {
     "dim_artist": DIM_ARTIST,
     "dim_song": DIM_SONG,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cadence.functions.calendar import to_play_timestamp, window_cutoff
 from cadence.functions.measures import strict_bigint
 from cadence.functions.text import NA_TOKENS, na_to_null
-from cadence.schemas import RAW_PAGE, STAGED_COLUMNS
+from cadence.schemas import CORRUPT, LANDED_PAGE, RAW_PAGE, SOURCE, STAGED_COLUMNS
 
 # Defaults the extract step uses when a field is absent.
 MISSING_TEXT = "N/A"
@@ -39,13 +39,19 @@ def explode_items(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("items").alias("item"))
 
 
-def flatten_items(items: DataFrame) -> DataFrame:
+def flatten_items(items: DataFrame, keep: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
     """The six staged columns, with the extract step's defaults.
 
     First artist only; an empty or missing artist list gives name "N/A"
     and a null id.  ``F.get`` is used because ``arr[0]`` raises on an
-    empty array under ANSI.
+    empty array under ANSI.  A duration that is no integer fails the batch;
+    without ``strict`` durations stay text, for ``examine_plays`` to judge.
     """
+    duration = F.variant_get(F.col("item.track.duration_ms"), "$", "string")
+    if strict:
+        duration, zero = strict_bigint(duration), F.lit(MISSING_DURATION).cast("bigint")
+    else:
+        zero = F.lit(str(MISSING_DURATION))
     track = F.col("item.track")
     first_artist = F.get(track["artists"], F.lit(0))
     return items.select(
@@ -53,12 +59,28 @@ def flatten_items(items: DataFrame) -> DataFrame:
         F.coalesce(first_artist["name"], F.lit(MISSING_TEXT)).alias("artist_name"),
         F.coalesce(F.col("item.played_at"), F.lit(MISSING_TEXT)).alias("played_at"),
         # Absent counts as 0 ms; an explicit null stays null (its row is dropped).
-        F.when(track["duration_ms"].isNull(), F.lit(MISSING_DURATION).cast("bigint"))
-        .when(~F.is_variant_null(track["duration_ms"]),
-              strict_bigint(F.variant_get(track["duration_ms"], "$", "string"))).alias("song_duration_ms"),
+        F.when(track["duration_ms"].isNull(), zero)
+        .when(~F.is_variant_null(track["duration_ms"]), duration).alias("song_duration_ms"),
         first_artist["id"].alias("artist_natural_key"),
         track["id"].alias("song_natural_key"),
-    ).select(*STAGED_COLUMNS)
+        *keep,
+    ).select(*STAGED_COLUMNS, *keep)
+
+
+def landed_items(pages: DataFrame) -> DataFrame:
+    """The items of ``LANDED_PAGE`` rows, and one row for each text that is no page.
+
+    ``_corrupt`` holds that text, else it is null; ``_source`` names the file.
+    """
+    return (pages.select(F.explode_outer("items").alias("item"), CORRUPT, F.col("_metadata.file_path").alias(SOURCE))
+            .where(F.col("item").isNotNull() | F.col(CORRUPT).isNotNull()))
+
+
+def read_landed_items(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """Staged plays as text, with ``_corrupt`` and ``_source``, from pages of which some may be malformed."""
+    pages = spark.read.schema(LANDED_PAGE).option("mode", "PERMISSIVE").option("multiLine", multiline) \
+        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return flatten_items(landed_items(pages), (CORRUPT, SOURCE), strict=False)
 
 
 def read_staged_from_json(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
@@ -108,7 +130,8 @@ def latest_plays(plays: DataFrame, n: int = 50, per: str | None = None,
     return plays.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def to_raw_pages(plays: DataFrame, page_size: int = 50, by: str | None = None) -> DataFrame:
+def to_raw_pages(plays: DataFrame, page_size: int = 50, by: str | None = None,
+                 played_at: Column | None = None, duration: Column | None = None) -> DataFrame:
     """Render plays as landed pages: one JSON document per line, <= page_size items.
 
     Expects played_at (timestamp), song_title, artist_name, song_duration_ms,
@@ -117,13 +140,18 @@ def to_raw_pages(plays: DataFrame, page_size: int = 50, by: str | None = None) -
     retries, and bounded by ``page_size`` times the id's multiplicity.
     Without one, pages are cut from consecutive rows of one input partition.
     ``by`` names a column that is constant within a page and kept beside it.
+    ``played_at`` and ``duration`` give texts to land instead of a play's own (null: its own).
     """
+    own_time = F.date_format(F.col("played_at"), ISO_FORMAT)
+    own_duration = F.col("song_duration_ms").cast("bigint")
+    if duration is not None:
+        own_duration = F.coalesce(duration, own_duration.cast("string"))
     item = F.struct(
-        F.date_format(F.col("played_at"), ISO_FORMAT).alias("played_at"),
+        (own_time if played_at is None else F.coalesce(played_at, own_time)).alias("played_at"),
         F.struct(
             F.col("song_title").alias("name"),
             F.col("song_natural_key").alias("id"),
-            F.col("song_duration_ms").cast("bigint").alias("duration_ms"),
+            own_duration.alias("duration_ms"),
             F.array(F.struct(F.col("artist_natural_key").alias("id"),
                              F.col("artist_name").alias("name"))).alias("artists"),
         ).alias("track"),

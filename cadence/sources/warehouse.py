@@ -4,7 +4,9 @@ Layout under ``root``::
 
     data/<table>/attempt=<id>/...                       dimension rows of one attempt
     data/fact_song_stream/attempt=<id>/year=/month=/    fact cells of one attempt
+    data/song_numbers/attempt=<id>/                     a dense number for each song
     data/rejects/attempt=<id>/, data/folded/attempt=<id>/
+    data/parts_<mart>/attempt=<id>/year=/month=/        mart parts of single months
     marts/<model>/attempt=<id>/                         a model table of one build
     _commits/<version>.json                             which attempts count
     _scratch/...                                        intermediates, deleted after use
@@ -24,6 +26,7 @@ one process are kept apart by a lock.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import threading
@@ -31,11 +34,15 @@ import uuid
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.schemas import STAR_TABLES
+from cadence.schemas import REJECT, SONG_NUMBERS, STAR_TABLES
 
 DIM_TABLES = ("dim_artist", "dim_song", "dim_date")
+NUMBERS = "song_numbers"
+PART_TABLES = ("parts_artists", "parts_songs", "parts_patterns")
+TABLES = STAR_TABLES | {NUMBERS: SONG_NUMBERS}
 FACT = "fact_song_stream"
 ATTEMPT = "attempt"
 BATCH_ID = re.compile(r"[A-Za-z0-9_.-]+")
@@ -44,25 +51,57 @@ _locks: dict[str, threading.Lock] = {}
 
 @dataclass(frozen=True)
 class State:
-    """What counts at one version.  Its size is bounded by the loads since the
-    last compaction, the calendar months and the number of streams."""
+    """What counts at one version.
+
+    Its size is bounded by the calendar months, the number of streams and the loads
+    that are still pending, which tiering keeps to a fixed number.
+    """
 
     version: int = 0
-    dims: dict[str, list[str]] = field(default_factory=dict)     # table -> attempts
-    facts: dict[str, dict] = field(default_factory=dict)         # batch -> {attempt, months}
-    months: dict[str, str] = field(default_factory=dict)         # compacted month -> attempt
-    rejects: dict[str, str] = field(default_factory=dict)        # batch -> attempt
+    dims: dict[str, list[str]] = field(default_factory=dict)     # table -> attempts, oldest first
+    facts: dict[str, dict] = field(default_factory=dict)         # pending batch -> {attempt, months, version, digest}
+    months: dict[str, str] = field(default_factory=dict)         # month -> its largest folded attempt
+    runs: dict[str, list[str]] = field(default_factory=dict)     # month -> further folded attempts, oldest first
+    rows: dict[str, int] = field(default_factory=dict)           # <table or month>/<attempt> -> rows
+    rejects: dict[str, str] = field(default_factory=dict)        # pending batch -> attempt
+    refused: list[str] = field(default_factory=list)             # attempts with the rejects of folded batches
     folded: list[str] = field(default_factory=list)              # attempts with folded batch ids
     streams: dict[str, int] = field(default_factory=dict)        # stream -> newest epoch
     models: dict[str, str] = field(default_factory=dict)         # model -> attempt
+    parts: dict[str, list[str]] = field(default_factory=dict)    # month -> [attempt of its mart parts, its sources]
+
+    def folded_runs(self, month: str) -> list[str]:
+        """The folded attempts of a month, oldest and largest first."""
+        return ([self.months[month]] if month in self.months else []) + self.runs.get(month, [])
+
+    def sources(self) -> dict[str, list[str]]:
+        """month -> the attempts that hold cells of it."""
+        found = {m: self.folded_runs(m) for m in self.months}
+        for fact in self.facts.values():
+            for month in fact["months"]:
+                found.setdefault(month, []).append(fact["attempt"])
+        return found
+
+    @staticmethod
+    def signature(attempts: list[str]) -> str:
+        """What tells the sources of a month from others: attempts never change."""
+        return hashlib.sha256("\n".join(sorted(attempts)).encode()).hexdigest()[:16]
 
     def attempts(self) -> set[tuple[str, str]]:
         """(table, attempt) of everything that counts."""
         out = {(t, a) for t, found in self.dims.items() for a in found}
-        out |= {(FACT, f["attempt"]) for f in self.facts.values()} | {(FACT, a) for a in self.months.values()}
-        out |= {("rejects", a) for a in self.rejects.values()} | {("folded", a) for a in self.folded}
+        out |= {(FACT, a) for found in self.sources().values() for a in found}
+        out |= {("rejects", a) for a in [*self.rejects.values(), *self.refused]} | {("folded", a) for a in self.folded}
+        out |= {(t, a) for t in PART_TABLES for a, _ in self.parts.values()}
         return out | {(f"marts/{m}", a) for m, a in self.models.items()}
 
+    def pruned(self) -> State:
+        """Without row counts of attempts that are gone."""
+        used = {f"{t}/{a}" for t, found in self.dims.items() for a in found}
+        used |= {f"{m}/{a}" for m in self.months for a in self.folded_runs(m)}
+        return replace(self, rows={k: n for k, n in self.rows.items() if k in used},
+                       runs={m: r for m, r in self.runs.items() if r})
+
 
 def check_batch_id(batch_id: str) -> str:
     """Batch ids become folder names: letters, digits, ``_``, ``.`` and ``-`` only."""
@@ -72,9 +111,13 @@ def check_batch_id(batch_id: str) -> str:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``keep_pending``: that many of the newest loads can be replaced by a replay;
+    older ones are folded when there are twice as many."""
+
+    def __init__(self, spark: SparkSession, root: str, keep_pending: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_pending = keep_pending
 
     # -- files -------------------------------------------------------------
     def table_path(self, table: str) -> str:
@@ -131,7 +174,7 @@ class Warehouse:
     def try_commit(self, base: State, **changes) -> State | None:
         """Publish ``base`` with changes as the next version; None if another
         writer published that version first."""
-        new = replace(base, version=base.version + 1, **changes)
+        new = replace(base, version=base.version + 1, **changes).pruned()
         with _locks.setdefault(self.root, threading.Lock()):
             target, fs = self._fs(f"{self.root}/_commits/{new.version:012d}.json")
             if fs.exists(target):
@@ -161,7 +204,7 @@ class Warehouse:
 
     def read(self, table: str, folders: list[str], extra: str = "") -> DataFrame:
         """Rows of the named folders below a table, with its partition columns."""
-        schema = T.StructType([*STAR_TABLES[table].fields,
+        schema = T.StructType([*TABLES[table].fields,
                                *T.StructType.fromDDL(f"{ATTEMPT} string{extra}").fields])
         if table == FACT:
             schema = T.StructType([f for f in schema.fields if f.name != "song_stream_id"])
@@ -176,11 +219,32 @@ class Warehouse:
         return self.read(table, [f"{ATTEMPT}={a}" for a in attempts]).drop(ATTEMPT)
 
     def read_rejects(self, batch_id: str) -> DataFrame:
-        """The plays that the committed load of a batch refused."""
-        attempt = self.state().rejects.get(batch_id)
-        if attempt is None:
-            raise KeyError(f"batch {batch_id!r} has no rejected plays")
-        return self.spark.read.parquet(self.attempt_path("rejects", attempt))
+        """What the committed load of a batch refused, with the reasons."""
+        state = self.state()
+        if batch_id in state.rejects:
+            paths = [self.attempt_path("rejects", state.rejects[batch_id])]
+            return self.spark.read.schema(REJECT).parquet(*paths)
+        if state.refused:
+            rows = self.all_rejects(state).where(F.col("batch_id") == batch_id)
+            if not rows.isEmpty():
+                return rows.drop("batch_id")
+        raise KeyError(f"batch {batch_id!r} has no rejected plays")
+
+    def all_rejects(self, state: State | None = None) -> DataFrame:
+        """Everything that committed loads refused, with the batch ids."""
+        state = state or self.state()
+        schema = T.StructType([*REJECT.fields, T.StructField("batch_id", T.StringType())])
+        out = self.spark.createDataFrame([], schema)
+        if state.refused:
+            out = self.spark.read.schema(schema).parquet(*[self.attempt_path("rejects", a) for a in state.refused])
+        if state.rejects:
+            # Pending attempts are few; their folder names tell the batch.
+            names = {a: b for b, a in state.rejects.items()}
+            rows = self.spark.read.schema(REJECT).parquet(*[self.attempt_path("rejects", a) for a in names])
+            attempt = F.regexp_extract(F.col("_metadata.file_path"), f"{ATTEMPT}=([^/]+)/", 1)
+            known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+            out = out.unionByName(rows.withColumn("batch_id", known[attempt]))
+        return out
 
     # -- models ------------------------------------------------------------
     def publish_models(self, attempts: dict[str, str]) -> None:

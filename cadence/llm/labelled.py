@@ -32,9 +32,11 @@ def sample_labels(labels: DataFrame, target: str, folds: int, held_out: int, lim
 
 def labelled_texts(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """(id, text, label) of the sampled documents.
+    """(id, text, label): one row for each sampled id, so the sample bounds the rows too.
 
-    The sample has a fixed largest size, so it is broadcast and the texts of
-    the other documents don't cross the network.
+    An id with several texts is learned from the smallest one.  The sample has a
+    fixed largest size, so it is broadcast and the texts of the other documents
+    don't cross the network; copies of a hot id are reduced before the shuffle.
     """
-    return only(docs, id_col, text_col).join(F.broadcast(sample), id_col)
+    found = only(docs, id_col, text_col).join(F.broadcast(sample), id_col)
+    return found.groupBy(id_col, "label").agg(F.min(text_col).alias(text_col)).select(id_col, text_col, "label")

@@ -13,10 +13,13 @@ weight of each pattern is fitted to the labels by logistic regression: one
 scale times what the pattern suggests, plus a small difference of its own.
 
 Learning uses at most ``SAMPLE_DOCS`` labelled documents outside the held-out
-fold, half of each label, whole texts.  Word counts of the sample are
-aggregated by Spark; an entry needs a clear excess of toxic documents, where
-near copies (equal smallest word hash) count once, so that the other words of
-a copied text are not taken for insults.  Scoring is a map over whole texts.
+fold, half of each label, whole texts; they are stored once, so the table is read
+twice in all, for them and for the scores.  Words of any length are counted, and
+an entry needs a clear excess of toxic documents by a test that Spark applies to
+all of them.  Near copies (by their minhashes) count once in every count, so that
+the other words of a copied text are not taken for insults.  What the driver holds
+is bounded by the sample: a signature and a vector of pattern values for each
+document, and the entries that passed the test.  Scoring is a map over whole texts.
 
 Null and empty texts match nothing and get the score of no match.  Without
 labels of both kinds there are no learned insults, and the smoothed share of
@@ -36,12 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.labelled import fold, labelled_texts, sample_labels
-from cadence.llm.text import as_bytes, bound_batches, only, with_fields
+from cadence.llm.text import as_bytes, bound_batches, mix, only, with_fields
+from cadence.session import delete_path, materialise
 
 SAMPLE_DOCS = 8000
 FOLDS, HELD_OUT = 5, 0
 STEM_SIZES = range(3, 9)
-MAX_ENTRIES = 4000
+# An entry is that many times as frequent in toxic documents as in clean ones.
+CLEAN_TIMES = 200
+# Signatures of near copies: hashes, hashes in a band, and the share that must agree.
+SIGNATURE, BAND, ALIKE = 32, 4, 0.7
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[^.!?;:\n]+")
 
@@ -196,28 +203,62 @@ class Model:
     bias: float
 
 
-def _surprise(toxic: int, clean: int, rate: float) -> float:
-    """-log of the chance that so few documents with an entry are clean (Chernoff bound)."""
-    n = toxic + clean
-    share = toxic / n
-    if share <= rate:
-        return 0.0
-    tail = (1 - share) * math.log((1 - share) / (1 - rate)) if share < 1 else 0.0
-    return n * (share * math.log(share / rate) + tail)
+def _signatures(texts: DataFrame) -> DataFrame:
+    """(id, label, signature): the smallest hashes of each text's set of words."""
+    seeds = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64))
 
-
-def _word_counts(texts: DataFrame) -> DataFrame:
-    """(entry, stem, toxic, clean) over (text, label); near copies count once."""
+    def run(batches):
+        for batch in batches:
+            found = []
+            for raw in as_bytes(batch.column(1)):
+                words = set(WORD.findall(raw.decode().lower())) or {""}
+                hashes = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, len(words))
+                least = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
+                for i in range(0, len(hashes), 4096):
+                    part = mix(hashes[None, i:i + 4096] ^ seeds[:, None])
+                    least = np.minimum(least, part.min(axis=1))
+                found.append(least.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())],
+                                             ["id", "label", "signature"])
+
+    return texts.mapInArrow(run, "id string, label int, signature binary")
+
+
+def copy_groups(signatures: list[bytes]) -> list[int]:
+    """A number for each signature, equal for near copies (and what they lead to)."""
+    rows = np.frombuffer(b"".join(signatures), np.uint64).reshape(len(signatures), SIGNATURE)
+    root = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for first in range(0, SIGNATURE, BAND):
+        # One member of each group that a bucket holds is enough to compare with.
+        buckets: dict[bytes, list[int]] = {}
+        for i, row in enumerate(rows):
+            bucket = buckets.setdefault(row[first:first + BAND].tobytes(), [])
+            for j in bucket:
+                if find(i) != find(j) and (row == rows[j]).mean() >= ALIKE:
+                    root[max(find(i), find(j))] = min(find(i), find(j))
+            if find(i) not in {find(j) for j in bucket}:
+                bucket.append(i)
+    return [find(i) for i in range(len(rows))]
+
+
+def _word_counts(texts: DataFrame, group: dict[str, int]) -> DataFrame:
+    """(entry, stem, toxic, clean): the groups of near copies with each entry, over (id, text, label)."""
     def run(batches):
         held: dict[tuple[str, bool], list] = {}
         for batch in batches:
-            for raw, label in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist()):
+            for key, raw, label in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)),
+                                       batch.column(2).to_pylist()):
                 words = set(WORD.findall(raw.decode().lower()))
-                copy = min((zlib.crc32(w.encode()) for w in words), default=0)
-                entries = {(w, False) for w in words if len(w) <= 40}
+                entries = {(w, False) for w in words}
                 entries |= {(w[:k], True) for w in words for k in STEM_SIZES if k < len(w)}
                 for entry in entries:
-                    held.setdefault(entry, [set(), set()])[label].add(copy)
+                    held.setdefault(entry, [set(), set()])[label].add(group[key])
         names = ["entry", "stem", "toxic", "clean"]
         items = list(held.items())
         for i in range(0, len(items), 100_000):
@@ -232,11 +273,23 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("entry", "stem").agg(distinct("toxic"), distinct("clean"))
 
 
-def _choose(rows, n_toxic: int, n_clean: int, surprise: float, least: int) -> tuple[dict, dict]:
-    """Entries with a clear excess of toxic documents, with their log-odds weights."""
+def _excess(counts: DataFrame, n_toxic: int, n_clean: int, surprise: float, least: int) -> list:
+    """The entries with a clear excess of toxic documents.
+
+    The test is a bound (Chernoff) on the chance that so few of an entry's documents
+    are clean: minus its logarithm must reach ``surprise``.
+    """
     rate = (n_toxic + 1) / (n_toxic + n_clean + 2)
-    good = [r for r in rows if r.toxic >= least and r.clean * n_toxic * 50 <= r.toxic * n_clean
-            and _surprise(r.toxic, r.clean, rate) >= surprise]
+    n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    tail = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    bound = F.when(share > rate, n * (share * F.log(share / rate) + tail)).otherwise(0.0)
+    return counts.where(F.col("toxic") >= least) \
+        .where(F.col("clean").cast("bigint") * n_toxic * CLEAN_TIMES <= F.col("toxic").cast("bigint") * n_clean) \
+        .where(bound >= surprise).collect()
+
+
+def _choose(good: list, n_toxic: int, n_clean: int) -> tuple[dict, dict]:
+    """Words and stems of the entries that passed the test, with their log-odds weights."""
     weight = {(r.entry, r.stem): math.log((r.toxic + 0.5) / (n_toxic + 1))
               - math.log((r.clean + 0.5) / (n_clean + 1)) for r in good}
     count = {(r.entry, r.stem): r.toxic for r in good}
@@ -285,52 +338,61 @@ def _fit_weights(x: np.ndarray, y: np.ndarray, hold: float = 1e-3, hold_own: flo
 
 
 def _values(texts: DataFrame, words: dict, stems: dict) -> DataFrame:
-    """(label, values) of each row of (text, label)."""
+    """(id, label, values) of each row of (id, text, label)."""
     def run(batches):
         matcher = Matcher(words, stems)
         for batch in batches:
-            found = [matcher.values(t.decode()) for t in as_bytes(batch.column(0))]
+            found = [matcher.values(t.decode()) for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(found, pa.list_(pa.float64()))], ["label", "values"])
+                [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.float64()))],
+                ["id", "label", "values"])
 
-    return texts.mapInArrow(run, "label int, values array<double>")
+    return texts.mapInArrow(run, "id string, label int, values array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int = FOLDS,
         held_out: int = HELD_OUT, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id",
         text_col: str = "text") -> Model:
     """Learn insults and pattern weights from a bounded sample of the labelled documents."""
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     sample = sample_labels(labels, target, folds, held_out, sample_docs, id_col)
-    texts = labelled_texts(docs, sample, id_col, text_col).select(text_col, "label")
+    picked = labelled_texts(docs, sample, id_col, text_col)
+    texts, path = materialise(picked.select(F.col(id_col).cast("string").alias("id"),
+                                            F.col(text_col).alias("text"), "label"), "toxic-sample")
+    try:
+        return _learn(texts)
+    finally:
+        delete_path(spark, path)
+
+
+def _learn(texts: DataFrame) -> Model:
+    """Learn from (id, text, label), one row for each id."""
     words: dict[str, float] = {}
     stems: dict[str, float] = {}
 
     def observed():
         rows = _values(texts, words, stems).collect()  # bounded by the sample
-        return np.array([r["values"] for r in rows]).reshape(-1, len(PATTERNS)), np.array([r.label for r in rows])
-
-    n = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}
-    if n.get(0) and n.get(1):
-        found = _word_counts(texts).where(F.col("toxic") >= 3) \
-            .where(F.col("clean") * n[1] * 50 <= F.col("toxic") * n[0]) \
-            .orderBy(F.desc("toxic"), "clean", "entry", "stem").limit(MAX_ENTRIES).collect()
-        strict = 16.0 + math.log(1 + n[1])
-        words, stems = _choose(found, n[1], n[0], strict, max(3, n[1] // 100))
-        x, y = observed()
+        return np.array([r["values"] for r in rows]).reshape(-1, len(PATTERNS)), rows
+
+    signed = sorted(_signatures(texts).collect(), key=lambda r: r.id)  # bounded by the sample
+    group = dict(zip([r.id for r in signed], copy_groups([r.signature for r in signed])))
+    n = [len({group[r.id] for r in signed if r.label == label}) for label in (0, 1)]
+    x, rows = observed()
+    if all(n):
+        found = _excess(_word_counts(texts, group), n[1], n[0], 16.0 + math.log(1 + n[1]), max(3, n[1] // 100))
+        words, stems = _choose(found, n[1], n[0])
+        x, rows = observed()
         # Toxic documents that no entry explains yet, if there are several, may
         # hold rarer insults: learn from these and the clean ones once more.
-        unmatched = int(((x.sum(axis=1) == 0) & (y == 1)).sum())
-        if unmatched >= 3:
-            rest = [r for r in _word_counts(_unmatched(texts, words, stems))
-                    .where(F.col("toxic") >= 3).where(F.col("clean") == 0)
-                    .orderBy(F.desc("toxic"), "entry", "stem").limit(MAX_ENTRIES).collect()]
-            more, more_stems = _choose(rest, unmatched, n[0], 8.0, 3)
+        silent = x.sum(axis=1) == 0
+        rest = len({group[r.id] for r, nothing in zip(rows, silent) if nothing and r.label == 1})
+        if rest >= 3:
+            found = _excess(_word_counts(_unmatched(texts, words, stems), group), rest, n[0], 8.0, 3)
+            more, more_stems = _choose(found, rest, n[0])
             words, stems = words | more, stems | more_stems
-            x, y = observed()
-    else:
-        x, y = observed()
-    weights, bias = _fit_weights(x, y)
+            x, rows = observed()
+    weights, bias = _fit_weights(x, np.array([r.label for r in rows]))
     return Model(words, stems, weights, bias)
 
 
@@ -340,7 +402,7 @@ def _unmatched(texts: DataFrame, words: dict, stems: dict) -> DataFrame:
         matcher = Matcher(words, stems)
         for batch in batches:
             keep = [label == 0 or not matcher.values(t.decode()).any()
-                    for t, label in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist())]
+                    for t, label in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return texts.mapInArrow(run, texts.schema)

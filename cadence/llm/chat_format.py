@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadence.llm.text import only
+
 ESC = "\x1b"
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
@@ -152,19 +154,22 @@ def canonical_turns(df: DataFrame, id_col: str | None = None) -> DataFrame:
     """(conv_id, turn, role, text) rows of a typed table in any known layout.
 
     ``id_col`` names the conversation id of layouts with one conversation a row.
+    Of columns whose names differ only in case the one written as in the mapping
+    counts; extra columns are left behind.
     """
     mapping = select_mapping(df.schema, (id_col,) if id_col else ())
-    name = {c.lower(): c for c in df.columns}
+    fields = mapping.rows or (mapping.messages or ())[:1] or tuple(f for _, names in mapping.turns for f in names)
+    df = only(df, *dict.fromkeys([*fields, *([id_col] if id_col and not mapping.rows else [])]))
     if mapping.rows:
-        conv, turn, role, text = (F.col(f"`{name[c]}`") for c in mapping.rows)
+        conv, turn, role, text = (F.col(f"`{c}`") for c in mapping.rows)
         return df.select(conv.alias("conv_id"), turn.cast("bigint").alias("turn"),
                          F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     conv = (F.col(f"`{id_col}`") if id_col else F.monotonically_increasing_id()).alias("conv_id")
     if mapping.messages:
         array, role, text = mapping.messages
-        turns = _message_turns(F.col(f"`{name[array]}`"), role, text)
+        turns = _message_turns(F.col(f"`{array}`"), role, text)
         return df.select(conv, F.explode(turns).alias("t")).select("conv_id", "t.turn", "t.role", "t.text")
-    turns = _struct_turns(mapping, lambda f: F.col(f"`{name[f]}`").cast("string"))
+    turns = _struct_turns(mapping, lambda f: F.col(f"`{f}`").cast("string"))
     return df.select(conv, F.explode(turns).alias("t")).select("conv_id", "t.turn", "t.role", "t.text")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import chat_format as C
 from cadence.llm import queries
-from tests.llm.helpers import SF, oracle, rows, same
+from tests.llm.helpers import SF, oracle, rows, same, with_clashes
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
 
@@ -81,3 +81,13 @@ def test_main_path_has_no_python_and_takes_an_empty_table(spark):
     assert rows(df, "conv_id", "n_turns") == [(-1, 2)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_clashing_column_names(spark):
+    data = [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+    turns = spark.createDataFrame(data, TURNS)
+    assert rows(C.canonical_turns(with_clashes(turns))) == data
+    assert rows(C.chat_digests(with_clashes(turns))) == rows(C.chat_digests(turns))
+    single = spark.createDataFrame([(1, "q", "a", "x", "y")], "id bigint, prompt string, response string, "
+                                   "PROMPT string, Id string")
+    assert rows(C.canonical_turns(single, "id")) == data

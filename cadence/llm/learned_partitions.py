@@ -21,7 +21,8 @@ no part, nor do null ids, and vectors of another length than most of the sample
 are searched whole, as a partition of their own.  Ties go to the smaller id; rows
 that repeat the query's id are its own.  Equal rows of an id count once.  An id
 with several vectors takes one place at most in a query's answer, and a query
-with several has one answer: the best score over all of them counts.
+with several has one answer: the best score over all of them counts.  Vectors are
+scaled by powers of two first, so components of any size take part.
 """
 
 from __future__ import annotations
@@ -211,11 +212,20 @@ def _solve(k: int):
     return solve
 
 
+def scaled(v: np.ndarray) -> np.ndarray | None:
+    """A vector times the power of two that brings its largest component near 1.
+
+    That changes no cosine, and squares of tiny or huge components stay in range.
+    """
+    largest = np.abs(v).max(initial=0.0)
+    return np.ldexp(v, -np.frexp(largest)[1]) if largest else None
+
+
 def nearest(embeddings: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
             vec_col: str = "embedding", sample: int = SAMPLE, target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score) of every row for which ``is_query`` (over vec_id) holds."""
     vectors, _ = materialise(
-        valid_vectors(embeddings, id_col, vec_col, lambda v: v if v.any() else None).distinct(), "ann-vectors")
+        valid_vectors(embeddings, id_col, vec_col, scaled).distinct(), "ann-vectors")
     picked = [np.frombuffer(r.v, "<f8") for r in first_by_hash(vectors, sample).collect()]
     dims, counts = np.unique([len(v) for v in picked], return_counts=True)
     dim = int(dims[counts.argmax()]) if picked else 1

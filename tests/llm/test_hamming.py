@@ -21,7 +21,7 @@ def shingles(text):
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(pairs):
+def brute(pairs, percent=85):
     """doc_id -> (size, component) by comparing all pairs."""
     sets = {i: shingles(t) for i, t in pairs}
     root = {i: i for i in sets}
@@ -35,7 +35,7 @@ def brute(pairs):
         for b in sorted(sets):
             if a < b and sets[a] and sets[b]:
                 both = len(sets[a] & sets[b])
-                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
     return {i: (len(sets[i]), find(i)) for i in sets}

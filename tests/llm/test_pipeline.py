@@ -28,7 +28,7 @@ def test_stages_against_brute_force(spark):
     assert rows(lines, "doc_id", "text", "n_chars") == [(i, t, len(t)) for i, t, *_ in expected]
 
     near = C.near(spark, lines, SF)
-    components = near_brute([(i, t) for i, t, *_ in expected])
+    components = near_brute([(i, t) for i, t, *_ in expected], C.NEAR_PERCENT)
     assert near.columns == list(C.COLUMNS)
     assert {r.doc_id for r in near.collect()} == {i for i, (_, c) in components.items() if c == i}
 

@@ -49,11 +49,15 @@ def test_safe_cuts_change_no_id(monkeypatch):
     rng = random.Random(3)
     enc = plain(MULTI)
     monkeypatch.setattr(B, "LONG_CHARS", 5)
+    cuts = 0
     for _ in range(400):
         text = "".join(rng.choice(PIECES) for _ in range(rng.randrange(40)))
         parts = B.safe_parts(text, 5)
         assert "".join(parts) == text
+        assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
         assert B.encode(enc, text).tolist() == enc.encode_ordinary(text)
+        cuts += len(parts) - 1
+    assert cuts > 200
 
 
 def test_vocabulary_file_and_rank_file_agree_with_the_tokenizers_library():
@@ -109,8 +113,9 @@ def test_packing_awkward_rows_and_sequences(spark):
     all_rows = packed.collect()
     assert sum(r.length for r in all_rows if r.doc_id is None) == len(enc.encode_ordinary("lone text")) + 2
     seqs = {r.sequence_id: r.ids for r in K.sequences(packed).collect()}
+    whole = {d: [*enc.encode_ordinary(t), 0] for d, t in texts.items()}
     for r in found:
-        ids = [*enc.encode_ordinary(texts[r.doc_id]), 0][r.start:r.start + r.length]
+        ids = whole[r.doc_id][r.start:r.start + r.length]
         assert seqs[r.sequence_id][r.offset:r.offset + r.length] == ids
     assert K.pack_documents(empty(spark), JSON, P.PATTERN).count() == 0
 

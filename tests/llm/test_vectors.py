@@ -123,3 +123,24 @@ def test_nearest_awkward_vectors(spark):
     assert [t[:3] for t in got] == [t[:3] for t in want]
     assert np.allclose([t[3] for t in got], [t[3] for t in want], rtol=0, atol=1e-12)
     assert A.nearest_query(empty(spark, SCHEMA)).count() == 0
+
+
+def test_components_of_any_size_take_part(spark):
+    x = clustered(300, 8, 4).astype(float)
+    for i, size in enumerate((1e-170, 1e170, 5e-324, 1e-310, 1e300)):
+        x[i] = np.sign(x[i]) if size == 5e-324 else x[i] / np.abs(x[i]).max()
+        x[i] *= size
+    pairs = [(i, v.tolist()) for i, v in enumerate(x)]
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    table = spark.createDataFrame(pairs, "vec_id bigint, embedding array<double>")
+    got = rows(A.nearest(table, F.col("vec_id") < 10), "query_id", "rank", "vec_id", "score")
+    assert len(got) == 50
+    found = 0
+    for q in range(10):
+        near = unit @ unit[q]
+        near[q] = -2
+        mine = [r for r in got if r[0] == q]
+        assert all(abs(near[v] - score) < 1e-9 for _, _, v, score in mine)
+        found += len({r[2] for r in mine} & set(np.argsort(-near)[:5].tolist()))
+    assert found >= 45

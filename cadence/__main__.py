@@ -3,10 +3,11 @@
 
   run-batch  --raw PATH --warehouse PATH --batch-id ID [--format csv|parquet]
              [--multiline] [--csv-one-line] [--as-of TS] [--latest-cap N] [--keep-rejects]
+             [--plays-once]                    (a play that several batches bring counts once)
   compact    --warehouse PATH [--vacuum-keep K]
   stream     --landing PATH --warehouse PATH --checkpoint PATH [--max-files N]
              [--processing-time '5 minutes']   (default: process what is there, then stop)
-             [--fail-on-reject]                (default: bad records are stored as rejects)
+             [--plays-once] [--fail-on-reject] (default: bad records are stored as rejects)
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--latest-cap", type=int)
     rb.add_argument("--keep-rejects", action="store_true",
                     help="write plays without a natural key to rejects/ instead of failing")
+    rb.add_argument("--plays-once", action="store_true",
+                    help="leave out plays that another batch has brought")
     cp = sub.add_parser("compact")
     cp.add_argument("--warehouse", required=True)
     cp.add_argument("--vacuum-keep", type=int,
@@ -42,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--multiline", action="store_true")
     st.add_argument("--processing-time")
     st.add_argument("--fail-on-reject", action="store_true")
+    st.add_argument("--plays-once", action="store_true")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -56,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
         res = run_batch_job(spark, args.raw, args.warehouse, args.batch_id, fmt=args.format,
                             multiline=args.multiline, as_of=args.as_of,
                             latest_cap=args.latest_cap, fail_on_reject=not args.keep_rejects,
-                            csv_multiline=not args.csv_one_line)
+                            csv_multiline=not args.csv_one_line, identity=args.plays_once)
         res.checks.show(truncate=False)
     elif args.cmd == "compact":
         from cadence.operators.star import compact, vacuum
@@ -76,11 +80,12 @@ def main(argv: list[str] | None = None) -> int:
                               processing_time=args.processing_time,
                               max_files_per_trigger=args.max_files,
                               multiline=args.multiline,
-                              fail_on_reject=args.fail_on_reject).awaitTermination()
+                              fail_on_reject=args.fail_on_reject,
+                              identity=args.plays_once).awaitTermination()
         else:
             run_incremental(spark, args.landing, wh, args.checkpoint,
                             max_files_per_trigger=args.max_files, multiline=args.multiline,
-                            fail_on_reject=args.fail_on_reject)
+                            fail_on_reject=args.fail_on_reject, identity=args.plays_once)
     return 0
 
 

@@ -20,6 +20,11 @@ folds the older ones (``fold``).  A month's folded attempts are kept in sizes
 that fall by a ratio, so a late play is merged with small attempts and does not
 rewrite an old month, and their number grows with the logarithm of the rows.
 Dimension attempts are merged by the same rule.  ``compact`` folds everything.
+
+Fetches with overlapping windows return a play again.  With ``identity`` a load
+adds a play once, whatever batch brings it: the identities of its plays (listener,
+time, song) are stored beside its fact cells by month, and a later load anti-joins
+those of its own months.
 """
 
 from __future__ import annotations
@@ -34,9 +39,9 @@ from pyspark.sql import functions as F
 
 from cadence.functions import keys
 from cadence.operators.clean import RejectedPlaysError
-from cadence.schemas import REJECT, STAR_TABLES
-from cadence.sources.warehouse import (ATTEMPT, DIM_TABLES, FACT, NUMBERS, PART_TABLES, TABLES, State, Warehouse,
-                                       check_batch_id)
+from cadence.schemas import PLAY_KEYS, REJECT, STAR_TABLES
+from cadence.sources.warehouse import (ATTEMPT, DIM_TABLES, FACT, KEYS, NUMBERS, PART_TABLES, TABLES, State,
+                                       Warehouse, check_batch_id)
 
 CELL_KEYS = ["song_natural_key", "artist_natural_key", "year", "month", "hour_of_day", "day_of_week"]
 DATE_KEYS = ["year", "month", "hour_of_day", "day_of_week"]
@@ -140,7 +145,7 @@ def is_folded(warehouse: Warehouse, state: State, batch_id: str) -> bool:
 
 def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_reject: bool = True,
               stream: tuple[str, int] | None = None, refused: DataFrame | None = None,
-              same_is_done: bool = False) -> LoadResult:
+              same_is_done: bool = False, identity: bool = False) -> LoadResult:
     """Load one batch of cleaned plays into the star schema.
 
     ``plays`` is read twice or more: pass a stored table where it is costly to
@@ -148,7 +153,10 @@ def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_rej
     an epoch that is committed, folded or not, is not loaded again.  ``refused``
     (``REJECT`` rows) is stored with the batch's rejects, in the same commit.  A
     folded batch can't be replaced; with ``same_is_done`` a replay of equal cells
-    does nothing instead of raising.
+    does nothing instead of raising.  With ``identity`` plays that other committed
+    loads with identities brought, or that repeat within the batch, are left out.  A
+    replay compares with the other batches only; what these left out because of the
+    replaced batch stays out.
     """
     check_batch_id(batch_id)
     if batch_id.startswith(STREAM_PREFIX) != bool(stream):
@@ -161,21 +169,69 @@ def load_star(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_rej
     if folded is not None and not same_is_done:
         raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the compacted fact; "
                                     "replaying it would count its plays twice")
+    while True:
+        result = _load_once(warehouse, plays, batch_id, fail_on_reject, stream, refused, folded, identity)
+        if result is not None:
+            break
+    if len(warehouse.state().facts) > 2 * warehouse.keep_pending:
+        fold(warehouse)
+    return result
+
+
+def _load_once(warehouse: Warehouse, plays: DataFrame, batch_id: str, fail_on_reject: bool,
+               stream: tuple[str, int] | None, refused: DataFrame | None, folded: str | None,
+               identity: bool) -> LoadResult | None:
+    """One try; None if another load changed the months whose identities were compared."""
     scratch = warehouse.scratch_path(f"load-{batch_id}")
+    seen = None
     try:
+        if identity and folded is None:
+            seen = _write_new_plays(warehouse, plays, batch_id, f"{scratch}/plays")
+            plays = warehouse.spark.read.parquet(f"{scratch}/plays")
         play_cells(plays).write.parquet(f"{scratch}/cells")
         cells = warehouse.spark.read.parquet(f"{scratch}/cells")
         if folded is not None:
-            if _summary(cells)[2] != folded:
+            if not identity and _summary(cells)[2] != folded:
                 raise BatchAlreadyCompacted(f"batch {batch_id!r} is folded into the compacted fact "
                                             "with other plays")
             return LoadResult(batch_id, 0, False)
-        result = _load_cells(warehouse, plays, batch_id, cells, fail_on_reject, stream, refused)
+        return _load_cells(warehouse, plays, batch_id, cells, fail_on_reject, stream, refused, seen)
     finally:
         warehouse.delete(scratch)
-    if len(warehouse.state().facts) > 2 * warehouse.keep_pending:
-        fold(warehouse)
-    return result
+
+
+def _other_sources(state: State, batch_id: str, months: list[str]) -> dict[str, list[str]]:
+    """The attempts of other batches that hold plays of these months."""
+    own = state.facts.get(batch_id, {}).get("attempt")
+    sources = state.sources()
+    return {m: [a for a in sources.get(m, []) if a != own] for m in months}
+
+
+def _write_new_plays(warehouse: Warehouse, plays: DataFrame, batch_id: str, path: str) -> dict[str, list[str]]:
+    """Write the plays that no other load has brought; return what they were compared with.
+
+    Only the months of the batch are read, and stored identities are narrowed to those
+    of the batch before the anti join.  Plays without a song id have no identity and stay.
+    """
+    listener = F.coalesce("listener", F.lit("")) if "listener" in plays.columns else F.lit("")
+    plays = plays.withColumn("listener", listener)
+    months = sorted(f"{r.year:04d}-{r.month:02d}" for r in plays.select("year", "month").distinct().collect())
+    sources = _other_sources(warehouse.state(), batch_id, months)
+    keys = list(PLAY_KEYS.names)
+    known = F.col("song_natural_key").isNotNull()
+    new = plays.where(known).dropDuplicates(keys)
+    folders = _key_folders(warehouse, sources)
+    if folders:
+        stored = warehouse.read(KEYS, folders, ", year int, month int").select(*keys)
+        new = new.join(stored.join(new.select(*keys), keys, "left_semi"), keys, "left_anti")
+    new.unionByName(plays.where(~known)).write.parquet(path)
+    return sources
+
+
+def _key_folders(warehouse: Warehouse, sources: dict[str, list[str]]) -> list[str]:
+    """The folders of these attempts' identities; loads without identities have none."""
+    folders = [f"{ATTEMPT}={a}/year={int(m[:4])}/month={int(m[5:])}" for m, found in sources.items() for a in found]
+    return [f for f in folders if warehouse.exists(f"{warehouse.table_path(KEYS)}/{f}")]
 
 
 def _has_keys() -> Column:
@@ -205,7 +261,8 @@ def _without_key(plays: DataFrame) -> DataFrame:
 
 
 def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: DataFrame, fail_on_reject: bool,
-                stream: tuple[str, int] | None, refused: DataFrame | None) -> LoadResult:
+                stream: tuple[str, int] | None, refused: DataFrame | None,
+                seen: dict[str, list[str]] | None) -> LoadResult | None:
     months, rejected, digest = _summary(cells)
     if rejected and fail_on_reject:
         raise RejectedPlaysError(f"{rejected} plays in batch {batch_id!r} lack a natural key")
@@ -221,6 +278,9 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: Da
     # Balanced by month: a file or a few for each month, not one for each task and month.
     fact_delta(cells).hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(
         warehouse.attempt_path(FACT, attempt))
+    if seen is not None:
+        plays.select(*PLAY_KEYS.names, "year", "month").hint("rebalance", "year", "month").write.partitionBy(
+            "year", "month").parquet(warehouse.attempt_path(KEYS, attempt))
 
     based_on, added = None, {}
     while True:
@@ -229,6 +289,8 @@ def _load_cells(warehouse: Warehouse, plays: DataFrame, batch_id: str, cells: Da
             return LoadResult(batch_id, 0, False)
         if is_folded(warehouse, state, batch_id):
             raise BatchAlreadyCompacted(f"batch {batch_id!r} was compacted while it was loaded again")
+        if seen is not None and _other_sources(state, batch_id, list(seen)) != seen:
+            return None
         if based_on != state.dims:
             dims_attempt = warehouse.new_attempt(batch_id)
             added = _write_dims(warehouse, state, cells, plays, dims_attempt)
@@ -430,6 +492,11 @@ def _fold(warehouse: Warehouse, state: State, batches: list[str], whole: bool) -
         # Rebalanced by month: small months get one file, large ones several.
         summed = _sum_cells(_cells_of(warehouse, merging, sorted(merging))).hint("rebalance", "year", "month")
         jobs.append(lambda: summed.write.partitionBy("year", "month").parquet(warehouse.attempt_path(FACT, attempt)))
+        folders = _key_folders(warehouse, merging)
+        if folders:
+            # An identity is stored once, so they need no deduplication.
+            ids = warehouse.read(KEYS, folders, ", year int, month int").drop(ATTEMPT).hint("rebalance", "year", "month")
+            jobs.append(lambda: ids.write.partitionBy("year", "month").parquet(warehouse.attempt_path(KEYS, attempt)))
     for table, kept in dims.items():
         rows = warehouse.read(table, [f"{ATTEMPT}={a}" for a in state.dims[table][kept:]]).drop(ATTEMPT)
         jobs.append(lambda table=table, rows=rows: rows.hint("rebalance").write.parquet(
@@ -440,12 +507,12 @@ def _fold(warehouse: Warehouse, state: State, batches: list[str], whole: bool) -
     folded, refused = list(state.folded), list(state.refused)
     if named:
         schema = "batch_id string, digest string"
-        ids = spark.createDataFrame(named, schema).coalesce(1)
+        names = spark.createDataFrame(named, schema).coalesce(1)
         if len(folded) >= MAX_FOLDED:
-            ids = ids.unionByName(spark.read.schema(schema).parquet(
+            names = names.unionByName(spark.read.schema(schema).parquet(
                 *[warehouse.attempt_path("folded", a) for a in folded]))
             folded = []
-        jobs.append(lambda: ids.write.parquet(warehouse.attempt_path("folded", attempt)))
+        jobs.append(lambda: names.write.parquet(warehouse.attempt_path("folded", attempt)))
         folded.append(attempt)
     if any(b in state.rejects for b in batches):
         # With the batch ids, into one table; the earlier ones join it when they are many.

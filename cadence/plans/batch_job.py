@@ -36,11 +36,13 @@ class JobResult:
 def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch_id: str,
                   fmt: str = "parquet", multiline: bool = False, as_of=None,
                   latest_cap: int | None = None, fail_on_reject: bool = True,
-                  fail_on_checks: bool = True, csv_multiline: bool = True) -> JobResult:
+                  fail_on_checks: bool = True, csv_multiline: bool = True,
+                  identity: bool = False) -> JobResult:
     """Run the job for one landed batch.
 
     ``csv_multiline=False`` reads the CSV layers as one record a line, so that large
     files are split over tasks; it is for batches whose texts hold no line ends.
+    ``identity`` counts a play once, where the windows of several runs overlap.
     """
     ensure_conf(spark)
     check_batch_id(batch_id)
@@ -73,7 +75,8 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
 
     # load, models, checks: the fact is summed once, and marts count only once
     # the checks have passed.
-    loaded = load_star(wh, plays, batch_id, fail_on_reject=fail_on_reject, same_is_done=True)
+    loaded = load_star(wh, plays, batch_id, fail_on_reject=fail_on_reject, same_is_done=True,
+                       identity=identity)
     with stored_fact(wh) as (state, fact):
         models = staging_models(wh, fact, state)
         attempts = write_marts(wh, models)

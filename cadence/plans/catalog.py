@@ -457,6 +457,21 @@ def q_marts_incremental(spark, sf_dir, feed="events"):
     return _all_marts(wh.read_model)
 
 
+def q_incremental_overlap(spark, sf_dir):
+    """Two landings whose windows share two days, streamed in with a reset checkpoint
+    between them, and the later one loaded as a batch besides: every play counts once."""
+    ensure_conf(spark)
+    plays, split = event_plays(spark, sf_dir), F.lit(SPLIT_AT).cast("timestamp")
+    day = F.make_interval(days=F.lit(1))
+    windows = {"early": plays.where(F.col("played_at") < split + day), "late": plays.where(F.col("played_at") >= split - day)}
+    wh, landing = Warehouse(spark, scratch_path(spark, "wh-overlap")), scratch_path(spark, "landing")
+    for name, part in windows.items():
+        raw_json.write_raw_pages(raw_json.to_raw_pages(part), f"{landing}/{name}")
+        run_incremental(spark, f"{landing}/{name}", wh, checkpoint=scratch_path(spark, "stream-ckpt"), identity=True)
+    load_star(wh, clean_plays(raw_json.read_staged_from_json(spark, f"{landing}/late")), "again", identity=True)
+    return _fact_natural(wh)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "mart_top_artists": q_mart_top_artists,
@@ -487,6 +502,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_two_streams": q_incremental_two_streams,
         "fact_replay_smaller": q_fact_replay_smaller,
         "incremental_quarantine": q_incremental_quarantine,
+        "incremental_overlap": q_incremental_overlap,
         "fact_tiered": q_fact_tiered,
         "marts_incremental": q_marts_incremental,
         "marts_incremental_wide": lambda s, d: q_marts_incremental(s, d, "lineitem"),

@@ -222,6 +222,7 @@ SELECT 'loaded' AS kind, song_natural_key AS name, artist_natural_key AS detail,
 FROM landed WHERE NOT cut AND event_type NOT IN ('view', 'error', 'purchase')
 GROUP BY song_natural_key, artist_natural_key
 UNION ALL SELECT 'refused', name, '', plays, NULL FROM bad WHERE plays > 0""",
+        "incremental_overlap": star + CELLS_OUT,
         "fact_tiered": star + CELLS_OUT,
         "marts_incremental": smaller + ALL_MARTS,
         "marts_incremental_wide": smaller_wide + ALL_MARTS,

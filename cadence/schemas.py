@@ -93,6 +93,10 @@ FACT_SONG_STREAM = T.StructType([
 # A dense number for each song, from 0 on, for bitmaps of songs.
 SONG_NUMBERS = T.StructType([T.StructField("song_id", _L), T.StructField("number", _L)])
 
+# What tells a play from all others: a listener starts a song once at a time.
+PLAY_KEYS = T.StructType([T.StructField("listener", _S), T.StructField("played_at", T.TimestampType()),
+                          T.StructField("song_natural_key", _S)])
+
 STAR_TABLES = {
     "dim_artist": DIM_ARTIST,
     "dim_song": DIM_SONG,

@@ -5,6 +5,7 @@ Layout under ``root``::
     data/<table>/attempt=<id>/...                       dimension rows of one attempt
     data/fact_song_stream/attempt=<id>/year=/month=/    fact cells of one attempt
     data/song_numbers/attempt=<id>/                     a dense number for each song
+    data/play_keys/attempt=<id>/year=/month=/           identities of the plays behind fact cells
     data/rejects/attempt=<id>/, data/folded/attempt=<id>/
     data/parts_<mart>/attempt=<id>/year=/month=/        mart parts of single months
     marts/<model>/attempt=<id>/                         a model table of one build
@@ -19,9 +20,11 @@ at the new state and tries again.  Readers take one state and see just its
 attempts; an attempt that was never committed is garbage that ``vacuum``
 removes after a while.
 
-Commits need a store whose rename fails if the target exists (HDFS and
-similar).  On stores without it let one writer work at a time; two writers of
-one process are kept apart by a lock.
+A commit file gets its name in one step that fails if the name is taken, also
+between processes: by a hard link on local disks, elsewhere by a rename without
+overwrite of Hadoop's ``FileContext``, which is atomic on HDFS and its like.  On
+stores where that is a check and a copy (some object stores) let one process write
+at a time; writers of one process are kept apart by a lock.
 """
 
 from __future__ import annotations
@@ -33,16 +36,18 @@ import threading
 import uuid
 from dataclasses import asdict, dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.schemas import REJECT, SONG_NUMBERS, STAR_TABLES
+from cadence.schemas import PLAY_KEYS, REJECT, SONG_NUMBERS, STAR_TABLES
 
 DIM_TABLES = ("dim_artist", "dim_song", "dim_date")
 NUMBERS = "song_numbers"
 PART_TABLES = ("parts_artists", "parts_songs", "parts_patterns")
-TABLES = STAR_TABLES | {NUMBERS: SONG_NUMBERS}
+KEYS = "play_keys"
+TABLES = STAR_TABLES | {NUMBERS: SONG_NUMBERS, KEYS: PLAY_KEYS}
 FACT = "fact_song_stream"
 ATTEMPT = "attempt"
 BATCH_ID = re.compile(r"[A-Za-z0-9_.-]+")
@@ -90,7 +95,7 @@ class State:
     def attempts(self) -> set[tuple[str, str]]:
         """(table, attempt) of everything that counts."""
         out = {(t, a) for t, found in self.dims.items() for a in found}
-        out |= {(FACT, a) for found in self.sources().values() for a in found}
+        out |= {(t, a) for found in self.sources().values() for a in found for t in (FACT, KEYS)}
         out |= {("rejects", a) for a in [*self.rejects.values(), *self.refused]} | {("folded", a) for a in self.folded}
         out |= {(t, a) for t in PART_TABLES for a, _ in self.parts.values()}
         return out | {(f"marts/{m}", a) for m, a in self.models.items()}
@@ -185,11 +190,31 @@ class Warehouse:
                 out.write(bytearray(json.dumps(asdict(new), sort_keys=True).encode()))
             finally:
                 out.close()
-            if not fs.rename(draft, target):
-                fs.delete(draft, False)
+            try:
+                self._name_once(fs, draft, target)
+            except Py4JJavaError as e:
+                if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+                    raise
                 return None
+            finally:
+                if fs.exists(draft):
+                    fs.delete(draft, False)
         return new
 
+    def _name_once(self, fs, draft, target) -> None:
+        """Give a file its final name; a FileAlreadyExistsException if that is taken."""
+        gateway = self.spark.sparkContext._gateway
+        jvm = gateway.jvm
+        if fs.getScheme() == "file":
+            at = [jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri()) for p in (target, draft)]
+            jvm.java.nio.file.Files.createLink(*at)
+            return
+        options = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(draft, target, options)
+
     # -- tables ------------------------------------------------------------
     def create_tables(self) -> None:
         """Create each star table's folder if absent (metadata only, no job).

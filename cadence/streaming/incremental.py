@@ -15,6 +15,10 @@ micro-batch's rejects, with the reason and where they came from, in the same
 commit as its good plays (``Warehouse.all_rejects``).  With ``fail_on_reject`` such
 a record fails the micro-batch, and the stream stands until it is mended.
 
+With ``identity`` a play counts once, also where landings overlap or a checkpoint was
+reset: the warehouse keeps the identities of loaded plays by month, however late a
+repetition comes, so there is no watermark after which it would count again.
+
 Late data needs no rule here: fact cells are additive, so a late play
 simply lands in (and adds to) its old cell.
 """
@@ -56,7 +60,8 @@ def stream_name(spark: SparkSession, checkpoint: str) -> str:
         stream.close()
 
 
-def upsert_batch(warehouse: Warehouse, name: Callable[[], str], fail_on_reject: bool = False):
+def upsert_batch(warehouse: Warehouse, name: Callable[[], str], fail_on_reject: bool = False,
+                 identity: bool = False):
     """The foreachBatch function: examine and load one micro-batch of the stream ``name()``."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # An empty micro-batch is a no-op, not an error.  The probe runs on the
@@ -76,7 +81,7 @@ def upsert_batch(warehouse: Warehouse, name: Callable[[], str], fail_on_reject:
                 raise RejectedPlaysError(f"{first.reason} in {first.source}")
             load_star(warehouse, good_plays(examined), f"{STREAM_PREFIX}{stream}-{epoch_id}",
                       fail_on_reject=fail_on_reject, stream=(stream, epoch_id),
-                      refused=None if first is None else refused)
+                      refused=None if first is None else refused, identity=identity)
         finally:
             warehouse.delete(path)
     return handle
@@ -85,9 +90,10 @@ def upsert_batch(warehouse: Warehouse, name: Callable[[], str], fail_on_reject:
 def start_incremental(spark: SparkSession, landing: str, warehouse: Warehouse, checkpoint: str,
                       available_now: bool = True, processing_time: str | None = None,
                       max_files_per_trigger: int | None = None,
-                      multiline: bool = False, fail_on_reject: bool = False) -> StreamingQuery:
+                      multiline: bool = False, fail_on_reject: bool = False,
+                      identity: bool = False) -> StreamingQuery:
     stream = staged_stream(spark, landing, multiline, max_files_per_trigger)
-    handle = upsert_batch(warehouse, lambda: stream_name(spark, checkpoint), fail_on_reject)
+    handle = upsert_batch(warehouse, lambda: stream_name(spark, checkpoint), fail_on_reject, identity)
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -102,7 +108,8 @@ class StreamNotFinished(RuntimeError):
 
 def run_incremental(spark: SparkSession, landing: str, warehouse: Warehouse, checkpoint: str,
                     max_files_per_trigger: int | None = None, multiline: bool = False,
-                    limit_s: float | None = None, fail_on_reject: bool = False) -> None:
+                    limit_s: float | None = None, fail_on_reject: bool = False,
+                    identity: bool = False) -> None:
     """Process everything landed so far, then return.
 
     It takes as long as it takes.  A limit that the caller sets raises when it
@@ -111,7 +118,7 @@ def run_incremental(spark: SparkSession, landing: str, warehouse: Warehouse, che
     warehouse.create_tables()
     q = start_incremental(spark, landing, warehouse, checkpoint, available_now=True,
                           max_files_per_trigger=max_files_per_trigger, multiline=multiline,
-                          fail_on_reject=fail_on_reject)
+                          fail_on_reject=fail_on_reject, identity=identity)
     try:
         finished = q.awaitTermination() if limit_s is None else q.awaitTermination(limit_s)
     finally:

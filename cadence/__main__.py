@@ -3,6 +3,7 @@
 
   run-batch  --raw PATH --warehouse PATH --batch-id ID [--format csv|parquet]
              [--multiline] [--csv-one-line] [--as-of TS] [--latest-cap N] [--keep-rejects]
+             [--database NAME]                 (names for other sessions in the catalog)
              [--plays-once]                    (a play that several batches bring counts once)
   compact    --warehouse PATH [--vacuum-keep K]
   stream     --landing PATH --warehouse PATH --checkpoint PATH [--max-files N]
@@ -31,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     rb.add_argument("--latest-cap", type=int)
     rb.add_argument("--keep-rejects", action="store_true",
                     help="write plays without a natural key to rejects/ instead of failing")
+    rb.add_argument("--database", help="publish the tables' names in this database of the catalog")
     rb.add_argument("--plays-once", action="store_true",
                     help="leave out plays that another batch has brought")
     cp = sub.add_parser("compact")
@@ -60,7 +62,8 @@ def main(argv: list[str] | None = None) -> int:
         res = run_batch_job(spark, args.raw, args.warehouse, args.batch_id, fmt=args.format,
                             multiline=args.multiline, as_of=args.as_of,
                             latest_cap=args.latest_cap, fail_on_reject=not args.keep_rejects,
-                            csv_multiline=not args.csv_one_line, identity=args.plays_once)
+                            csv_multiline=not args.csv_one_line, identity=args.plays_once,
+                            database=args.database)
         res.checks.show(truncate=False)
     elif args.cmd == "compact":
         from cadence.operators.star import compact, vacuum

@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from cadence.operators.checks import assert_checks, run_checks
 from cadence.operators.clean import LINEAGE_COLUMNS, check_not_empty, clean_plays, with_play_id
 from cadence.operators.star import dim_table, load_star
-from cadence.plans.models import Models, register_all, staging_models, stored_fact, write_marts
+from cadence.plans.graph import MODELS, built_from, run_models, sources_of
+from cadence.plans.models import Models, register_all, staging_models, stored_fact
 from cadence.schemas import PROCESSED_COLUMNS, STAGED_COLUMNS
 from cadence.session import ensure_conf
 from cadence.sources import csv_files, raw_json
+from cadence.sources.names import publish_names
 from cadence.sources.warehouse import DIM_TABLES, Warehouse, check_batch_id
 
 
@@ -37,12 +39,13 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
                   fmt: str = "parquet", multiline: bool = False, as_of=None,
                   latest_cap: int | None = None, fail_on_reject: bool = True,
                   fail_on_checks: bool = True, csv_multiline: bool = True,
-                  identity: bool = False) -> JobResult:
+                  identity: bool = False, database: str | None = None) -> JobResult:
     """Run the job for one landed batch.
 
     ``csv_multiline=False`` reads the CSV layers as one record a line, so that large
     files are split over tasks; it is for batches whose texts hold no line ends.
     ``identity`` counts a play once, where the windows of several runs overlap.
+    ``database`` names a database of the catalog that gets the tables' names.
     """
     ensure_conf(spark)
     check_batch_id(batch_id)
@@ -79,7 +82,7 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
                        identity=identity)
     with stored_fact(wh) as (state, fact):
         models = staging_models(wh, fact, state)
-        attempts = write_marts(wh, models)
+        run = run_models(wh, whole=True, fact=fact, state=state, publish=False)
         results = run_checks({
             "stg_streams": models.stg_streams, "stg_songs": models.stg_songs,
             "stg_artists": models.stg_artists, "fact_song_stream": fact,
@@ -88,7 +91,10 @@ def run_batch_job(spark: SparkSession, raw_path: str, warehouse_root: str, batch
         checks = spark.createDataFrame(results.collect(), results.schema)
         if fail_on_checks:
             assert_checks(checks)
-    wh.publish_models(attempts)
+    below = sources_of(MODELS)
+    wh.publish_models(run.attempts, {n: built_from(state, below[n]) for n in run.attempts})
+    if database is not None:
+        publish_names(wh, database)
     return JobResult(batch_id, register_all(wh), checks, loaded.rejected_plays)
 
 

@@ -14,7 +14,6 @@ the join-then-aggregate form.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -173,22 +172,6 @@ def stored_fact(warehouse: Warehouse):
         warehouse.delete(path)
 
 
-def write_marts(warehouse: Warehouse, models: Models) -> dict[str, str]:
-    """Write every mart to an attempt of its own, as concurrent jobs (K6).
-
-    Returns model -> attempt; ``Warehouse.publish_models`` makes them count.
-    """
-    attempts = {name: warehouse.new_attempt("build") for name in MART_NAMES}
-
-    def write(name: str) -> None:
-        models.mart(name, ordered=False).write.parquet(
-            warehouse.attempt_path(f"marts/{name}", attempts[name]))
-
-    with ThreadPoolExecutor(max_workers=len(MART_NAMES)) as pool:
-        list(pool.map(write, MART_NAMES))
-    return attempts
-
-
 def register_all(warehouse: Warehouse) -> Models:
     """Expose staging views and published marts to SQL; return the views."""
     models = staging_models(warehouse)
@@ -201,7 +184,8 @@ def register_all(warehouse: Warehouse) -> Models:
 
 def build_models(warehouse: Warehouse) -> Models:
     """Run the model graph (W3): staging views, then every mart, published at once."""
+    from cadence.plans.graph import run_models
+
     with stored_fact(warehouse) as (state, fact):
-        attempts = write_marts(warehouse, staging_models(warehouse, fact, state))
-    warehouse.publish_models(attempts)
+        run_models(warehouse, whole=True, all_or_nothing=True, fact=fact, state=state)
     return register_all(warehouse)

@@ -73,6 +73,7 @@ class State:
     folded: list[str] = field(default_factory=list)              # attempts with folded batch ids
     streams: dict[str, int] = field(default_factory=dict)        # stream -> newest epoch
     models: dict[str, str] = field(default_factory=dict)         # model -> attempt
+    built: dict[str, str] = field(default_factory=dict)          # model -> what it was built from
     parts: dict[str, list[str]] = field(default_factory=dict)    # month -> [attempt of its mart parts, its sources]
 
     def folded_runs(self, month: str) -> list[str]:
@@ -272,11 +273,13 @@ class Warehouse:
         return out
 
     # -- models ------------------------------------------------------------
-    def publish_models(self, attempts: dict[str, str]) -> None:
-        """Make readers see these attempts of the models, all at once."""
+    def publish_models(self, attempts: dict[str, str], built: dict[str, str] | None = None) -> None:
+        """Make readers see these attempts of the models, all at once.  ``built`` tells
+        what they were built from, if that is known."""
         while True:
             state = self.state()
-            if self.try_commit(state, models=state.models | attempts):
+            kept = {m: b for m, b in state.built.items() if m not in attempts}
+            if self.try_commit(state, models=state.models | attempts, built=kept | (built or {})):
                 return
 
     def read_model(self, name: str) -> DataFrame:

@@ -11,7 +11,8 @@
 3. Phrases: from each such word on, a window of up to ``LONGEST`` words goes as far as
    each two neighbours occur often enough together, by filters of fixed size over
    summed hashes that never lose a frequent one: words first, then pairs of frequent
-   words.  Each window stands for all phrases that it begins with, once for all of
+   words.  Equal runs of such words are summed before they are taken apart into
+   windows.  Each window stands for all phrases that it begins with, once for all of
    them.  Windows are summed in the tasks and sorted by range; runs of equal
    beginnings in the sorted windows give the phrases' counts, of the texts and not of
    hashes.  A run inside a partition is whole, runs at its ends are summed over
@@ -356,11 +357,25 @@ def frequent_pairs(dictionary: DataFrame, known_words: np.ndarray, least: int, p
     return _filter(many.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("place")))
 
 
-def windows(dictionary: DataFrame, known_words: np.ndarray, known_pairs: np.ndarray, longest: int = LONGEST,
-            period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
-    """(lang, window, n): from each word of the dictionary's chunks on, the frequent words that follow."""
+def linked_runs(dictionary: DataFrame, known_words: np.ndarray, known_pairs: np.ndarray, longest: int = LONGEST,
+                period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
+    """(lang, run, starts, n): the runs of words that are linked one to the next, in all chunks.
+
+    The first ``starts`` words of a run begin windows; what follows them belongs to the
+    next chunk, and is kept as far as their windows reach.
+    """
     shared = dictionary.sparkSession.sparkContext.broadcast((known_words, known_pairs))
 
+    def rows(held: Counter):
+        items = list(held.items())
+        for i in range(0, len(items), 50_000):
+            part = items[i:i + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.binary()),
+                 pa.array([k[2] for k, _ in part], pa.int32()), pa.array([n for _, n in part], pa.int64())],
+                ["lang", "run", "starts", "n"])
+        held.clear()
+
     def run(batches):
         held: Counter = Counter()
         chunks = Chunks()
@@ -369,20 +384,38 @@ def windows(dictionary: DataFrame, known_words: np.ndarray, known_pairs: np.ndar
             keys = word_keys(words, chunks.lang_hash[lang])
             linked = _links(words, keys, _holds(shared.value[0], keys))
             linked[:-1] &= _holds(shared.value[1], pair_keys(keys))
-            # A window ends with the first word that isn't linked to the next one.
-            at = np.arange(len(keys))
-            end = np.minimum.accumulate(np.where(linked, len(keys), at)[::-1])[::-1]
-            stop = np.minimum(end + 1, at + longest)
-            own = np.flatnonzero(own_words(words, period=period) & linked)
-            begin, end = words.starts[own], words.ends[stop[own] - 1]
-            for x, y, g, k in zip(begin.tolist(), end.tolist(), lang[own].tolist(), weight[own].tolist()):
-                held[names[g], raw[x:y]] += k
+            begins = linked & own_words(words, period=period)
+            # Words that begin windows, one after the other in one chunk, make a run.
+            first = np.flatnonzero(begins & ~np.append(False, begins[:-1] & linked[:-1]))
+            last = np.flatnonzero(begins & ~np.append(begins[1:], False))
+            ended = np.flatnonzero(~linked)
+            stop = np.minimum(ended[np.searchsorted(ended, last)] + 1, last + longest)
+            for x, y, g, k, starts in zip(words.starts[first].tolist(), words.ends[stop - 1].tolist(),
+                                          lang[first].tolist(), weight[first].tolist(), (last - first + 1).tolist()):
+                held[names[g], raw[x:y], starts] += k
+            if len(held) > held_rows:
+                yield from rows(held)
+        yield from rows(held)
+
+    found = dictionary.select("lang", "chunk", "n").mapInArrow(run, "lang string, run binary, starts int, n bigint")
+    return found.groupBy("lang", "run", "starts").agg(F.sum("n").alias("n"))
+
+
+def windows(runs: DataFrame, longest: int = LONGEST, held_rows: int = HELD_ROWS) -> DataFrame:
+    """(lang, window, n): from each word on that begins windows, the linked words that follow."""
+    def run(batches):
+        held: Counter = Counter()
+        for batch in batches:
+            for lang, text, starts, n in zip(*[c.to_pylist() for c in batch.columns]):
+                words = text.split(JOINT)
+                for i in range(starts):
+                    held[lang, JOINT.join(words[i:i + longest])] += n
             if len(held) > held_rows:
                 yield from _rows(held, columns)
         yield from _rows(held, columns)
 
     columns = ["lang", "window", "n"]
-    return dictionary.select("lang", "chunk", "n").mapInArrow(run, "lang string, window binary, n bigint")
+    return runs.select("lang", "run", "starts", "n").mapInArrow(run, "lang string, window binary, n bigint")
 
 
 def phrase_counts(found: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
@@ -494,8 +527,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, period: in
     words, words_path = materialise(
         dictionary_words(dictionary, period, held_rows).where(F.col("n") >= least), "collocation-words")
     known = frequent_words(words)
-    found = windows(dictionary, known, frequent_pairs(dictionary, known, least, period), period=period,
-                    held_rows=held_rows)
+    pairs = frequent_pairs(dictionary, known, least, period)
+    runs = linked_runs(dictionary, known, pairs, period=period, held_rows=held_rows)
+    found = windows(runs, held_rows=held_rows)
     summed, summed_path = materialise(found, "collocation-windows")
     phrases, phrases_path = materialise(phrase_counts(summed, least), "collocation-phrases")
     singles = words.where(F.length("word") > 0).select(

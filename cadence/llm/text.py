@@ -23,8 +23,10 @@ SPACE = b" \t\n\x0b\x0c\r"
 def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Hold at most ``rows`` texts in one Arrow batch.
 
-    Batches are limited by rows only, and texts may be megabytes long.  The
-    setting is read when the job runs, so it stays set in the session.
+    Spark also ends a batch at ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB
+    by default), but the texts of such a batch take several times that as Python
+    objects and arrays, and short ones wait for each other.  The setting is read
+    when the job runs, so it stays set in the session.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) not in range(1, rows + 1):

@@ -1,0 +1,151 @@
+"""The scores of both classifiers against plain Python: dict counts and loops over one text."""
+
+import math
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from cadence.llm import subword_quality as Q
+from cadence.llm import text as X
+from cadence.llm import toxic_grammar as T
+from tests.llm.helpers import SF, documents
+
+MASK = (1 << 64) - 1
+
+
+def sigmoid(x):
+    return 1 / (1 + math.exp(-max(-50, min(50, x))))
+
+
+# -- quality -------------------------------------------------------------------------
+
+def mixed(x):
+    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & MASK
+    x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 & MASK
+    return x ^ x >> 32
+
+
+def hashed(span):
+    total = 0
+    for b in reversed(span):
+        total = (total * X._BASE + int(X._VALUES[b])) & MASK
+    return mixed(total)
+
+
+def plain_quality(text, values, bias):
+    raw = (text or "").encode()
+    found = []
+    for size in Q.SIZES:
+        # The space that ends a text belongs to its n-grams.
+        held = raw + b" "
+        found += [hashed(held[i:i + size]) >> 64 - Q.BUCKET_BITS for i in range(len(held) - size + 1)]
+    words = [hashed(w) for w in re.findall(rb"[^ \t-\r]+", raw)]
+    bucket = lambda h, kind: mixed(h + kind & MASK) >> 64 - Q.BUCKET_BITS
+    found += [bucket(w, 1) for w in words]
+    found += [bucket(1 if a == b else (a * 3 + b) & MASK, 2) for a, b in zip(words, words[1:])]
+    found += [bucket(2, 3) for a, b in zip(words, words[2:]) if a == b]
+    return sigmoid(sum(float(values[b]) for b in found) / max(1, len(found)) + bias)
+
+
+def test_quality_scores_equal_plain_ones(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.length("text") < 3000)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    values, bias = Q.fit(docs, labels)
+    assert values.any()
+    extra = documents(spark, ["", None, "a", "ab ab ab", " x\t\x0by\nx ", "é É\x1c ß", "same " * 30], 10**6)
+    got = Q.score(docs.limit(60).unionByName(extra), (values, bias)).collect()
+    assert len(got) == 67
+    for r in got:
+        assert abs(r.score - plain_quality(r.text, values, bias)) < 1e-9
+
+
+# -- toxicity ------------------------------------------------------------------------
+
+def plain_patterns(text, words, stems):
+    sums = {}
+    for clause in re.split(r"[.!?;:\n]", (text or "").lower()):
+        since = dict.fromkeys(("negation", "report", "target", "threat"), math.inf)
+        for word in re.findall(r"[^\W\d_]+", clause):
+            weight = max([words.get(word, 0.0)] + [stems.get(word[:k], 0.0) for k in range(3, 9) if k <= len(word)])
+            kind = "insult" if weight else T.CLOSED.get(word, "other")
+            since = {k: n + 1 for k, n in since.items()}
+            near = {k for k, reach in (("negation", 4), ("report", 64)) if since[k] <= reach}
+            if kind == "insult":
+                pattern = {"insult"} | near | ({"target"} if since["target"] <= 5 else set())
+                sums[frozenset(pattern)] = sums.get(frozenset(pattern), 0.0) + weight
+            elif kind == "target" and since["threat"] <= 4:
+                pattern = frozenset({"threat"} | near)
+                sums[pattern] = sums.get(pattern, 0.0) + 3.0
+            if kind in since:
+                since[kind] = 0
+    return sums
+
+
+def plain_toxicity(text, model):
+    sums = plain_patterns(text, model.words, model.stems)
+    return sigmoid(sum(w * (1 - math.exp(-sums.get(p, 0.0))) for p, w in zip(T.PATTERNS, model.weights)) + model.bias)
+
+
+def test_toxicity_scores_equal_plain_ones(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = T.Model({"moron": 4.0, "fool": 2.5}, {"idio": 3.0}, np.linspace(0.5, 3, len(T.PATTERNS)), -2.0)
+    clauses = ["you moron", "not a moron", "he said you moron", "kill you", "never kill you", "they said kill them",
+               "idiotic fool you idiot", "morons", "a b c d moron you", "no a b c d e moron", "xmoron idi"]
+    extra = documents(spark, [*clauses, ". ".join(clauses), " ".join(clauses), None, "", "MORON!"], 10**6)
+    marked = docs.withColumn("text", F.concat_ws(" ", F.substring("text", 1, 500), F.element_at(
+        F.array(*[F.lit(c) for c in clauses]), (F.pmod("doc_id", F.lit(len(clauses))) + 1).cast("int")), F.substring("text", 501, 500)))
+    got = T.score(marked.unionByName(extra), model).collect()
+    assert len({round(r.score, 6) for r in got}) > 8
+    for r in got:
+        assert abs(r.score - plain_toxicity(r.text, model)) < 1e-9
+
+
+def test_learned_toxicity_scores_equal_plain_ones(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = T.fit(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    assert model.words
+    for r in T.score(docs, model).collect():
+        assert abs(r.score - plain_toxicity(r.text, model)) < 1e-9
+
+
+# -- what is learned -------------------------------------------------------------------
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def test_copies_of_a_hot_id_are_one_row_of_the_sample(spark):
+    docs = documents(spark, [f"text {i}" for i in range(40)])
+    hot = docs.where("doc_id = 3").crossJoin(spark.range(500)).drop("id")
+    other = hot.limit(1).withColumn("text", F.lit("another text"))
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], LABELS)
+    from cadence.llm.labelled import labelled_texts, sample_labels
+    sample = sample_labels(labels, "toxic", 5, 0, 100)
+    got = labelled_texts(docs.unionByName(hot).unionByName(other), sample).collect()
+    assert len(got) == sample.count() == len({r.doc_id for r in got})
+    assert next(r.text for r in got if r.doc_id == 3) == "another text"
+    for scores in (Q.quality_scores, T.toxicity_scores):
+        assert scores(docs.unionByName(hot), labels).count() == 540
+
+
+def test_many_entries_compete_and_none_is_cut(spark):
+    # Each of 4500 insults stands in three toxic documents of its own kind, long words too.
+    insults = [f"w{'abcdefghij'[i // 1000]}{'abcdefghij'[i // 100 % 10]}{'abcdefghij'[i // 10 % 10]}"
+               f"{'abcdefghij'[i % 10]}" + "q" * (60 if i == 7 else 4) for i in range(4500)]
+    counts = spark.createDataFrame([(w, False, 30, 0) for w in insults], "entry string, stem boolean, toxic int, clean int")
+    found = T._excess(counts, 400, 3000, 16.0, 3)
+    assert len(found) == 4500
+    words, _ = T._choose(found, 400, 3000)
+    assert len(words) == 4500 and any(len(w) > 40 for w in words)
+    mixed_in = spark.createDataFrame([("good", False, 30, 200), ("rare", False, 2, 0)], counts.schema)
+    assert len(T._excess(counts.unionByName(mixed_in), 400, 3000, 16.0, 3)) == 4500
+
+
+def test_near_copies_are_one_group_and_others_are_not(spark):
+    base = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    texts = [" ".join(base), " ".join(base[:-3] + ["x", "y", "z"]), " ".join(base[::-1]),
+             " ".join(base[:20] + [f"other{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]), "", None]
+    rows = spark.createDataFrame([(str(i), t, 0) for i, t in enumerate(texts)], "id string, text string, label int")
+    signed = sorted(T._signatures(rows).collect(), key=lambda r: r.id)
+    groups = T.copy_groups([r.signature for r in signed])
+    assert groups[0] == groups[1] == groups[2] != groups[3] and groups[4] == groups[5] and len(set(groups)) == 3

@@ -64,8 +64,74 @@ SENTENCES = {
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
                  "fee is hereby granted, provided that the above copyright notice and this permission notice "
                  "appear in all copies.",
+    "boost-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of "
+                   "the software and accompanying documentation covered by this license (the \"Software\") to use, "
+                   "reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+                   "works of the Software, and to permit third-parties to whom the Software is furnished to do so, "
+                   "all subject to the following:",
+    "boost-licensed": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial "
+                  "applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "epl2-available": "This program and the accompanying materials are made available under the terms of the Eclipse "
+                      "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "cc0-waived": "To the extent possible under law, the person who associated CC0 with this work has waived all "
+                  "copyright and related or neighboring rights to this work.",
     "rights-reserved": "All rights reserved.",
 }
+# Licences that are named in a notice, and identifiers of the SPDX list.
+NAMED = {
+    "MIT License": "MIT", "Apache License 2.0": "Apache-2.0", "BSD 2-Clause License": "BSD-2-Clause",
+    "BSD 3-Clause License": "BSD-3-Clause", "ISC License": "ISC", "Mozilla Public License 2.0": "MPL-2.0",
+    "Eclipse Public License 2.0": "EPL-2.0", "Boost Software License 1.0": "BSL-1.0", "zlib License": "Zlib",
+    "GNU General Public License v2.0": "GPL-2.0-only", "GNU General Public License v3.0": "GPL-3.0-only",
+    "GNU Lesser General Public License v2.1": "LGPL-2.1-only", "GNU Lesser General Public License v3.0": "LGPL-3.0-only",
+    "GNU Affero General Public License v3.0": "AGPL-3.0-only",
+}
+SPDX = (*sorted(set(NAMED.values())), "0BSD", "Artistic-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense",
+        "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later")
+NOTICES = ("This project is licensed under the {}.", "This software is licensed under the {}.",
+           "Licensed under the {}.", "Released under the {}.")
+# The GNU licences' notices differ in the licence's name, its version and the word for the work.
+GNU = {"GPL": ("GNU General Public License", ("2", "3")), "LGPL": ("GNU Lesser General Public License", ("2.1", "3")),
+       "AGPL": ("GNU Affero General Public License", ("3",))}
+GNU_WORKS = ("program", "library", "file")
+
+
+def _made_notices() -> tuple[dict[str, str], dict[str, str]]:
+    """(identifier -> sentence, identifier -> licence) of the notices that follow a form."""
+    sentences, licence = {}, {}
+    for spdx in SPDX:
+        sentences[f"spdx-{spdx}"], licence[f"spdx-{spdx}"] = f"SPDX-License-Identifier: {spdx}", spdx
+    for name, spdx in NAMED.items():
+        for number, notice in enumerate(NOTICES):
+            sentences[f"notice-{number}-{name}"], licence[f"notice-{number}-{name}"] = notice.format(name), spdx
+    for short, (name, versions) in GNU.items():
+        for v in versions:
+            spdx = f"{short}-{v if '.' in v else v + '.0'}"
+            for work in GNU_WORKS:
+                key = f"{short.lower()}-{v}-{work}-later"
+                sentences[key], licence[key] = (
+                    f"This {work} is free software; you can redistribute it and/or modify it under the terms of the "
+                    f"{name} as published by the Free Software Foundation; either version {v} of the License, or (at "
+                    "your option) any later version."), f"{spdx}-or-later"
+            key = f"{short.lower()}-{v}-licensed"
+            sentences[key], licence[key] = f"This work is licensed under the {name}, version {v}.", f"{spdx}-only"
+    return sentences, licence
+
+
+OTHER = re.compile(rb"[^a-z0-9]+")
+
+
+def normalise(sentence: bytes) -> bytes:
+    return OTHER.sub(b" ", sentence.lower()).strip()
+
+
+_KNOWN = {normalise(s.encode()) for s in SENTENCES.values()}
+_MADE, _MADE_LICENCE = _made_notices()
+# What is listed above keeps its identifier.
+_MADE = {k: s for k, s in _MADE.items() if normalise(s.encode()) not in _KNOWN}
+SENTENCES |= _MADE
 # Creative Commons notices are made from the licence codes.
 CC_CODES = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
 CC_VERSIONS = ("3.0", "4.0")
@@ -87,18 +153,18 @@ RULES = (
     ("MPL-2.0", ("mpl2",)),
     ("Unlicense", ("unlicense",)),
     ("ISC", ("isc-grant",)),
+    ("BSL-1.0", ("boost-grant",)),
+    ("BSL-1.0", ("boost-licensed",)),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("Zlib", ("zlib-grant",)),
+    ("EPL-2.0", ("epl2-available",)),
+    ("CC0-1.0", ("cc0-waived",)),
+    *((_MADE_LICENCE[k], (k,)) for k in _MADE),
     *((f"CC-{c}-{v}", (f"cc-{c.lower()}-{v}",)) for c in CC_CODES for v in CC_VERSIONS),
     ("LicenseRef-all-rights-reserved", ("rights-reserved",)),
 )
 
 UNIT = re.compile(rb"[^\n]+?(?:[.!?;:]+(?=[ \t\r\n]|$)|(?=\n)|$)", re.MULTILINE)
-OTHER = re.compile(rb"[^a-z0-9]+")
-
-
-def normalise(sentence: bytes) -> bytes:
-    return OTHER.sub(b" ", sentence.lower()).strip()
-
-
 class Sentences:
     """The known sentences, and the beginnings of them, by their normalised words."""
 

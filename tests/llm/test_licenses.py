@@ -46,3 +46,33 @@ def test_awkward_rows(spark):
     assert L.scan(empty(spark)).count() == 0
     long_text = "x " * 200_000 + ".\n" + text_of("mit-grant", "mit-notice", "mit-as-is")
     assert rows(L.scan(documents(spark, [long_text])), "licenses") == [("MIT",)]
+
+
+def test_common_notices_and_headers():
+    def found(text):
+        return L.licences(L.Sentences().identify(text.encode()))
+
+    cases = {
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0-or-later",
+        "// SPDX-License-Identifier: Apache-2.0\n// Copyright": "Apache-2.0",
+        "# SPDX-License-Identifier: CC0-1.0": "CC0-1.0",
+        "This project is licensed under the MIT License.": "MIT",
+        "This project is licensed under the GNU General Public License v2.0.": "GPL-2.0-only",
+        " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU "
+        "Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the "
+        "License, or (at your option) any later version.": "LGPL-2.1-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.": "AGPL-3.0-or-later",
+        "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file)": "BSL-1.0",
+        text_of("zlib-as-is", "zlib-grant"): "Zlib", text_of("zlib-grant"): "Zlib",
+        text_of("boost-grant"): "BSL-1.0", text_of("epl2-available"): "EPL-2.0", text_of("cc0-waived"): "CC0-1.0",
+    }
+    for text, licence in cases.items():
+        assert found(text) == [licence], text
+    assert found(text_of("zlib-as-is")) == [] and found("SPDX-License-Identifier: none of these") == []
+
+
+def test_every_sentence_has_one_identifier_and_a_rule():
+    assert len({L.normalise(s.encode()) for s in L.SENTENCES.values()}) == len(L.SENTENCES)
+    assert {n for _, names in L.RULES for n in names} >= set(L.SENTENCES) - {"gpl-hope"}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrameWriter, SparkSession
 
 # Settings that change results, not just speed: calendar parts are UTC,
 # and bad input (unparsable timestamps, non-integer durations) must fail
@@ -25,19 +25,27 @@ SCALE_CONF = {
 }
 
 
+# What one task reads.  Plays are often as many as their cells, so that a map-side combine
+# holds a whole split: with splits and row groups of this size (about 800,000 plays) it
+# stays in memory however large the tables are.
+SPLIT_BYTES = 16 << 20
+_SPLITS = "spark.sql.files.maxPartitionBytes"
+_SPARKS_SPLITS = "134217728b"
+
+
 def cluster_conf(total_cores: int, shuffle_bytes_per_task: str = "256m") -> dict[str, str]:
     """Settings for a large cluster (the command line applies them).
 
     Start with plenty of shuffle partitions (3 waves of the cluster's cores)
     and let AQE coalesce them to ``shuffle_bytes_per_task``; read input in
-    256 MB splits.  Both bound the bytes one task holds, so sorts and
+    splits of ``SPLIT_BYTES``.  Both bound the bytes one task holds, so sorts and
     aggregations spill rarely, and a skewed partition is split at runtime.
     """
     return {
         "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": shuffle_bytes_per_task,
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
-        "spark.sql.files.maxPartitionBytes": "256m",
+        _SPLITS: str(SPLIT_BYTES),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     }
@@ -61,14 +69,22 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     """Apply the result-changing settings to a session we did not build.
 
     They stay set: time zone and ANSI mode of the caller's session are UTC and
-    on from then on, also for its own queries.
+    on from then on, also for its own queries.  Input splits are bounded where the
+    caller left Spark's default.
     """
     for k, v in CORRECTNESS_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    if spark.conf.get(_SPLITS) == _SPARKS_SPLITS:
+        spark.conf.set(_SPLITS, str(SPLIT_BYTES))
     return spark
 
 
+def small_groups(writer: DataFrameWriter) -> DataFrameWriter:
+    """Parquet in row groups of a split each: a split can't be smaller than a row group."""
+    return writer.option("parquet.block.size", SPLIT_BYTES)
+
+
 def apply_cluster_conf(spark: SparkSession) -> SparkSession:
     """Apply the sizing for this cluster's cores where the user set nothing."""
     given = spark.sparkContext.getConf()
@@ -107,14 +123,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df, label: str):
+def materialise(df, label: str, small: bool = False):
     """Write ``df`` to a fresh folder under the shared checkpoint root and
     read it back: cuts the lineage (a lost executor re-reads files instead
     of recomputing upstream shuffles) in one job, stored as columnar
-    parquet rather than serialized rows."""
+    parquet rather than serialized rows.  ``small``: in ``small_groups``."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (small_groups(df.write) if small else df.write).parquet(path)
     return spark.read.parquet(path), path
 
 

@@ -5,8 +5,8 @@ are aggregates written as tables.  Minutes are DECIMAL: per-cell minutes
 are rounded to 2 places first, the marts sum those and round again to 1
 place -- the two-step rounding is part of the result, not an artefact.
 
-Marts pre-aggregate the fact before joining a dimension: the fact's grain
-includes the calendar slot, the marts' does not, so collapsing it first
+Marts of songs and artists pre-aggregate the fact before joining a dimension: the
+fact's grain includes the calendar slot, these marts' does not, so collapsing it first
 shrinks the join input by up to the number of slots per song.  Sums are
 exact on decimals and distinct counts are unchanged, so results equal
 the join-then-aggregate form.
@@ -102,11 +102,12 @@ def mart_top_songs(streams: DataFrame, songs: DataFrame, artists: DataFrame,
 
 def mart_listening_patterns(streams: DataFrame, dates: DataFrame,
                             approx_distinct: bool = False, ordered: bool = True) -> DataFrame:
-    per_slot = _per(streams, "date_id", "song_id")
-    joined = per_slot.join(dates.select("date_id", "day_of_week", "hour_of_day"), "date_id")
+    # The calendar is small: with the slots at hand the distinct songs need one aggregation
+    # of the fact, not one of (date, song) and another of (slot, song).
+    joined = streams.join(dates.select("date_id", "day_of_week", "hour_of_day"), "date_id")
     out = (joined.groupBy("day_of_week", "hour_of_day")
-           .agg(F.sum("_plays").alias("total_plays"),
-                round_minutes(F.sum("_minutes")).alias("total_minutes"),
+           .agg(F.sum("play_count").alias("total_plays"),
+                round_minutes(F.sum("total_duration_minutes")).alias("total_minutes"),
                 _distinct_songs(approx_distinct).alias("unique_songs")))
     return _ordered(out, ordered, "mart_listening_patterns")
 

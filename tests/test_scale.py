@@ -1,8 +1,11 @@
 """What keeps a task's memory, spills and shuffles in proportion to the input."""
 
+import re
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from cadence.plans.models import mart_listening_patterns
 from cadence.session import SPLIT_BYTES, delete_path, ensure_conf, materialise
 
 
@@ -27,3 +30,18 @@ def test_a_stored_layer_is_read_in_several_splits(spark):
     groups = [pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in stored.inputFiles()]
     assert max(groups) > 1 and stored.count() == 4_000_000
     delete_path(spark, path)
+
+
+def test_patterns_sum_the_fact_once(spark, capsys):
+    streams = spark.range(40).select((F.col("id") % 4).alias("date_id"), (F.col("id") % 5).alias("song_id"),
+                                     F.lit(1).cast("bigint").alias("play_count"),
+                                     F.lit("0.25").cast("decimal(10,2)").alias("total_duration_minutes"))
+    dates = spark.range(4).select(F.col("id").alias("date_id"), F.concat(F.lit("day "), (F.col("id") % 2).cast("string")).alias("day_of_week"),
+                                  (F.col("id") % 2).cast("int").alias("hour_of_day"))
+    mart = mart_listening_patterns(streams, dates)
+    assert [(r.hour_of_day, r.total_plays, float(r.total_minutes), r.unique_songs) for r in mart.collect()] == [
+        (0, 20, 5.0, 5), (1, 20, 5.0, 5)]
+    capsys.readouterr()
+    mart.explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(day_of_week" in plan and not re.search(r"hashpartitioning\(date_id#\w+, song_id", plan)

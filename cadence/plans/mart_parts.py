@@ -1,13 +1,18 @@
 """Marts by change: stored parts of single months, merged when a mart is built.
 
 A mart's sums add up over months, and so do its distinct songs if each month keeps
-them as bitmaps of the songs' dense numbers (32768 numbers to a bucket).  So every
+them as sets of the songs' dense numbers (32768 numbers to a bucket).  So every
 calendar month has parts on the marts' grain before names are joined:
 
     parts_songs      song, artist: plays, minutes
-    parts_artists    artist, bucket: plays, minutes, bitmap of songs
+    parts_artists    artist, bucket: plays, minutes, songs as words of 64 bits
     parts_patterns   weekday, hour, bucket: plays, minutes, bitmap of songs
 
+The slots of a week are few, so their bitmaps are as many as the songs.  Artists are
+many and each has few of a bucket's songs: only words with a song in them are kept, so
+the parts never hold more words than the month has cells.  Rows are dealt to tasks by
+month before a set is made, so no set is shuffled and a month's part is a few files.
+
 A part remembers which fact attempts it was made from.  ``refresh_parts`` makes the
 parts of the months whose attempts have changed since, from these months' cells
 alone, and drops those of months that are gone; folding a month does not change
@@ -26,9 +31,12 @@ from pyspark.sql import functions as F
 from cadence.functions.measures import minutes_2dp, round_minutes
 from cadence.operators.star import dim_table, fact_cells, number_songs
 from cadence.plans.models import MART_NAMES, Models, mart_order, register_all, stg_songs
+from cadence.session import small_groups
 from cadence.sources.warehouse import ATTEMPT, NUMBERS, State, Warehouse
 
 MONTH = ["year", "month"]
+# A month's cells are dealt to tasks in parts of about this many.
+DEALT_TOGETHER = 1_000_000
 
 
 def _sums() -> list:
@@ -41,14 +49,30 @@ def changed_months(state: State) -> list[str]:
                   if state.parts.get(m, [None, None])[1] != State.signature(found))
 
 
-def _with_bitmaps(rows: DataFrame, numbers: DataFrame, grain: list[str]) -> DataFrame:
-    """Sums and the bitmap of songs for each of ``grain`` and bucket of song numbers."""
+def _with_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` with the bucket of each song number and the bit in it."""
     # Spark's buckets begin with number 1.
     number = F.col("number") + 1
-    numbered = rows.join(numbers, "song_id").select(
-        *MONTH, *grain, "plays", "minutes", F.bitmap_bucket_number(number).alias("bucket"),
-        F.bitmap_bit_position(number).alias("bit"))
-    return numbered.groupBy(*MONTH, *grain, "bucket").agg(*_sums(), F.bitmap_construct_agg("bit").alias("songs"))
+    return rows.withColumns({"bucket": F.bitmap_bucket_number(number), "bit": F.bitmap_bit_position(number)})
+
+
+def _largest_month(state: State, months: list[str]) -> int:
+    """The stored cells of the largest of these months (layouts without row counts: 0)."""
+    rows = dict.fromkeys(months, 0)
+    for month in months:
+        rows[month] += sum(state.rows.get(f"{month}/{a}", 0) for a in state.folded_runs(month))
+        rows[month] += sum(f["months"].get(month, 0) for f in state.facts.values() if isinstance(f["months"], dict))
+    return max(rows.values(), default=0)
+
+
+def _dealt(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """``rows`` dealt to tasks by month and, in ``parts`` parts a month, by ``keys``.
+
+    ``part`` depends on the keys alone: grouping by it besides them changes nothing
+    and needs no other shuffle.
+    """
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    return rows.withColumn("part", part).repartition(*MONTH, "part")
 
 
 def refresh_parts(warehouse: Warehouse) -> State:
@@ -82,20 +106,30 @@ def _write_parts(warehouse: Warehouse, state: State, months: list[str], attempt:
     streams = cells.where((F.col("play_count") > 0) & (F.col("total_duration") > 0)).select(
         *MONTH, "song_id", "artist_id", "date_id", F.col("play_count").alias("plays"),
         minutes_2dp(F.col("total_duration")).alias("minutes"))
-    numbers = warehouse.read_dim(NUMBERS, state)
+    numbered = streams.join(warehouse.read_dim(NUMBERS, state), "song_id")
+    parts = _largest_month(state, months) // DEALT_TOGETHER + 1
 
     def write(table: str, rows: DataFrame) -> None:
-        rows.hint("rebalance", *MONTH).write.partitionBy(*MONTH).parquet(warehouse.attempt_path(table, attempt))
+        small_groups(rows.drop("part").write).partitionBy(*MONTH).parquet(warehouse.attempt_path(table, attempt))
 
     def songs_and_artists() -> None:
-        write("parts_songs", streams.groupBy(*MONTH, "song_id", "artist_id").agg(*_sums()))
-        pairs = warehouse.spark.read.parquet(warehouse.attempt_path("parts_songs", attempt))
-        write("parts_artists", _with_bitmaps(pairs, numbers, ["artist_id"]))
+        write("parts_songs", _dealt(numbered, ["song_id"], parts).groupBy(
+            *MONTH, "part", "song_id", "number", "artist_id").agg(*_sums()))
+        pairs = _with_buckets(warehouse.spark.read.parquet(warehouse.attempt_path("parts_songs", attempt)))
+        grain = [*MONTH, "part", "artist_id", "bucket"]
+        bits = F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))"))
+        words = _dealt(pairs, ["artist_id", "bucket"], parts).groupBy(
+            *grain, F.expr("cast(bit div 64 as int)").alias("word")).agg(*_sums(), bits.alias("bits"))
+        write("parts_artists", words.groupBy(*grain).agg(
+            *_sums(), F.collect_list(F.struct("word", "bits")).alias("songs")))
 
     def patterns() -> None:
         slots = dim_table(warehouse, "dim_date", state).select("date_id", "day_of_week", "hour_of_day")
-        per_slot = streams.groupBy(*MONTH, "date_id", "song_id").agg(*_sums()).join(slots, "date_id")
-        write("parts_patterns", _with_bitmaps(per_slot, numbers, ["day_of_week", "hour_of_day"]))
+        rows = _with_buckets(numbered.join(slots, "date_id")).select(
+            *MONTH, "day_of_week", "hour_of_day", "bucket", "bit", "plays", "minutes")
+        grain = ["day_of_week", "hour_of_day", "bucket"]
+        write("parts_patterns", _dealt(rows, grain, parts).groupBy(*MONTH, "part", *grain).agg(
+            *_sums(), F.bitmap_construct_agg("bit").alias("songs")))
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         for job in [pool.submit(songs_and_artists), pool.submit(patterns)]:
@@ -111,16 +145,6 @@ def read_parts(warehouse: Warehouse, state: State, table: str) -> DataFrame | No
     return warehouse.spark.read.option("basePath", warehouse.table_path(table)).parquet(*folders).drop(ATTEMPT)
 
 
-def _merged(parts: DataFrame, grain: list[str]) -> DataFrame:
-    return parts.groupBy(*grain, "bucket").agg(*_sums(), F.bitmap_or_agg("songs").alias("songs"))
-
-
-def _counted(merged: DataFrame, grain: list[str], minutes: str) -> DataFrame:
-    return merged.groupBy(*grain).agg(
-        F.sum("plays").alias("total_plays"), round_minutes(F.sum("minutes")).alias(minutes),
-        F.sum(F.bitmap_count("songs")).alias("unique_songs"))
-
-
 def mart_from_parts(warehouse: Warehouse, state: State, name: str, ordered: bool = True) -> DataFrame:
     """A mart merged from the parts of ``state``; the same rows as ``Models.mart``."""
     table = {"mart_top_artists": "parts_artists", "mart_top_songs": "parts_songs",
@@ -131,14 +155,24 @@ def mart_from_parts(warehouse: Warehouse, state: State, name: str, ordered: bool
     artists = dim_table(warehouse, "dim_artist", state).select("artist_id", "artist_name")
     if name == "mart_listening_patterns":
         slot = ["day_of_week", "hour_of_day"]
-        out = _counted(_merged(parts, slot), slot, "total_minutes")
+        merged = parts.groupBy(*slot, "bucket").agg(*_sums(), F.bitmap_or_agg("songs").alias("songs"))
+        out = merged.groupBy(*slot).agg(
+            F.sum("plays").alias("total_plays"), round_minutes(F.sum("minutes")).alias("total_minutes"),
+            F.sum(F.bitmap_count("songs")).alias("unique_songs"))
     elif name == "mart_top_artists":
-        # By id first, so that the names meet one row for each artist and bucket.
-        named = _merged(parts, ["artist_id"]).join(artists, "artist_id")
-        out = _counted(_merged(named, ["artist_name"]), ["artist_name"], "total_minutes_listened")
+        # A part's sums go with the first of its words.
+        words = parts.select("artist_id", "bucket", "plays", "minutes", F.posexplode("songs").alias("at", "song")).select(
+            "artist_id", "bucket", "song.word", "song.bits",
+            *[F.when(F.col("at") == 0, F.col(c)).alias(c) for c in ("plays", "minutes")])
+        merged = words.join(artists, "artist_id").groupBy("artist_name", "bucket", "word").agg(
+            *_sums(), F.bit_or("bits").alias("bits"))
+        out = merged.groupBy("artist_name").agg(
+            F.sum("plays").alias("total_plays"), round_minutes(F.sum("minutes")).alias("total_minutes_listened"),
+            F.sum(F.bit_count("bits")).alias("unique_songs"))
     else:
         songs = stg_songs(dim_table(warehouse, "dim_song", state))
-        pairs = parts.groupBy("song_id", "artist_id").agg(*_sums())
+        # Dealt by song, so that the sums and the join with the songs take one shuffle.
+        pairs = parts.repartition("song_id").groupBy("song_id", "artist_id").agg(*_sums())
         named = (pairs.join(songs.select("song_id", "song_title", "duration_minutes"), "song_id")
                  .join(artists, "artist_id"))
         out = named.groupBy("song_title", "artist_name", "duration_minutes").agg(

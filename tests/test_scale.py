@@ -5,8 +5,12 @@ import re
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from cadence.operators.star import load_star
+from cadence.plans import mart_parts
+from cadence.plans.mart_parts import mart_from_parts, refresh_parts
 from cadence.plans.models import mart_listening_patterns
 from cadence.session import SPLIT_BYTES, delete_path, ensure_conf, materialise
+from tests.test_tiers import assert_same_marts, plays
 
 
 def test_splits_are_bounded_unless_the_caller_set_them(spark):
@@ -45,3 +49,17 @@ def test_patterns_sum_the_fact_once(spark, capsys):
     mart.explain()
     plan = capsys.readouterr().out
     assert "hashpartitioning(day_of_week" in plan and not re.search(r"hashpartitioning\(date_id#\w+, song_id", plan)
+
+
+def test_parts_hold_no_more_words_than_cells(spark, tmp_path, monkeypatch):
+    from cadence.sources.warehouse import Warehouse
+
+    monkeypatch.setattr(mart_parts, "DEALT_TOGETHER", 7)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_star(wh, plays(spark, *[(f"2026-{5 + i % 2:02d}-01", f"a{i % 30}", 60000 + i) for i in range(60)]), "b1")
+    state = refresh_parts(wh)
+    artists = mart_parts.read_parts(wh, state, "parts_artists")
+    words = artists.select(F.sum(F.size("songs"))).first()[0]
+    assert 0 < words <= mart_parts.read_parts(wh, state, "parts_songs").count()
+    assert_same_marts(wh)
+    assert mart_from_parts(wh, state, "mart_listening_patterns").count() > 0

@@ -8,16 +8,20 @@
    wherever they stand: the distinct chunks with their frequencies are the dictionary.
 2. Words are counted in the dictionary: a chunk's words count as often as the chunk
    occurs, but a trigger that the next chunk begins with counts there only.
-3. Phrases: from each such word on, a window of up to ``LONGEST`` words goes as far as
-   each two neighbours occur often enough together, by filters of fixed size over
-   summed hashes that never lose a frequent one: words first, then pairs of frequent
-   words.  Equal runs of such words are summed before they are taken apart into
-   windows.  Each window stands for all phrases that it begins with, once for all of
-   them.  Windows are summed in the tasks and sorted by range; runs of equal
-   beginnings in the sorted windows give the phrases' counts, of the texts and not of
-   hashes.  A run inside a partition is whole, runs at its ends are summed over
-   partitions.
-4. Every cut of every candidate looks up its two parts by joins; the lowest score
+3. Spans: pairs and triples of frequent words are summed in one pass, in proportion to
+   the dictionary.  A pair is the keys of its two words.  All distinct words are known,
+   so it is checked that no frequent word shares its key, and then the sums of the keys
+   are the pairs' exact counts; otherwise pairs are counted like longer phrases.
+   Triples are hashes, and serve as a filter of fixed size that never loses a frequent
+   one.
+4. Phrases: from each such word on, a window of up to ``LONGEST`` words goes as far as
+   each three neighbours occur often enough together.  Equal runs of such words are
+   summed before they are taken apart into windows.  Each window stands for all
+   phrases that it begins with, once for all of them.  Windows are summed in the tasks
+   and sorted by range; runs of equal beginnings in the sorted windows give the phrases'
+   counts, of the texts and not of hashes.  A run inside a partition is whole, runs at
+   its ends are summed over partitions.
+5. Every cut of every candidate looks up its two parts by joins; the lowest score
    counts, and what stands in an equally frequent longer candidate goes.
 
 A window has at most ``LONGEST`` words, which overlap by all but one, so the phrases of
@@ -47,7 +51,7 @@ LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
 HELD_ROWS = 300_000
-HELD_PAIRS = 2_000_000
+HELD_SPANS = 3_000_000
 # Filters: a bit for each hash, 8 MB whatever there is to hold.
 FILTER_BITS = 26
 BLOCK_BITS = 15
@@ -57,6 +61,8 @@ JOINT = b"\x00"
 ESCAPES = ((b"\x01", b"\x01\x02"), (b"\x00", b"\x01\x01"))
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n\n ")
 _WIDE_BLANKS = re.compile(rb"  +")
+# For each number of bytes, the mask of as many first ones of a little-endian word.
+_LOW_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 # -- parsing -----------------------------------------------------------------------
@@ -231,14 +237,25 @@ class Chunks:
 def distinct_words(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
     """(places of distinct words, which of them each word is) by keys that are hashes; None
     where two words have one key."""
-    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    data, sizes, like = np.frombuffer(words.raw, np.uint8), words.ends - words.starts, first[which]
-    if not np.array_equal(sizes, sizes[like]):
+    order = np.argsort(keys)
+    new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
+    # Words of one key are compared with the one before, eight bytes at a time.
+    again = np.flatnonzero(~new)
+    one, other = order[again], order[again - 1]
+    left = words.ends[one] - words.starts[one]
+    if not np.array_equal(left, words.ends[other] - words.starts[other]):
         return None
-    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    if not np.array_equal(data[np.repeat(words.starts, sizes) + inside], data[np.repeat(words.starts[like], sizes) + inside]):
-        return None
-    return first, which
+    padded = words.raw + bytes(8)
+    eights = np.ndarray(len(words.raw) + 1, "<u8", padded, strides=(1,))
+    x, y = words.starts[one], words.starts[other]
+    while len(left):
+        if np.any((eights[x] ^ eights[y]) & _LOW_BYTES[np.minimum(left, 8)]):
+            return None
+        more = left > 8
+        x, y, left = x[more] + 8, y[more] + 8, left[more] - 8
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
 
 
 def _sums(which: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -280,13 +297,13 @@ def _lang_hash(name: str) -> int:
 
 
 def word_keys(words: Words, lang_hash: np.ndarray) -> np.ndarray:
-    """A hash of each word and its lang."""
-    return mix(words.hashes + lang_hash)
+    """A hash of each word and its lang, never 0."""
+    return mix(words.hashes + lang_hash) | np.uint64(1)
 
 
-def pair_keys(keys: np.ndarray) -> np.ndarray:
-    """A hash of each word and the one after it."""
-    return mix(keys[:-1] * np.uint64(3) + keys[1:])
+def joined_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A hash of what has two hashes in this order."""
+    return mix(first * np.uint64(3) + second)
 
 
 def _places(keys: np.ndarray) -> np.ndarray:
@@ -309,17 +326,31 @@ def _filter(placed: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def frequent_words(words: DataFrame) -> np.ndarray:
-    """The filter of the given words (lang, word)."""
+def keyed_words(counted: DataFrame) -> DataFrame:
+    """(lang, word, n, key): with each word's key; the empty word has none (0)."""
     def run(batches):
         for batch in batches:
-            joined = Words(b"\n".join(batch.column(1).to_pylist()) + b"\n")
-            langs = batch.column(0).to_pylist()
+            texts, langs = (batch.column(i).to_pylist() for i in (1, 0))
             named = {name: _lang_hash(name) for name in set(langs)}
-            keys = word_keys(joined, np.array([named[x] for x in langs], np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(_places(keys))], ["place"])
+            found = np.array([len(t) > 0 for t in texts], bool)
+            keys = np.zeros(len(texts), np.uint64)
+            joined = Words(b"\n".join(t for t in texts if t) + b"\n")
+            keys[found] = word_keys(joined, np.array([named[x] for x, t in zip(langs, texts) if t], np.uint64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64))], ["lang", "word", "n", "key"])
+
+    return counted.select("lang", "word", "n").mapInArrow(run, "lang string, word binary, n bigint, key bigint")
+
 
-    return _filter(words.where(F.length("word") > 0).select("lang", "word").mapInArrow(run, "place bigint"))
+def keys_clash(words: DataFrame, least: int) -> bool:
+    """Whether a word that occurs ``least`` times shares its key with another one; ``words``: all (lang, word, n, key)."""
+    shared = words.where(F.length("word") > 0).groupBy("key").agg(F.count("*").alias("words"), F.max("n").alias("n"))
+    return not shared.where((F.col("words") > 1) & (F.col("n") >= least)).isEmpty()
+
+
+def frequent_words(words: DataFrame) -> np.ndarray:
+    """The filter of the given words (lang, word, key)."""
+    return _filter(words.where(F.length("word") > 0).select(
+        F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("place")))
 
 
 def _links(words: Words, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -328,43 +359,73 @@ def _links(words: Words, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return inside & known & np.append(known[1:], False)
 
 
-def frequent_pairs(dictionary: DataFrame, known_words: np.ndarray, least: int, period: int = PERIOD) -> np.ndarray:
-    """The filter of the pairs of known words that occur ``least`` times, or share a hash with such."""
+def frequent_spans(dictionary: DataFrame, known_words: np.ndarray, least: int, period: int = PERIOD) -> DataFrame:
+    """(a, b, n): the pairs and triples of known words that occur ``least`` times.
+
+    A pair has the keys of its two words.  A triple has its hash and 0, and its count is
+    that of all triples with this hash.
+    """
     shared = dictionary.sparkSession.sparkContext.broadcast(known_words)
 
     def summed(held: list):
-        keys, n = (np.concatenate(x) for x in zip(*held))
-        distinct, which = np.unique(keys, return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(_sums(which, n, len(distinct)))],
-                                         ["h", "n"])
+        hashes, a, b, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(hashes)
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)),
+             pa.array(np.add.reduceat(n[order], first))], ["a", "b", "n"])
 
     def run(batches):
         chunks, held, size = Chunks(), [], 0
         for words, lang, weight in chunks.buffers(batches):
             keys = word_keys(words, chunks.lang_hash[lang])
-            at = np.flatnonzero(own_words(words, period=period) & _links(words, keys, _holds(shared.value, keys)))
-            if len(at):
-                held.append((pair_keys(keys)[at], weight[at]))
-                size += len(at)
-            if size > HELD_PAIRS:
+            linked = _links(words, keys, _holds(shared.value, keys))
+            begins = linked & own_words(words, period=period)
+            at = np.flatnonzero(begins)
+            pairs = joined_keys(keys[:-1], keys[1:])
+            held.append((pairs[at], keys[at], keys[at + 1], weight[at]))
+            at = np.flatnonzero(begins & np.append(linked[1:], False))
+            triples = joined_keys(pairs[at], keys[at + 2])
+            held.append((triples, triples, np.zeros(len(at), np.uint64), weight[at]))
+            size += sum(len(h[0]) for h in held[-2:])
+            if size > HELD_SPANS:
                 yield from summed(held)
                 held, size = [], 0
-        if held:
+        if size:
             yield from summed(held)
 
-    pairs = dictionary.select("lang", "chunk", "n").mapInArrow(run, "h bigint, n bigint")
-    many = pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return _filter(many.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("place")))
+    spans = dictionary.select("lang", "chunk", "n").mapInArrow(run, "a bigint, b bigint, n bigint")
+    # Tasks have summed already; dealt by both keys, Spark sums once more after the shuffle only.
+    return spans.repartition("a", "b").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def spans_filter(spans: DataFrame) -> np.ndarray:
+    """The filter of the given pairs and triples (a, b)."""
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(_places(np.where(b == 0, a, joined_keys(a, b))))], ["place"])
+
+    return _filter(spans.select("a", "b").mapInArrow(run, "place bigint"))
+
+
+def pair_counts(spans: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, phrase, size, f): the pairs of the given words (lang, word, key), where no two share a key."""
+    first = words.select("lang", F.col("word").alias("first"), F.col("key").alias("a"))
+    second = words.select(F.col("word").alias("second"), F.col("key").alias("b"))
+    return spans.where(F.col("b") != 0).join(first, "a").join(second, "b").select(
+        "lang", F.concat("first", F.lit(JOINT), "second").alias("phrase"), F.lit(2).alias("size"), F.col("n").alias("f"))
 
 
-def linked_runs(dictionary: DataFrame, known_words: np.ndarray, known_pairs: np.ndarray, longest: int = LONGEST,
-                period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
-    """(lang, run, starts, n): the runs of words that are linked one to the next, in all chunks.
+def linked_runs(dictionary: DataFrame, known_words: np.ndarray, known_spans: np.ndarray, shortest: int = 3,
+                longest: int = LONGEST, period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
+    """(lang, run, starts, n): the runs of words of which each ``shortest`` (2 or 3) neighbours are known, in all chunks.
 
     The first ``starts`` words of a run begin windows; what follows them belongs to the
     next chunk, and is kept as far as their windows reach.
     """
-    shared = dictionary.sparkSession.sparkContext.broadcast((known_words, known_pairs))
+    shared = dictionary.sparkSession.sparkContext.broadcast((known_words, known_spans))
 
     def rows(held: Counter):
         items = list(held.items())
@@ -383,13 +444,18 @@ def linked_runs(dictionary: DataFrame, known_words: np.ndarray, known_pairs: np.
             names, raw = chunks.langs, words.raw
             keys = word_keys(words, chunks.lang_hash[lang])
             linked = _links(words, keys, _holds(shared.value[0], keys))
-            linked[:-1] &= _holds(shared.value[1], pair_keys(keys))
+            pairs = joined_keys(keys[:-1], keys[1:])
+            linked[:-1] &= _holds(shared.value[1], pairs)
+            if shortest == 3:
+                at = np.flatnonzero(linked & np.append(linked[1:], False))
+                linked[:] = False
+                linked[at] = _holds(shared.value[1], joined_keys(pairs[at], keys[at + 2]))
             begins = linked & own_words(words, period=period)
             # Words that begin windows, one after the other in one chunk, make a run.
-            first = np.flatnonzero(begins & ~np.append(False, begins[:-1] & linked[:-1]))
+            first = np.flatnonzero(begins & ~np.append(False, begins[:-1]))
             last = np.flatnonzero(begins & ~np.append(begins[1:], False))
             ended = np.flatnonzero(~linked)
-            stop = np.minimum(ended[np.searchsorted(ended, last)] + 1, last + longest)
+            stop = np.minimum(ended[np.searchsorted(ended, last)] + shortest - 1, last + longest)
             for x, y, g, k, starts in zip(words.starts[first].tolist(), words.ends[stop - 1].tolist(),
                                           lang[first].tolist(), weight[first].tolist(), (last - first + 1).tolist()):
                 held[names[g], raw[x:y], starts] += k
@@ -418,8 +484,8 @@ def windows(runs: DataFrame, longest: int = LONGEST, held_rows: int = HELD_ROWS)
     return runs.select("lang", "run", "starts", "n").mapInArrow(run, "lang string, window binary, n bigint")
 
 
-def phrase_counts(found: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, size, f): the phrases of two words or more that windows begin with ``least`` times."""
+def phrase_counts(found: DataFrame, least: int, longest: int = LONGEST, shortest: int = 2) -> DataFrame:
+    """(lang, phrase, size, f): the phrases of ``shortest`` words or more that windows begin with ``least`` times."""
     def run(batches):
         # For each number of words: the run that goes on, its count, and whether it
         # holds the partition's first row.
@@ -439,9 +505,9 @@ def phrase_counts(found: DataFrame, least: int, longest: int = LONGEST) -> DataF
                 if lang == langs:
                     while same < len(words_of) and same < len(parts) and words_of[same] == parts[same]:
                         same += 1
-                for size in range(max(2, same + 1), len(words_of) + 1):
+                for size in range(max(shortest, same + 1), len(words_of) + 1):
                     close(size, False)
-                for size in range(2, len(parts) + 1):
+                for size in range(shortest, len(parts) + 1):
                     if size <= same:
                         sums[size] += n
                     else:
@@ -449,7 +515,7 @@ def phrase_counts(found: DataFrame, least: int, longest: int = LONGEST) -> DataF
                 words_of, langs, first = parts, lang, False
             if len(out) > 50_000:
                 yield _phrases(out)
-        for size in range(2, len(words_of) + 1):
+        for size in range(shortest, len(words_of) + 1):
             close(size, True)
         yield _phrases(out)
 
@@ -524,14 +590,19 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, period: in
     """
     spark = docs.sparkSession
     dictionary, dictionary_path = materialise(parse(docs, period=period, held_rows=held_rows), "collocation-chunks")
-    words, words_path = materialise(
-        dictionary_words(dictionary, period, held_rows).where(F.col("n") >= least), "collocation-words")
+    every, every_path = materialise(keyed_words(dictionary_words(dictionary, period, held_rows)), "collocation-every-word")
+    words, words_path = materialise(every.where(F.col("n") >= least), "collocation-words")
     known = frequent_words(words)
-    pairs = frequent_pairs(dictionary, known, least, period)
-    runs = linked_runs(dictionary, known, pairs, period=period, held_rows=held_rows)
+    spans, spans_path = materialise(frequent_spans(dictionary, known, least, period), "collocation-spans")
+    # Where words share a key, pairs are windows too.
+    shortest = 2 if keys_clash(every, least) else 3
+    runs = linked_runs(dictionary, known, spans_filter(spans), shortest, period=period, held_rows=held_rows)
     found = windows(runs, held_rows=held_rows)
     summed, summed_path = materialise(found, "collocation-windows")
-    phrases, phrases_path = materialise(phrase_counts(summed, least), "collocation-phrases")
+    longer = phrase_counts(summed, least, shortest=shortest)
+    phrases, phrases_path = materialise(
+        longer if shortest == 2 else longer.unionByName(pair_counts(spans, words.where(F.length("word") > 0))),
+        "collocation-phrases")
     singles = words.where(F.length("word") > 0).select(
         "lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("f"))
     totals = words.where(F.length("word") == 0).select("lang", "n")
@@ -548,7 +619,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, period: in
         best = best.withColumn("rank", ranks.cast("bigint")).where(F.col("rank") <= top)
     result, _ = materialise(best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score"),
         "collocations")
-    for path in (dictionary_path, words_path, summed_path, phrases_path):
+    for path in (dictionary_path, every_path, words_path, spans_path, summed_path, phrases_path):
         delete_path(spark, path)
     return result
 

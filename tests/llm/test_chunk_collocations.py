@@ -124,3 +124,31 @@ def test_awkward_rows_and_empty_tables(spark):
 def test_texts_come_back_from_their_normal_form():
     for word in ["a", "\x00", "\x01", "\x01\x00", "\x00\x01", "\x01\x02", "\x00\x02\x01\x01é"]:
         assert C.plain(C.normalised(f"  {word} \t {word}".encode())) == f"{word} {word}"
+
+
+def test_windows_are_made_for_frequent_triples_only(spark, monkeypatch):
+    rng = random.Random(6)
+    made = {}
+
+    def counted(df, label, *rest, kept=C.materialise):
+        out = kept(df, label, *rest)
+        made[label] = out[0].count()
+        return out
+
+    monkeypatch.setattr(C, "materialise", counted)
+    found = [("en", " ".join(rng.choice("abcdefghijkl") for _ in range(6))) for _ in range(400)]
+    assert rows(C.collocations(frame(spark, found), 9, 200), *COLUMNS) == brute(found, 9, 200)
+    # Nearly all pairs are frequent, no triple is.
+    assert made["collocation-phrases"] > 100 and made["collocation-windows"] == 0
+
+
+def test_pairs_are_counted_by_their_texts_where_words_share_a_key(spark, monkeypatch):
+    words = "lang string, word binary, n bigint, key bigint"
+    one = [("x", b"a", 100, 5), ("x", b"b", 3, 7), ("y", b"a", 3, 7), ("x", b"", 200, 0), ("y", b"", 200, 0)]
+    assert not C.keys_clash(spark.createDataFrame(one, words), 100)
+    assert C.keys_clash(spark.createDataFrame([*one, ("y", b"c", 1, 5)], words), 100)
+    rng = random.Random(7)
+    found = [(rng.choice(["en", "de"]), " ".join(rng.choice("abc") for _ in range(9))) for _ in range(60)]
+    want = rows(C.collocations(frame(spark, found), 3, 50), *COLUMNS)
+    monkeypatch.setattr(C, "keys_clash", lambda words, least: True)
+    assert rows(C.collocations(frame(spark, found), 3, 50), *COLUMNS) == want == brute(found, 3, 50)

@@ -6,14 +6,16 @@
    piece, so neighbouring chunks overlap in a trigger, and no chunk is a proper prefix
    of another that was cut at a trigger.  Equal passages fall into equal chunks,
    wherever they stand: the distinct chunks with their frequencies are the dictionary.
-2. Words are counted in the dictionary: a chunk's words count as often as the chunk
-   occurs, but a trigger that the next chunk begins with counts there only.
+2. Words are counted in the same pass over the texts.  In the dictionary a chunk's
+   words stand as often as the chunk occurs, but a trigger that the next chunk begins
+   with counts there only.
 3. Spans: pairs and triples of frequent words are summed in one pass, in proportion to
    the dictionary.  A pair is the keys of its two words.  All distinct words are known,
    so it is checked that no frequent word shares its key, and then the sums of the keys
    are the pairs' exact counts; otherwise pairs are counted like longer phrases.
    Triples are hashes, and serve as a filter of fixed size that never loses a frequent
-   one.
+   one.  A task sums its spans and writes them as arrays, a row for each of ``PARTS``
+   parts of the hashes; the arrays of a part are summed where Spark brings them together.
 4. Phrases: from each such word on, a window of up to ``LONGEST`` words goes as far as
    each three neighbours occur often enough together.  Equal runs of such words are
    summed before they are taken apart into windows.  Each window stands for all
@@ -38,6 +40,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +54,13 @@ LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
 HELD_ROWS = 300_000
+HELD_TEXT_BYTES = 32 << 20
 HELD_SPANS = 3_000_000
+# Words are found in so many bytes at a time: their arrays stay in the cache.
+RUN_BYTES = 1 << 17
+# Spans are dealt by the first bits of their hashes.
+PART_BITS = 12
+PARTS = 1 << PART_BITS
 # Filters: a bit for each hash, 8 MB whatever there is to hold.
 FILTER_BITS = 26
 BLOCK_BITS = 15
@@ -75,13 +84,15 @@ class Words:
 
     def __init__(self, raw: bytes):
         data = np.frombuffer(raw, np.uint8)
-        ends_piece = data == 10
-        gap = ends_piece | (data == JOINT[0])
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], gap])))
-        self.raw, self.starts, self.ends = raw, edges[0::2], edges[1::2]
+        gaps = np.flatnonzero((data == 10) | (data == JOINT[0]))
+        after = np.concatenate([[0], gaps[:-1] + 1]) if len(gaps) else gaps
+        found = gaps > after
+        self.raw, self.starts, self.ends = raw, after[found], gaps[found]
         # Words of one piece have one number.
-        self.piece = np.cumsum(ends_piece)[self.starts] if len(self.starts) else np.empty(0, np.int64)
-        self.hashes = SpanHashes(data).spans(self.starts, self.ends)
+        ended = data[gaps] == 10
+        self.piece = (np.cumsum(ended) - ended)[found]
+        self.spans = SpanHashes(data)
+        self.hashes = self.spans.spans(self.starts, self.ends)
         n = len(self.starts)
         last = np.flatnonzero(np.append(self.piece[1:] != self.piece[:-1], True)) if n else np.empty(0, np.int64)
         # For each word the place after its piece's last word.
@@ -149,144 +160,182 @@ def own_words(words: Words, overlap: int = OVERLAP, period: int = PERIOD) -> np.
     return ~(held & (at >= closing))
 
 
-def _rows(held: Counter, names: list[str]):
-    """Batches of (lang, bytes, n)."""
-    items = list(held.items())
-    for i in range(0, len(items), 50_000):
-        part = items[i:i + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.binary()),
-             pa.array([n for _, n in part], pa.int64())], names)
-    held.clear()
+def distinct(raw: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray,
+             lang: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(order by keys, where in it another text begins) of spans by keys that are hashes; None where two
+    texts, or texts of two langs, have one key."""
+    order = np.argsort(keys)
+    new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])[:len(keys)]
+    # Texts of one key are compared with the one before, eight bytes at a time.
+    again = np.flatnonzero(~new)
+    one, other = order[again], order[again - 1]
+    left = ends[one] - starts[one]
+    if not np.array_equal(left, ends[other] - starts[other]) or not np.array_equal(lang[one], lang[other]):
+        return None
+    eights = np.ndarray(len(raw) + 1, "<u8", bytes(raw) + bytes(8), strides=(1,))
+    x, y = starts[one], starts[other]
+    while len(left):
+        if np.any((eights[x] ^ eights[y]) & _LOW_BYTES[np.minimum(left, 8)]):
+            return None
+        more = left > 8
+        x, y, left = x[more] + 8, y[more] + 8, left[more] - 8
+    return order, np.flatnonzero(new)
+
+
+def _cut(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The texts of the given spans of a buffer."""
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])
+    return pa.Array.from_buffers(pa.binary(), len(starts), [
+        None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.frombuffer(raw, np.uint8)[at])])
+
+
+class Sums:
+    """How often each text of a lang occurs, summed by texts as far as they are held."""
+
+    def __init__(self, held_rows: int, keyed: bool):
+        self.held_rows, self.keyed, self.held, self.rows, self.size = held_rows, keyed, [], 0, 0
+
+    def add(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, lang: np.ndarray,
+            n: np.ndarray) -> None:
+        if not len(keys):
+            return
+        # Each text by itself where a hash stands for two.
+        order, new = distinct(raw, starts, ends, keys, lang) or (np.arange(len(keys)), np.arange(len(keys)))
+        first = order[new]
+        texts = _cut(raw, starts[first], ends[first])
+        self.held.append((texts, keys[first], lang[first], np.add.reduceat(n[order], new)))
+        self.rows += len(first)
+        self.size += len(texts.buffers()[2])
+
+    def batches(self, langs: list[str], last: bool = False):
+        """Batches of (lang, text, key, n), when there are many to write or it is the ``last`` call."""
+        if not self.held or not (last or self.rows > self.held_rows or self.size > HELD_TEXT_BYTES):
+            return
+        texts = pa.concat_arrays([h[0] for h in self.held])
+        keys, lang, n = (np.concatenate([h[i] for h in self.held]) for i in (1, 2, 3))
+        self.held, self.rows, self.size = [], 0, 0
+        places = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1).astype(np.int64)
+        self.add(texts.buffers()[2].to_pybytes(), places[:-1], places[1:], keys, lang, n)
+        if last or self.rows > self.held_rows // 2 or self.size > HELD_TEXT_BYTES // 2:
+            texts, keys, lang, n = self.held.pop()
+            self.rows = self.size = 0
+            names = pa.array(langs, pa.string())
+            key = keys.view(np.int64) if self.keyed else np.zeros(len(keys), np.int64)
+            for i in range(0, len(texts), 50_000):
+                of = slice(i, i + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(lang[of])), texts[of], pa.array(key[of]), pa.array(n[of])], COUNTED)
+
+
+COUNTED = ["lang", "text", "key", "n"]
+
+
+class Langs:
+    """Numbers for the names of langs as they are met; ``hash`` is a hash of each."""
 
+    def __init__(self):
+        self.names: list[str] = []
+        self.code: dict[str, int] = {}
+        self.hash = np.empty(0, np.uint64)
 
-def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", period: int = PERIOD,
-          held_rows: int = HELD_ROWS) -> DataFrame:
-    """(lang, chunk, n): the dictionary of distinct chunks with their frequencies."""
+    def codes(self, column: pa.Array) -> np.ndarray:
+        coded = column.dictionary_encode()
+        for name in coded.dictionary.to_pylist():
+            if name not in self.code:
+                self.code[name] = len(self.names)
+                self.names.append(name)
+                self.hash = np.append(self.hash, np.uint64(_lang_hash(name)))
+        place = np.array([self.code[name] for name in coded.dictionary.to_pylist()], np.int64)
+        return place[coded.indices.to_numpy()]
+
+
+def parse_and_count(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", period: int = PERIOD,
+                    held_rows: int = HELD_ROWS) -> DataFrame:
+    """(lang, text, key, n): the distinct chunks and words with their frequencies.
+
+    A word has its key.  A chunk's key is 0, and so is that of the empty word, which
+    stands for all words of a lang.
+    """
     bound_batches(docs.sparkSession)
 
     def run(batches):
-        held: Counter = Counter()
+        langs, totals = Langs(), Counter()
+        chunks, counted = Sums(held_rows, keyed=False), Sums(held_rows, keyed=True)
         for batch in batches:
             texts = [normalised(t) for t in as_bytes(batch.column(1))]
-            langs = batch.column(0).to_pylist()
-            for first, last, data, starts, _ in buffers(texts):
+            lang = langs.codes(batch.column(0))
+            totals.update(dict.fromkeys(langs.names, 0))
+            for first, last, data, starts, _ in buffers(texts, RUN_BYTES):
                 words = Words(data.tobytes()[:-1].replace(b" ", b"\n") + b"\n")
+                of = lang[np.searchsorted(starts, words.starts, side="right") - 1 + first]
                 a, b = chunk_spans(words, period=period)
                 begin, end = words.starts[a], words.ends[b - 1]
-                of = np.searchsorted(starts, begin, side="right") - 1 + first
-                raw = words.raw
-                held.update([(langs[d], raw[x:y]) for d, x, y in zip(of.tolist(), begin.tolist(), end.tolist())])
-                if len(held) > held_rows:
-                    yield from _rows(held, names)
-        yield from _rows(held, names)
-
-    names = ["lang", "chunk", "n"]
+                chunks.add(words.raw, begin, end, mix(words.spans.spans(begin, end) + langs.hash[of[a]]), of[a],
+                           np.ones(len(a), np.int64))
+                counted.add(words.raw, words.starts, words.ends, word_keys(words, langs.hash[of]), of,
+                            np.ones(len(of), np.int64))
+                for g, n in enumerate(np.bincount(of, minlength=len(langs.names)).tolist()):
+                    totals[langs.names[g]] += n
+                yield from chunks.batches(langs.names)
+                yield from counted.batches(langs.names)
+        yield from chunks.batches(langs.names, last=True)
+        yield from counted.batches(langs.names, last=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(totals), pa.string()), pa.array([b""] * len(totals), pa.binary()),
+             pa.array([0] * len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], COUNTED)
+
     rows = only(docs, lang_col, text_col).toDF("lang", "text")
-    chunks = rows.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").mapInArrow(
-        run, "lang string, chunk binary, n bigint")
-    return chunks.groupBy("lang", "chunk").agg(F.sum("n").alias("n"))
+    found = rows.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text").mapInArrow(
+        run, "lang string, text binary, key bigint, n bigint")
+    # Tasks have summed already; dealt by the same columns, Spark sums once more after the shuffle only.
+    return found.repartition("lang", "text", "key").groupBy("lang", "text", "key").agg(F.sum("n").alias("n"))
 
 
-class Chunks:
-    """Buffers of the dictionary's chunks, about a megabyte each, however small the batches are.
+def chunks_of(counted: DataFrame) -> DataFrame:
+    """(lang, chunk, n): the dictionary of distinct chunks with their frequencies."""
+    return counted.where((F.col("key") == 0) & (F.length("text") > 0)).select("lang", F.col("text").alias("chunk"), "n")
 
-    ``langs`` are the names met so far; ``lang_hash`` is a hash of each.
-    """
 
-    def __init__(self):
-        self.langs: list[str] = []
-        self.code: dict[str, int] = {}
-        self.lang_hash = np.empty(0, np.uint64)
+def words_of(counted: DataFrame) -> DataFrame:
+    """(lang, word, n, key): the occurrences of every word; the empty word stands for all of a lang."""
+    return counted.where((F.col("key") != 0) | (F.length("text") == 0)).select(
+        "lang", F.col("text").alias("word"), "n", "key")
 
-    def _codes(self, column: pa.Array) -> np.ndarray:
-        coded = column.dictionary_encode()
-        for name in coded.dictionary.to_pylist():
-            if name not in self.code:
-                self.code[name] = len(self.langs)
-                self.langs.append(name)
-                self.lang_hash = np.append(self.lang_hash, np.uint64(_lang_hash(name)))
-        place = np.array([self.code[name] for name in coded.dictionary.to_pylist()], np.int64)
-        return place[coded.indices.to_numpy()]
 
-    def buffers(self, batches):
-        """(words, lang of each word, weight of each word) of runs of chunks."""
-        held, size = [], 0
-        for batch in batches:
-            if batch.num_rows:
-                held.append((self._codes(batch.column(0)), batch.column(1), batch.column(2).to_numpy()))
-                size += batch.column(1).nbytes
-            if size >= BUFFER_BYTES:
-                yield from self._of(held)
-                held, size = [], 0
-        if held:
-            yield from self._of(held)
+def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", period: int = PERIOD,
+          held_rows: int = HELD_ROWS) -> DataFrame:
+    """(lang, chunk, n): the dictionary of distinct chunks with their frequencies."""
+    return chunks_of(parse_and_count(docs, text_col, lang_col, period, held_rows))
+
 
-    def _of(self, held: list):
+def chunk_buffers(batches, langs: Langs):
+    """(words, lang of each word, weight of each word) of runs of the dictionary's chunks, however small the batches are."""
+    def taken(held: list):
         lang, weight = (np.concatenate([h[i] for h in held]) for i in (0, 2))
-        chunks = [c for h in held for c in h[1].to_pylist()]
-        for first, last, data, starts, ends in buffers(chunks):
-            # No chunk holds a line end, so it may stand between them.
-            buffer = data.copy()
-            buffer[ends] = 10
-            words = Words(buffer.tobytes())
-            of = np.searchsorted(starts, words.starts, side="right") - 1 + first
+        # No chunk holds a line end, so it may stand after each: chunks are pieces.
+        texts = pc.binary_join_element_wise(pa.concat_arrays([h[1] for h in held]), b"\n", b"")
+        places = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+        raw = memoryview(texts.buffers()[2])
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(places, places[first] + RUN_BYTES, side="right")) - 1)
+            words = Words(bytes(raw[places[first]:places[last]]))
+            of = words.piece + first
             yield words, lang[of], weight[of]
+            first = last
 
-
-def distinct_words(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """(places of distinct words, which of them each word is) by keys that are hashes; None
-    where two words have one key."""
-    order = np.argsort(keys)
-    new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
-    # Words of one key are compared with the one before, eight bytes at a time.
-    again = np.flatnonzero(~new)
-    one, other = order[again], order[again - 1]
-    left = words.ends[one] - words.starts[one]
-    if not np.array_equal(left, words.ends[other] - words.starts[other]):
-        return None
-    padded = words.raw + bytes(8)
-    eights = np.ndarray(len(words.raw) + 1, "<u8", padded, strides=(1,))
-    x, y = words.starts[one], words.starts[other]
-    while len(left):
-        if np.any((eights[x] ^ eights[y]) & _LOW_BYTES[np.minimum(left, 8)]):
-            return None
-        more = left > 8
-        x, y, left = x[more] + 8, y[more] + 8, left[more] - 8
-    which = np.empty(len(keys), np.int64)
-    which[order] = np.cumsum(new) - 1
-    return order[new], which
-
-
-def _sums(which: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(n, np.int64)
-    np.add.at(out, which, values)
-    return out
-
-
-def dictionary_words(dictionary: DataFrame, period: int = PERIOD, held_rows: int = HELD_ROWS) -> DataFrame:
-    """(lang, word, n): the occurrences of every word; the empty word stands for all of a lang."""
-    def run(batches):
-        held: Counter = Counter()
-        chunks = Chunks()
-        for words, lang, weight in chunks.buffers(batches):
-            names, raw = chunks.langs, words.raw
-            weight = np.where(own_words(words, period=period), weight, 0)
-            for g, n in enumerate(_sums(lang, weight, len(names)).tolist()):
-                held[names[g], b""] += n
-            found = distinct_words(words, word_keys(words, chunks.lang_hash[lang]))
-            # Each word by itself where a hash stands for two.
-            first, which = found or (np.arange(len(lang)), np.arange(len(lang)))
-            for x, y, g, n in zip(words.starts[first].tolist(), words.ends[first].tolist(), lang[first].tolist(),
-                                  _sums(which, weight, len(first)).tolist()):
-                held[names[g], raw[x:y]] += n
-            if len(held) > held_rows:
-                yield from _rows(held, columns)
-        yield from _rows(held, columns)
-
-    columns = ["lang", "word", "n"]
-    counted = dictionary.select("lang", "chunk", "n").mapInArrow(run, "lang string, word binary, n bigint")
-    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append((langs.codes(batch.column(0)), batch.column(1), batch.column(2).to_numpy()))
+            size += batch.column(1).nbytes
+        if size >= BUFFER_BYTES:
+            yield from taken(held)
+            held, size = [], 0
+    if held:
+        yield from taken(held)
 
 
 # -- phrases -----------------------------------------------------------------------
@@ -306,6 +355,11 @@ def joined_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * np.uint64(3) + second)
 
 
+def span_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of each pair (a, b), and of each triple (a, 0)."""
+    return np.where(b == 0, a, joined_keys(a, b))
+
+
 def _places(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -326,21 +380,6 @@ def _filter(placed: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def keyed_words(counted: DataFrame) -> DataFrame:
-    """(lang, word, n, key): with each word's key; the empty word has none (0)."""
-    def run(batches):
-        for batch in batches:
-            texts, langs = (batch.column(i).to_pylist() for i in (1, 0))
-            named = {name: _lang_hash(name) for name in set(langs)}
-            found = np.array([len(t) > 0 for t in texts], bool)
-            keys = np.zeros(len(texts), np.uint64)
-            joined = Words(b"\n".join(t for t in texts if t) + b"\n")
-            keys[found] = word_keys(joined, np.array([named[x] for x, t in zip(langs, texts) if t], np.uint64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64))], ["lang", "word", "n", "key"])
-
-    return counted.select("lang", "word", "n").mapInArrow(run, "lang string, word binary, n bigint, key bigint")
-
-
 def keys_clash(words: DataFrame, least: int) -> bool:
     """Whether a word that occurs ``least`` times shares its key with another one; ``words``: all (lang, word, n, key)."""
     shared = words.where(F.length("word") > 0).groupBy("key").agg(F.count("*").alias("words"), F.max("n").alias("n"))
@@ -359,45 +398,94 @@ def _links(words: Words, keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return inside & known & np.append(known[1:], False)
 
 
-def frequent_spans(dictionary: DataFrame, known_words: np.ndarray, least: int, period: int = PERIOD) -> DataFrame:
-    """(a, b, n): the pairs and triples of known words that occur ``least`` times.
+def dealt_spans(dictionary: DataFrame, known_words: np.ndarray, period: int = PERIOD) -> DataFrame:
+    """(part, a, b, n): the pairs and triples of known words, summed in tasks, as arrays of each part of the hashes.
 
-    A pair has the keys of its two words.  A triple has its hash and 0, and its count is
-    that of all triples with this hash.
+    A pair has the keys of its two words, a triple its hash and no ``b``.
     """
     shared = dictionary.sparkSession.sparkContext.broadcast(known_words)
 
-    def summed(held: list):
-        hashes, a, b, n = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(hashes)
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)),
-             pa.array(np.add.reduceat(n[order], first))], ["a", "b", "n"])
+    def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+            None, pa.py_buffer((8 * bounds).astype(np.int32)), pa.py_buffer(values)])
+
+    def dealt(held: list):
+        for pairs in (True, False):
+            a, b, n = (np.concatenate([h[i + (0 if pairs else 3)] for h in held]) for i in range(3))
+            if len(a):
+                hashes, a, b, n = summed_spans(a, b, n)
+                parts = hashes >> np.uint64(64 - PART_BITS)
+                begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+                bounds = np.append(begins, len(a))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(parts[begins].astype(np.int32)), packed(a, bounds),
+                     packed(b, bounds) if pairs else pa.nulls(len(begins), pa.binary()), packed(n, bounds)],
+                    ["part", "a", "b", "n"])
 
     def run(batches):
-        chunks, held, size = Chunks(), [], 0
-        for words, lang, weight in chunks.buffers(batches):
-            keys = word_keys(words, chunks.lang_hash[lang])
+        langs, held, size = Langs(), [], 0
+        for words, lang, weight in chunk_buffers(batches, langs):
+            keys = word_keys(words, langs.hash[lang])
             linked = _links(words, keys, _holds(shared.value, keys))
             begins = linked & own_words(words, period=period)
-            at = np.flatnonzero(begins)
-            pairs = joined_keys(keys[:-1], keys[1:])
-            held.append((pairs[at], keys[at], keys[at + 1], weight[at]))
-            at = np.flatnonzero(begins & np.append(linked[1:], False))
-            triples = joined_keys(pairs[at], keys[at + 2])
-            held.append((triples, triples, np.zeros(len(at), np.uint64), weight[at]))
-            size += sum(len(h[0]) for h in held[-2:])
+            two = np.flatnonzero(begins)
+            three = np.flatnonzero(begins & np.append(linked[1:], False))
+            triples = joined_keys(joined_keys(keys[three], keys[three + 1]), keys[three + 2])
+            held.append((keys[two], keys[two + 1], weight[two],
+                         triples, np.zeros(len(three), np.uint64), weight[three]))
+            size += len(two) + len(three)
             if size > HELD_SPANS:
-                yield from summed(held)
+                yield from dealt(held)
                 held, size = [], 0
-        if size:
-            yield from summed(held)
+        if held:
+            yield from dealt(held)
 
-    spans = dictionary.select("lang", "chunk", "n").mapInArrow(run, "a bigint, b bigint, n bigint")
-    # Tasks have summed already; dealt by both keys, Spark sums once more after the shuffle only.
-    return spans.repartition("a", "b").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return dictionary.select("lang", "chunk", "n").mapInArrow(run, "part int, a binary, b binary, n binary")
+
+
+def frequent_spans(dictionary: DataFrame, known_words: np.ndarray, least: int, period: int = PERIOD) -> DataFrame:
+    """(a, b, n): the pairs and triples of known words that occur ``least`` times.
+
+    A pair has the keys of its two words.  A triple has its hash and 0, and its count is
+    that of all triples with this hash.
+    """
+    def run(batches):
+        # Sums of whole parts, as many at once as are held.
+        held, size, at = [], 0, None
+        for batch in batches:
+            for part, a, b, n in zip(*[c.to_pylist() for c in batch.columns]):
+                if part != at and size > HELD_SPANS:
+                    yield frequent(held)
+                    held, size = [], 0
+                at, size = part, size + len(n) // 8
+                held.append((a, bytes(len(a)) if b is None else b, n))
+        if held:
+            yield frequent(held)
+
+    def frequent(held: list) -> pa.RecordBatch:
+        a, b, n = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.uint64, np.uint64, np.int64)))
+        _, a, b, n = summed_spans(a, b, n)
+        many = n >= least
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a[many].view(np.int64)), pa.array(b[many].view(np.int64)), pa.array(n[many])], ["a", "b", "n"])
+
+    spans = dealt_spans(dictionary, known_words, period)
+    return spans.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a bigint, b bigint, n bigint")
+
+
+def summed_spans(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, a, b, n): distinct spans with their sums, by their hashes."""
+    hashes = span_hashes(a, b)
+    for order in (np.argsort(hashes), None):
+        # Spans that share a hash may stand mixed: only then all columns are sorted.
+        order = np.lexsort((b, a, hashes)) if order is None else order
+        h, x, y = hashes[order], a[order], b[order]
+        other = h[1:] != h[:-1]
+        new = other | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        if np.array_equal(other, new):
+            break
+    first = np.flatnonzero(np.concatenate([[True], new])[:len(a)])
+    return h[first], x[first], y[first], np.add.reduceat(n[order], first) if len(n) else n
 
 
 def spans_filter(spans: DataFrame) -> np.ndarray:
@@ -405,7 +493,7 @@ def spans_filter(spans: DataFrame) -> np.ndarray:
     def run(batches):
         for batch in batches:
             a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(_places(np.where(b == 0, a, joined_keys(a, b))))], ["place"])
+            yield pa.RecordBatch.from_arrays([pa.array(_places(span_hashes(a, b)))], ["place"])
 
     return _filter(spans.select("a", "b").mapInArrow(run, "place bigint"))
 
@@ -439,10 +527,10 @@ def linked_runs(dictionary: DataFrame, known_words: np.ndarray, known_spans: np.
 
     def run(batches):
         held: Counter = Counter()
-        chunks = Chunks()
-        for words, lang, weight in chunks.buffers(batches):
-            names, raw = chunks.langs, words.raw
-            keys = word_keys(words, chunks.lang_hash[lang])
+        langs = Langs()
+        for words, lang, weight in chunk_buffers(batches, langs):
+            names, raw = langs.names, words.raw
+            keys = word_keys(words, langs.hash[lang])
             linked = _links(words, keys, _holds(shared.value[0], keys))
             pairs = joined_keys(keys[:-1], keys[1:])
             linked[:-1] &= _holds(shared.value[1], pairs)
@@ -467,6 +555,17 @@ def linked_runs(dictionary: DataFrame, known_words: np.ndarray, known_spans: np.
     return found.groupBy("lang", "run", "starts").agg(F.sum("n").alias("n"))
 
 
+def _rows(held: Counter, names: list[str]):
+    """Batches of (lang, bytes, n)."""
+    items = list(held.items())
+    for i in range(0, len(items), 50_000):
+        part = items[i:i + 50_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.binary()),
+             pa.array([n for _, n in part], pa.int64())], names)
+    held.clear()
+
+
 def windows(runs: DataFrame, longest: int = LONGEST, held_rows: int = HELD_ROWS) -> DataFrame:
     """(lang, window, n): from each word on that begins windows, the linked words that follow."""
     def run(batches):
@@ -589,8 +688,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, period: in
     task sums before it writes) change the work, not the result.
     """
     spark = docs.sparkSession
-    dictionary, dictionary_path = materialise(parse(docs, period=period, held_rows=held_rows), "collocation-chunks")
-    every, every_path = materialise(keyed_words(dictionary_words(dictionary, period, held_rows)), "collocation-every-word")
+    counted, counted_path = materialise(parse_and_count(docs, period=period, held_rows=held_rows), "collocation-chunks")
+    dictionary, every = chunks_of(counted), words_of(counted)
     words, words_path = materialise(every.where(F.col("n") >= least), "collocation-words")
     known = frequent_words(words)
     spans, spans_path = materialise(frequent_spans(dictionary, known, least, period), "collocation-spans")
@@ -619,7 +718,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, period: in
         best = best.withColumn("rank", ranks.cast("bigint")).where(F.col("rank") <= top)
     result, _ = materialise(best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score"),
         "collocations")
-    for path in (dictionary_path, every_path, words_path, spans_path, summed_path, phrases_path):
+    for path in (counted_path, words_path, spans_path, summed_path, phrases_path):
         delete_path(spark, path)
     return result
 

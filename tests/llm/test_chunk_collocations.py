@@ -152,3 +152,43 @@ def test_pairs_are_counted_by_their_texts_where_words_share_a_key(spark, monkeyp
     want = rows(C.collocations(frame(spark, found), 3, 50), *COLUMNS)
     monkeypatch.setattr(C, "keys_clash", lambda words, least: True)
     assert rows(C.collocations(frame(spark, found), 3, 50), *COLUMNS) == want == brute(found, 3, 50)
+
+
+def test_spans_cross_the_network_as_arrays_of_parts(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    found = [("en", " ".join(rng.choice(words) for _ in range(200))) for _ in range(150)]
+    dictionary = C.parse(frame(spark, found).coalesce(1)).coalesce(1).cache()
+    known = C.frequent_words(C.words_of(C.parse_and_count(frame(spark, found))))
+    dealt = C.dealt_spans(dictionary, known).collect()
+    pairs = sum(len(r.a) // 8 for r in dealt if r.b is not None)
+    # 30000 pairs and as many triples, a row for each part and kind at most.
+    assert pairs > 20000 and len(dealt) <= 2 * C.PARTS < pairs
+    assert sum(np.frombuffer(r.n, np.int64).sum() for r in dealt if r.b is not None) == 150 * 199
+    assert sum(np.frombuffer(r.n, np.int64).sum() for r in dealt if r.b is None) == 150 * 198
+    want = Counter(p for _, t in found for p in zip(t.split(), t.split()[1:]))
+    got = C.frequent_spans(dictionary, known, 4).where("b != 0").collect()
+    assert sorted(r.n for r in got) == sorted(n for n in want.values() if n >= 4)
+
+
+def test_spans_that_share_a_hash_are_summed_by_themselves(monkeypatch):
+    a, b = np.array([5, 7, 5, 7, 9], np.uint64), np.array([1, 3, 1, 3, 0], np.uint64)
+    monkeypatch.setattr(C, "span_hashes", lambda a, b: np.full(len(a), 9, np.uint64))
+    _, x, y, n = C.summed_spans(a, b, np.arange(5))
+    assert list(zip(x.tolist(), y.tolist(), n.tolist())) == [(5, 1, 2), (7, 3, 4), (9, 0, 4)]
+
+
+def test_texts_are_summed_by_key_only_where_they_are_equal():
+    raw, starts, ends = b"longer than eight a|longer than eight b|x", np.array([0, 20, 40]), np.array([19, 39, 41])
+    one, key = np.zeros(3, np.int64), np.array([3, 3, 5], np.uint64)
+    assert C.distinct(raw, starts, ends, key, one) is None
+    assert C.distinct(raw, starts[[0, 0]], ends[[0, 0]], key[:2], np.array([0, 1])) is None
+    for held, rows_out in ((1, 2), (1000, 2)):
+        sums = C.Sums(held, keyed=True)
+        for _ in range(3):
+            sums.add(raw, starts[[0, 2, 0]], ends[[0, 2, 0]], key[[0, 2, 0]], one, np.array([1, 10, 100]))
+        got = [r for b in sums.batches(["x"], last=True) for r in b.to_pylist()]
+        assert len(got) == rows_out and {(r["text"], r["n"]) for r in got} == {(b"x", 30), (b"longer than eight a", 303)}
+        assert not list(sums.batches(["x"], last=True))
+    sums.add(raw, starts, ends, key, one, np.ones(3, np.int64))
+    assert sum(b.num_rows for b in sums.batches(["x"], last=True)) == 3
